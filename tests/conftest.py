@@ -1,0 +1,26 @@
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+from changeloom import configure  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("changeloom-tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "6g")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield configure(session)
+    session.stop()
