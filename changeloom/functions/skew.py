@@ -12,6 +12,8 @@ from ..session import shuffle_partitions
 
 _HASH, _SLOT, _FAN = "__key_hash", "__slot", "__fan"
 _SKETCH_GROUPS, _SKETCH_TOP, _SKETCH_ITEMS = 256, 64, 1024
+# Slots are assigned to partitions by hash, so several per partition even out.
+_SLOTS_PER_SHARE, _IDLE_SLOTS = 4, 1 << 20
 
 #: Upper bound of what is broadcast by hint, in bytes of key and value cells.
 BROADCAST_BYTES = 8 * 1024 * 1024
@@ -30,8 +32,8 @@ def fits_broadcast(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> bool:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Key hashes with more than an average shuffle partition's share of the rows, and how many
-    partitions each of them deserves.
+    """Key hashes with more than an average shuffle partition's share of the rows, and how many slots
+    each of them is spread over.
 
     Map-side frequent-item sketches over the key columns only; 256 of them are merged by exact sums, so
     neither a task nor the driver sees more than 256 x 64 candidates. The counts are estimates, which is
@@ -53,7 +55,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         .groupBy(F.col("item").alias(_HASH))
         .agg(F.sum("count").alias("count"))
         .filter(share > 1)
-        .select(_HASH, F.ceil(share).cast("int").alias(_FAN))
+        .select(_HASH, F.ceil(share * _SLOTS_PER_SHARE).cast("int").alias(_FAN))
     )
 
 
@@ -70,9 +72,9 @@ def lookup_join(
 
     ``left`` may hold any number of rows per key, and one key may hold a large share of it. ``eligible``
     says which of its rows can match at all: the others keep NULLs and are spread evenly by hash instead
-    of travelling with their key. Rows of hot keys are spread by ``salt_by`` over as many partitions as
-    they fill, and the one matching row of ``right`` is repeated once per partition (all hot keys together:
-    at most twice the number of shuffle partitions). The salt is a hash of row values, so a task that runs
+    of travelling with their key. Rows of hot keys are spread by ``salt_by`` over slots in proportion to
+    their number, and the one matching row of ``right`` is repeated once per slot (all hot keys together:
+    at most eight times the number of shuffle partitions). The salt is a hash of row values, so a task that runs
     again sends every row to the same place.
 
     ``small`` states that ``right`` passed :func:`fits_broadcast`; the left side is then not shuffled.
@@ -84,7 +86,6 @@ def lookup_join(
         flagged = F.broadcast(right.withColumn("__eligible", F.lit(True)))
         return kept.join(flagged, [*keys, "__eligible"], "left").drop("__eligible")
 
-    n = shuffle_partitions(left.sparkSession)
     hot = F.broadcast(hot_keys(left.filter(can_match), keys))
     spread = F.xxhash64(*salt_by)
     slotted = (
@@ -92,7 +93,7 @@ def lookup_join(
         .join(hot, _HASH, "left")
         .withColumn(
             _SLOT,
-            F.when(~can_match, -1 - F.pmod(spread, F.lit(n)))
+            F.when(~can_match, -1 - F.pmod(spread, F.lit(_IDLE_SLOTS)))
             .when(F.col(_FAN).isNotNull(), F.pmod(spread, F.coalesce(F.col(_FAN), F.lit(1))))
             .otherwise(F.lit(0))
             .cast("int"),

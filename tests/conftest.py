@@ -1,8 +1,12 @@
 import os
 import sys
+import time
 
-import pytest
-from pyspark.sql import SparkSession
+os.environ["TZ"] = "UTC"
+time.tzset()
+
+import pytest  # noqa: E402
+from pyspark.sql import SparkSession  # noqa: E402
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
