@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from ..session import shuffle_partitions
 
-_HASH, _SLOT, _FAN = "__key_hash", "__slot", "__fan"
+_HASH, _SLOT, _FAN, _ELIGIBLE = "__key_hash", "__slot", "__fan", "__eligible"
 _SKETCH_GROUPS, _SKETCH_TOP, _SKETCH_ITEMS = 256, 64, 1024
 # Slots are assigned to partitions by hash, so several per partition even out.
-_SLOTS_PER_SHARE, _IDLE_SLOTS = 4, 1 << 20
+_SLOTS_PER_SHARE = 4
 
 #: Upper bound of what is broadcast by hint, in bytes of key and value cells.
 BROADCAST_BYTES = 8 * 1024 * 1024
@@ -23,7 +23,7 @@ _ROW_OVERHEAD = 64
 def fits_broadcast(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure ``df`` with one aggregate: is it small enough to be sent to every executor?
 
-    Meant for staged change data, which is cheap to read again; never called on a target table.
+    Meant for narrow change data, which is cheap to read again; never called on a target table.
     """
     cells = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns]
     width = sum(cells, F.lit(_ROW_OVERHEAD).cast("long"))
@@ -31,13 +31,13 @@ def fits_broadcast(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> bool:
     return (size or 0) <= limit_bytes
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Key hashes with more than an average shuffle partition's share of the rows, and how many slots
-    each of them is spread over.
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[tuple[int, int]]:
+    """Hashes of the keys with more than an average shuffle partition's share of the rows, and the number
+    of slots to spread each of them over.
 
-    Map-side frequent-item sketches over the key columns only; 256 of them are merged by exact sums, so
-    neither a task nor the driver sees more than 256 x 64 candidates. The counts are estimates, which is
-    enough: they only steer where rows are sent. At most ``shuffle partitions`` rows come out.
+    One job over the key columns: map-side frequent-item sketches, of which 256 are merged by exact sums, so
+    neither a task nor the driver sees more than 256 x 64 candidates, and at most as many keys come out as
+    there are shuffle partitions. The counts are estimates, which is enough to decide where rows are sent.
     """
     n = shuffle_partitions(df.sparkSession)
     sketched = (
@@ -48,15 +48,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
             F.expr(f"approx_top_k({_HASH}, {_SKETCH_TOP}, {_SKETCH_ITEMS})").alias("top"),
         )
     )
-    total = sketched.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
-    share = F.col("count") * F.lit(n) / F.greatest(total.scalar(), F.lit(1))
-    return (
-        sketched.select(F.inline("top"))
-        .groupBy(F.col("item").alias(_HASH))
-        .agg(F.sum("count").alias("count"))
-        .filter(share > 1)
-        .select(_HASH, F.ceil(share * _SLOTS_PER_SHARE).cast("int").alias(_FAN))
-    )
+    # Every group also reports its row count, as the item NULL.
+    counted = F.concat(F.col("top"), F.array(F.struct(F.lit(None).cast("long").alias("item"), F.col("rows").alias("count"))))
+    found = sketched.select(F.inline(counted)).groupBy("item").agg(F.sum("count").alias("count"))
+    total = F.max(F.when(F.col("item").isNull(), F.col("count"))).over(Window.partitionBy())
+    share = F.col("count") * F.lit(n) / F.col("total")
+    hot = found.withColumn("total", total).filter(F.col("item").isNotNull() & (share > 1))
+    return [(r[0], r[1]) for r in hot.select("item", F.ceil(share * _SLOTS_PER_SHARE).cast("int")).collect()]
 
 
 def lookup_join(
@@ -66,47 +64,62 @@ def lookup_join(
     *,
     salt_by: Sequence[str],
     eligible: Expr | None = None,
-    small: bool = False,
+    how: str = "left",
+    small: bool | None = None,
+    detect: bool = True,
 ) -> DataFrame:
     """``left`` with the columns of the matching row of ``right``, which has one row per key.
 
-    ``left`` may hold any number of rows per key, and one key may hold a large share of it. ``eligible``
-    says which of its rows can match at all: the others keep NULLs and are spread evenly by hash instead
-    of travelling with their key. Rows of hot keys are spread by ``salt_by`` over slots in proportion to
-    their number, and the one matching row of ``right`` is repeated once per slot (all hot keys together:
-    at most eight times the number of shuffle partitions). The salt is a hash of row values, so a task that runs
-    again sends every row to the same place.
+    ``left`` may hold any number of rows per key, and one key may hold a large share of it.
 
-    ``small`` states that ``right`` passed :func:`fits_broadcast`; the left side is then not shuffled.
+    * If ``right`` is small, it is broadcast and ``left`` stays where it is. ``small=None`` measures it.
+    * Otherwise rows that ``eligible`` says cannot match bypass the shuffle (``left`` is scanned twice), and
+      the rows of hot keys are spread by a hash of ``salt_by`` over slots in proportion to their number. The
+      one matching row of ``right`` is repeated per slot: for all hot keys together at most eight times the
+      number of shuffle partitions. The salt depends on row values only, so a task that runs again sends
+      every row to the same place. ``detect=False`` states that eligible rows have few rows per key.
     """
     keys = list(keys)
     can_match = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
+    if small is None:
+        small = fits_broadcast(right)
     if small:
-        kept = left.withColumn("__eligible", can_match)
-        flagged = F.broadcast(right.withColumn("__eligible", F.lit(True)))
-        return kept.join(flagged, [*keys, "__eligible"], "left").drop("__eligible")
+        if eligible is None:
+            return left.join(F.broadcast(right), keys, how)
+        flagged = F.broadcast(right.withColumn(_ELIGIBLE, F.lit(True)))
+        return left.withColumn(_ELIGIBLE, can_match).join(flagged, [*keys, _ELIGIBLE], how).drop(_ELIGIBLE)
+
+    matching = left.filter(can_match)
+    hot = hot_keys(matching, keys) if detect else []
+    joined = _salted(matching, right, keys, salt_by, hot, how) if hot else matching.join(right, keys, how)
+    if eligible is None or how == "inner":
+        return joined
+    return joined.unionByName(left.filter(~can_match), allowMissingColumns=True)
 
-    hot = F.broadcast(hot_keys(left.filter(can_match), keys))
-    spread = F.xxhash64(*salt_by)
+
+def _salted(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    salt_by: Sequence[str],
+    hot: list[tuple[int, int]],
+    how: str,
+) -> DataFrame:
+    fans = F.broadcast(left.sparkSession.createDataFrame(hot, f"{_HASH} bigint, {_FAN} int"))
+    fan = F.coalesce(F.col(_FAN), F.lit(1))
     slotted = (
         left.withColumn(_HASH, F.xxhash64(*keys))
-        .join(hot, _HASH, "left")
-        .withColumn(
-            _SLOT,
-            F.when(~can_match, -1 - F.pmod(spread, F.lit(_IDLE_SLOTS)))
-            .when(F.col(_FAN).isNotNull(), F.pmod(spread, F.coalesce(F.col(_FAN), F.lit(1))))
-            .otherwise(F.lit(0))
-            .cast("int"),
-        )
+        .join(fans, _HASH, "left")
+        .withColumn(_SLOT, F.pmod(F.xxhash64(*salt_by), fan).cast("int"))
         .drop(_HASH, _FAN)
     )
     repeated = (
         right.withColumn(_HASH, F.xxhash64(*keys))
-        .join(hot, _HASH, "left")
-        .withColumn(_SLOT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_FAN), F.lit(1)) - 1)))
+        .join(fans, _HASH, "left")
+        .withColumn(_SLOT, F.explode(F.sequence(F.lit(0), fan - 1)))
         .drop(_HASH, _FAN)
     )
-    return slotted.join(repeated, [*keys, _SLOT], "left").drop(_SLOT)
+    return slotted.join(repeated, [*keys, _SLOT], how).drop(_SLOT)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Expr]) -> DataFrame:

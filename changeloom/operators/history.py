@@ -18,7 +18,7 @@ from pyspark.sql import Column as Expr
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.skew import first_per_key, lookup_join
+from ..functions.skew import first_per_key, fits_broadcast, lookup_join
 from ..functions.types import just_before
 from ..model import KeyedTable, TableSpec
 from .merge import SEQ, cell, conform, insert, typed
@@ -26,7 +26,7 @@ from .merge import SEQ, cell, conform, insert, typed
 _FIRST, _CLOSE = "__first_start", "__close_at"
 
 
-def drop_overlapping(table: KeyedTable, earliest: DataFrame, *, small: bool = False) -> KeyedTable:
+def drop_overlapping(table: KeyedTable, earliest: DataFrame, *, small: bool | None = None) -> KeyedTable:
     """Delete the versions, active or not, that start at or after the earliest start of their key."""
     return table.with_df(_trimmed(table, _first_starts(table, earliest), small).select(*table.spec.names))
 
@@ -36,7 +36,7 @@ def latest_versions(
     earliest: DataFrame,
     *,
     only: DataFrame | None = None,
-    small: bool = False,
+    small: bool | None = None,
 ) -> DataFrame:
     """For each key of ``earliest``, the version with the greatest start before the earliest start.
 
@@ -47,13 +47,13 @@ def latest_versions(
     starts = _first_starts(table, earliest)
     if only is not None:
         starts = starts.join(only.select(*keys).distinct(), keys, "left_semi")
-    before = lookup_join(table.df, starts, keys, salt_by=[table.spec.system.start], small=small).filter(
-        F.col(_FIRST).isNotNull() & (start < F.col(_FIRST))
-    )
+    before = lookup_join(
+        table.df, starts, keys, salt_by=[table.spec.system.start], how="inner", small=small
+    ).filter(start < F.col(_FIRST))
     return first_per_key(before.select(*table.spec.names), keys, [start.desc()])
 
 
-def close_versions(table: KeyedTable, earliest: DataFrame, *, small: bool = False) -> KeyedTable:
+def close_versions(table: KeyedTable, earliest: DataFrame, *, small: bool | None = None) -> KeyedTable:
     """Close the active versions of the keys in ``earliest``, one millisecond before its start."""
     starts = _first_starts(table, earliest)
     return _close(table, starts.select(*table.require_source_keys(), _ending(just_before(F.col(_FIRST)))), small)
@@ -70,7 +70,7 @@ def append_partial_versions(
     latest: DataFrame | None,
     unmodified: str = "",
     *,
-    small: bool = False,
+    small: bool | None = None,
 ) -> KeyedTable:
     """Add new versions given as text cells, taking marked cells from ``latest``.
 
@@ -79,7 +79,7 @@ def append_partial_versions(
     return insert(table, _completed(table, update, latest, unmodified, small))
 
 
-def close_deleted(table: KeyedTable, deletions: DataFrame, *, small: bool = False) -> KeyedTable:
+def close_deleted(table: KeyedTable, deletions: DataFrame, *, small: bool | None = None) -> KeyedTable:
     """Close the active versions of the given keys at the given end; nothing is removed."""
     return _close(table, _deletion_ends(table, deletions), small)
 
@@ -92,7 +92,7 @@ def apply_history_batch(
     replace: DataFrame | None = None,
     delete: DataFrame | None = None,
     unmodified: str = "",
-    small: bool = False,
+    small: bool | None = None,
 ) -> KeyedTable:
     """Apply a batch in the order earliest, update, replace, delete, as one plan.
 
@@ -100,11 +100,17 @@ def apply_history_batch(
     take one join of the target. A second read of it, limited to the keys of ``update``, finds the
     previous versions for marked cells. Without ``earliest`` there are no previous versions to take from.
 
-    ``small`` states that these narrow key sets passed
-    :func:`~changeloom.functions.skew.fits_broadcast`; the stored versions are then not shuffled.
+    The key sets of ``earliest`` and ``delete`` are narrow. If they are small (``small=None`` measures
+    them), the stored versions are not shuffled at all.
     """
-    spec, system = table.spec, table.spec.system
+    spec = table.spec
     keys = table.require_source_keys()
+    if small is None:
+        small = all(
+            fits_broadcast(df.select(*keys, moment))
+            for df, moment in ((earliest, spec.system.start), (delete, spec.system.end))
+            if df is not None
+        )
     starts = None if earliest is None else _first_starts(table, earliest)
     ends = None if delete is None else _deletion_ends(table, delete)
 
@@ -128,7 +134,9 @@ def apply_history_batch(
     return table.with_df(stored if new is None else stored.unionByName(new.select(*spec.names)))
 
 
-def _settled(table: KeyedTable, starts: DataFrame | None, ends: DataFrame | None, small: bool) -> DataFrame:
+def _settled(
+    table: KeyedTable, starts: DataFrame | None, ends: DataFrame | None, small: bool | None
+) -> DataFrame:
     """Stored versions after trimming, closing and deleting, with one lookup per version."""
     if starts is None:
         return _close(table, ends, small).df
@@ -142,7 +150,7 @@ def _settled(table: KeyedTable, starts: DataFrame | None, ends: DataFrame | None
 
 
 def _trimmed(
-    table: KeyedTable, folded: DataFrame, small: bool, earliest: DataFrame | None = None
+    table: KeyedTable, folded: DataFrame, small: bool | None, earliest: DataFrame | None = None
 ) -> DataFrame:
     """The target with the lookup columns of ``folded``, without the versions from the first start on.
 
@@ -150,21 +158,25 @@ def _trimmed(
     history table, so they are kept out of the keyed shuffle.
     """
     system, keys = table.spec.system, table.require_source_keys()
-    oldest = (folded if earliest is None else earliest).agg(F.min(_FIRST)).scalar()
-    touchable = F.col(system.active) | (F.col(system.start) >= oldest)
+    touchable = None
+    if not small:
+        oldest = (folded if earliest is None else earliest).agg(F.min(_FIRST)).scalar()
+        touchable = F.col(system.active) | (F.col(system.start) >= oldest)
     joined = lookup_join(table.df, folded, keys, salt_by=[system.start], eligible=touchable, small=small)
     return joined.filter(F.col(_FIRST).isNull() | (F.col(system.start) < F.col(_FIRST)))
 
 
-def _close(table: KeyedTable, ends: DataFrame, small: bool) -> KeyedTable:
+def _close(table: KeyedTable, ends: DataFrame, small: bool | None) -> KeyedTable:
+    """Only active versions can match, and a key has one of them, so no key is hot here."""
     system = table.spec.system
     joined = lookup_join(
         table.df,
         ends,
         table.require_source_keys(),
         salt_by=[system.start],
-        eligible=F.col(system.active),
+        eligible=None if small else F.col(system.active),
         small=small,
+        detect=False,
     )
     return table.with_df(_closed(table, joined).select(*table.spec.names))
 
@@ -205,7 +217,7 @@ def _deletion_ends(table: KeyedTable, deletions: DataFrame) -> DataFrame:
 
 
 def _completed(
-    table: KeyedTable, update: DataFrame, latest: DataFrame | None, unmodified: str, small: bool
+    table: KeyedTable, update: DataFrame, latest: DataFrame | None, unmodified: str, small: bool | None
 ) -> DataFrame:
     spec, keys = table.spec, table.require_source_keys()
     typed_keys = [cell(update, k, F.col(k), spec[k].dtype).alias(k) for k in keys]

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import ChangeError, UserActionError
-from ..functions.skew import fits_broadcast
 from ..model import BatchFiles, Column, KeyedTable, ReadOptions, TableSpec
 from ..operators.checks import check_keys
 from ..operators.history import apply_history_batch
@@ -74,7 +73,6 @@ def write_history_batch(
         replace = _staged(table.spark, files.replace, brought, options)
         delete = _staged(table.spark, files.delete, deletion_columns(spec), options)
         touched = _touched(table, base, spec, (earliest, update, replace, delete))
-        narrow = [df for df in (earliest, delete) if df is not None]
         state = apply_history_batch(
             table.read(touched, base.version),
             earliest=earliest,
@@ -82,7 +80,6 @@ def write_history_batch(
             replace=replace,
             delete=delete,
             unmodified=options.unmodified,
-            small=all(fits_broadcast(df) for df in narrow),
         )
         return table.publish(state, buckets=touched, base=base, stream=stream)
     except PySparkException as e:

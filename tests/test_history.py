@@ -2,7 +2,6 @@
 
 import datetime as dt
 import random
-from functools import reduce
 
 import pytest
 from helpers import END, SYS, rows, table, ts, utc
@@ -249,7 +248,7 @@ def skewed(spark, n=40000):
 
 def test_hot_keys_are_found_and_spread(spark):
     t = skewed(spark)
-    hot = {r[0]: r[1] for r in skew.hot_keys(t.df, ["id"]).collect()}
+    hot = dict(skew.hot_keys(t.df, ["id"]))
     expected = spark.range(1).select(F.xxhash64(F.lit(7))).first()[0]
     assert list(hot) == [expected] and 14 <= hot[expected] <= 18
 
@@ -258,10 +257,10 @@ def test_hot_keys_are_found_and_spread(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plain = t.df.join(right, "id", "left")
-        joined = skew.lookup_join(t.df, right, ["id"], salt_by=[SYS.start])
+        joined = skew.lookup_join(t.df, right, ["id"], salt_by=[SYS.start], small=False)
         assert joined.exceptAll(plain.select(joined.columns)).isEmpty()
         assert plain.select(joined.columns).exceptAll(joined).isEmpty()
-        none = skew.lookup_join(t.df, right, ["id"], salt_by=[SYS.start], eligible=F.col(SYS.active))
+        none = skew.lookup_join(t.df, right, ["id"], salt_by=[SYS.start], eligible=F.col(SYS.active), small=False)
         assert none.filter(F.col("last").isNotNull()).isEmpty() and none.count() == t.df.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
@@ -273,19 +272,36 @@ def test_fits_broadcast_measures(spark):
     assert skew.fits_broadcast(df.limit(0), 0)
 
 
-def test_untouched_versions_do_not_travel_with_their_key(spark, tmp_path):
+def test_rows_of_a_hot_key_are_spread(spark, tmp_path):
     skewed(spark).df.write.parquet(str(tmp_path / "t"))
     t = skewed(spark).with_df(spark.read.parquet(str(tmp_path / "t")))
-    cut = earliest(spark, (7, "2030-01-01T00:00:00Z"))
-    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    cut = earliest(spark, (7, "1970-01-01T05:00:00Z"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
-        got = history.apply_history_batch(t, earliest=cut)
-        # Physical partitions of the result: the hot key is in all of them.
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-        spread = got.df.filter("id = 7").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        every = history.latest_versions(t, cut, small=False)
+        joined = skew.lookup_join(t.df, cut.withColumnRenamed(SYS.start, "cut"), ["id"], salt_by=[SYS.start], small=False)
+        spread = joined.filter("id = 7").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert every.count() == 1
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert len(spread) == 8 and max(r["count"] for r in spread) < 1.2 * 20000 / 8
-    assert reduce(int.__add__, [r["count"] for r in spread]) == 20008
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(spread) == 8 and sum(r["count"] for r in spread) == 20008
+    assert max(r["count"] for r in spread) < 2 * 20008 / 8
+
+
+def test_untouched_versions_are_not_shuffled(spark, tmp_path):
+    skewed(spark).df.write.parquet(str(tmp_path / "t"))
+    t = skewed(spark).with_df(spark.read.parquet(str(tmp_path / "t")))
+    got = history.apply_history_batch(t, earliest=earliest(spark, (7, "2030-01-01T00:00:00Z")), small=False)
+    lines = got.df._jdf.queryExecution().executedPlan().toString().splitlines()
+    top = lines.index("+- Union")
+    branches = [i for i, line in enumerate(lines) if i > top and line[3:6] in (":- ", "+- ")]
+    passing = "\n".join(lines[branches[1] :])
+    assert "Exchange hashpartitioning" not in passing.split("Subquery")[0] and "FileScan" in passing
+    assert got.df.count() == t.df.count()
