@@ -10,13 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from ..errors import ChangeError
-from ..functions.skew import first_per_key
 from ..functions.types import default_value, from_text
 from ..model import KeyedTable, TableSpec
 
 #: Position of a row's file in the batch; later files win.
 SEQ = "__seq"
-_REPLACED, _DELETED, _PATCH, _HIT = "__replaced", "__deleted", "__patch", "__hit"
+_ROW, _REPLACED, _DELETED, _PATCH = "__row", "__replaced", "__deleted", "__patch_"
 
 
 def stack(changes: Sequence[DataFrame]) -> DataFrame | None:
@@ -34,14 +33,17 @@ def typed(changes: DataFrame, spec: TableSpec) -> DataFrame:
     return changes.select(*cols, *_seq(changes))
 
 
-def one_per_key(changes: DataFrame, spec: TableSpec, *, per_file: bool = False) -> DataFrame:
-    """Resolve repeated keys: the last file wins, then the latest load time, then the row order."""
-    keys = spec.keys + (_seq(changes) if per_file else [])
-    order = [] if per_file else [F.desc(c) for c in _seq(changes)]
-    if spec.system.synced in changes.columns:
-        order.append(F.col(spec.system.synced).desc_nulls_last())
-    order += [F.asc(c) for c in changes.columns if c not in (*spec.keys, SEQ, spec.system.synced)]
-    return first_per_key(changes, keys, order or [F.asc(k) for k in spec.keys])
+def one_per_key(changes: DataFrame, spec: TableSpec) -> DataFrame:
+    """Resolve repeated keys: the last file wins, then the latest load time, then the greatest row.
+
+    An aggregate rather than a window: rows are combined before the shuffle, so a hot key costs one row per
+    task, and only the key is sorted.
+    """
+    cells = [c for c in changes.columns if c not in (*spec.keys, SEQ)]
+    if not cells:
+        return changes.select(*spec.keys).distinct()
+    best = changes.groupBy(*spec.keys).agg(F.max(_ranked(changes, spec, cells)).alias(_ROW))
+    return best.select(*spec.keys, *[F.col(_ROW)[c].alias(c) for c in cells])
 
 
 def insert(table: KeyedTable, rows: DataFrame) -> KeyedTable:
@@ -76,59 +78,55 @@ def apply_changes(
     update: DataFrame | None = None,
     delete: DataFrame | None = None,
     unmodified: str = "",
+    small: bool = False,
 ) -> KeyedTable:
     """Apply a batch: all replacements, then all partial updates, then all deletions.
 
-    Each input may stack several files (:func:`stack`). They are first folded into one change per key, all
-    within batch-sized data, so the target is read once and joined once, however many files there are. The
-    changes are the right side of that join: Catalyst broadcasts them if they are small enough, and then
-    the target is not shuffled.
+    Each input may stack several files (:func:`stack`). They are first folded into one change per key, in
+    one aggregate over batch-sized data, so the target is read and joined once, however many files there
+    are. Rows with the same key take effect in the order of file, load time and content.
+
+    The changes are the right side of the join. Catalyst broadcasts them if it knows them to be small, and
+    ``small`` states that they passed :func:`~changeloom.functions.skew.fits_broadcast`; the target is then
+    not shuffled. Otherwise both sides are shuffled by a key that is unique in either, so no key is hot.
     """
     spec = table.spec
     keys = table.require_keys()
-    upserts = None if replace is None else one_per_key(typed(replace, spec), spec)
-    covers_all = upserts is not None and set(spec.names) <= set(upserts.columns)
-    removals = None if delete is None else typed(delete.select(*keys), spec).distinct()
+    if replace is None and update is None:
+        if delete is None:
+            return table
+        gone = typed(delete.select(*keys), spec)
+        return table.with_df(table.df.join(F.broadcast(gone) if small else gone, keys, "left_anti"))
 
-    if update is None and (upserts is None or covers_all):
-        return table.with_df(_overwrite(table, upserts, removals))
+    upserts = None if replace is None else typed(replace, spec)
+    covers_all = upserts is not None and set(spec.names) <= set(upserts.columns)
+    changes = _fold(spec, upserts, update, delete, unmodified)
+    lookup = F.broadcast if small else (lambda df: df)
+    deleted, replaced = F.col(_DELETED).isNotNull(), F.col(_ROW).isNotNull()
+    if update is None and covers_all:
+        kept = table.df.join(lookup(changes.select(*keys)), keys, "left_anti")
+        return table.with_df(kept.unionByName(changes.filter(replaced & ~deleted).select(*_cells(spec, upserts, None))))
 
-    changes = _fold(spec, upserts, update, removals, unmodified)
-    matched = table.df.join(changes, keys, "left")
     if covers_all:
-        kept = matched.filter(F.col(_REPLACED).isNull())
-        inserts = changes.filter(F.col(_REPLACED).isNotNull())
+        slim = changes.withColumn(_REPLACED, replaced).drop(_ROW)
+        kept = table.df.join(lookup(slim), keys, "left").filter(~deleted & ~F.coalesce(_REPLACED, F.lit(False)))
+        stored = kept.select(*_cells(spec, None, update, stored=True))
+        inserts = changes
     else:
-        kept = matched
-        inserts = None
-        if upserts is not None:
-            known = table.df.select(*keys).join(changes.select(*keys), keys, "left_semi")
-            inserts = changes.filter(F.col(_REPLACED).isNotNull()).join(known, keys, "left_anti")
-    live = F.col(_DELETED).isNull()
-    result = kept.filter(live).select(*_resolved(spec, upserts, update, stored=True))
-    if inserts is not None:
-        result = result.unionByName(inserts.filter(live).select(*_resolved(spec, upserts, update, stored=False)))
-    return table.with_df(result)
-
-
-def _overwrite(table: KeyedTable, upserts: DataFrame | None, removals: DataFrame | None) -> DataFrame:
-    """Whole-row changes only: drop every touched key from the target and add the new rows."""
-    keys = table.spec.keys
-    if upserts is None:
-        return table.df if removals is None else table.df.join(removals, keys, "left_anti")
-    new_rows = upserts.drop(SEQ)
-    touched = new_rows.select(*keys)
-    if removals is not None:
-        new_rows = new_rows.join(removals, keys, "left_anti")
-        touched = touched.unionByName(removals)
-    return table.df.join(touched, keys, "left_anti").unionByName(new_rows)
+        kept = table.df.join(lookup(changes), keys, "left").filter(~deleted)
+        stored = kept.select(*_cells(spec, upserts, update, stored=True))
+        if upserts is None:
+            return table.with_df(stored)
+        known = table.df.select(*keys).join(lookup(changes.select(*keys)), keys, "left_semi")
+        inserts = changes.join(known, keys, "left_anti")
+    return table.with_df(stored.unionByName(inserts.filter(replaced & ~deleted).select(*_cells(spec, upserts, update))))
 
 
 def _fold(
     spec: TableSpec,
     upserts: DataFrame | None,
     update: DataFrame | None,
-    removals: DataFrame | None,
+    delete: DataFrame | None,
     unmodified: str,
 ) -> DataFrame:
     """One row per changed key: the replacing row, the cells to patch, and whether it is deleted.
@@ -139,55 +137,50 @@ def _fold(
     parts = []
     if upserts is not None:
         cells = [c for c in upserts.columns if c not in (*keys, SEQ)]
-        row = F.struct(*cells) if cells else F.struct(F.lit(True).alias("__key_only"))
-        parts.append(upserts.select(*keys, row.alias(_REPLACED)))
+        parts.append(upserts.select(*keys, _ranked(upserts, spec, cells).alias(_ROW)))
     if update is not None:
-        parts.append(_patches(spec, update, unmodified))
-    if removals is not None:
-        parts.append(removals.withColumn(_DELETED, F.lit(True)))
-    folded = parts[0]
+        typed_keys = [cell(update, k, F.col(k), spec[k].dtype).alias(k) for k in keys]
+        cells = [c for c in spec.names if c in update.columns and c not in keys]
+        patches = [
+            F.when(_is_set(update, c, unmodified), _ranked(update, spec, [c], unmodified)).alias(_PATCH + c)
+            for c in cells
+        ]
+        parts.append(update.select(*typed_keys, *patches))
+    if delete is not None:
+        parts.append(typed(delete.select(*keys), spec).withColumn(_DELETED, F.lit(True)))
+    tagged = parts[0]
     for part in parts[1:]:
-        folded = folded.join(part, keys, "full_outer")
-    for name in (_REPLACED, _PATCH, _DELETED):
-        if name not in folded.columns:
-            folded = folded.withColumn(name, F.lit(None))
-    return folded
+        tagged = tagged.unionByName(part, allowMissingColumns=True)
+    values = [c for c in tagged.columns if c not in keys]
+    folded = tagged.groupBy(*keys).agg(*[F.max(c).alias(c) for c in values]) if values else tagged.distinct()
+    missing = {name: F.lit(None).cast("boolean") for name in (_ROW, _DELETED) if name not in values}
+    return folded.withColumns(missing) if missing else folded
 
 
-def _patches(spec: TableSpec, update: DataFrame, unmodified: str) -> DataFrame:
-    keys = spec.keys
-    typed_keys = [cell(update, k, F.col(k), spec[k].dtype).alias(k) for k in keys]
-    cells = [c for c in spec.names if c in update.columns and c not in keys]
-    raw = update.select(*typed_keys, *cells, *_seq(update))
-    if SEQ in raw.columns:
-        raw = one_per_key(raw, spec, per_file=True)
-        newest = [
-            F.max_by(F.struct(F.col(c).alias("raw")), F.when(_is_set(update, c, unmodified), F.col(SEQ))).alias(c)
-            for c in cells
-        ]
-        merged = raw.groupBy(*keys).agg(*newest) if newest else raw.select(*keys).distinct()
-    else:
-        merged = one_per_key(raw, spec).select(
-            *keys, *[F.when(_is_set(update, c, unmodified), F.struct(F.col(c).alias("raw"))).alias(c) for c in cells]
-        )
-    patch = F.struct(*cells) if cells else F.struct(F.lit(True).alias("__key_only"))
-    return merged.select(*keys, patch.alias(_PATCH))
+def _ranked(changes: DataFrame, spec: TableSpec, cells: Sequence[str], unmodified: str = "") -> Expr:
+    """The cells behind what ranks them, so that the greatest struct is the one that takes effect last."""
+    rank = [F.col(c) for c in _seq(changes)]
+    synced = spec.system.synced
+    if synced in changes.columns and synced in spec:
+        loaded = cell(changes, synced, F.col(synced), spec[synced].dtype)
+        rank.append(F.when(_is_set(changes, synced, unmodified), loaded).alias("__loaded"))
+    return F.struct(*rank, *cells) if rank or cells else F.struct(F.lit(True).alias("__present"))
 
 
-def _resolved(spec: TableSpec, upserts: DataFrame | None, update: DataFrame | None, *, stored: bool) -> list[Expr]:
+def _cells(spec: TableSpec, upserts: DataFrame | None, update: DataFrame | None, *, stored: bool = False) -> list[Expr]:
     """Final value of each column: the patch, else the replacing row, else what is stored (or the default)."""
     out = []
     for c in spec.columns:
-        if c.key:
-            out.append(F.col(c.name))
-            continue
-        value = F.col(c.name) if stored else default_value(c.default, c.dtype)
-        if upserts is not None and c.name in upserts.columns:
-            replaced = F.col(_REPLACED)[c.name]
-            value = F.when(F.col(_REPLACED).isNotNull(), replaced).otherwise(value) if stored else replaced
-        if update is not None and c.name in update.columns:
-            patch = F.col(_PATCH)[c.name]
-            value = F.when(patch.isNotNull(), cell(update, c.name, patch["raw"], c.dtype)).otherwise(value)
+        value = F.col(c.name)
+        if not c.key:
+            if not stored:
+                value = default_value(c.default, c.dtype)
+            if upserts is not None and c.name in upserts.columns:
+                row = F.col(_ROW)
+                value = F.when(row.isNotNull(), row[c.name]).otherwise(value) if stored else row[c.name]
+            if update is not None and c.name in update.columns:
+                patch = F.col(_PATCH + c.name)
+                value = F.when(patch.isNotNull(), cell(update, c.name, patch[c.name], c.dtype)).otherwise(value)
         out.append(value.alias(c.name))
     return out
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import ChangeError, UserActionError
+from ..functions.skew import fits_broadcast
 from ..model import BatchFiles, Column, KeyedTable, ReadOptions, TableSpec
 from ..operators.checks import check_keys
 from ..operators.history import apply_history_batch
@@ -46,8 +47,11 @@ def write_batch(
         delete = _staged(table.spark, files.delete, key_columns(spec), options)
         touched = _touched(table, base, spec, (replace, update, delete))
         current = table.read(touched, base.version)
-        state = apply_changes(current, replace=replace, update=update, delete=delete, unmodified=options.unmodified)
-        return table.publish(state, buckets=touched, base=base, stream=stream)
+        small = all(fits_broadcast(df) for df in (replace, update, delete) if df is not None)
+        state = apply_changes(
+            current, replace=replace, update=update, delete=delete, unmodified=options.unmodified, small=small
+        )
+        return table.publish(state, buckets=touched, base=base, stream=stream, rebalance=not small)
     except PySparkException as e:
         raise _explained(e) from e
 
@@ -73,6 +77,7 @@ def write_history_batch(
         replace = _staged(table.spark, files.replace, brought, options)
         delete = _staged(table.spark, files.delete, deletion_columns(spec), options)
         touched = _touched(table, base, spec, (earliest, update, replace, delete))
+        small = all(fits_broadcast(df) for df in (earliest, update, replace, delete) if df is not None)
         state = apply_history_batch(
             table.read(touched, base.version),
             earliest=earliest,
@@ -80,8 +85,9 @@ def write_history_batch(
             replace=replace,
             delete=delete,
             unmodified=options.unmodified,
+            small=small or None,
         )
-        return table.publish(state, buckets=touched, base=base, stream=stream)
+        return table.publish(state, buckets=touched, base=base, stream=stream, rebalance=not small)
     except PySparkException as e:
         raise _explained(e) from e
 
@@ -148,7 +154,7 @@ def _touched(
         if df is not None:
             part = df.select(*[cell(df, k, F.col(k), spec[k].dtype).alias(k) for k in spec.source_keys])
             keys = part if keys is None else keys.unionByName(part)
-    return set() if keys is None else table.touched(keys)
+    return set() if keys is None else table.touched(keys, base)
 
 
 def _explained(error: PySparkException) -> Exception:

@@ -107,11 +107,8 @@ class VersionedTable:
         schema = T.StructType.fromJson((commit or self.head()).schema)
         return TableSpec.from_schema(schema, self.system)
 
-    def touched(self, keys: DataFrame) -> set[int] | None:
-        """Buckets that hold the given keys; None if the table has one bucket. At most ``buckets`` numbers."""
-        commit = self.head()
-        if commit.buckets == 1:
-            return None
+    def touched(self, keys: DataFrame, commit: Commit) -> set[int]:
+        """Buckets that hold the given keys: at most as many numbers as there are buckets."""
         found = keys.select(bucket_of(commit.bucket_keys, commit.buckets).alias(BUCKET)).distinct()
         return {row[BUCKET] for row in found.collect()}
 
@@ -122,11 +119,13 @@ class VersionedTable:
         buckets: set[int] | None = None,
         base: Commit | None = None,
         stream: dict[str, int] | None = None,
+        rebalance: bool = True,
     ) -> Commit:
         """Write the new state of the table, or of ``buckets`` only, and make it the current version.
 
         ``base`` is the version the state was computed from; if another one was published since, the
-        commit fails and nothing changes.
+        commit fails and nothing changes. ``rebalance=False`` is for states whose rows still lie as they
+        were read, bucket by bucket: a shuffle would bring nothing.
         """
         base = base or self.head()
         version, spec = base.version + 1, state.spec
@@ -138,7 +137,7 @@ class VersionedTable:
         count = base.buckets if bucket_keys else 1
         rows = state.df.select(*[F.col(c.name).cast(c.dtype).alias(c.name) for c in spec.columns])
         rows = rows.withColumn(BUCKET, bucket_of(bucket_keys, count) if count > 1 else F.lit(0))
-        if count > 1:
+        if count > 1 and rebalance:
             # Splits a bucket of any size over several tasks and joins small ones.
             rows = rows.hint("rebalance", BUCKET)
         folder = f"{version:010d}-{uuid.uuid4().hex}"

@@ -95,7 +95,7 @@ def test_repeated_keys_are_resolved_by_load_time(spark):
     t = table(spark, [], ddl, ["id"])
     at = [dt.datetime(2024, 1, day) for day in (1, 2, 3)]
     s = spark.createDataFrame([(1, "b", at[1]), (1, "c", at[2]), (1, "a", at[0]), (1, "c2", at[2])], ddl)
-    assert rows(merge.upsert(t, s), "id", "s") == [(1, "c")]
+    assert rows(merge.upsert(t, s), "id", "s") == [(1, "c2")]
 
 
 def test_truncate(spark):

@@ -150,8 +150,8 @@ def insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT * EXCLUDE (rn) FROM (
         SELECT *, ROW_NUMBER() OVER (
             PARTITION BY l_orderkey, l_linenumber
-            ORDER BY l_shipdate DESC NULLS LAST, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
-                     l_returnflag, l_linestatus) AS rn
+            ORDER BY l_shipdate DESC NULLS LAST, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC,
+                     l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) AS rn
         FROM lineitem) WHERE rn = 1""")
 def one_change_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = load(spark, sf_dir, "lineitem").withColumnRenamed("l_shipdate", "synced_at")
