@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column as Expr
 from pyspark.sql import DataFrame, Window
@@ -13,7 +14,7 @@ from ..session import shuffle_partitions
 _HASH, _SLOT, _FAN, _ELIGIBLE = "__key_hash", "__slot", "__fan", "__eligible"
 _SKETCH_GROUPS, _SKETCH_TOP, _SKETCH_ITEMS = 256, 64, 1024
 # Slots are assigned to partitions by hash, so several per partition even out.
-_SLOTS_PER_SHARE = 4
+_SLOTS_PER_SHARE, _IDLE_SLOTS = 4, 1 << 20
 
 #: Upper bound of what is broadcast by hint, in bytes of key and value cells.
 BROADCAST_BYTES = 8 * 1024 * 1024
@@ -21,14 +22,17 @@ _ROW_OVERHEAD = 64
 
 
 def fits_broadcast(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure ``df`` with one aggregate: is it small enough to be sent to every executor?
+    """Measure ``df``: is it small enough to be sent to every executor?
 
-    Meant for narrow change data, which is cheap to read again; never called on a target table.
+    Meant for change data, never called on a target table. The row count comes first, which staged parquet
+    answers from its footers, so cells are only measured where there are few rows.
     """
-    cells = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns]
-    width = sum(cells, F.lit(_ROW_OVERHEAD).cast("long"))
-    size = df.agg(F.sum(width).alias("bytes")).first()["bytes"]
-    return (size or 0) <= limit_bytes
+    rows = df.count()
+    if rows * _ROW_OVERHEAD > limit_bytes:
+        return False
+    cells = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)).cast("long") for c in df.columns]
+    size = df.agg(F.sum(sum(cells, F.lit(0)))).first()[0] or 0
+    return size + rows * _ROW_OVERHEAD <= limit_bytes
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[tuple[int, int]]:
@@ -49,12 +53,11 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[tuple[int, int]]:
         )
     )
     # Every group also reports its row count, as the item NULL.
-    counted = F.concat(F.col("top"), F.array(F.struct(F.lit(None).cast("long").alias("item"), F.col("rows").alias("count"))))
-    found = sketched.select(F.inline(counted)).groupBy("item").agg(F.sum("count").alias("count"))
-    total = F.max(F.when(F.col("item").isNull(), F.col("count"))).over(Window.partitionBy())
-    share = F.col("count") * F.lit(n) / F.col("total")
-    hot = found.withColumn("total", total).filter(F.col("item").isNotNull() & (share > 1))
-    return [(r[0], r[1]) for r in hot.select("item", F.ceil(share * _SLOTS_PER_SHARE).cast("int")).collect()]
+    size = F.struct(F.lit(None).cast("long").alias("item"), F.col("rows").alias("count"))
+    counted = sketched.select(F.inline(F.concat(F.col("top"), F.array(size))))
+    counts = {r["item"]: r["count"] for r in counted.groupBy("item").agg(F.sum("count").alias("count")).collect()}
+    share = max(1.0, counts.pop(None, 0) / n)
+    return [(item, ceil(count / share * _SLOTS_PER_SHARE)) for item, count in counts.items() if count > share]
 
 
 def lookup_join(
@@ -67,14 +70,16 @@ def lookup_join(
     how: str = "left",
     small: bool | None = None,
     detect: bool = True,
+    rescan: bool = True,
 ) -> DataFrame:
     """``left`` with the columns of the matching row of ``right``, which has one row per key.
 
     ``left`` may hold any number of rows per key, and one key may hold a large share of it.
 
     * If ``right`` is small, it is broadcast and ``left`` stays where it is. ``small=None`` measures it.
-    * Otherwise rows that ``eligible`` says cannot match bypass the shuffle (``left`` is scanned twice), and
-      the rows of hot keys are spread by a hash of ``salt_by`` over slots in proportion to their number. The
+    * Otherwise rows that ``eligible`` says cannot match do not travel with their key. They bypass the
+      shuffle, for which ``left`` is scanned twice, or with ``rescan=False`` they are spread evenly.
+    * The rows of hot keys are spread by a hash of ``salt_by`` over slots in proportion to their number. The
       one matching row of ``right`` is repeated per slot: for all hot keys together at most eight times the
       number of shuffle partitions. The salt depends on row values only, so a task that runs again sends
       every row to the same place. ``detect=False`` states that eligible rows have few rows per key.
@@ -89,6 +94,10 @@ def lookup_join(
         flagged = F.broadcast(right.withColumn(_ELIGIBLE, F.lit(True)))
         return left.withColumn(_ELIGIBLE, can_match).join(flagged, [*keys, _ELIGIBLE], how).drop(_ELIGIBLE)
 
+    if not rescan:
+        idle = -1 - F.pmod(F.xxhash64(*salt_by), F.lit(_IDLE_SLOTS))
+        spread = left.withColumn(_SLOT, F.when(can_match, F.lit(0).cast("bigint")).otherwise(idle))
+        return spread.join(right.withColumn(_SLOT, F.lit(0).cast("bigint")), [*keys, _SLOT], how).drop(_SLOT)
     matching = left.filter(can_match)
     hot = hot_keys(matching, keys) if detect else []
     joined = _salted(matching, right, keys, salt_by, hot, how) if hot else matching.join(right, keys, how)

@@ -125,7 +125,7 @@ def apply_history_batch(
         rows = conform(replace, spec)
         new = rows if new is None else new.unionByName(rows)
     if new is not None and ends is not None:
-        new = close_deleted(table.with_df(new), delete, small=small).df
+        new = _close(table.with_df(new), ends, small, rescan=False).df
 
     if starts is None and ends is None:
         stored = table.df
@@ -166,7 +166,7 @@ def _trimmed(
     return joined.filter(F.col(_FIRST).isNull() | (F.col(system.start) < F.col(_FIRST)))
 
 
-def _close(table: KeyedTable, ends: DataFrame, small: bool | None) -> KeyedTable:
+def _close(table: KeyedTable, ends: DataFrame, small: bool | None, *, rescan: bool = True) -> KeyedTable:
     """Only active versions can match, and a key has one of them, so no key is hot here."""
     system = table.spec.system
     joined = lookup_join(
@@ -177,6 +177,7 @@ def _close(table: KeyedTable, ends: DataFrame, small: bool | None) -> KeyedTable
         eligible=None if small else F.col(system.active),
         small=small,
         detect=False,
+        rescan=rescan,
     )
     return table.with_df(_closed(table, joined).select(*table.spec.names))
 

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from ..errors import ChangeError
+from ..functions.skew import fits_broadcast
 from ..functions.types import default_value, from_text
 from ..model import KeyedTable, TableSpec
 
 #: Position of a row's file in the batch; later files win.
 SEQ = "__seq"
-_ROW, _REPLACED, _DELETED, _PATCH = "__row", "__replaced", "__deleted", "__patch_"
+_ROW, _STORED, _DELETED, _PATCH = "__row", "__stored", "__deleted", "__patch_"
 
 
 def stack(changes: Sequence[DataFrame]) -> DataFrame | None:
@@ -78,7 +79,7 @@ def apply_changes(
     update: DataFrame | None = None,
     delete: DataFrame | None = None,
     unmodified: str = "",
-    small: bool = False,
+    small: bool | None = None,
 ) -> KeyedTable:
     """Apply a batch: all replacements, then all partial updates, then all deletions.
 
@@ -86,40 +87,38 @@ def apply_changes(
     one aggregate over batch-sized data, so the target is read and joined once, however many files there
     are. Rows with the same key take effect in the order of file, load time and content.
 
-    The changes are the right side of the join. Catalyst broadcasts them if it knows them to be small, and
-    ``small`` states that they passed :func:`~changeloom.functions.skew.fits_broadcast`; the target is then
-    not shuffled. Otherwise both sides are shuffled by a key that is unique in either, so no key is hot.
+    If the changes are small (``small=None`` measures them), they are broadcast and the target is not
+    shuffled. Otherwise one full outer join keeps, changes and inserts rows in a single pass; the key is
+    unique on either side, so no key is hot.
     """
     spec = table.spec
     keys = table.require_keys()
+    if replace is None and update is None and delete is None:
+        return table
+    if small is None:
+        small = all(fits_broadcast(df) for df in (delete, replace, update) if df is not None)
     if replace is None and update is None:
-        if delete is None:
-            return table
         gone = typed(delete.select(*keys), spec)
         return table.with_df(table.df.join(F.broadcast(gone) if small else gone, keys, "left_anti"))
 
-    upserts = None if replace is None else typed(replace, spec)
-    covers_all = upserts is not None and set(spec.names) <= set(upserts.columns)
+    upserts = None if replace is None else _with_keys(typed(replace, spec), keys)
     changes = _fold(spec, upserts, update, delete, unmodified)
-    lookup = F.broadcast if small else (lambda df: df)
-    deleted, replaced = F.col(_DELETED).isNotNull(), F.col(_ROW).isNotNull()
-    if update is None and covers_all:
-        kept = table.df.join(lookup(changes.select(*keys)), keys, "left_anti")
-        return table.with_df(kept.unionByName(changes.filter(replaced & ~deleted).select(*_cells(spec, upserts, None))))
-
-    if covers_all:
-        slim = changes.withColumn(_REPLACED, replaced).drop(_ROW)
-        kept = table.df.join(lookup(slim), keys, "left").filter(~deleted & ~F.coalesce(_REPLACED, F.lit(False)))
-        stored = kept.select(*_cells(spec, None, update, stored=True))
-        inserts = changes
+    replaced, kept = F.col(_ROW).isNotNull(), F.col(_DELETED).isNull()
+    stored = table.df.withColumn(_STORED, F.lit(True))
+    if upserts is None:
+        lookup = F.broadcast(changes) if small else changes
+        changed = stored.join(lookup, keys, "left")
+    elif not small:
+        changed = stored.join(changes, keys, "full_outer").filter(F.col(_STORED).isNotNull() | replaced)
     else:
-        kept = table.df.join(lookup(changes), keys, "left").filter(~deleted)
-        stored = kept.select(*_cells(spec, upserts, update, stored=True))
-        if upserts is None:
-            return table.with_df(stored)
-        known = table.df.select(*keys).join(lookup(changes.select(*keys)), keys, "left_semi")
-        inserts = changes.join(known, keys, "left_anti")
-    return table.with_df(stored.unionByName(inserts.filter(replaced & ~deleted).select(*_cells(spec, upserts, update))))
+        changed, new = stored.join(F.broadcast(changes), keys, "left"), changes.filter(replaced)
+        if set(spec.names) <= set(upserts.columns):
+            changed = changed.filter(~replaced)
+        else:
+            known = table.df.select(*keys).join(F.broadcast(changes.select(*keys)), keys, "left_semi")
+            new = new.join(known, keys, "left_anti")
+        changed = changed.unionByName(new, allowMissingColumns=True)
+    return table.with_df(changed.filter(kept).select(*_cells(spec, upserts, update)))
 
 
 def _fold(
@@ -167,17 +166,16 @@ def _ranked(changes: DataFrame, spec: TableSpec, cells: Sequence[str], unmodifie
     return F.struct(*rank, *cells) if rank or cells else F.struct(F.lit(True).alias("__present"))
 
 
-def _cells(spec: TableSpec, upserts: DataFrame | None, update: DataFrame | None, *, stored: bool = False) -> list[Expr]:
-    """Final value of each column: the patch, else the replacing row, else what is stored (or the default)."""
+def _cells(spec: TableSpec, upserts: DataFrame | None, update: DataFrame | None) -> list[Expr]:
+    """Final value of each column: the patch, else the replacing row, else what is stored, else the default."""
     out = []
     for c in spec.columns:
         value = F.col(c.name)
         if not c.key:
-            if not stored:
-                value = default_value(c.default, c.dtype)
             if upserts is not None and c.name in upserts.columns:
-                row = F.col(_ROW)
-                value = F.when(row.isNotNull(), row[c.name]).otherwise(value) if stored else row[c.name]
+                value = F.when(F.col(_ROW).isNotNull(), F.col(_ROW)[c.name]).otherwise(value)
+            elif upserts is not None and c.default is not None:
+                value = F.when(F.col(_STORED).isNull(), default_value(c.default, c.dtype)).otherwise(value)
             if update is not None and c.name in update.columns:
                 patch = F.col(_PATCH + c.name)
                 value = F.when(patch.isNotNull(), cell(update, c.name, patch[c.name], c.dtype)).otherwise(value)
@@ -185,6 +183,15 @@ def _cells(spec: TableSpec, upserts: DataFrame | None, update: DataFrame | None,
     return out
 
 
+def _with_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows to insert; one without key value fails the job."""
+    present = {
+        k: F.coalesce(F.col(k), F.raise_error(F.lit(f"Key column <{k}> is NULL")).cast(rows.schema[k].dataType))
+        for k in keys
+    }
+    return rows.withColumns(present)
+
+
 def truncate_before(
     table: KeyedTable,
     synced: str,

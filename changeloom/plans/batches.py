@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import PySparkException
@@ -41,10 +42,10 @@ def write_batch(
     if files.earliest:
         raise ChangeError("Earliest-start files belong to history tables")
     brought = _brought(spec, columns)
-    try:
-        replace = _staged(table.spark, files.replace, brought, options)
-        update = _staged(table.spark, files.update, brought, options, as_text=True)
-        delete = _staged(table.spark, files.delete, key_columns(spec), options)
+    with _Staging(table.spark, options) as staging:
+        replace = staging.read(files.replace, brought)
+        update = staging.read(files.update, brought, as_text=True)
+        delete = staging.read(files.delete, key_columns(spec))
         touched = _touched(table, base, spec, (replace, update, delete))
         current = table.read(touched, base.version)
         small = all(fits_broadcast(df) for df in (replace, update, delete) if df is not None)
@@ -52,8 +53,6 @@ def write_batch(
             current, replace=replace, update=update, delete=delete, unmodified=options.unmodified, small=small
         )
         return table.publish(state, buckets=touched, base=base, stream=stream, rebalance=not small)
-    except PySparkException as e:
-        raise _explained(e) from e
 
 
 def write_history_batch(
@@ -71,11 +70,11 @@ def write_history_batch(
     if not spec.source_keys:
         raise ChangeError("No primary keys found")
     brought = _brought(spec, columns)
-    try:
-        earliest = _staged(table.spark, files.earliest, earliest_columns(spec), options)
-        update = _staged(table.spark, files.update, brought, options, as_text=True)
-        replace = _staged(table.spark, files.replace, brought, options)
-        delete = _staged(table.spark, files.delete, deletion_columns(spec), options)
+    with _Staging(table.spark, options) as staging:
+        earliest = staging.read(files.earliest, earliest_columns(spec))
+        update = staging.read(files.update, brought, as_text=True)
+        replace = staging.read(files.replace, brought)
+        delete = staging.read(files.delete, deletion_columns(spec))
         touched = _touched(table, base, spec, (earliest, update, replace, delete))
         small = all(fits_broadcast(df) for df in (earliest, update, replace, delete) if df is not None)
         state = apply_history_batch(
@@ -88,8 +87,6 @@ def write_history_batch(
             small=small or None,
         )
         return table.publish(state, buckets=touched, base=base, stream=stream, rebalance=not small)
-    except PySparkException as e:
-        raise _explained(e) from e
 
 
 def truncate(
@@ -125,23 +122,35 @@ def _brought(spec: TableSpec, columns: Sequence[Column]) -> list[Column]:
     return list(columns) or list(spec.columns)
 
 
-def _staged(
-    spark: SparkSession,
-    paths: Sequence[str],
-    columns: Sequence[Column],
-    options: ReadOptions,
-    *,
-    as_text: bool = False,
-) -> DataFrame | None:
-    """Change files parsed once and kept as parquet in the shared scratch folder.
+class _Staging:
+    """Change files parsed once and kept as parquet in the shared scratch folder, until the batch is done.
 
     The plans use them several times, and a lost executor does not make anyone parse them again.
     """
-    if not paths:
-        return None
-    path = scratch_path(spark, "staged")
-    read_changes(spark, paths, columns, options, as_text=as_text).write.parquet(path)
-    return spark.read.parquet(path)
+
+    def __init__(self, spark: SparkSession, options: ReadOptions) -> None:
+        self.spark = spark
+        self.options = options
+        self.root = scratch_path(spark, "staged")
+
+    def __enter__(self) -> _Staging:
+        return self
+
+    def read(self, paths: Sequence[str], columns: Sequence[Column], *, as_text: bool = False) -> DataFrame | None:
+        if not paths:
+            return None
+        path = f"{self.root}/{uuid.uuid4().hex}"
+        read_changes(self.spark, paths, columns, self.options, as_text=as_text).write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def __exit__(self, kind, error, trace) -> None:
+        root = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+        if isinstance(error, PySparkException) and "maximum record size" in str(error):
+            raise UserActionError(
+                "A data record was too large to be processed. To fix this, increase the maximum record size "
+                f"(option max_record_mib). {str(error)[:500]}"
+            ) from error
 
 
 def _touched(
@@ -155,13 +164,3 @@ def _touched(
             part = df.select(*[cell(df, k, F.col(k), spec[k].dtype).alias(k) for k in spec.source_keys])
             keys = part if keys is None else keys.unionByName(part)
     return set() if keys is None else table.touched(keys, base)
-
-
-def _explained(error: PySparkException) -> Exception:
-    text = str(error)
-    if "maximum record size" in text:
-        return UserActionError(
-            "A data record was too large to be processed. To fix this, increase the maximum record size "
-            f"(option max_record_mib). {text[:500]}"
-        )
-    return error

@@ -19,7 +19,7 @@ from ..errors import ChangeError
 from ..functions.types import from_text
 from ..model import Column, ReadOptions, TableSpec
 from ..operators.merge import SEQ
-from .files import ChangeFile, file_position, probe
+from .files import ChangeFile, cell_bytes, file_position, probe, within
 from .records import read_split
 from .sealed import read_sealed, sealed_header
 
@@ -129,26 +129,22 @@ def _raw(spark: SparkSession, files: list[ChangeFile], names: list[str], options
         if missing:
             raise ChangeError(f"Columns {missing} not found in file <{members[0].path}>")
         read = read_split if large else _read_whole
-        parts.append(read(spark, members, header, _CSV).select(*names, SEQ))
-    return reduce(DataFrame.unionByName, parts).filter(_within(options.record_bytes, names))
-
-
-def _within(limit: int, names: list[str]) -> Expr:
-    """TRUE for records up to the size limit; a longer one fails the job."""
-    size = sum((F.coalesce(F.octet_length(n), F.lit(0)) for n in names), F.lit(0))
-    message = (
-        f"A data record was too large to be processed: more than {limit // 2**20} MiB. "
-        "To fix this, increase the maximum record size."
-    )
-    return F.when(size > limit, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True))
+        parts.append(read(spark, members, header, names, _CSV, options.record_bytes).select(*names, SEQ))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _read_whole(
-    spark: SparkSession, members: list[ChangeFile], header: Sequence[str], options: dict[str, str]
+    spark: SparkSession,
+    members: list[ChangeFile],
+    header: Sequence[str],
+    names: Sequence[str],
+    parser: dict[str, str],
+    limit: int,
 ) -> DataFrame:
     schema = T.StructType([T.StructField(n, T.StringType()) for n in header])
-    df = spark.read.schema(schema).options(**options).csv([f.pattern for f in members])
-    return df.withColumn(SEQ, file_position(members, F.col("_metadata.file_path")))
+    df = spark.read.schema(schema).options(**parser).csv([f.pattern for f in members])
+    positioned = df.withColumn(SEQ, file_position(members, F.col("_metadata.file_path")))
+    return positioned.filter(within(cell_bytes(names), limit))
 
 
 def _null_or_text(cell: Expr, null_value: str) -> Expr:

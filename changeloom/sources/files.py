@@ -53,6 +53,20 @@ def file_position(members: Sequence[ChangeFile], file_path: Expr) -> Expr:
     return F.coalesce(found, F.raise_error(F.concat(F.lit("Unexpected change file "), file_path)).cast("int"))
 
 
+def within(size: Expr, limit: int) -> Expr:
+    """TRUE for records up to the size limit; a longer one fails the job."""
+    message = (
+        f"A data record was too large to be processed: more than {limit // 2**20} MiB. "
+        "To fix this, increase the maximum record size."
+    )
+    return F.when(size > limit, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True))
+
+
+def cell_bytes(names: Sequence[str]) -> Expr:
+    """Size of a record, as far as its cells are read."""
+    return sum((F.coalesce(F.octet_length(n), F.lit(0)) for n in names), F.lit(0))
+
+
 def probe(spark: SparkSession, paths: Sequence[str], sealed: Sequence[bool]) -> list[ChangeFile]:
     """Look at the first bytes of each file; ``sealed`` files are encrypted and not opened."""
     with ThreadPoolExecutor(max_workers=min(32, max(1, len(paths)))) as pool:

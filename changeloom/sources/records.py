@@ -11,24 +11,34 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.sql import Column as Expr
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.merge import SEQ
-from .files import ChangeFile, file_position
+from .files import ChangeFile, file_position, within
 
 _FILE, _BLOCK, _LINE, _RECORD = "__file", "__block", "__line", "__record"
 
 
 def read_split(
-    spark: SparkSession, members: Sequence[ChangeFile], header: Sequence[str], options: dict[str, str]
+    spark: SparkSession,
+    members: Sequence[ChangeFile],
+    header: Sequence[str],
+    names: Sequence[str],
+    parser: dict[str, str],
+    limit: int,
 ) -> DataFrame:
-    """Text cells of files that share a header, and the file position."""
-    parser = {k: v for k, v in options.items() if k not in ("header", "multiLine", "columnPruning", "encoding")}
-    cells = F.from_csv("record", _ddl(header), parser)
-    records = assemble(_lines(spark, members)).filter(~F.col("is_header") & (F.col("record") != ""))
-    parsed = records.select(cells.alias("cells"), file_position(members, F.col(_FILE)).alias(SEQ))
-    return parsed.select("cells.*", SEQ)
+    """Text cells ``names`` of files that share a header, and the file position."""
+    line_parser = {k: v for k, v in parser.items() if k not in ("header", "multiLine", "columnPruning", "encoding")}
+    records = assemble(_lines(spark, members)).filter(
+        ~F.col("is_header") & (F.col("record") != "") & within(F.octet_length("record"), limit)
+    )
+    parsed = records.select(
+        F.from_csv("record", _ddl(header), line_parser).alias("cells"),
+        file_position(members, F.col(_FILE)).alias(SEQ),
+    )
+    return parsed.select(*[F.col("cells")[n].alias(n) for n in names], SEQ)
 
 
 def _ddl(header: Sequence[str]) -> str:
@@ -50,44 +60,35 @@ def assemble(lines: DataFrame) -> DataFrame:
     """Lines to records: ``record``, ``is_header`` and the file.
 
     One shuffle brings the lines of a block together; blocks have the size of a scan split, so they are
-    even. Only the pieces at block edges, at most two per block, are compared across blocks.
+    even. Only the first and the last record of a block can reach into another block, and only their lines
+    are compared across blocks.
     """
-    in_file = Window.partitionBy(_FILE).orderBy(_BLOCK)
+    before = Window.partitionBy(_FILE).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     blocks = lines.groupBy(_FILE, _BLOCK).agg((F.sum("quotes") % 2).alias("odd"))
-    before = F.coalesce(F.sum("odd").over(in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2
-    blocks = blocks.select(_FILE, _BLOCK, before.alias("open"))
+    blocks = blocks.select(_FILE, _BLOCK, (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2).alias("open"))
 
-    in_block = Window.partitionBy(_FILE, _BLOCK).orderBy(_LINE)
-    seen = F.coalesce(F.sum("quotes").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    in_block = Window.partitionBy(_FILE, _BLOCK).orderBy(_LINE).rowsBetween(Window.unboundedPreceding, 0)
+    seen = F.sum("quotes").over(in_block) - F.col("quotes")
     starts = ((F.col("open") + seen) % 2 == 0).cast("int")
     numbered = (
         lines.join(blocks, [_FILE, _BLOCK])
         .withColumn("starts", starts)
         .withColumn(_RECORD, F.sum("starts").over(in_block))
+        .withColumn("last", F.max(_RECORD).over(Window.partitionBy(_FILE, _BLOCK)))
+        .select(_FILE, _BLOCK, _LINE, _RECORD, "value", "last")
     )
-    pieces = numbered.groupBy(_FILE, _BLOCK, _RECORD).agg(_joined(F.struct(_LINE, "value")).alias("record"))
-
-    # Record 0 of a block continues the last record of an earlier block.
-    last = F.max(_RECORD).over(Window.partitionBy(_FILE, _BLOCK))
-    pieces = pieces.withColumn("edge", (F.col(_RECORD) == 0) | (F.col(_RECORD) == last))
+    edge = (F.col(_RECORD) == 0) | (F.col(_RECORD) == F.col("last"))
     first = (F.col(_BLOCK) == 0) & (F.col(_RECORD) == 1)
-    inner = pieces.filter(~F.col("edge")).select(_FILE, "record", first.alias("is_header"))
+    record, is_header = _joined(F.struct(_BLOCK, _LINE, "value")).alias("record"), F.max(first).alias("is_header")
+    inner = numbered.filter(~edge).groupBy(_FILE, _BLOCK, _RECORD).agg(record, is_header)
 
-    owner = F.sum(F.when(F.col(_RECORD) > 0, 1).otherwise(0)).over(
-        Window.partitionBy(_FILE).orderBy(_BLOCK, _RECORD)
-    )
-    edges = (
-        pieces.filter("edge")
-        .withColumn("owner", owner)
-        .groupBy(_FILE, "owner")
-        .agg(
-            _joined(F.struct(_BLOCK, _RECORD, F.col("record").alias("value"))).alias("record"),
-            F.max(first).alias("is_header"),
-        )
-        .select(_FILE, "record", "is_header")
-    )
-    return inner.unionByName(edges)
+    # The lines before the first record of a block belong to the last record begun in an earlier block.
+    earlier = Window.partitionBy(_FILE).orderBy(_BLOCK).rangeBetween(Window.unboundedPreceding, -1)
+    begun = F.max(F.when(F.col(_RECORD) > 0, F.col(_BLOCK))).over(earlier)
+    owner = F.when(F.col(_RECORD) > 0, F.col(_BLOCK)).otherwise(begun)
+    outer = numbered.filter(edge).withColumn("owner", owner).groupBy(_FILE, "owner").agg(record, is_header)
+    return inner.select(_FILE, "record", "is_header").unionByName(outer.select(_FILE, "record", "is_header"))
 
 
-def _joined(piece) -> F.Column:
+def _joined(piece: Expr) -> Expr:
     return F.array_join(F.transform(F.array_sort(F.collect_list(piece)), lambda p: p["value"]), "\n")

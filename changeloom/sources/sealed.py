@@ -17,7 +17,7 @@ from ..errors import ChangeError
 from ..model import ReadOptions
 from ..operators.merge import SEQ
 from ..session import ship_package
-from .files import ZSTD_MAGIC, ChangeFile, parse_header
+from .files import ZSTD_MAGIC, ChangeFile, cell_bytes, parse_header, within
 
 _KEYS = "path string, key binary, seq int"
 
@@ -34,7 +34,7 @@ def read_sealed(
             for content, seq in zip(batch.column("content"), batch.column("seq")):
                 yield from _text_cells(content.as_buffer(), seq.as_py(), names, limit)
 
-    return _contents(spark, files, options).mapInArrow(parse, schema)
+    return _contents(spark, files, options).mapInArrow(parse, schema).filter(within(cell_bytes(names), limit))
 
 
 def sealed_header(spark: SparkSession, file: ChangeFile, options: ReadOptions) -> tuple[str, ...]:

@@ -181,6 +181,30 @@ class VersionedTable:
         self._commit(commit)
         return commit
 
+    def expire(self, keep: int = 1) -> None:
+        """Forget all but the last ``keep`` versions, and delete the bucket folders only they used.
+
+        Folders of versions not yet published are left alone, as someone may be writing them.
+        """
+        versions = self.versions()
+        kept, old = versions[-keep:], versions[:-keep]
+        used: dict[str, set[int]] = {}
+        for version in kept:
+            for bucket, folder in self.head(version).folders.items():
+                used.setdefault(folder, set()).add(bucket)
+        fs = self._fs()
+        for version in old:
+            fs.delete(self._path(f"commits/{version:010d}.json"), False)
+        for status in fs.listStatus(self._path("data")) if fs.exists(self._path("data")) else []:
+            folder = status.getPath().getName()
+            if folder not in used:
+                if int(folder.split("-", 1)[0]) <= kept[-1]:
+                    fs.delete(status.getPath(), True)
+                continue
+            for bucket in self._written(folder):
+                if bucket not in used[folder]:
+                    fs.delete(self._path(f"data/{folder}/{BUCKET}={bucket}"), True)
+
     def _written(self, folder: str) -> list[int]:
         names = [s.getPath().getName() for s in self._fs().listStatus(self._path(f"data/{folder}"))]
         return [int(n.split("=", 1)[1]) for n in names if n.startswith(f"{BUCKET}=")]

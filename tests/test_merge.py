@@ -139,8 +139,9 @@ def apply_model(state, replace, update, delete):
 
 
 @pytest.mark.parametrize("narrow", [False, True], ids=["all columns", "some columns"])
+@pytest.mark.parametrize("small", [False, True], ids=["shuffled", "small"])
 @pytest.mark.parametrize("files", [(1, 0, 1), (2, 1, 0), (0, 3, 2), (2, 3, 2), (0, 1, 0)])
-def test_batch_equals_files_in_order(spark, narrow, files):
+def test_batch_equals_files_in_order(spark, narrow, files, small):
     """Keys are independent, so one run covers many small cases."""
     rng, keys = random.Random(sum(files)), range(300)
     values, cells = ["x", "y", "z", None], ["p", "q", None, MARK]
@@ -170,6 +171,7 @@ def test_batch_equals_files_in_order(spark, narrow, files):
         update=stack(updates) if isinstance(updates, list) else updates,
         delete=stack(deletes),
         unmodified=MARK,
+        small=small,
     )
     assert rows(got) == apply_model({k: (a, b) for k, a, b in state}, replace, update, delete)
 

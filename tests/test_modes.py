@@ -184,6 +184,14 @@ def test_history_must_be_ready(spark):
     assert rows(modes.add_column_in_history(closed, Column("n", T.IntegerType()), "7", at(MOMENT)), "n") == [(None,)]
 
 
+def test_last_versions_are_limited_before_the_shuffle(spark, tmp_path):
+    books(spark).df.write.parquet(str(tmp_path / "t"))
+    t = books(spark).with_df(spark.read.parquet(str(tmp_path / "t")))
+    plan = modes.history_to_soft_delete(t).df._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Exchange", 1)
+    assert "WindowGroupLimit" in above and "WindowGroupLimit" in below
+
+
 def test_migrations_do_not_shuffle_the_table(spark, tmp_path):
     soft(spark).df.write.parquet(str(tmp_path / "t"))
     t = soft(spark).with_df(spark.read.parquet(str(tmp_path / "t")))

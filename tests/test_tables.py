@@ -91,6 +91,11 @@ def test_life_cycle(spark, tmp_path, put, buckets):
     assert commit.version == 4 and table.versions() == [1, 2, 3, 4]
     assert rows(table.read(version=2), "id") == [(1,), (2,)]
 
+    table.expire(keep=2)
+    assert table.versions() == [3, 4] and rows(table.read(), "id", "title", "n") == expected
+    assert len(rows(table.read(version=3))) == 4
+    assert len(list((tmp_path / "books" / "data").glob("0000000002-*/*=*"))) == (0 if buckets == 1 else 1)
+
     batches.truncate(table, SYS.synced, 1707436800 * 10**9, SYS.deleted)
     assert rows(table.read(), "id", SYS.deleted) == [(2, False), (3, True), (99, True)]
     batches.truncate(table, SYS.synced, None, SYS.deleted)
@@ -122,13 +127,18 @@ def test_only_touched_buckets_are_written(spark, tmp_path, put):
     assert list(table.head().folders) == [keep]
 
 
-def test_failed_batch_changes_nothing(spark, tmp_path, put):
+def test_failed_batch_changes_nothing(spark, tmp_path, put, monkeypatch):
+    scratch = tmp_path / "scratch"
+    monkeypatch.setattr(batches, "scratch_path", lambda _, label: f"{scratch}/{label}")
     table = VersionedTable.create(spark, str(tmp_path / "t"), BOOKS)
     good = put("a.csv", HEADER, "1,Guide,42,false,2024-01-09T04:10:19Z")
     bad = put("b.csv", HEADER, "2,Rings,many,false,2024-01-09T04:10:19Z")
     with pytest.raises(Exception, match="CAST"):
         batches.write_batch(table, BatchFiles(replace=(good, bad)))
     assert table.versions() == [1]
+    with pytest.raises(Exception, match="Key column <id> is NULL"):
+        batches.write_batch(table, BatchFiles(replace=(good, put("n.csv", HEADER, ",x,1,false,"))))
+    assert table.versions() == [1]
     with pytest.raises(ChangeError, match="belong to history"):
         batches.write_batch(table, BatchFiles(earliest=(good,)))
     with pytest.raises(ChangeError, match="No primary keys"):
@@ -139,6 +149,7 @@ def test_failed_batch_changes_nothing(spark, tmp_path, put):
     with pytest.raises(ChangeError, match="Table .* not found"):
         VersionedTable(spark, str(tmp_path / "missing")).read()
     big = put("big.csv", "id,title", f"1,{'x' * (25 * 2**20)}")
+    assert os.listdir(scratch) == []  # nothing staged is left behind
     with pytest.raises(UserActionError, match="increase the maximum record size"):
         batches.write_batch(table, BatchFiles(replace=(big,)), columns=[BOOKS["id"], BOOKS["title"]])
     with pytest.raises(UserActionError, match="repeated"):
