@@ -4,7 +4,7 @@ import datetime as dt
 import random
 
 import pytest
-from helpers import rows, table
+from helpers import SYS, rows, table
 from pyspark.sql import functions as F
 
 from changeloom import ChangeError
@@ -91,7 +91,7 @@ def test_composite_keys(spark):
 
 
 def test_repeated_keys_are_resolved_by_load_time(spark):
-    ddl = "id int, s string, _fivetran_synced timestamp"
+    ddl = f"id int, s string, {SYS.synced} timestamp"
     t = table(spark, [], ddl, ["id"])
     at = [dt.datetime(2024, 1, day) for day in (1, 2, 3)]
     s = spark.createDataFrame([(1, "b", at[1]), (1, "c", at[2]), (1, "a", at[0]), (1, "c2", at[2])], ddl)
