@@ -68,7 +68,13 @@ def from_text(raw: Expr, dtype: T.DataType) -> Expr:
         return raw
     if isinstance(dtype, T.BinaryType):
         return F.to_binary(raw, F.lit("base64"))
-    return F.nullif(raw, F.lit("")).cast(dtype)
+    filled = F.nullif(raw, F.lit(""))
+    return _whole_number(filled, dtype) if isinstance(dtype, _INTEGRAL) else filled.cast(dtype)
+
+
+def _whole_number(text: Expr, dtype: T.DataType) -> Expr:
+    """Integer of a text; fractions are rounded half up, and what is no number or too large fails."""
+    return F.coalesce(text.try_cast(dtype), F.round(text.cast(T.DecimalType(38, 18)), 0).cast(dtype))
 
 
 def convert(value: Expr, old: T.DataType, new: T.DataType) -> Expr:
@@ -80,6 +86,8 @@ def convert(value: Expr, old: T.DataType, new: T.DataType) -> Expr:
             return F.rint(value).cast(new)
         if isinstance(old, T.DecimalType):
             return F.round(value, 0).cast(new)
+        if isinstance(old, T.StringType):
+            return _whole_number(value, new)
     return value.cast(new)
 
 

@@ -86,6 +86,13 @@ def test_all_types(spark, tmp_path):
     assert micros == 1704773419156057  # nanoseconds are cut off, not rounded
 
 
+def test_integers_may_be_written_as_numbers(spark, tmp_path):
+    path = put(tmp_path / "a.csv", "id\n1.5\n2.5\n-1.5\n1e3\n+5\n12.0\n 7 \n")
+    assert rows(read_changes(spark, path, cols("id:INT"))) == sorted([(2,), (3,), (-2,), (1000,), (5,), (12,), (7,)], key=repr)
+    with pytest.raises(Exception, match="CAST"):
+        read_changes(spark, put(tmp_path / "b.csv", "id\n32767.5\n"), cols("id:SHORT")).collect()
+
+
 @pytest.mark.parametrize("cell", ["abc", "99999999999", "1e"])
 def test_bad_value_fails(spark, tmp_path, cell):
     path = put(tmp_path / "a.csv", f"id\n1\n{cell}\n")

@@ -89,6 +89,8 @@ def test_change_type_rounds_and_refuses(spark):
     assert rows(schema.change_type(t, "f", T.LongType()), "f") == [(2,)]
     assert rows(schema.change_type(t, "s", T.ShortType()), "s") == [(7,)]
     assert rows(schema.change_type(t, "id", T.StringType()), "id") == [("1",)]
+    text = table(spark, [(1, "7.5")], "id int, s string", ["id"])
+    assert rows(schema.change_type(text, "s", T.LongType()), "s") == [(8,)]
     big = table(spark, [(1, Decimal("123.456"))], "id int, d decimal(6,3)", ["id"])
     with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
         schema.change_type(big, "d", T.DecimalType(4, 2)).df.collect()
