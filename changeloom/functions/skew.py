@@ -18,21 +18,24 @@ _SLOTS_PER_SHARE, _IDLE_SLOTS = 4, 1 << 20
 
 #: Upper bound of what is broadcast by hint, in bytes of key and value cells.
 BROADCAST_BYTES = 8 * 1024 * 1024
-_ROW_OVERHEAD = 64
+_ROW_OVERHEAD, _CELL = 32, 16
 
 
 def fits_broadcast(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure ``df``: is it small enough to be sent to every executor?
 
     Meant for change data, never called on a target table. The row count comes first, which staged parquet
-    answers from its footers, so cells are only measured where there are few rows.
+    answers from its footers; only cells of variable width need to be looked at, and only if rows are few.
     """
     rows = df.count()
-    if rows * _ROW_OVERHEAD > limit_bytes:
+    fixed = rows * (_ROW_OVERHEAD + _CELL * len(df.columns))
+    if fixed > limit_bytes:
         return False
-    cells = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)).cast("long") for c in df.columns]
-    size = df.agg(F.sum(sum(cells, F.lit(0)))).first()[0] or 0
-    return size + rows * _ROW_OVERHEAD <= limit_bytes
+    variable = [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    if not variable or not rows:
+        return True
+    cells = [F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in variable]
+    return fixed + df.agg(F.sum(sum(cells, F.lit(0)))).first()[0] <= limit_bytes
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[tuple[int, int]]:
@@ -60,7 +63,13 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[tuple[int, int]]:
     return [(item, ceil(count / share * _SLOTS_PER_SHARE)) for item, count in counts.items() if count > share]
 
 
-def lookup_join(
+def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], **options) -> DataFrame:
+    """:func:`lookup_parts` as one DataFrame."""
+    joined, idle = lookup_parts(left, right, keys, **options)
+    return joined if idle is None else joined.unionByName(idle, allowMissingColumns=True)
+
+
+def lookup_parts(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
@@ -71,14 +80,15 @@ def lookup_join(
     small: bool | None = None,
     detect: bool = True,
     rescan: bool = True,
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame | None]:
     """``left`` with the columns of the matching row of ``right``, which has one row per key.
 
     ``left`` may hold any number of rows per key, and one key may hold a large share of it.
 
     * If ``right`` is small, it is broadcast and ``left`` stays where it is. ``small=None`` measures it.
     * Otherwise rows that ``eligible`` says cannot match do not travel with their key. They bypass the
-      shuffle, for which ``left`` is scanned twice, or with ``rescan=False`` they are spread evenly.
+      shuffle, for which ``left`` is scanned twice, and are returned as the second part, without the columns
+      of ``right``. With ``rescan=False`` they are spread evenly instead.
     * The rows of hot keys are spread by a hash of ``salt_by`` over slots in proportion to their number. The
       one matching row of ``right`` is repeated per slot: for all hot keys together at most eight times the
       number of shuffle partitions. The salt depends on row values only, so a task that runs again sends
@@ -90,20 +100,18 @@ def lookup_join(
         small = fits_broadcast(right)
     if small:
         if eligible is None:
-            return left.join(F.broadcast(right), keys, how)
+            return left.join(F.broadcast(right), keys, how), None
         flagged = F.broadcast(right.withColumn(_ELIGIBLE, F.lit(True)))
-        return left.withColumn(_ELIGIBLE, can_match).join(flagged, [*keys, _ELIGIBLE], how).drop(_ELIGIBLE)
+        return left.withColumn(_ELIGIBLE, can_match).join(flagged, [*keys, _ELIGIBLE], how).drop(_ELIGIBLE), None
 
     if not rescan:
         idle = -1 - F.pmod(F.xxhash64(*salt_by), F.lit(_IDLE_SLOTS))
         spread = left.withColumn(_SLOT, F.when(can_match, F.lit(0).cast("bigint")).otherwise(idle))
-        return spread.join(right.withColumn(_SLOT, F.lit(0).cast("bigint")), [*keys, _SLOT], how).drop(_SLOT)
+        return spread.join(right.withColumn(_SLOT, F.lit(0).cast("bigint")), [*keys, _SLOT], how).drop(_SLOT), None
     matching = left.filter(can_match)
     hot = hot_keys(matching, keys) if detect else []
     joined = _salted(matching, right, keys, salt_by, hot, how) if hot else matching.join(right, keys, how)
-    if eligible is None or how == "inner":
-        return joined
-    return joined.unionByName(left.filter(~can_match), allowMissingColumns=True)
+    return joined, (None if eligible is None or how == "inner" else left.filter(~can_match))
 
 
 def _salted(

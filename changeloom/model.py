@@ -62,6 +62,8 @@ class TableSpec:
         names = [c.name for c in self.columns]
         if len(set(names)) != len(names):
             raise ChangeError(f"Column names must be unique: {names}")
+        if any(c in name for name in names for c in ".`"):
+            raise ChangeError(f"Column names must not contain dots or backquotes: {names}")
 
     @classmethod
     def of(

@@ -9,16 +9,18 @@ The change inputs are:
 * ``delete``: source key and the end of its last version.
 
 A key may own any share of the versions, so every join of the target goes through
-:func:`~changeloom.functions.skew.lookup_join`.
+:mod:`changeloom.functions.skew`.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column as Expr
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.skew import first_per_key, fits_broadcast, lookup_join
+from ..functions.skew import first_per_key, fits_broadcast, lookup_join, lookup_parts
 from ..functions.types import just_before
 from ..model import KeyedTable, TableSpec
 from .merge import SEQ, cell, conform, insert, typed
@@ -28,7 +30,7 @@ _FIRST, _CLOSE = "__first_start", "__close_at"
 
 def drop_overlapping(table: KeyedTable, earliest: DataFrame, *, small: bool | None = None) -> KeyedTable:
     """Delete the versions, active or not, that start at or after the earliest start of their key."""
-    return table.with_df(_trimmed(table, _first_starts(table, earliest), small).select(*table.spec.names))
+    return table.with_df(_union(table, *_trimmed(table, _first_starts(table, earliest), small)))
 
 
 def latest_versions(
@@ -56,7 +58,8 @@ def latest_versions(
 def close_versions(table: KeyedTable, earliest: DataFrame, *, small: bool | None = None) -> KeyedTable:
     """Close the active versions of the keys in ``earliest``, one millisecond before its start."""
     starts = _first_starts(table, earliest)
-    return _close(table, starts.select(*table.require_source_keys(), _ending(just_before(F.col(_FIRST)))), small)
+    ends = starts.select(*table.require_source_keys(), _ending(just_before(F.col(_FIRST))))
+    return table.with_df(_union(table, *_close(table, ends, small)))
 
 
 def append_versions(table: KeyedTable, versions: DataFrame) -> KeyedTable:
@@ -81,10 +84,18 @@ def append_partial_versions(
 
 def close_deleted(table: KeyedTable, deletions: DataFrame, *, small: bool | None = None) -> KeyedTable:
     """Close the active versions of the given keys at the given end; nothing is removed."""
-    return _close(table, _deletion_ends(table, deletions), small)
+    return table.with_df(_union(table, *_close(table, _deletion_ends(table, deletions), small)))
+
+
+def apply_history_batch(table: KeyedTable, **batch) -> KeyedTable:
+    """Apply a batch in the order earliest, update, replace, delete, as one plan.
+
+    Takes the arguments of :func:`history_batch_parts`.
+    """
+    return table.with_df(_union(table, *history_batch_parts(table, **batch)))
 
 
-def apply_history_batch(
+def history_batch_parts(
     table: KeyedTable,
     *,
     earliest: DataFrame | None = None,
@@ -93,8 +104,8 @@ def apply_history_batch(
     delete: DataFrame | None = None,
     unmodified: str = "",
     small: bool | None = None,
-) -> KeyedTable:
-    """Apply a batch in the order earliest, update, replace, delete, as one plan.
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """The state after a batch in two parts: rows that moved or are new, and rows that lie as they were read.
 
     ``earliest`` and ``delete`` are folded into one row per key first, so trimming, closing and deleting
     take one join of the target. A second read of it, limited to the keys of ``update``, finds the
@@ -125,33 +136,41 @@ def apply_history_batch(
         rows = conform(replace, spec)
         new = rows if new is None else new.unionByName(rows)
     if new is not None and ends is not None:
-        new = _close(table.with_df(new), ends, small, rescan=False).df
+        new, _ = _close(table.with_df(new), ends, small, rescan=False)
 
-    if starts is None and ends is None:
-        stored = table.df
+    if starts is not None:
+        moved, settled = _settled(table, starts, ends, small)
+    elif ends is not None:
+        moved, settled = _close(table, ends, small)
     else:
-        stored = _settled(table, starts, ends, small).select(*spec.names)
-    return table.with_df(stored if new is None else stored.unionByName(new.select(*spec.names)))
+        moved, settled = None, table.df
+    parts = [df.select(*spec.names) for df in (moved, new) if df is not None]
+    if settled is not None:
+        settled = settled.select(*spec.names)
+    return (reduce(DataFrame.unionByName, parts) if parts else None), settled
+
+
+def _union(table: KeyedTable, *parts: DataFrame | None) -> DataFrame:
+    return reduce(DataFrame.unionByName, [df.select(*table.spec.names) for df in parts if df is not None])
 
 
 def _settled(
-    table: KeyedTable, starts: DataFrame | None, ends: DataFrame | None, small: bool | None
-) -> DataFrame:
+    table: KeyedTable, starts: DataFrame, ends: DataFrame | None, small: bool | None
+) -> tuple[DataFrame, DataFrame | None]:
     """Stored versions after trimming, closing and deleting, with one lookup per version."""
-    if starts is None:
-        return _close(table, ends, small).df
     folded = starts.withColumn("__by_start", F.struct(just_before(F.col(_FIRST)).alias("end")))
     if ends is None:
         folded = folded.withColumnRenamed("__by_start", _CLOSE)
     else:
         folded = folded.join(ends, table.require_source_keys(), "full_outer")
         folded = folded.withColumn(_CLOSE, F.coalesce("__by_start", _CLOSE)).drop("__by_start")
-    return _closed(table, _trimmed(table, folded, small, earliest=starts))
+    kept, idle = _trimmed(table, folded, small, earliest=starts)
+    return _closed(table, kept), idle
 
 
 def _trimmed(
     table: KeyedTable, folded: DataFrame, small: bool | None, earliest: DataFrame | None = None
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame | None]:
     """The target with the lookup columns of ``folded``, without the versions from the first start on.
 
     Versions that are closed and older than every start of the batch cannot be touched. They are most of a
@@ -162,14 +181,16 @@ def _trimmed(
     if not small:
         oldest = (folded if earliest is None else earliest).agg(F.min(_FIRST)).scalar()
         touchable = F.col(system.active) | (F.col(system.start) >= oldest)
-    joined = lookup_join(table.df, folded, keys, salt_by=[system.start], eligible=touchable, small=small)
-    return joined.filter(F.col(_FIRST).isNull() | (F.col(system.start) < F.col(_FIRST)))
+    joined, idle = lookup_parts(table.df, folded, keys, salt_by=[system.start], eligible=touchable, small=small)
+    return joined.filter(F.col(_FIRST).isNull() | (F.col(system.start) < F.col(_FIRST))), idle
 
 
-def _close(table: KeyedTable, ends: DataFrame, small: bool | None, *, rescan: bool = True) -> KeyedTable:
+def _close(
+    table: KeyedTable, ends: DataFrame, small: bool | None, *, rescan: bool = True
+) -> tuple[DataFrame, DataFrame | None]:
     """Only active versions can match, and a key has one of them, so no key is hot here."""
     system = table.spec.system
-    joined = lookup_join(
+    joined, idle = lookup_parts(
         table.df,
         ends,
         table.require_source_keys(),
@@ -179,7 +200,7 @@ def _close(table: KeyedTable, ends: DataFrame, small: bool | None, *, rescan: bo
         detect=False,
         rescan=rescan,
     )
-    return table.with_df(_closed(table, joined).select(*table.spec.names))
+    return _closed(table, joined).select(*table.spec.names), idle
 
 
 def _ending(end: Expr) -> Expr:

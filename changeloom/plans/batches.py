@@ -14,7 +14,7 @@ from ..errors import ChangeError, UserActionError
 from ..functions.skew import fits_broadcast
 from ..model import BatchFiles, Column, KeyedTable, ReadOptions, TableSpec
 from ..operators.checks import check_keys
-from ..operators.history import apply_history_batch
+from ..operators.history import history_batch_parts
 from ..operators.merge import apply_changes, cell, cutoff_at, truncate_before
 from ..session import scratch_path
 from ..sources.change_files import deletion_columns, earliest_columns, key_columns, read_changes
@@ -77,8 +77,9 @@ def write_history_batch(
         delete = staging.read(files.delete, deletion_columns(spec))
         touched = _touched(table, base, spec, (earliest, update, replace, delete))
         small = all(fits_broadcast(df) for df in (earliest, update, replace, delete) if df is not None)
-        state = apply_history_batch(
-            table.read(touched, base.version),
+        current = table.read(touched, base.version)
+        moved, settled = history_batch_parts(
+            current,
             earliest=earliest,
             update=update,
             replace=replace,
@@ -86,7 +87,11 @@ def write_history_batch(
             unmodified=options.unmodified,
             small=small or None,
         )
-        return table.publish(state, buckets=touched, base=base, stream=stream, rebalance=not small)
+        if moved is None:
+            moved, settled = settled, None
+        return table.publish(
+            current.with_df(moved), settled=settled, buckets=touched, base=base, stream=stream, rebalance=not small
+        )
 
 
 def truncate(
@@ -119,7 +124,11 @@ def _brought(spec: TableSpec, columns: Sequence[Column]) -> list[Column]:
     unknown = [c.name for c in columns if c.name not in spec]
     if unknown:
         raise ChangeError(f"Columns not found in the table: {unknown}")
-    return list(columns) or list(spec.columns)
+    brought = list(columns) or list(spec.columns)
+    missing = [k for k in spec.keys if k not in [c.name for c in brought]]
+    if missing:
+        raise ChangeError(f"No primary keys found: the files must bring {missing}")
+    return brought
 
 
 class _Staging:

@@ -116,6 +116,7 @@ class VersionedTable:
         self,
         state: KeyedTable,
         *,
+        settled: DataFrame | None = None,
         buckets: set[int] | None = None,
         base: Commit | None = None,
         stream: dict[str, int] | None = None,
@@ -124,8 +125,10 @@ class VersionedTable:
         """Write the new state of the table, or of ``buckets`` only, and make it the current version.
 
         ``base`` is the version the state was computed from; if another one was published since, the
-        commit fails and nothing changes. ``rebalance=False`` is for states whose rows still lie as they
-        were read, bucket by bucket: a shuffle would bring nothing.
+        commit fails and nothing changes.
+
+        Rows of a bucketed table are brought together by bucket. ``settled`` rows, and with
+        ``rebalance=False`` all rows, still lie bucket by bucket as they were read and need no shuffle.
         """
         base = base or self.head()
         version, spec = base.version + 1, state.spec
@@ -135,11 +138,17 @@ class VersionedTable:
             if buckets is not None:
                 raise ChangeError("A key change rewrites the whole table")
         count = base.buckets if bucket_keys else 1
-        rows = state.df.select(*[F.col(c.name).cast(c.dtype).alias(c.name) for c in spec.columns])
-        rows = rows.withColumn(BUCKET, bucket_of(bucket_keys, count) if count > 1 else F.lit(0))
+
+        def prepared(df: DataFrame) -> DataFrame:
+            typed = df.select(*[F.col(c.name).cast(c.dtype).alias(c.name) for c in spec.columns])
+            return typed.withColumn(BUCKET, bucket_of(bucket_keys, count) if count > 1 else F.lit(0))
+
+        rows = prepared(state.df)
         if count > 1 and rebalance:
             # Splits a bucket of any size over several tasks and joins small ones.
             rows = rows.hint("rebalance", BUCKET)
+        if settled is not None:
+            rows = rows.unionByName(prepared(settled))
         folder = f"{version:010d}-{uuid.uuid4().hex}"
         rows.write.partitionBy(BUCKET).parquet(f"{self.path}/data/{folder}")
         kept = {} if buckets is None else {b: f for b, f in base.folders.items() if b not in buckets}

@@ -268,7 +268,8 @@ def test_hot_keys_are_found_and_spread(spark):
 
 def test_fits_broadcast_measures(spark):
     df = spark.range(1000).select(F.col("id"), F.lit("x" * 100).alias("s"))
-    assert skew.fits_broadcast(df) and not skew.fits_broadcast(df, 1000)
+    assert skew.fits_broadcast(df) and not skew.fits_broadcast(df, 100_000)
+    assert skew.fits_broadcast(df.select("id"), 100_000) and not skew.fits_broadcast(df.select("id"), 10_000)
     assert skew.fits_broadcast(df.limit(0), 0)
 
 

@@ -157,3 +157,5 @@ def test_key_checks(spark):
 def test_names_must_be_unique():
     with pytest.raises(ChangeError, match="unique"):
         TableSpec((Column("a"), Column("a")))
+    with pytest.raises(ChangeError, match="dots"):
+        TableSpec((Column("a.b"),))
