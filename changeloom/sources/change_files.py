@@ -19,7 +19,7 @@ from ..errors import ChangeError
 from ..functions.types import from_text
 from ..model import Column, ReadOptions, TableSpec
 from ..operators.merge import SEQ
-from .files import ChangeFile, cell_bytes, file_position, probe, within
+from .files import ChangeFile, cell_bytes, probe, with_position, within
 from .records import read_split
 from .sealed import read_sealed, sealed_header
 
@@ -143,8 +143,7 @@ def _read_whole(
 ) -> DataFrame:
     schema = T.StructType([T.StructField(n, T.StringType()) for n in header])
     df = spark.read.schema(schema).options(**parser).csv([f.pattern for f in members])
-    positioned = df.withColumn(SEQ, file_position(members, F.col("_metadata.file_path")))
-    return positioned.filter(within(cell_bytes(names), limit))
+    return with_position(df, members, F.col("_metadata.file_path")).filter(within(cell_bytes(names), limit))
 
 
 def _null_or_text(cell: Expr, null_value: str) -> Expr:

@@ -10,10 +10,11 @@ from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column as Expr
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import ChangeError
+from ..operators.merge import SEQ
 
 # Fixed value: the first four bytes of a zstd frame.
 ZSTD_MAGIC = 0x28B52FFD
@@ -44,13 +45,18 @@ class ChangeFile:
         return "".join(f"\\{c}" if c in "{}[]*?\\" else c for c in self.name)
 
 
-def file_position(members: Sequence[ChangeFile], file_path: Expr) -> Expr:
-    """Position in the batch of the file with this (percent-encoded) path."""
+def with_position(df: DataFrame, members: Sequence[ChangeFile], file_path: Expr) -> DataFrame:
+    """``df`` with the position of each row's file, found by its (percent-encoded) path.
+
+    What is broadcast is one short row per file.
+    """
     if len(members) == 1:
-        return F.lit(members[0].seq)
-    positions = F.create_map(*[F.lit(v) for f in members for v in (f.uri, f.seq)])
-    found = F.element_at(positions, F.regexp_replace(file_path, _LOCAL, "file:/"))
-    return F.coalesce(found, F.raise_error(F.concat(F.lit("Unexpected change file "), file_path)).cast("int"))
+        return df.withColumn(SEQ, F.lit(members[0].seq))
+    files = df.sparkSession.createDataFrame([(f.uri, f.seq) for f in members], "__uri string, __position int")
+    located = df.withColumn("__uri", F.regexp_replace(file_path, _LOCAL, "file:/"))
+    unknown = F.raise_error(F.concat(F.lit("Unexpected change file "), F.col("__uri"))).cast("int")
+    positioned = located.join(F.broadcast(files), "__uri", "left")
+    return positioned.withColumn(SEQ, F.coalesce("__position", unknown)).drop("__uri", "__position")
 
 
 def within(size: Expr, limit: int) -> Expr:

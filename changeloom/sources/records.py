@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.merge import SEQ
-from .files import ChangeFile, file_position, within
+from .files import ChangeFile, with_position, within
 
 _FILE, _BLOCK, _LINE, _RECORD = "__file", "__block", "__line", "__record"
 
@@ -34,9 +34,8 @@ def read_split(
     records = assemble(_lines(spark, members)).filter(
         ~F.col("is_header") & (F.col("record") != "") & within(F.octet_length("record"), limit)
     )
-    parsed = records.select(
-        F.from_csv("record", _ddl(header), line_parser).alias("cells"),
-        file_position(members, F.col(_FILE)).alias(SEQ),
+    parsed = with_position(records, members, F.col(_FILE)).select(
+        F.from_csv("record", _ddl(header), line_parser).alias("cells"), SEQ
     )
     return parsed.select(*[F.col("cells")[n].alias(n) for n in names], SEQ)
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeloom import BatchFiles, ChangeError, Column, ReadOptions, TableSpec, UnsupportedMigration, UserActionError
+from changeloom.functions import skew
+from changeloom.operators import history, merge
 from changeloom.plans import batches
 from changeloom.plans.migrations import alter_table, migrate
 from changeloom.sources.tables import BUCKET, VersionedTable
@@ -42,6 +44,14 @@ def buckets(request):
     return request.param
 
 
+@pytest.fixture(params=[True, False], ids=["small", "large"])
+def size(request, monkeypatch):
+    """Batches as they are, or taken for too large to be broadcast."""
+    if not request.param:
+        for module in (batches, merge, history, skew):
+            monkeypatch.setattr(module, "fits_broadcast", lambda *_: False)
+
+
 @pytest.fixture
 def put(tmp_path):
     def write(name, header, *lines):
@@ -55,7 +65,7 @@ def put(tmp_path):
 HEADER = f"id,title,n,{SYS.deleted},{SYS.synced}"
 
 
-def test_life_cycle(spark, tmp_path, put, buckets):
+def test_life_cycle(spark, tmp_path, put, buckets, size):
     table = VersionedTable.create(spark, str(tmp_path / "books"), BOOKS, buckets=buckets)
     assert rows(table.read()) == [] and table.spec() == BOOKS
 
@@ -168,7 +178,7 @@ def test_slower_writer_fails(spark, tmp_path):
     assert rows(table.read(), "id") == [(1,)]
 
 
-def test_history_batch_from_files(spark, tmp_path, put, buckets):
+def test_history_batch_from_files(spark, tmp_path, put, buckets, size):
     table = VersionedTable.create(spark, str(tmp_path / "h"), VERSIONS, buckets=buckets)
     header = f"{SYS.end},{SYS.active},title,{SYS.start},id"
     initial = put(
