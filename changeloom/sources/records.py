@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..operators.merge import SEQ
 from .files import ChangeFile, with_position, within
 
-_FILE, _BLOCK, _LINE, _RECORD = "__file", "__block", "__line", "__record"
+_BLOCK, _LINE, _RECORD = "__block", "__line", "__record"
 
 
 def read_split(
@@ -34,9 +34,7 @@ def read_split(
     records = assemble(_lines(spark, members)).filter(
         ~F.col("is_header") & (F.col("record") != "") & within(F.octet_length("record"), limit)
     )
-    parsed = with_position(records, members, F.col(_FILE)).select(
-        F.from_csv("record", _ddl(header), line_parser).alias("cells"), SEQ
-    )
+    parsed = records.select(F.from_csv("record", _ddl(header), line_parser).alias("cells"), SEQ)
     return parsed.select(*[F.col("cells")[n].alias(n) for n in names], SEQ)
 
 
@@ -46,13 +44,14 @@ def _ddl(header: Sequence[str]) -> str:
 
 def _lines(spark: SparkSession, members: Sequence[ChangeFile]) -> DataFrame:
     lines = spark.read.option("lineSep", "\n").text([f.pattern for f in members])
-    return lines.select(
-        F.col("_metadata.file_path").alias(_FILE),
+    numbered = lines.select(
+        F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias(_BLOCK),
         F.monotonically_increasing_id().alias(_LINE),
         F.col("value"),
         (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("quotes"),
     )
+    return with_position(numbered, members, F.col("path")).drop("path")
 
 
 def assemble(lines: DataFrame) -> DataFrame:
@@ -62,31 +61,31 @@ def assemble(lines: DataFrame) -> DataFrame:
     even. Only the first and the last record of a block can reach into another block, and only their lines
     are compared across blocks.
     """
-    before = Window.partitionBy(_FILE).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = lines.groupBy(_FILE, _BLOCK).agg((F.sum("quotes") % 2).alias("odd"))
-    blocks = blocks.select(_FILE, _BLOCK, (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2).alias("open"))
+    before = Window.partitionBy(SEQ).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy(SEQ, _BLOCK).agg((F.sum("quotes") % 2).alias("odd"))
+    blocks = blocks.select(SEQ, _BLOCK, (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2).alias("open"))
 
-    in_block = Window.partitionBy(_FILE, _BLOCK).orderBy(_LINE).rowsBetween(Window.unboundedPreceding, 0)
+    in_block = Window.partitionBy(SEQ, _BLOCK).orderBy(_LINE).rowsBetween(Window.unboundedPreceding, 0)
     seen = F.sum("quotes").over(in_block) - F.col("quotes")
     starts = ((F.col("open") + seen) % 2 == 0).cast("int")
     numbered = (
-        lines.join(blocks, [_FILE, _BLOCK])
+        lines.join(blocks, [SEQ, _BLOCK])
         .withColumn("starts", starts)
         .withColumn(_RECORD, F.sum("starts").over(in_block))
-        .withColumn("last", F.max(_RECORD).over(Window.partitionBy(_FILE, _BLOCK)))
-        .select(_FILE, _BLOCK, _LINE, _RECORD, "value", "last")
+        .withColumn("last", F.max(_RECORD).over(Window.partitionBy(SEQ, _BLOCK)))
+        .select(SEQ, _BLOCK, _LINE, _RECORD, "value", "last")
     )
     edge = (F.col(_RECORD) == 0) | (F.col(_RECORD) == F.col("last"))
     first = (F.col(_BLOCK) == 0) & (F.col(_RECORD) == 1)
     record, is_header = _joined(F.struct(_BLOCK, _LINE, "value")).alias("record"), F.max(first).alias("is_header")
-    inner = numbered.filter(~edge).groupBy(_FILE, _BLOCK, _RECORD).agg(record, is_header)
+    inner = numbered.filter(~edge).groupBy(SEQ, _BLOCK, _RECORD).agg(record, is_header)
 
     # The lines before the first record of a block belong to the last record begun in an earlier block.
-    earlier = Window.partitionBy(_FILE).orderBy(_BLOCK).rangeBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(SEQ).orderBy(_BLOCK).rangeBetween(Window.unboundedPreceding, -1)
     begun = F.max(F.when(F.col(_RECORD) > 0, F.col(_BLOCK))).over(earlier)
     owner = F.when(F.col(_RECORD) > 0, F.col(_BLOCK)).otherwise(begun)
-    outer = numbered.filter(edge).withColumn("owner", owner).groupBy(_FILE, "owner").agg(record, is_header)
-    return inner.select(_FILE, "record", "is_header").unionByName(outer.select(_FILE, "record", "is_header"))
+    outer = numbered.filter(edge).withColumn("owner", owner).groupBy(SEQ, "owner").agg(record, is_header)
+    return inner.select(SEQ, "record", "is_header").unionByName(outer.select(SEQ, "record", "is_header"))
 
 
 def _joined(piece: Expr) -> Expr:

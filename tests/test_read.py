@@ -213,6 +213,8 @@ def test_large_file_is_cut_at_records(spark, tmp_path):
     try:
         df = read_changes(spark, [first, second], cols("id:INT s:STRING"), ReadOptions(split_bytes=1000))
         got = [tuple(r) for r in df.orderBy(SEQ, "id").select(SEQ, "id", "s").collect()]
+        alone = read_changes(spark, first, cols("s:STRING id:INT"), ReadOptions(split_bytes=1000))
+        assert [r.s for r in alone.orderBy("id").collect()] == [t or None for t in texts]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")
