@@ -64,12 +64,20 @@ def versions_sql(where: str = "TRUE") -> str:
         FROM events WHERE {where} WINDOW w AS (PARTITION BY user_id ORDER BY ts)"""
 
 
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """Change data kept in the shared scratch folder, as it is when it comes from files."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_csv(df: DataFrame, label: str, *, null: str = TOKEN) -> list[str]:
     """Change files in the shared scratch folder, one per task, and their paths."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    # As text: the CSV writer would cut timestamps to milliseconds.
-    text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    # As text: the CSV writer would cut timestamps to milliseconds. Several files, as a source would send.
+    spread = df.repartition(spark.sparkContext.defaultParallelism)
+    text = spread.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
     text.write.options(header="true", quote='"', escape='"', lineSep="\n", nullValue=null, emptyValue="").csv(path)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -9,7 +9,7 @@ from changeloom import KeyedTable
 from changeloom.operators import merge
 from changeloom.operators.merge import stack
 
-from .common import MARK, ORDERS, Query, at, keyed, load
+from .common import MARK, ORDERS, Query, at, keyed, load, staged
 
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -58,16 +58,18 @@ def upsert_some_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _order_updates(spark: SparkSession, sf_dir: str, keep: str) -> DataFrame:
     """Text cells per order with line items: some carry a value, some NULL, the rest the marker."""
-    return (
-        load(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").cast("string").alias("o_orderkey"))
-        .agg(
+    per_order = load(spark, sf_dir, "lineitem").groupBy("l_orderkey")
+    return staged(
+        per_order.agg(
             F.when(F.min("l_linestatus") == F.max("l_linestatus"), F.max("l_linestatus"))
             .otherwise(keep)
             .alias("o_orderstatus"),
             F.when(F.count("*") > 4, F.max("l_suppkey").cast("string")).otherwise(keep).alias("o_custkey"),
             F.when(F.max("l_returnflag") == "R", F.lit(None)).otherwise(keep).alias("o_orderpriority"),
         )
+        .withColumn("o_orderkey", F.col("l_orderkey").cast("string"))
+        .drop("l_orderkey"),
+        "updates",
     )
 
 
