@@ -48,7 +48,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Partitions that a shuffle starts with, before AQE joins small ones."""
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def ship_package(spark: SparkSession) -> None:

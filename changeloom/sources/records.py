@@ -63,7 +63,11 @@ def assemble(lines: DataFrame) -> DataFrame:
     """
     before = Window.partitionBy(SEQ).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     blocks = lines.groupBy(SEQ, _BLOCK).agg((F.sum("quotes") % 2).alias("odd"))
-    blocks = blocks.select(SEQ, _BLOCK, (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2).alias("open"))
+    # A quote that is never closed would make one record of the rest of the file: fail early.
+    closed = F.sum("odd").over(Window.partitionBy(SEQ)) % 2 == 0
+    odd_before = F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2
+    unclosed = F.raise_error(F.lit("Malformed change file: a quoted cell is not closed")).cast("bigint")
+    blocks = blocks.select(SEQ, _BLOCK, F.when(closed, odd_before).otherwise(unclosed).alias("open"))
 
     in_block = Window.partitionBy(SEQ, _BLOCK).orderBy(_LINE).rowsBetween(Window.unboundedPreceding, 0)
     seen = F.sum("quotes").over(in_block) - F.col("quotes")

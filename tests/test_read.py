@@ -222,6 +222,12 @@ def test_large_file_is_cut_at_records(spark, tmp_path):
     assert got == expected
 
 
+def test_large_file_with_open_quote_fails(spark, tmp_path):
+    path = put(tmp_path / "a.csv", "id,s\n1,x\n2,\"never closed\n3,y\n")
+    with pytest.raises(Exception, match="not closed"):
+        read_changes(spark, path, cols("id:INT s:STRING"), ReadOptions(split_bytes=0)).collect()
+
+
 def test_missing_file(spark, tmp_path):
     with pytest.raises(ChangeError, match="Failed to open"):
         read_changes(spark, str(tmp_path / "none.csv"), cols("id:INT"))
