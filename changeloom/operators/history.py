@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.skew import first_per_key, fits_broadcast, lookup_join, lookup_parts
 from ..functions.types import just_before
-from ..model import KeyedTable, TableSpec
+from ..model import KeyedTable
 from .merge import SEQ, cell, conform, insert, typed
 
 _FIRST, _CLOSE = "__first_start", "__close_at"
@@ -73,11 +73,11 @@ def append_partial_versions(
     latest: DataFrame | None,
     unmodified: str = "",
     *,
-    small: bool | None = None,
+    small: bool = False,
 ) -> KeyedTable:
     """Add new versions given as text cells, taking marked cells from ``latest``.
 
-    A key without previous version gets NULL there.
+    A key without previous version gets NULL there. ``small`` states that ``latest`` may be broadcast.
     """
     return insert(table, _completed(table, update, latest, unmodified, small))
 
@@ -239,7 +239,7 @@ def _deletion_ends(table: KeyedTable, deletions: DataFrame) -> DataFrame:
 
 
 def _completed(
-    table: KeyedTable, update: DataFrame, latest: DataFrame | None, unmodified: str, small: bool | None
+    table: KeyedTable, update: DataFrame, latest: DataFrame | None, unmodified: str, small: bool
 ) -> DataFrame:
     spec, keys = table.spec, table.require_source_keys()
     typed_keys = [cell(update, k, F.col(k), spec[k].dtype).alias(k) for k in keys]

@@ -99,7 +99,7 @@ def apply_changes(
         small = all(fits_broadcast(df) for df in (delete, replace, update) if df is not None)
     if replace is None and update is None:
         gone = typed(delete.select(*keys), spec)
-        return table.with_df(table.df.join(F.broadcast(gone) if small else gone, keys, "left_anti"))
+        return table.with_df(table.df.join(F.broadcast(gone) if small else gone.distinct(), keys, "left_anti"))
 
     upserts = None if replace is None else _with_keys(typed(replace, spec), keys)
     changes = _fold(spec, upserts, update, delete, unmodified)

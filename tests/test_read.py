@@ -1,8 +1,6 @@
 """Reading change files: order, types, NULL tokens, quoting, compression, encryption, record size."""
 
-import base64
 import datetime as dt
-import os
 from decimal import Decimal
 
 import pyarrow as pa
