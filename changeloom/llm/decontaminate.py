@@ -24,7 +24,7 @@ from changeloom.llm.common import staged, with_python
 SEED = 5
 COVERAGE = 0.5
 #: Bits of the filter of the items' seeds that documents are held against; its size does not depend on the benchmark.
-FILTER_BITS = 22
+FILTER_BITS = 24
 REMEMBERED = 500_000
 _WORD = re.compile(r"\w+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -117,16 +117,26 @@ def _items(benchmark: DataFrame, item_col: str, text_col: str) -> DataFrame:
 
 
 def _filter_of(seeds: DataFrame) -> np.ndarray:
-    """Bits of the seeds' hashes, one of 2^FILTER_BITS for each."""
-    place = F.col("seed").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    """Bits of the seeds' hashes, two of 2^FILTER_BITS for each."""
+    places = F.explode(F.array(F.col("seed"), F.shiftright("seed", FILTER_BITS))).alias("place")
+    place = F.col("place").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
     mask = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(31)).cast("int"))
-    words = seeds.groupBy(F.shiftright(place, 5).alias("word")).agg(F.bit_or(mask).alias("bits"))
+    words = seeds.select(places).groupBy(F.shiftright(place, 5).alias("word")).agg(F.bit_or(mask).alias("bits"))
     bits = np.zeros(1 << FILTER_BITS - 5, np.uint32)
     for row in words.toLocalIterator():  # at most 2^(FILTER_BITS - 5) rows
         bits[row["word"]] = row["bits"]
     return bits
 
 
+def _may_be_seeds(windows: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which hashes the filter does not rule out."""
+    possible = np.ones(len(windows), bool)
+    for place in (windows, windows >> np.uint64(FILTER_BITS)):
+        place = place & np.uint64((1 << FILTER_BITS) - 1)
+        possible &= (bits[place >> np.uint64(5)] >> (place & np.uint64(31)).astype(np.uint32) & np.uint32(1)).astype(bool)
+    return possible
+
+
 def contamination(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -150,14 +160,12 @@ def contamination(
 
     def cover(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bits, words = shared.value, _Words()
-        mask, low = np.uint64((1 << FILTER_BITS) - 1), np.uint64(31)
         for batch in batches:
             rows = []
             for doc_id, key, text in zip(batch["doc_id"], batch["text_key"], batch["text"], strict=True):
                 tokens = hashed_words(text, words)
                 windows = window_hashes(tokens, SEED)
-                place = windows & mask
-                hit = np.flatnonzero(bits[place >> np.uint64(5)] >> (place & low).astype(np.uint32) & np.uint32(1))
+                hit = np.flatnonzero(_may_be_seeds(windows, bits))
                 if len(hit):
                     cuts = np.flatnonzero(np.diff(hit) > 1) + 1
                     stretches = [tokens[r[0] : r[-1] + SEED].view(np.int64) for r in np.split(hit, cuts)]
