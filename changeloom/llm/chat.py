@@ -166,7 +166,7 @@ def conversation_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     A question uses the answer to the question two turns earlier. Other roles are neither.
     """
     conv, turn = F.col("conv_id"), F.col("turn")
-    question = F.to_json(F.struct(F.col("text").alias("question"), turn.alias("turn"), F.size(F.split(F.trim("text"), r"\s+")).alias("words")))
+    question = F.to_json(F.struct(F.col("text").alias("question"), turn.alias("turn"), F.regexp_count("text", F.lit(r"\S+")).alias("words")))
     calls = conversations.filter("role = 'user'").select(
         "conv_id", "turn", identifier(conv, turn).alias("call_id"), F.lit("ask").alias("name"), question.alias("arguments"), identifier(conv, turn - 2).alias("after")
     )

@@ -16,12 +16,28 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of rows that a Python worker gets at once, so that its memory does not depend on how long the texts are.
+BATCH_BYTES = 8 << 20
+
+
 def with_python(df: DataFrame) -> DataFrame:
-    """The same rows, once this package can be imported in the Python workers."""
-    ship_package(df.sparkSession)
+    """The same rows, once this package can be imported in the Python workers and they get them in batches of bounded size."""
+    spark = df.sparkSession
+    ship_package(spark)
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(limit).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(limit, str(BATCH_BYTES))
     return df
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the rows do not have yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def raw(text: str = "text") -> Column:
     """The UTF-8 bytes of a text, empty where it is null. ASCII white space and A-Z are what ``bytes`` methods mean by them."""
     return F.coalesce(F.col(text), F.lit("")).cast("binary")

@@ -25,7 +25,7 @@ SEED = 5
 COVERAGE = 0.5
 #: Bits of the filter of the items' seeds that documents are held against; its size does not depend on the benchmark.
 FILTER_BITS = 24
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 _WORD = re.compile(r"\w+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 

@@ -59,7 +59,7 @@ CONFIRMED = 0.6
 #: Paragraphs outside licences that may pass the calibrated probability, as a share.
 PASSING = 0.002
 EPOCHS, BATCH, RATE, L2 = 6, 64, 0.5, 1e-5
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 _TOKEN = re.compile(r"\n|\w+")
 
 

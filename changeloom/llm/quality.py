@@ -26,7 +26,7 @@ EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.01
 SCALE = 20.0
 #: Distinct tokens whose hashes are remembered by a task.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 _TOKEN = re.compile(r"\w+|[^\w\s]+")
 _MASK = (1 << BITS) - 1
 

@@ -35,8 +35,8 @@ _WIDE_BLANKS = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LENGTH = 1024
 SHARD_RECORDS = 16_384
-#: Words whose ids a Python worker remembers.
-REMEMBERED = 1_000_000
+#: Words whose ids a Python worker remembers, and how long they may be; longer ones seldom come again.
+REMEMBERED, REMEMBERED_LENGTH = 600_000, 10
 #: Between records, so that text files can carry them; two bytes keep records aligned to ids.
 RECORD_END = "\n\n"
 ROUNDS = 4
@@ -58,9 +58,11 @@ class Encoder(dict):
         return np.array(self.encoding.encode_ordinary(text), np.uint16).tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = ids = self.whole(word if word[:1] == "\n" else " " + word)
+        ids = self.whole(word if word[:1] == "\n" else " " + word)
+        if len(word) <= REMEMBERED_LENGTH:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = ids
         return ids
 
     def encode(self, text: str) -> bytes:

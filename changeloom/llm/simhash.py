@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeloom.llm.common import raw, staged, with_python
+from changeloom.llm.common import fresh, raw, staged, with_python
 
 POSITIONS = 8
 #: Shingles are hashed in pieces of this many, so that a very long text needs no more memory than a short one.
@@ -198,36 +198,37 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 4, max_bits: int = 4) -> DataFrame:
     """The rows of ``docs`` with one row of each group left: the one with the smallest id.
 
-    Of several rows with that id one stays. Of a group of null ids only, one row of each fingerprint stays. Nulls,
+    Rows of one id are one document: of those that name a group the one with the smallest fingerprint stays. Of a group of null ids only, one row of each fingerprint stays. Nulls,
     empty texts and empty tables are treated as :func:`near_duplicates` says; all columns are kept.
     """
     found = staged(near_duplicates(docs, id_col=id_col, text_col=text_col, size=size, max_bits=max_bits), "simhash-found")
-    by_id = found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("__id"))
-    again = staged(by_id.count().filter("count > 1").select("__id"), "simhash-again")
-    lost = found.filter("doc_id != component_id").select(F.col("doc_id").alias("__id"))
+    key, printed_as, nth = fresh(docs, "group_id"), fresh(docs, "printed_as"), fresh(docs, "nth_row")
+    by_id = found.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(key))
+    again = staged(by_id.count().filter("count > 1").select(key), "simhash-again")
+    lost = found.filter("doc_id != component_id").select(F.col("doc_id").alias(key))
     gone = lost.union(again).distinct()
-    kept = docs.filter(F.col(id_col).isNotNull()).join(gone, F.col(id_col) == F.col("__id"), "left_anti")
+    kept = docs.filter(F.col(id_col).isNotNull()).join(gone, F.col(id_col) == F.col(key), "left_anti")
     nameless = found.filter("component_id IS NULL")
     if again.isEmpty() and nameless.isEmpty():
         return kept
     # Ids of several rows and groups without any id: rows are told apart by their fingerprints.
     heads = (
-        found.join(again, F.col("doc_id") == F.col("__id"), "left_semi")
+        found.join(again, F.col("doc_id") == F.col(key), "left_semi")
         .filter("doc_id = component_id")
         .union(nameless)
-        .select(F.col("doc_id").alias("__id"), F.col("fingerprint").alias("__f"))
+        .select(F.col("doc_id").alias(key), F.col("fingerprint").alias(printed_as))
         .distinct()
     )
-    unclear = docs.join(again, F.col(id_col) == F.col("__id"), "left_semi").union(docs.filter(F.col(id_col).isNull()))
-    printed = with_python(unclear).withColumn("__f", _hex_print(text_col, size))
-    matching = printed[id_col].eqNullSafe(heads["__id"]) & (printed["__f"] == heads["__f"])
+    unclear = docs.join(again, F.col(id_col) == F.col(key), "left_semi").union(docs.filter(F.col(id_col).isNull()))
+    printed = with_python(unclear).withColumn(printed_as, _hex_print(text_col, size))
+    matching = printed[id_col].eqNullSafe(heads[key]) & (printed[printed_as] == heads[printed_as])
     # A group without ids is one of equal or linked fingerprints; the smallest stands for all of it.
-    once = Window.partitionBy(id_col).orderBy("__f", F.xxhash64(text_col))
+    once = Window.partitionBy(id_col).orderBy(printed_as, F.xxhash64(text_col))
     chosen = printed.join(heads, matching, "left_semi").filter(F.col(id_col).isNotNull())
-    chosen = chosen.withColumn("__n", F.row_number().over(once)).filter("__n = 1").drop("__f", "__n")
-    once = Window.partitionBy("__f").orderBy(F.xxhash64(text_col))
+    chosen = chosen.withColumn(nth, F.row_number().over(once)).filter(F.col(nth) == 1).drop(printed_as, nth)
+    once = Window.partitionBy(printed_as).orderBy(F.xxhash64(text_col))
     unnamed = printed.filter(F.col(id_col).isNull()).join(heads, matching, "left_semi")
-    unnamed = unnamed.withColumn("__n", F.row_number().over(once)).filter("__n = 1").drop("__f", "__n")
+    unnamed = unnamed.withColumn(nth, F.row_number().over(once)).filter(F.col(nth) == 1).drop(printed_as, nth)
     return kept.union(chosen).union(unnamed)
 
 

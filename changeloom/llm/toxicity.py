@@ -37,7 +37,7 @@ PREFIX_WORDS = 5
 MIN_SPREAD = 8
 MIN_LOG_ODDS = 2.0
 MIN_GAIN = 40.0
-FLUSH = 300_000
+FLUSH = 100_000
 #: Rows that are used for fitting, at most (about); everything else covers all rows.
 TRAIN_ROWS = 12_000
 MAX_TERMS = 5_000
@@ -95,7 +95,7 @@ def density_of(text: str | None, automaton: ahocorasick.Automaton | None) -> flo
     return 100 * total / (len(words) + 10)
 
 
-@lru_cache(200_000)
+@lru_cache(50_000)
 def _terms_of(word: str) -> tuple[str, ...]:
     return (f" {word} ", *[" " + word[:size] for size in PREFIXES if len(word) >= size])
 
@@ -105,7 +105,7 @@ def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     counts: dict[str, list] = {}
 
     def out() -> pd.DataFrame:
-        rows = [(t, *c[:4], sorted(c[4]) or None) for t, c in counts.items()]
+        rows = [(t, *c[:4], sorted(c[4]) if c[4] else None) for t, c in counts.items()]
         return pd.DataFrame(rows, columns=["term", "clean", "toxic", "clean_bits", "toxic_bits", "words"])
 
     for batch in batches:
@@ -115,11 +115,11 @@ def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 bit = np.int64(1 << (zlib.crc32(before.encode()) % 63))
                 for term in _terms_of(word):
                     if (found := counts.get(term)) is None:
-                        counts[term] = found = [0, 0, 0, 0, set()]
+                        counts[term] = found = [0, 0, 0, 0, None]
                     found[label] += 1
                     found[2 + label] |= int(bit)
-                    if label and len(found[4]) < PREFIX_WORDS:
-                        found[4].add(word)
+                    if label and len(found[4] or ()) < PREFIX_WORDS:
+                        found[4] = {word} if found[4] is None else found[4] | {word}
             if len(counts) > FLUSH:
                 yield out()
                 counts.clear()

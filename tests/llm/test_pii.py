@@ -1,0 +1,56 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from changeloom.llm import pii
+
+
+def luhn(digits: str) -> bool:
+    doubled = [int(d) * (2 if k % 2 else 1) for k, d in enumerate(digits[::-1])]
+    return sum(d // 10 + d % 10 for d in doubled) % 10 == 0
+
+
+def plain_spans(text: str) -> list[tuple[int, int, int]]:
+    """The four expressions as they are written down."""
+    out = [(0, *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [(1, *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m[0])
+        if 13 <= len(digits) <= 19 and luhn(digits):
+            out.append((2, *m.span()))
+    out += [(3, *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_base_spans_are_those_of_the_expressions(seed):
+    rng = random.Random(seed)
+    pieces = ["@", "a", "b.c", ".", "1", "23", "255", "256", " ", "-", "+", "(", "é", "\n", "4111111111111111", "+1 (555) 123-4567", "x@y.z", "10.0.0.1", "..", "@@"]
+    for _ in range(3000):
+        text = "".join(rng.choices(pieces, k=rng.randrange(1, 14)))
+        assert pii.base_spans(text) == plain_spans(text), text
+
+
+def test_very_long_runs_take_time_in_proportion():
+    assert pii.base_spans("1" * 300_000 + "@" + "a" * 300_000) == []
+    assert pii.mentions("a1" * 300_000, []) == []
+
+
+def test_patterns_find_identifiers_that_no_expression_holds(spark):
+    rng = random.Random(2)
+    rows = [(k, f"w{rng.random()} you can call desk +1 (3{k:02d}) 555-{1000 + k} soon w{rng.random()}") for k in range(20)]
+    rows += [(100, "then call desk 988-555-2485 soon"), (101, "the price 988-555-9999 is"), (102, None), (None, ""), (103, "call desk nobody soon")]
+    rows += [(100, "then call desk 988-555-2485 soon")]
+    docs = spark.createDataFrame([(i, t, "p") for i, t in rows], "doc_id long, text string, pattern string")
+    got = pii.report(docs).collect()
+    assert len(got) == len(rows)
+    assert [r["spans"] for r in got if r["doc_id"] == 100] == ["phone:15:27"] * 2
+    assert all(r["spans"] == "" for r in got if r["doc_id"] in (101, 102, 103, None))
+    for r in got:
+        text = dict(rows)[r["doc_id"]] or ""
+        base = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for k, a, b in plain_spans(text))
+        assert r["base_sha256"] == hashlib.sha256(base.encode()).hexdigest()
+        assert (r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]) == tuple(sum(k == x for x, _, _ in plain_spans(text)) for k in range(4))
+    assert pii.report(docs.limit(0)).count() == 0
