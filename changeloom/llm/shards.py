@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,8 +36,8 @@ _WIDE_BLANKS = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LENGTH = 1024
 SHARD_RECORDS = 16_384
-#: Words whose ids a Python worker remembers, and how long they may be; longer ones seldom come again.
-REMEMBERED, REMEMBERED_LENGTH = 600_000, 10
+#: Words whose ids a Python worker remembers.
+REMEMBERED = 700_000
 #: Between records, so that text files can carry them; two bytes keep records aligned to ids.
 RECORD_END = "\n\n"
 ROUNDS = 4
@@ -55,14 +56,13 @@ class Encoder(dict):
         self.encoding = tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.encoding.encode_ordinary(text), np.uint16).tobytes()
+        return array("H", self.encoding.encode_ordinary(text)).tobytes()
 
     def __missing__(self, word: str) -> bytes:
         ids = self.whole(word if word[:1] == "\n" else " " + word)
-        if len(word) <= REMEMBERED_LENGTH:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = ids
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[word] = ids
         return ids
 
     def encode(self, text: str) -> bytes:
