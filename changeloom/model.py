@@ -164,7 +164,7 @@ class KeyedTable:
 
     def require_keys(self) -> list[str]:
         if not self.spec.keys:
-            raise ChangeError("No primary keys found")
+            raise ChangeError("The operation needs a table with a key")
         return self.spec.keys
 
     def require_source_keys(self) -> list[str]:

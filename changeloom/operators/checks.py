@@ -50,13 +50,15 @@ def check_new_key(table: KeyedTable, new_keys: Sequence[str]) -> None:
         return
     known = [k for k in new_keys if k in table.spec]
     if known:
-        clash = not duplicate_keys(table.df, known).limit(1).isEmpty()
+        found = key_violations(table.df, known).first()
+        if found["null_keys"]:
+            raise UserActionError(f"{found['null_keys']} rows have no value in the new key ({', '.join(known)})")
+        clash = bool(found["duplicate_keys"])
     else:
         clash = table.df.limit(2).count() > 1
     if clash:
         raise UserActionError(
-            "The requested primary key change would create duplicate rows. Remove the duplicate records, "
-            "or drop the table and synchronise it again."
+            f"Several rows agree in ({', '.join(known)}), so that cannot be the key; make the rows differ first"
         )
 
 
@@ -82,5 +84,5 @@ def history_ready(table: KeyedTable, moment: Expr) -> bool:
     """Whether versions can be closed at ``moment``: False if there are none, an error if one is newer."""
     ready = history_state(table, moment).first()["ready"]
     if ready is None:
-        raise ChangeError("The version start column contains values larger than the operation timestamp")
+        raise ChangeError("Some active version starts after the moment of the migration")
     return ready

@@ -182,7 +182,8 @@ def _trimmed(
         oldest = (folded if earliest is None else earliest).agg(F.min(_FIRST)).scalar()
         touchable = F.col(system.active) | (F.col(system.start) >= oldest)
     joined, idle = lookup_parts(table.df, folded, keys, salt_by=[system.start], eligible=touchable, small=small)
-    return joined.filter(F.col(_FIRST).isNull() | (F.col(system.start) < F.col(_FIRST))), idle
+    # A version without start is not known to overlap, so it stays.
+    return joined.filter(~F.coalesce(F.col(system.start) >= F.col(_FIRST), F.lit(False))), idle
 
 
 def _close(

@@ -112,11 +112,9 @@ def apply_changes(
         changed = stored.join(changes, keys, "full_outer").filter(F.col(_STORED).isNotNull() | replaced)
     else:
         changed, new = stored.join(F.broadcast(changes), keys, "left"), changes.filter(replaced)
-        if set(spec.names) <= set(upserts.columns):
-            changed = changed.filter(~replaced)
-        else:
-            known = table.df.select(*keys).join(F.broadcast(changes.select(*keys)), keys, "left_semi")
-            new = new.join(known, keys, "left_anti")
+        # Stored rows are changed in place, also where a key that should be unique is not: the join below gives the same.
+        known = table.df.select(*keys).join(F.broadcast(changes.select(*keys)), keys, "left_semi")
+        new = new.join(known, keys, "left_anti")
         changed = changed.unionByName(new, allowMissingColumns=True)
     return table.with_df(changed.filter(kept).select(*_cells(spec, upserts, update)))
 
@@ -140,8 +138,10 @@ def _fold(
     if update is not None:
         typed_keys = [cell(update, k, F.col(k), spec[k].dtype).alias(k) for k in keys]
         cells = [c for c in spec.names if c in update.columns and c not in keys]
+        # Rows that rank alike are ordered as wholes, so no result mixes cells of two of them.
+        tie = [F.xxhash64(*cells).alias("__tie")] if cells else []
         patches = [
-            F.when(_is_set(update, c, unmodified), _ranked(update, spec, [c], unmodified)).alias(_PATCH + c)
+            F.when(_is_set(update, c, unmodified), _ranked(update, spec, [*tie, c], unmodified)).alias(_PATCH + c)
             for c in cells
         ]
         parts.append(update.select(*typed_keys, *patches))
@@ -156,7 +156,7 @@ def _fold(
     return folded.withColumns(missing) if missing else folded
 
 
-def _ranked(changes: DataFrame, spec: TableSpec, cells: Sequence[str], unmodified: str = "") -> Expr:
+def _ranked(changes: DataFrame, spec: TableSpec, cells: Sequence[str | Expr], unmodified: str = "") -> Expr:
     """The cells behind what ranks them, so that the greatest struct is the one that takes effect last."""
     rank = [F.col(c) for c in _seq(changes)]
     synced = spec.system.synced

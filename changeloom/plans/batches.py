@@ -38,7 +38,7 @@ def write_batch(
     base = table.head()
     spec = table.spec(base)
     if not spec.keys:
-        raise ChangeError("No primary keys found")
+        raise ChangeError("Batches need a table with a key")
     if files.earliest:
         raise ChangeError("Earliest-start files belong to history tables")
     brought = _brought(spec, columns)
@@ -68,7 +68,7 @@ def write_history_batch(
     base = table.head()
     spec = table.spec(base)
     if not spec.source_keys:
-        raise ChangeError("No primary keys found")
+        raise ChangeError("Batches need a table with a key")
     brought = _brought(spec, columns)
     with _Staging(table.spark, options) as staging:
         earliest = staging.read(files.earliest, earliest_columns(spec))
@@ -127,7 +127,7 @@ def _brought(spec: TableSpec, columns: Sequence[Column]) -> list[Column]:
     brought = list(columns) or list(spec.columns)
     missing = [k for k in spec.keys if k not in [c.name for c in brought]]
     if missing:
-        raise ChangeError(f"No primary keys found: the files must bring {missing}")
+        raise ChangeError(f"The files must bring the key columns {missing}")
     return brought
 
 
@@ -155,10 +155,9 @@ class _Staging:
     def __exit__(self, kind, error, trace) -> None:
         root = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
         root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
-        if isinstance(error, PySparkException) and "maximum record size" in str(error):
+        if isinstance(error, PySparkException) and "record limit" in str(error):
             raise UserActionError(
-                "A data record was too large to be processed. To fix this, increase the maximum record size "
-                f"(option max_record_mib). {str(error)[:500]}"
+                f"A change file holds a record beyond the record limit; raise max_record_mib to let it pass. {str(error)[:500]}"
             ) from error
 
 

@@ -9,6 +9,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from .errors import ChangeError
+
 #: Runtime settings the operators rely on. ANSI casts make a bad value fail the batch, UTC makes
 #: zone-less text mean UTC, TimeType is still behind a switch in Spark 4.1, and AQE sizes shuffles.
 SETTINGS = {
@@ -37,6 +39,8 @@ def scratch_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ChangeError("Set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="changeloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

@@ -154,5 +154,6 @@ def _null_or_text(cell: Expr, null_value: str) -> Expr:
 
 
 def _common_header(spark: SparkSession, files: list[ChangeFile], options: ReadOptions) -> list[str]:
-    first = files[0]
-    return list(first.header if first.direct else sealed_header(spark, first, options))
+    """All names that some file has, in the order they come up; a file that lacks one of them is refused when it is read."""
+    headers = [f.header if f.direct else sealed_header(spark, f, options) for f in files]
+    return list(dict.fromkeys(name for header in headers for name in header))

@@ -61,10 +61,7 @@ def with_position(df: DataFrame, members: Sequence[ChangeFile], file_path: Expr)
 
 def within(size: Expr, limit: int) -> Expr:
     """TRUE for records up to the size limit; a longer one fails the job."""
-    message = (
-        f"A data record was too large to be processed: more than {limit // 2**20} MiB. "
-        "To fix this, increase the maximum record size."
-    )
+    message = f"Record beyond the record limit of {limit // 2**20} MiB"
     return F.when(size > limit, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True))
 
 

@@ -90,7 +90,7 @@ def _text_cells(buffer: pa.Buffer, seq: int, names: list[str], limit: int) -> It
                 yield pa.RecordBatch.from_arrays([*batch.columns, position], [*names, SEQ])
     except pa.ArrowInvalid as e:
         if "block" in str(e):
-            raise ChangeError(f"A data record is larger than the maximum record size of {limit} bytes: {e}") from e
+            raise ChangeError(f"Record beyond the record limit of {limit} bytes: {e}") from e
         raise
     except pa.ArrowKeyError as e:
         raise ChangeError(f"Column not found in change file: {e}") from e

@@ -45,55 +45,61 @@ def small(request):
     return request.param
 
 
-def library(spark):
+def berths(spark):
+    """Ships at the berths of a harbour: berth 41 changed hands once, 52 and 60 have had one ship each."""
     return versions(
         spark,
-        (3, "Old Hobbit", 100, b"b", "2023-01-09T04:10:19.156057Z", False, "2024-01-09T04:10:19.155057Z"),
-        (3, "Hobbit", 14, b"b", "2024-01-09T04:10:19.156057Z", True, END),
-        (2, "Towers", 1, b"b", "2025-01-09T04:10:19.156057Z", True, END),
-        (99, "null", None, b"b", "2025-01-09T04:10:19.156057Z", True, END),
+        (41, "Kittiwake", 310, b"k", "2021-03-02T06:00:00Z", False, "2022-07-15T11:29:59.999Z"),
+        (41, "Petrel", 280, b"p", "2022-07-15T11:30:00Z", True, END),
+        (52, "Gannet", 95, b"g", "2024-05-20T18:45:30.25Z", True, END),
+        (60, "Auk", None, b"a", "2020-01-01T00:00:00Z", True, END),
     )
 
 
-CUTS = [(3, "2025-01-01T20:57:00Z"), (2, "2025-01-09T04:10:19.156057Z")]
+#: Berth 41 is reported anew from a later moment, berth 52 from before its only ship.
+CUTS = [(41, "2023-10-01T08:15:00Z"), (52, "2023-09-30T00:00:00Z")]
+FIRST = (41, "Kittiwake", 310, False, iso("2021-03-02T06:00:00Z"), iso("2022-07-15T11:29:59.999Z"))
+SECOND = (41, "Petrel", 280, False, iso("2022-07-15T11:30:00Z"), iso("2023-10-01T08:14:59.999Z"))
+OTHER = (60, "Auk", None, True, iso("2020-01-01T00:00:00Z"), iso(END))
 
 
 def test_earliest_only(spark, small):
-    got = history.apply_history_batch(library(spark), earliest=earliest(spark, *CUTS), small=small)
-    expected = [
-        (3, "Old Hobbit", 100, False, iso("2023-01-09T04:10:19.156057Z"), iso("2024-01-09T04:10:19.155057Z")),
-        (3, "Hobbit", 14, False, iso("2024-01-09T04:10:19.156057Z"), iso("2025-01-01T20:56:59.999Z")),
-        (99, "null", None, True, iso("2025-01-09T04:10:19.156057Z"), iso(END)),
-    ]
-    assert shown(got) == expected
-    one_by_one = history.close_versions(
-        history.drop_overlapping(library(spark), earliest(spark, *CUTS), small=small),
-        earliest(spark, *CUTS),
-        small=small,
-    )
-    assert shown(one_by_one) == expected
-
-
-def updates(spark):
-    at, end = "2025-02-08T12:00:00.000Z", "9999-02-08T12:00:00.000Z"
+    got = history.apply_history_batch(berths(spark), earliest=earliest(spark, *CUTS), small=small)
+    assert shown(got) == [FIRST, SECOND, OTHER]
+    trimmed = history.drop_overlapping(berths(spark), earliest(spark, *CUTS), small=small)
+    one_by_one = history.close_versions(trimmed, earliest(spark, *CUTS), small=small)
+    assert shown(one_by_one) == [FIRST, SECOND, OTHER]
+
+
+def test_versions_without_start_stay(spark, small):
+    t = berths(spark)
+    unknown = t.df.filter("id = 41").limit(1).withColumn(SYS.start, F.lit(None).cast("timestamp"))
+    t = t.with_df(t.df.union(unknown))
+    for got in (
+        history.drop_overlapping(t, earliest(spark, *CUTS), small=small),
+        history.apply_history_batch(t, earliest=earliest(spark, *CUTS), small=small),
+    ):
+        assert got.df.filter(F.col(SYS.start).isNull()).count() == 1
+
+
+def arrivals(spark):
+    came, leaves = "2023-10-04T05:20:00Z", "9998-12-31T00:00:00Z"
     return spark.createDataFrame(
-        [("3", MARK, "123", "bmV3", at, "true", at, end), ("2", "Empire", MARK, MARK, at, "true", at, end)], TEXT
+        [("41", MARK, "275", "cA==", came, "true", came, leaves), ("52", "Fulmar", MARK, MARK, came, "true", came, leaves)],
+        TEXT,
     )
 
 
 def test_partial_versions_take_the_latest_version(spark, small):
-    batch = dict(earliest=earliest(spark, *CUTS), update=updates(spark), unmodified=MARK, small=small)
-    got = history.apply_history_batch(library(spark), **batch)
-    at, end = iso("2025-02-08T12:00:00Z"), iso("9999-02-08T12:00:00Z")
-    assert shown(got) == [
-        (2, "Empire", None, True, at, end),  # its only version overlapped, so there is nothing to take from
-        (3, "Old Hobbit", 100, False, iso("2023-01-09T04:10:19.156057Z"), iso("2024-01-09T04:10:19.155057Z")),
-        (3, "Hobbit", 14, False, iso("2024-01-09T04:10:19.156057Z"), iso("2025-01-01T20:56:59.999Z")),
-        (3, "Hobbit", 123, True, at, end),
-        (99, "null", None, True, iso("2025-01-09T04:10:19.156057Z"), iso(END)),
-    ]
-    blobs = rows(got.df.filter(F.col(SYS.active) & (F.col("id") < 99)), "id", "blob")
-    assert blobs == [(2, None), (3, bytearray(b"new"))]
+    batch = dict(earliest=earliest(spark, *CUTS), update=arrivals(spark), unmodified=MARK, small=small)
+    got = history.apply_history_batch(berths(spark), **batch)
+    came, leaves = iso("2023-10-04T05:20:00Z"), iso("9998-12-31T00:00:00Z")
+    lengthened = (41, "Petrel", 275, True, came, leaves)
+    # The only version of berth 52 overlapped, so there is nothing to take from.
+    fresh = (52, "Fulmar", None, True, came, leaves)
+    assert shown(got) == [FIRST, SECOND, lengthened, fresh, OTHER]
+    blobs = rows(got.df.filter(F.col(SYS.active) & (F.col("id") < 60)), "id", "blob")
+    assert blobs == [(41, bytearray(b"p")), (52, None)]
     assert shown(history.apply_history_batch(got, **batch)) == shown(got)  # sent twice
 
 
@@ -112,16 +118,14 @@ def test_latest_version_may_be_inactive(spark, small):
 
 
 def test_replace_and_delete_files(spark, small):
-    t = versions(spark)
-    new = versions(spark, (3, "Hobbit", 14, b"", "2024-01-09T04:10:19.156057Z", True, END)).df
-    t = history.apply_history_batch(t, earliest=earliest(spark, *CUTS), replace=new, small=small)
-    end = ts("2025-03-09T04:10:19.156057Z")
-    d = spark.createDataFrame([(end, 3)], f"{SYS.end} timestamp, id int")
+    ship = versions(spark, (41, "Skua", 120, b"", "2023-11-11T11:11:11Z", True, END)).df
+    t = history.apply_history_batch(versions(spark), earliest=earliest(spark, *CUTS), replace=ship, small=small)
+    left = ts("2023-12-24T16:00:00.5Z")
+    departures = spark.createDataFrame([(left, 41), (left, 77)], f"{SYS.end} timestamp, id int")
     for _ in range(2):  # the second time nothing is open any more
-        t = history.apply_history_batch(t, delete=d, small=small)
-    assert shown(t) == [(3, "Hobbit", 14, False, iso("2024-01-09T04:10:19.156057Z"), utc(end))]
-    alone = history.close_deleted(t.with_df(new), d, small=small)
-    assert shown(alone) == shown(t)
+        t = history.apply_history_batch(t, delete=departures, small=small)
+    assert shown(t) == [(41, "Skua", 120, False, iso("2023-11-11T11:11:11Z"), utc(left))]
+    assert shown(history.close_deleted(t.with_df(ship), departures, small=small)) == shown(t)
 
 
 def test_delete_reaches_rows_of_the_same_batch(spark, small):

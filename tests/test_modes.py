@@ -120,7 +120,7 @@ def test_live_to_history_and_back(spark):
 def test_copies(spark):
     assert rows(modes.copy_table(soft(spark))) == rows(soft(spark))
     assert modes.copy_table(books(spark)).spec.keys == ["id", SYS.start]
-    with pytest.raises(ChangeError, match="No primary keys"):
+    with pytest.raises(ChangeError, match="table with a key"):
         modes.copy_table(table(spark, [], "a int", []))
     assert rows(modes.copy_table_to_history(soft(spark), at(MOMENT), SYS.deleted), "id", SYS.active) == [
         (1, True),
@@ -178,7 +178,7 @@ def test_history_must_be_ready(spark):
         lambda: modes.add_column_in_history(late, Column("n", T.IntegerType()), "7", at(MOMENT)),
         lambda: modes.drop_column_in_history(late, "v", at(MOMENT)),
     ):
-        with pytest.raises(ChangeError, match="larger than the operation timestamp"):
+        with pytest.raises(ChangeError, match="starts after the moment"):
             call()
     closed = versions(spark, (1, "a", "2024-06-02T00:00:00Z", END, False))
     assert rows(modes.add_column_in_history(closed, Column("n", T.IntegerType()), "7", at(MOMENT)), "n") == [(None,)]
