@@ -104,7 +104,8 @@ def truncate(
         return None
     base = table.head()
     current = table.read(version=base.version)
-    return table.publish(truncate_before(current, synced, _cutoff(current, synced, before_ns), deleted), base=base)
+    state = truncate_before(current, synced, _cutoff(current, synced, before_ns), deleted)
+    return table.publish(state, base=base, rebalance=False)
 
 
 def load(table: VersionedTable, df: DataFrame, *, check: bool = False) -> Commit:

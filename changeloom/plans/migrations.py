@@ -45,6 +45,9 @@ IN_PLACE: dict[str, Callable[..., KeyedTable]] = {
     "live_to_history": lambda t, now=None: modes.live_to_history(t, _now(now)),
 }
 
+# Kinds whose plan shuffles, so that their rows do not come out bucket by bucket.
+REGROUPING = {"history_to_soft_delete"}
+
 # Kind of migration -> content of a second table.
 INTO_OTHER: dict[str, Callable[..., KeyedTable]] = {
     "copy_table": lambda t: modes.copy_table(t),
@@ -58,7 +61,8 @@ def migrate(table: VersionedTable, kind: str, *, into: VersionedTable | None = N
     """Carry out one migration and publish the result, in the table itself or as the new table ``into``."""
     if kind in IN_PLACE:
         base = table.head()
-        return table.publish(IN_PLACE[kind](table.read(version=base.version), **arguments), base=base)
+        state = IN_PLACE[kind](table.read(version=base.version), **arguments)
+        return table.publish(state, base=base, rebalance=kind in REGROUPING or _moves(base, state.spec))
     if kind in INTO_OTHER:
         if into is None:
             raise ChangeError(f"Migration <{kind}> needs a target table")
@@ -79,4 +83,9 @@ def alter_table(table: VersionedTable, requested: TableSpec, *, drop_columns: bo
     altered = schema.alter_table(current, requested, drop_columns=drop_columns)
     if altered.spec == current.spec:
         return base
-    return table.evolve(altered.spec, base) or table.publish(altered, base=base)
+    return table.evolve(altered.spec, base) or table.publish(altered, base=base, rebalance=_moves(base, altered.spec))
+
+
+def _moves(base: Commit, spec: TableSpec) -> bool:
+    """Whether rows change their bucket; otherwise they are written as they lie, without a shuffle."""
+    return tuple(spec.source_keys) != base.bucket_keys

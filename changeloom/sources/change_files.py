@@ -143,7 +143,7 @@ def _read_whole(
 ) -> DataFrame:
     schema = T.StructType([T.StructField(n, T.StringType()) for n in header])
     df = spark.read.schema(schema).options(**parser).csv([f.pattern for f in members])
-    return with_position(df, members, F.col("_metadata.file_path")).filter(within(cell_bytes(names), limit))
+    return with_position(df, members, F.col("_metadata.file_path")).filter(within(cell_bytes(header), limit))
 
 
 def _null_or_text(cell: Expr, null_value: str) -> Expr:

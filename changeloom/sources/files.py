@@ -59,15 +59,15 @@ def with_position(df: DataFrame, members: Sequence[ChangeFile], file_path: Expr)
     return positioned.withColumn(SEQ, F.coalesce("__position", unknown)).drop("__uri", "__position")
 
 
-def within(size: Expr, limit: int) -> Expr:
-    """TRUE for records up to the size limit; a longer one fails the job."""
-    message = f"Record beyond the record limit of {limit // 2**20} MiB"
-    return F.when(size > limit, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True))
+def within(size: Expr, bound: int, limit: int | None = None) -> Expr:
+    """TRUE for records up to ``bound`` bytes; a longer one fails the job, which names ``limit`` if that is another number."""
+    message = f"Record beyond the record limit of {(limit or bound) // 2**20} MiB"
+    return F.when(size > bound, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True))
 
 
-def cell_bytes(names: Sequence[str]) -> Expr:
-    """Size of a record, as far as its cells are read."""
-    return sum((F.coalesce(F.octet_length(n), F.lit(0)) for n in names), F.lit(0))
+def cell_bytes(cells: Sequence[str | Expr]) -> Expr:
+    """Size of a record: the bytes of its cells, without quotes and commas."""
+    return sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("bigint") for c in cells), F.lit(0))
 
 
 def probe(spark: SparkSession, paths: Sequence[str], sealed: Sequence[bool]) -> list[ChangeFile]:
@@ -107,7 +107,7 @@ def _probe(spark: SparkSession, seq: int, path: str, sealed: bool) -> ChangeFile
 
 def _header(path: str, read_line) -> tuple[str, ...]:
     text = read_line()
-    while text is not None and text.count('"') % 2:
+    while text is not None and _open(text):
         more = read_line()
         if more is None:
             break
@@ -115,6 +115,11 @@ def _header(path: str, read_line) -> tuple[str, ...]:
     return parse_header(path, text or "")
 
 
+def _open(text: str) -> bool:
+    """Whether a record that starts with ``text`` goes on in the next line, by the rule that the split reading follows."""
+    return re.sub(r'(?s)^.*[^,]"', "", text.replace('""', "")).count('"') % 2 == 1
+
+
 def parse_header(path: str, text: str) -> tuple[str, ...]:
     names = next(csv.reader([text.removeprefix("﻿")]), [])
     if not names or len(set(names)) != len(names):

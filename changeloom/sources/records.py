@@ -1,10 +1,12 @@
 """Parallel reading of one large CSV file whose quoted cells may hold line breaks.
 
 Spark reads such a file with a single task, because a task that starts in the middle cannot tell whether
-it is inside a quoted cell. Here the file is read as lines, which splits. Quotes only occur in pairs
-outside and as doubled pairs inside quoted cells, so a line starts a record exactly if the number of
-quotes before it in the file is even. The counts are added up in two steps: per block of the file, then
-per line inside its block.
+it is inside a quoted cell. Here the file is read as lines, which splits, and every line tells what it does to
+that state, whatever it was before. Doubled quotes change nothing. Of the others, one at the start of a cell
+opens or closes a quoted cell, so it flips the state; one elsewhere closes a quoted cell or is an ordinary
+character outside of one, so the state after it is "outside" in any case. The state before a line is thus the
+last such reset plus the flips since, added up in two steps: per block of the file, then per line inside its
+block.
 """
 
 from __future__ import annotations
@@ -14,9 +16,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column as Expr
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from ..operators.merge import SEQ
-from .files import ChangeFile, with_position, within
+from .files import ChangeFile, cell_bytes, with_position, within
 
 _BLOCK, _LINE, _RECORD = "__block", "__line", "__record"
 
@@ -31,11 +34,13 @@ def read_split(
 ) -> DataFrame:
     """Text cells ``names`` of files that share a header, and the file position."""
     line_parser = {k: v for k, v in parser.items() if k not in ("header", "multiLine", "columnPruning", "encoding")}
-    records = assemble(_lines(spark, members)).filter(
-        ~F.col("is_header") & (F.col("record") != "") & within(F.octet_length("record"), limit)
+    # Quoting at most doubles a cell and adds three characters, so a longer record is beyond the limit by its cells.
+    records = assemble(_lines(spark, members), 2 * limit + 3 * len(header), limit).filter(
+        ~F.col("is_header") & (F.col("record") != "")
     )
     parsed = records.select(F.from_csv("record", _ddl(header), line_parser).alias("cells"), SEQ)
-    return parsed.select(*[F.col("cells")[n].alias(n) for n in names], SEQ)
+    sized = parsed.filter(within(cell_bytes([F.col("cells")[n] for n in header]), limit))
+    return sized.select(*[F.col("cells")[n].alias(n) for n in names], SEQ)
 
 
 def _ddl(header: Sequence[str]) -> str:
@@ -49,35 +54,63 @@ def _lines(spark: SparkSession, members: Sequence[ChangeFile]) -> DataFrame:
         F.col("_metadata.file_block_start").alias(_BLOCK),
         F.monotonically_increasing_id().alias(_LINE),
         F.col("value"),
-        (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))).alias("quotes"),
+        *quoting(F.col("value")),
     )
     return with_position(numbered, members, F.col("path")).drop("path")
 
 
-def assemble(lines: DataFrame) -> DataFrame:
-    """Lines to records: ``record``, ``is_header`` and the file.
+def quoting(line: Expr) -> tuple[Expr, Expr]:
+    """What a line does to the quoting state: ``resets`` to outside at some point, and number of ``flips`` after that."""
+    single = F.replace(line, F.lit('""'), F.lit(""))
+    rest = F.regexp_replace(single, r'(?s)^.*[^,]"', "")
+    flips = F.length(rest) - F.length(F.replace(rest, F.lit('"'), F.lit("")))
+    return single.rlike(r'[^,]"').alias("resets"), flips.alias("flips")
+
+
+def _state_before(window: WindowSpec, open_at_start: Expr) -> Expr:
+    """Whether a row starts inside a quoted cell, from ``resets`` and ``flips`` of the rows before it."""
+    upto = F.coalesce(F.sum("flips").over(window), F.lit(0))
+    # Flips before the last row that resets; those of that row itself came after its reset.
+    settled = F.last(F.when(F.col("resets"), F.col("flips_before")), ignorenulls=True).over(window)
+    return F.when(settled.isNotNull(), (upto - settled) % 2).otherwise((open_at_start + upto) % 2)
+
+
+def assemble(lines: DataFrame, longest: int, limit: int) -> DataFrame:
+    """Lines to records: ``record``, ``is_header`` and the file. More than ``longest`` bytes in one fail before they are joined.
 
     One shuffle brings the lines of a block together; blocks have the size of a scan split, so they are
     even. Only the first and the last record of a block can reach into another block, and only their lines
     are compared across blocks.
     """
-    before = Window.partitionBy(SEQ).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = lines.groupBy(SEQ, _BLOCK).agg((F.sum("quotes") % 2).alias("odd"))
+    by_line = Window.partitionBy(SEQ, _BLOCK).orderBy(_LINE)
+    upto, past = (w.rowsBetween(Window.unboundedPreceding, end) for w, end in ((by_line, 0), (by_line, -1)))
+    lines = lines.withColumn("flips_before", F.sum("flips").over(upto) - F.col("flips"))
+    last_reset = F.max(F.when(F.col("resets"), F.col("flips_before")))
+    blocks = lines.groupBy(SEQ, _BLOCK).agg(
+        last_reset.isNotNull().alias("resets"), (F.sum("flips") - F.coalesce(last_reset, F.lit(0))).alias("flips")
+    )
+    by_block = Window.partitionBy(SEQ).orderBy(_BLOCK)
+    upto_block, past_blocks = (by_block.rowsBetween(Window.unboundedPreceding, end) for end in (0, -1))
+    blocks = blocks.withColumn("flips_before", F.sum("flips").over(upto_block) - F.col("flips"))
+    blocks = blocks.withColumn("open", _state_before(past_blocks, F.lit(0)))
+    ends = F.when(F.col("resets"), F.col("flips") % 2).otherwise((F.col("open") + F.col("flips")) % 2)
+    blocks = blocks.withColumn("ends", F.last(ends).over(by_block.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     # A quote that is never closed would make one record of the rest of the file: fail early.
-    closed = F.sum("odd").over(Window.partitionBy(SEQ)) % 2 == 0
-    odd_before = F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2
     unclosed = F.raise_error(F.lit("Malformed change file: a quoted cell is not closed")).cast("bigint")
-    blocks = blocks.select(SEQ, _BLOCK, F.when(closed, odd_before).otherwise(unclosed).alias("open"))
+    blocks = blocks.select(SEQ, _BLOCK, F.when(F.col("ends") == 0, F.col("open")).otherwise(unclosed).alias("open"))
 
-    in_block = Window.partitionBy(SEQ, _BLOCK).orderBy(_LINE).rowsBetween(Window.unboundedPreceding, 0)
-    seen = F.sum("quotes").over(in_block) - F.col("quotes")
-    starts = ((F.col("open") + seen) % 2 == 0).cast("int")
+    bytes_upto = F.sum("bytes").over(upto)
+    begun_at = F.last(F.when(F.col("starts") == 1, F.col("bytes_before")), ignorenulls=True).over(upto)
     numbered = (
         lines.join(blocks, [SEQ, _BLOCK])
-        .withColumn("starts", starts)
-        .withColumn(_RECORD, F.sum("starts").over(in_block))
+        .withColumn("starts", (_state_before(past, F.col("open")) == 0).cast("int"))
+        .withColumn("bytes", F.octet_length("value").cast("bigint") + 1)
+        .withColumn("bytes_before", bytes_upto - F.col("bytes"))
+        .withColumn("so_far", F.col("bytes_before") + F.col("bytes") - 1 - F.coalesce(begun_at, F.lit(0)))
+        .filter(within(F.col("so_far"), longest, limit))
+        .withColumn(_RECORD, F.sum("starts").over(upto))
         .withColumn("last", F.max(_RECORD).over(Window.partitionBy(SEQ, _BLOCK)))
-        .select(SEQ, _BLOCK, _LINE, _RECORD, "value", "last")
+        .select(SEQ, _BLOCK, _LINE, _RECORD, "value", "bytes", "last")
     )
     edge = (F.col(_RECORD) == 0) | (F.col(_RECORD) == F.col("last"))
     first = (F.col(_BLOCK) == 0) & (F.col(_RECORD) == 1)
@@ -88,7 +121,9 @@ def assemble(lines: DataFrame) -> DataFrame:
     earlier = Window.partitionBy(SEQ).orderBy(_BLOCK).rangeBetween(Window.unboundedPreceding, -1)
     begun = F.max(F.when(F.col(_RECORD) > 0, F.col(_BLOCK))).over(earlier)
     owner = F.when(F.col(_RECORD) > 0, F.col(_BLOCK)).otherwise(begun)
-    outer = numbered.filter(edge).withColumn("owner", owner).groupBy(SEQ, "owner").agg(record, is_header)
+    whole = F.sum("bytes").over(Window.partitionBy(SEQ, "owner")) - 1
+    edges = numbered.filter(edge).withColumn("owner", owner).withColumn("whole", whole).filter(within(F.col("whole"), longest, limit))
+    outer = edges.groupBy(SEQ, "owner").agg(record, is_header)
     return inner.select(SEQ, "record", "is_header").unionByName(outer.select(SEQ, "record", "is_header"))
 
 

@@ -220,6 +220,38 @@ def test_large_file_is_cut_at_records(spark, tmp_path):
     assert got == expected
 
 
+@pytest.mark.parametrize(
+    "body",
+    [
+        'name\n5" pipe\nx\n6" pipe\ny\n',
+        'name,n\n5" pipe,1\n"a\n""b"",\n",2\n\n6" x ""y"" "z",3\n"",4\n"""",5\n',
+        'name,n\n"a"b,1\n"c""",2\n"d\n""\n",3\r\nx""",4\n,"5\n"\n',
+        'name,n\n"\n",1\n"\n""\n,""",2\n"x,""\n,",3\n',
+    ],
+)
+def test_quotes_are_read_alike_on_both_routes(spark, tmp_path, body):
+    path = put(tmp_path / "a.csv", body)
+    names = cols(" ".join(f"{n}:STRING" for n in body.split("\n")[0].split(",")))
+    whole = rows(read_changes(spark, path, names))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert rows(read_changes(spark, path, names, ReadOptions(split_bytes=0))) == whole
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(whole) >= 3
+
+
+@pytest.mark.parametrize("split_bytes", [0, 2**40])
+def test_size_limit_counts_cells_that_are_not_read(spark, tmp_path, split_bytes):
+    path = put(tmp_path / "a.csv", "id,s\n1,{}\n2,\"{}\"\n".format("x" * 25 * 2**20, "a\n" * 100))
+    with pytest.raises(Exception, match="record limit of 24 MiB"):
+        read_changes(spark, path, cols("id:INT"), ReadOptions(split_bytes=split_bytes)).collect()
+    enough = ReadOptions(split_bytes=split_bytes, max_record_mib=28)
+    assert rows(read_changes(spark, path, cols("id:INT"), enough)) == [(1,), (2,)]
+
+
 def test_large_file_with_open_quote_fails(spark, tmp_path):
     path = put(tmp_path / "a.csv", "id,s\n1,x\n2,\"never closed\n3,y\n")
     with pytest.raises(Exception, match="not closed"):

@@ -242,6 +242,29 @@ def test_alter_published_table(spark, tmp_path):
     assert table.head() == commit
 
 
+def test_rows_that_stay_in_their_bucket_are_not_shuffled(spark, tmp_path, monkeypatch):
+    spec = TableSpec((Column("id", T.IntegerType(), key=True), Column("s", T.StringType()), Column(SYS.synced, T.TimestampType())))
+    table = VersionedTable.create(spark, str(tmp_path / "t"), spec, buckets=4)
+    data = [(i, str(i), ts("2024-01-01" if i % 2 else "2024-03-01")) for i in range(40)]
+    batches.load(table, spark.createDataFrame(data, spec.schema()))
+    plans, publish = [], VersionedTable.publish
+
+    def watched(self, state, *, rebalance=True, **rest):
+        plans.append((rebalance, "Exchange" in state.df._jdf.queryExecution().toString()))
+        return publish(self, state, rebalance=rebalance, **rest)
+
+    monkeypatch.setattr(VersionedTable, "publish", watched)
+    migrate(table, "rename_column", from_column="s", to_column="text")
+    migrate(table, "add_column_with_default_value", column=Column("n", T.IntegerType(), default="4"))
+    batches.truncate(table, SYS.synced, 1706745600 * 10**9)
+    migrate(table, "live_to_soft_delete")
+    migrate(table, "soft_delete_to_live")
+    assert plans == [(False, False)] * 5
+    assert rows(table.read(), "id", "text", "n") == sorted([(i, str(i), 4) for i in range(0, 40, 2)], key=repr)
+    for bucket, folder in table.head().folders.items():
+        assert f"{BUCKET}={bucket}" in os.listdir(tmp_path / "t" / "data" / folder)
+
+
 def test_migrations_by_name(spark, tmp_path):
     spec = TableSpec((Column("id", T.IntegerType(), key=True), Column("s", T.StringType())))
     table = VersionedTable.create(spark, str(tmp_path / "t"), spec, buckets=2)

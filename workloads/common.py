@@ -79,6 +79,11 @@ def write_csv(df: DataFrame, label: str, *, null: str = TOKEN) -> list[str]:
     spread = df.repartition(spark.sparkContext.defaultParallelism)
     text = spread.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
     text.write.options(header="true", quote='"', escape='"', lineSep="\n", nullValue=null, emptyValue="").csv(path)
+    return parts(spark, path)
+
+
+def parts(spark: SparkSession, path: str) -> list[str]:
+    """The files of a folder that Spark wrote."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     names = sorted(status.getPath().getName() for status in fs.listStatus(hadoop))

@@ -18,7 +18,7 @@ from changeloom.sources.change_files import read_changes
 from changeloom.sources.tables import VersionedTable
 from changeloom.streaming.requests import follow
 
-from .common import MARK, ORDERS, SYS, TOKEN, Query, keyed, load, write_csv
+from .common import MARK, ORDERS, SYS, TOKEN, Query, keyed, load, parts, write_csv
 from .history import SQL as HISTORY_SQL
 from .history import deletions, earliest, loaded_table, new_versions, updates
 from .merge import SQL as MERGE_SQL
@@ -62,6 +62,25 @@ def csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("SELECT doc_id, text || ' 5\" x' AS text, source FROM documents WHERE text IS NOT NULL")
+def csv_split_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Split reading of cells that hold quotes but are not quoted, as far as a text may go unquoted."""
+    documents = load(spark, sf_dir, "documents").filter("text IS NOT NULL")
+    text = F.concat("text", F.lit(' 5" x'))
+    plain = ~text.rlike('^"|[,\\n\\r]')
+    cell = F.when(plain, text).otherwise(F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"')))
+    count = spark.sparkContext.defaultParallelism
+    record = F.concat_ws(",", F.col("doc_id").cast("string"), cell, F.coalesce("source", F.lit("")))
+    records = documents.select(record.alias("value"), F.pmod("doc_id", F.lit(count)).alias("file"), F.lit(1).alias("rank"))
+    headers = spark.range(count).select(F.lit("doc_id,text,source").alias("value"), F.col("id").alias("file"), F.lit(0).alias("rank"))
+    lines = headers.unionByName(records).repartition("file").sortWithinPartitions("file", "rank")
+    path = scratch_path(spark, "quotes")
+    lines.select("value", "file").write.partitionBy("file").text(path)
+    paths = [part for i in range(count) for part in parts(spark, f"{path}/file={i}")]
+    wanted = [Column("doc_id", T.LongType()), Column("text", T.StringType()), Column("source", T.StringType())]
+    return read_changes(spark, paths, wanted, ReadOptions(split_bytes=0)).select("doc_id", "text", "source")
+
+
 @query("SELECT * FROM pages")
 def csv_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = load(spark, sf_dir, "pages")
@@ -82,6 +101,40 @@ def csv_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_changes(spark, paths, wanted, OPTIONS).select("c_custkey", "c_name", "c_mktsegment")
 
 
+@query("SELECT event_id, ts FROM events")
+def csv_mixed_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One column with moments in several forms: with a blank or a T, without zone, in UTC, and at an offset."""
+    events = load(spark, sf_dir, "events")
+    form = F.col("event_id") % 4
+    blank, dense = "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    east = F.concat(F.date_format(F.col("ts") + F.expr("INTERVAL '2' HOUR"), dense), F.lit("+02:00"))
+    text = (
+        F.when(form == 0, F.date_format("ts", blank))
+        .when(form == 1, F.date_format("ts", dense))
+        .when(form == 2, F.concat(F.date_format("ts", dense), F.lit("Z")))
+        .otherwise(east)
+    )
+    wanted = [Column("event_id", T.LongType()), Column("ts", T.TimestampType())]
+    read = read_changes(spark, write_csv(events.select("event_id", text.alias("ts")), "moments"), wanted, OPTIONS)
+    return read.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
+@query("""
+    SELECT doc_id, CASE WHEN doc_id = (SELECT MIN(doc_id) FROM documents) THEN 26214400 ELSE length(text) END AS letters
+    FROM documents""")
+def csv_record_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record of 25 MiB, which a limit of 28 MiB lets pass."""
+    documents = load(spark, sf_dir, "documents").select("doc_id", "text")
+    first = documents.agg(F.min("doc_id").alias("first_id"))
+    long = documents.join(F.broadcast(first)).withColumn(
+        "text", F.when(F.col("doc_id") == F.col("first_id"), F.rpad(F.coalesce("text", F.lit("")), 25 << 20, ".")).otherwise(F.col("text"))
+    )
+    wanted = [Column("doc_id", T.LongType()), Column("text", T.StringType())]
+    options = ReadOptions(null_value=TOKEN, max_record_mib=28)
+    read = read_changes(spark, write_csv(long.drop("first_id"), "long"), wanted, options)
+    return read.select("doc_id", F.length("text").cast("long").alias("letters"))
+
+
 _NULLS = """
     SELECT event_id, CASE event_type WHEN 'view' THEN NULL WHEN 'click' THEN {0} ELSE event_type END AS event_type,
            CASE WHEN event_type <> 'error' THEN user_id END AS user_id, ts FROM events"""

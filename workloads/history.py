@@ -92,9 +92,9 @@ def hist_latest_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT t.* REPLACE (
         CASE WHEN {_CLOSE} THEN first_start - INTERVAL '1 millisecond' ELSE valid_to END AS valid_to,
         CASE WHEN {_CLOSE} THEN FALSE ELSE is_current END AS is_current)
-    FROM ({_T}) t LEFT JOIN ({_E}) e ON t.user_id = e.user_id""")
+    FROM ({versions_sql()}) t LEFT JOIN ({_E}) e ON t.user_id = e.user_id""")
 def hist_close_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.close_versions(loaded_table(spark, sf_dir), earliest(spark, sf_dir)).df
+    return history.close_versions(_whole(spark, sf_dir), earliest(spark, sf_dir)).df
 
 
 _PARTIAL = f"""
@@ -110,9 +110,13 @@ def hist_partial_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.append_partial_versions(table, updates(spark, sf_dir), latest, MARK).df
 
 
-@query(f"SELECT * FROM ({_T}) UNION ALL SELECT * FROM ({_RECENT}) WHERE event_type <> 'click'")
+@query(f"""
+    SELECT * FROM ({versions_sql(f"ts < TIMESTAMP '{RESENT}'")})
+    UNION ALL SELECT * FROM ({_RECENT}) WHERE event_type <> 'click'""")
 def hist_append_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.append_versions(loaded_table(spark, sf_dir), new_versions(spark, sf_dir)).df
+    """Versions that start after all stored ones, so that no key and start comes twice."""
+    older = versions_of(_events(spark, sf_dir).filter(F.col("ts") < at(RESENT)))
+    return history.append_versions(keyed(older.select(*VERSIONS), "user_id", "valid_from"), new_versions(spark, sf_dir)).df
 
 
 def _close_deleted_sql(source: str) -> str:
@@ -123,9 +127,9 @@ def _close_deleted_sql(source: str) -> str:
         FROM ({source}) v LEFT JOIN ({_D}) d ON v.user_id = d.user_id"""
 
 
-@query(_close_deleted_sql(_T))
+@query(_close_deleted_sql(versions_sql()))
 def hist_close_deleted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.close_deleted(loaded_table(spark, sf_dir), deletions(spark, sf_dir)).df
+    return history.close_deleted(_whole(spark, sf_dir), deletions(spark, sf_dir)).df
 
 
 _CLOSED = f"""
