@@ -37,7 +37,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LENGTH = 1024
 SHARD_RECORDS = 16_384
 #: Words whose ids a Python worker remembers.
-REMEMBERED = 700_000
+REMEMBERED = 300_000
 #: Between records, so that text files can carry them; two bytes keep records aligned to ids.
 RECORD_END = "\n\n"
 ROUNDS = 4
