@@ -76,6 +76,7 @@ def lookup_parts(
     *,
     salt_by: Sequence[str],
     eligible: Expr | None = None,
+    idle: Expr | None = None,
     how: str = "left",
     small: bool | None = None,
     detect: bool = True,
@@ -88,7 +89,8 @@ def lookup_parts(
     * If ``right`` is small, it is broadcast and ``left`` stays where it is. ``small=None`` measures it.
     * Otherwise rows that ``eligible`` says cannot match do not travel with their key. They bypass the
       shuffle, for which ``left`` is scanned twice, and are returned as the second part, without the columns
-      of ``right``. With ``rescan=False`` they are spread evenly instead.
+      of ``right``. ``idle`` may say the opposite in terms that a scan can use. With ``rescan=False`` they are spread
+      evenly instead.
     * The rows of hot keys are spread by a hash of ``salt_by`` over slots in proportion to their number. The
       one matching row of ``right`` is repeated per slot: for all hot keys together at most eight times the
       number of shuffle partitions. The salt depends on row values only, so a task that runs again sends
@@ -105,13 +107,13 @@ def lookup_parts(
         return left.withColumn(_ELIGIBLE, can_match).join(flagged, [*keys, _ELIGIBLE], how).drop(_ELIGIBLE), None
 
     if not rescan:
-        idle = -1 - F.pmod(F.xxhash64(*salt_by), F.lit(_IDLE_SLOTS))
-        spread = left.withColumn(_SLOT, F.when(can_match, F.lit(0).cast("bigint")).otherwise(idle))
+        own = -1 - F.pmod(F.xxhash64(*salt_by), F.lit(_IDLE_SLOTS))
+        spread = left.withColumn(_SLOT, F.when(can_match, F.lit(0).cast("bigint")).otherwise(own))
         return spread.join(right.withColumn(_SLOT, F.lit(0).cast("bigint")), [*keys, _SLOT], how).drop(_SLOT), None
-    matching = left.filter(can_match)
+    matching = left if eligible is None else left.filter(eligible)
     hot = hot_keys(matching, keys) if detect else []
     joined = _salted(matching, right, keys, salt_by, hot, how) if hot else matching.join(right, keys, how)
-    return joined, (None if eligible is None or how == "inner" else left.filter(~can_match))
+    return joined, (None if eligible is None or how == "inner" else left.filter(~can_match if idle is None else idle))
 
 
 def _salted(

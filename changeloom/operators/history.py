@@ -67,6 +67,33 @@ def append_versions(table: KeyedTable, versions: DataFrame) -> KeyedTable:
     return insert(table, versions)
 
 
+def refused_versions(
+    table: KeyedTable, versions: DataFrame, earliest: DataFrame | None = None, *, small: bool | None = None
+) -> DataFrame:
+    """Key values of new ``versions`` that the table's key does not admit, and the ``row_count`` each would come to.
+
+    These hold NULL, come more than once, or are stored and not dropped by ``earliest``. Of the target only key
+    columns are read, from the first new start on; if the new keys are few it is not shuffled.
+    """
+    spec, keys, start = table.spec, table.spec.keys, table.spec.system.start
+    source_keys = table.require_source_keys()
+    values = [cell(versions, k, F.col(k), spec[k].dtype) if k in versions.columns else F.lit(None).cast(spec[k].dtype) for k in keys]
+    brought = versions.select(*[v.alias(k) for k, v in zip(keys, values)]).groupBy(*keys).agg(F.count(F.lit(1)).alias("__brought"))
+    oldest = _least(brought, start)
+    stored = table.df.select(*keys) if oldest is None else table.df.select(*keys).filter(F.col(start) >= oldest)
+    if small is None:
+        small = fits_broadcast(brought.select(*keys))
+    wanted = brought.select(*keys)
+    stored = stored.join(F.broadcast(wanted) if small else wanted, keys, "left_semi")
+    if earliest is not None:
+        kept = F.col(_FIRST).isNull() | (F.col(start) < F.col(_FIRST))
+        stored = stored.join(_first_starts(table, earliest), source_keys, "left").filter(kept)
+    counted = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("__stored"))
+    rows = F.col("__brought") + F.coalesce("__stored", F.lit(0))
+    empty = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    return brought.join(counted, keys, "left").filter(empty | (rows > 1)).select(*keys, rows.alias("row_count"))
+
+
 def append_partial_versions(
     table: KeyedTable,
     update: DataFrame,
@@ -129,7 +156,10 @@ def history_batch_parts(
     if update is not None:
         latest = None
         if starts is not None:
-            wanted = update.select(*[cell(update, k, F.col(k), spec[k].dtype).alias(k) for k in keys])
+            # Only marked cells need the version before.
+            cells = [c for c in update.columns if c in spec and c not in keys and update.schema[c].dataType.typeName() == "string"]
+            marked = reduce(lambda a, b: a | b, [F.coalesce(F.col(c) == F.lit(unmodified), F.lit(False)) for c in cells], F.lit(False))
+            wanted = update.filter(marked).select(*[cell(update, k, F.col(k), spec[k].dtype).alias(k) for k in keys])
             latest = latest_versions(table, earliest, only=wanted, small=small)
         new = _completed(table, update, latest, unmodified, small=False)
     if replace is not None:
@@ -177,15 +207,26 @@ def _trimmed(
     history table, so they are kept out of the keyed shuffle.
     """
     system, keys = table.spec.system, table.require_source_keys()
-    touchable = None
+    touchable = untouchable = None
     if not small:
-        oldest = (folded if earliest is None else earliest).agg(F.min(_FIRST)).scalar()
-        touchable = F.col(system.active) | (F.col(system.start) >= oldest)
-    joined, idle = lookup_parts(table.df, folded, keys, salt_by=[system.start], eligible=touchable, small=small)
+        active, start = F.col(system.active), F.col(system.start)
+        touchable, untouchable = active == F.lit(True), active.isNull() | (active == F.lit(False))
+        oldest = _least(folded if earliest is None else earliest, _FIRST)
+        if oldest is not None:
+            touchable, untouchable = touchable | (start >= oldest), untouchable & (start.isNull() | (start < oldest))
+    joined, idle = lookup_parts(
+        table.df, folded, keys, salt_by=[system.start], eligible=touchable, idle=untouchable, small=small
+    )
     # A version without start is not known to overlap, so it stays.
     return joined.filter(~F.coalesce(F.col(system.start) >= F.col(_FIRST), F.lit(False))), idle
 
 
+def _least(df: DataFrame, column: str) -> Expr | None:
+    """The least value of a column as a constant, so that scans can be pruned by it; None without any."""
+    text = df.agg(F.min(column).cast("string")).first()[0]
+    return None if text is None else F.lit(text).cast(df.schema[column].dataType)
+
+
 def _close(
     table: KeyedTable, ends: DataFrame, small: bool | None, *, rescan: bool = True
 ) -> tuple[DataFrame, DataFrame | None]:
@@ -196,7 +237,8 @@ def _close(
         ends,
         table.require_source_keys(),
         salt_by=[system.start],
-        eligible=None if small else F.col(system.active),
+        eligible=None if small else F.col(system.active) == F.lit(True),
+        idle=F.col(system.active).isNull() | (F.col(system.active) == F.lit(False)),
         small=small,
         detect=False,
         rescan=rescan,

@@ -205,12 +205,17 @@ def truncate_before(
     for name in filter(None, (synced, deleted)):
         if name not in table.spec:
             raise ChangeError(f"Referenced column <{name}> not found")
-    old = F.coalesce(F.col(synced) < cutoff, F.lit(False))
+    old = loaded_before(synced, cutoff)
     if deleted is None:
         return table.with_df(table.df.filter(~old))
     return table.with_df(table.df.withColumn(deleted, F.when(old, F.lit(True)).otherwise(F.col(deleted))))
 
 
+def loaded_before(synced: str, cutoff: Expr) -> Expr:
+    """Rows that a truncation hits; those without load time are never among them."""
+    return F.coalesce(F.col(synced) < cutoff, F.lit(False))
+
+
 def cutoff_at(nanoseconds: int | None) -> Expr:
     """Moment of a cutoff in nanoseconds since the epoch, cut to microseconds; unset means the epoch."""
     micros = abs(nanoseconds or 0) // 1000

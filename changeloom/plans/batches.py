@@ -14,8 +14,8 @@ from ..errors import ChangeError, UserActionError
 from ..functions.skew import fits_broadcast
 from ..model import BatchFiles, Column, KeyedTable, ReadOptions, TableSpec
 from ..operators.checks import check_keys
-from ..operators.history import history_batch_parts
-from ..operators.merge import apply_changes, cell, cutoff_at, truncate_before
+from ..operators.history import history_batch_parts, refused_versions
+from ..operators.merge import apply_changes, cell, cutoff_at, loaded_before, truncate_before
 from ..session import scratch_path
 from ..sources.change_files import deletion_columns, earliest_columns, key_columns, read_changes
 from ..sources.tables import Commit, VersionedTable
@@ -78,6 +78,7 @@ def write_history_batch(
         touched = _touched(table, base, spec, (earliest, update, replace, delete))
         small = all(fits_broadcast(df) for df in (earliest, update, replace, delete) if df is not None)
         current = table.read(touched, base.version)
+        _check_new_versions(current, update, replace, earliest, small)
         moved, settled = history_batch_parts(
             current,
             earliest=earliest,
@@ -104,8 +105,13 @@ def truncate(
         return None
     base = table.head()
     current = table.read(version=base.version)
-    state = truncate_before(current, synced, _cutoff(current, synced, before_ns), deleted)
-    return table.publish(state, base=base, rebalance=False)
+    cutoff = _cutoff(current, synced, before_ns)
+    truncate_before(current, synced, cutoff, deleted)  # names are checked before data is read
+    touched = None
+    if base.buckets > 1:
+        touched = table.touched(current.df.filter(loaded_before(synced, cutoff)), base)
+        current = table.read(touched, base.version)
+    return table.publish(truncate_before(current, synced, cutoff, deleted), buckets=touched, base=base, rebalance=False)
 
 
 def load(table: VersionedTable, df: DataFrame, *, check: bool = False) -> Commit:
@@ -116,6 +122,27 @@ def load(table: VersionedTable, df: DataFrame, *, check: bool = False) -> Commit
     return table.publish(state)
 
 
+def _check_new_versions(
+    current: KeyedTable, update: DataFrame | None, replace: DataFrame | None, earliest: DataFrame | None, small: bool
+) -> None:
+    """Fail if the batch brings versions whose key is NULL or taken; nothing else enforces the key."""
+    keys = current.spec.keys
+    if keys == current.spec.source_keys:
+        return
+    new = None
+    for df in (update, replace):
+        if df is not None:
+            given = [cell(df, k, F.col(k), current.spec[k].dtype) if k in df.columns else F.lit(None).cast(current.spec[k].dtype) for k in keys]
+            part = df.select(*[v.alias(k) for k, v in zip(keys, given)])
+            new = part if new is None else new.unionByName(part)
+    if new is None:
+        return
+    found = refused_versions(current, new, earliest, small=small).first()
+    if found is not None:
+        values = ", ".join(f"{k} {found[k]}" for k in keys)
+        raise UserActionError(f"Versions need a key of their own, but {found['row_count']} rows would have ({values})")
+
+
 def _cutoff(current: KeyedTable, synced: str, before_ns: int | None) -> Expr:
     cutoff = cutoff_at(before_ns)
     return cutoff.cast(current.spec[synced].dtype) if synced in current.spec else cutoff

@@ -61,7 +61,10 @@ def migrate(table: VersionedTable, kind: str, *, into: VersionedTable | None = N
     """Carry out one migration and publish the result, in the table itself or as the new table ``into``."""
     if kind in IN_PLACE:
         base = table.head()
-        state = IN_PLACE[kind](table.read(version=base.version), **arguments)
+        current = table.read(version=base.version)
+        state = IN_PLACE[kind](current, **arguments)
+        if state.df is current.df:  # only the specification changes, as with another default
+            return base if state.spec == current.spec else table.evolve(state.spec, base)
         return table.publish(state, base=base, rebalance=kind in REGROUPING or _moves(base, state.spec))
     if kind in INTO_OTHER:
         if into is None:

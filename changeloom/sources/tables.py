@@ -23,6 +23,11 @@ from ..model import KeyedTable, SystemColumns, TableSpec
 
 BUCKET = "__bucket"
 
+#: File systems whose rename is one step and refuses a name that is taken.
+_EXCLUSIVE_RENAME = ("hdfs", "abfs", "abfss")
+# Fixed value: the file system option for a write that only succeeds where nothing is yet.
+_ONLY_IF_ABSENT = "fs.option.create.conditional.overwrite"
+
 
 @dataclass(frozen=True)
 class Commit:
@@ -219,22 +224,43 @@ class VersionedTable:
         return [int(n.split("=", 1)[1]) for n in names if n.startswith(f"{BUCKET}=")]
 
     def _commit(self, commit: Commit) -> None:
-        """Put the commit file in place in one step: write it aside, then rename; an existing one wins."""
-        fs = self._fs()
-        target = self._path(f"commits/{commit.version:010d}.json")
-        aside = self._path(f"commits/.{commit.version:010d}.{self._jvm().java.util.UUID.randomUUID()}")
-        out = fs.create(aside, False)
+        """Put the commit file in place in one step that fails if there is one, so that of several writers one wins.
+
+        Local files are written aside and linked, HDFS and hierarchical stores rename, S3 takes a conditional
+        write. Other stores offer no such step here and are refused.
+        """
+        self._fs().mkdirs(self._path("commits"))
+        folder = self._fs().resolvePath(self._path("commits"))
+        fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        scheme, hadoop = folder.toUri().getScheme(), self._jvm().org.apache.hadoop.fs.Path
+        target, aside = hadoop(folder, f"{commit.version:010d}.json"), hadoop(folder, f".{commit.version:010d}.{uuid.uuid4().hex}")
+        content = bytearray(commit.to_json().encode())
         try:
-            out.write(bytearray(commit.to_json().encode()))
-        finally:
+            if scheme == "s3a":
+                out = fs.createFile(target).overwrite(False).must(_ONLY_IF_ABSENT, True).build()
+                out.write(content)
+                out.close()
+                return
+            if scheme != "file" and scheme not in _EXCLUSIVE_RENAME:
+                raise ChangeError(f"Tables cannot be published safely on <{scheme}>")
+            out = fs.create(aside, False)
+            out.write(content)
             out.close()
-        try:
-            moved = not fs.exists(target) and fs.rename(aside, target)
-        except Py4JJavaError:
-            moved = False
-        if not moved:
-            fs.delete(aside, False)
-            raise ChangeError(f"Version {commit.version} of <{self.path}> was published by someone else")
+            if scheme == "file":
+                here, there = (self._jvm().java.io.File(p.toUri().getPath()).toPath() for p in (aside, target))
+                self._jvm().java.nio.file.Files.createLink(there, here)
+                won = True
+            else:
+                won = fs.rename(aside, target)
+        except Py4JJavaError as e:
+            if not fs.exists(target):
+                raise
+            won, cause = False, e
+        else:
+            cause = None
+        fs.delete(aside, False)
+        if not won:
+            raise ChangeError(f"Version {commit.version} of <{self.path}> was published by someone else") from cause
 
     def _jvm(self):
         return self.spark.sparkContext._jvm

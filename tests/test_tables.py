@@ -2,6 +2,8 @@
 
 import json
 import os
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 import pytest
 from helpers import END, SYS, rows, ts
@@ -167,6 +169,59 @@ def test_failed_batch_changes_nothing(spark, tmp_path, put, monkeypatch):
         batches.load(table, twice, check=True)
 
 
+def test_one_of_several_writers_wins(spark, tmp_path):
+    table = VersionedTable.create(spark, str(tmp_path / "t"), BOOKS)
+    nexts = [replace(table.head(), version=2, stream={"writer": k}) for k in range(8)]
+
+    def won(commit):
+        try:
+            table._commit(commit)
+        except ChangeError:
+            return None
+        return commit.stream["writer"]
+
+    with ThreadPoolExecutor(8) as pool:
+        winners = [w for w in pool.map(won, nexts) if w is not None]
+    assert [table.head().stream["writer"]] == winners
+    assert table.versions() == [1, 2]
+
+
+def test_truncation_leaves_other_buckets_alone(spark, tmp_path):
+    table = VersionedTable.create(spark, str(tmp_path / "t"), BOOKS, buckets=8)
+    batches.load(table, spark.createDataFrame([(i, "a", 1, False, ts(f"2024-01-{i:02} 00:00:00")) for i in range(1, 29)], BOOKS.schema()))
+    before = table.head().folders
+    batches.truncate(table, SYS.synced, 1_704_153_600 * 10**9)  # 2024-01-02: one row is older
+    assert {r[0] for r in rows(table.read(), "id")} == set(range(2, 29))
+    changed = {b for b, folder in before.items() if table.head().folders.get(b) != folder}
+    assert len(changed) == 1
+    batches.truncate(table, SYS.synced, 0)
+    assert {r[0] for r in rows(table.read(), "id")} == set(range(2, 29))
+
+
+def test_another_default_writes_no_data(spark, tmp_path):
+    table = VersionedTable.create(spark, str(tmp_path / "t"), BOOKS)
+    batches.load(table, spark.createDataFrame([(1, "a", 1, False, None)], BOOKS.schema()))
+    folders = table.head().folders
+    migrate(table, "add_column_with_default_value", column=Column("n", T.IntegerType(), default="7"))
+    assert table.spec()["n"].default == "7" and table.head().folders == folders
+    assert rows(table.read(), "id", "n") == [(1, 1)]
+
+
+def test_versions_sent_again_are_refused(spark, tmp_path, put, size):
+    table = VersionedTable.create(spark, str(tmp_path / "h"), VERSIONS, buckets=4)
+    head = f"id,title,{SYS.start},{SYS.end},{SYS.active}"
+    first = put("first.csv", head, f"1,a,2024-01-01T00:00:00Z,{END},true", f"2,b,2024-01-01T00:00:00Z,{END},true")
+    batches.write_history_batch(table, BatchFiles(replace=(first,)), OPTIONS)
+    with pytest.raises(UserActionError, match="key of their own"):
+        batches.write_history_batch(table, BatchFiles(replace=(first,)), OPTIONS)
+    unkeyed = put("unkeyed.csv", head, f"3,c,{TOKEN},{END},true")
+    with pytest.raises(UserActionError, match="key of their own"):
+        batches.write_history_batch(table, BatchFiles(replace=(unkeyed,)), OPTIONS)
+    starts = put("starts.csv", f"id,{SYS.start}", "1,2024-01-01T00:00:00Z", "2,2024-01-01T00:00:00Z")
+    batches.write_history_batch(table, BatchFiles(replace=(first,), earliest=(starts,)), OPTIONS)
+    assert rows(table.read(), "id", "title") == [(1, "a"), (2, "b")]
+
+
 def test_slower_writer_fails(spark, tmp_path):
     table = VersionedTable.create(spark, str(tmp_path / "t"), BOOKS)
     base = table.head()

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +13,7 @@ from pyspark.sql import types as T
 from changeloom import BatchFiles, Column, KeyedTable, ReadOptions
 from changeloom.functions.types import spark_type
 from changeloom.plans.batches import load as load_table
-from changeloom.plans.batches import write_batch, write_history_batch
+from changeloom.plans.batches import truncate, write_batch, write_history_batch
 from changeloom.plans.migrations import migrate
 from changeloom.session import scratch_path
 from changeloom.sources.change_files import read_changes
@@ -62,6 +64,34 @@ def csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# An empty zstd frame that readers skip: what stands between the frames of a file below.
+_EMPTY_FRAME = "P*M\x18\0\0\0\0"
+
+
+@query("SELECT doc_id, text, source FROM documents")
+def csv_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that are compressed without saying so in their name, made by the executors."""
+    documents = load(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    quoted = [F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')) for c in ("text", "source")]
+    cells = [F.coalesce(c, F.lit(TOKEN)) for c in (F.col("doc_id").cast("string"), *quoted)]
+
+    def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def frame(lines: list[str]) -> pa.RecordBatch:
+            packed = pa.compress("".join(f"{x}\n" for x in lines).encode(), codec="zstd", asbytes=True)
+            return pa.RecordBatch.from_arrays([pa.array([packed], pa.binary())], ["value"])
+
+        yield frame(["doc_id,text,source"])
+        for batch in batches:
+            if batch.num_rows:
+                yield frame(batch.column(0).to_pylist())
+
+    lines = documents.select(F.concat_ws(",", *cells).alias("line")).repartition(spark.sparkContext.defaultParallelism)
+    path = scratch_path(spark, "frames")
+    packed = lines.mapInArrow(frames, "value binary").select(F.col("value").cast("string"))
+    packed.write.option("lineSep", _EMPTY_FRAME).text(path)
+    return read_changes(spark, parts(spark, path), _columns(documents), OPTIONS).select(*documents.columns)
+
+
 @query("SELECT doc_id, text || ' 5\" x' AS text, source FROM documents WHERE text IS NOT NULL")
 def csv_split_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Split reading of cells that hold quotes but are not quoted, as far as a text may go unquoted."""
@@ -263,6 +293,30 @@ def table_migration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copy.read().df
 
 
+@query("SELECT * FROM orders")
+def copy_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A published table copied into another one."""
+    table = _table_of(spark, keyed(load(spark, sf_dir, "orders"), "o_orderkey"), buckets=4)
+    copy = VersionedTable(spark, scratch_path(spark, "copy"), SYS)
+    migrate(table, "copy_table", into=copy)
+    return copy.read().df
+
+
+@query("SELECT * FROM events WHERE ts IS NULL OR ts >= TIMESTAMP '2024-01-10'")
+def table_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows loaded before a moment leave a published table; only buckets that hold some are written anew."""
+    table = _table_of(spark, keyed(load(spark, sf_dir, "events"), "event_id"), buckets=8)
+    truncate(table, "ts", 1_704_844_800 * 10**9)  # 2024-01-10
+    return table.read().df
+
+
+@query("SELECT c_custkey, c_name AS full_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def table_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table_of(spark, keyed(load(spark, sf_dir, "customer"), "c_custkey"), buckets=4)
+    migrate(table, "rename_column", from_column="c_name", to_column="full_name")
+    return table.read().df
+
+
 @query("""
     SELECT * EXCLUDE (n) REPLACE (CASE n WHEN 1 THEN 'first' ELSE 'second' END AS o_orderstatus) FROM (
         SELECT *, CASE WHEN o_orderpriority = '1-URGENT' THEN 2 ELSE 1 END AS n FROM orders)""")

@@ -119,6 +119,15 @@ def hist_append_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.append_versions(keyed(older.select(*VERSIONS), "user_id", "valid_from"), new_versions(spark, sf_dir)).df
 
 
+@query(f"""
+    SELECT user_id, ts AS valid_from, CAST(COUNT(*) + COUNT(*) FILTER (WHERE ts < TIMESTAMP '{LOADED}') AS BIGINT) AS row_count
+    FROM events WHERE ts >= TIMESTAMP '{RESENT}' GROUP BY user_id, ts
+    HAVING user_id IS NULL OR COUNT(*) + COUNT(*) FILTER (WHERE ts < TIMESTAMP '{LOADED}') > 1""")
+def hist_resent_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions sent again without earliest starts: the keys that a batch is refused for."""
+    return history.refused_versions(loaded_table(spark, sf_dir), versions_of(_resent(spark, sf_dir)))
+
+
 def _close_deleted_sql(source: str) -> str:
     hit = "is_current AND d.user_id IS NOT NULL"
     return f"""

@@ -143,11 +143,6 @@ def add_column_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer.df
 
 
-@query("SELECT * FROM orders")
-def copy_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return modes.copy_table(keyed(load(spark, sf_dir, "orders"), "o_orderkey")).df
-
-
 # --- modes ---
 
 
