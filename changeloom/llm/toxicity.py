@@ -16,12 +16,11 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeloom.llm.common import bounded_sample, fold_of, staged, with_python
@@ -95,31 +94,22 @@ def density_of(text: str | None, automaton: ahocorasick.Automaton | None) -> flo
     return 100 * total / (len(words) + 10)
 
 
-@lru_cache(50_000)
-def _terms_of(word: str) -> tuple[str, ...]:
-    return (f" {word} ", *[" " + word[:size] for size in PREFIXES if len(word) >= size])
-
-
-def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per term and label: occurrences after different words of a row, and a bitmap of the words before it."""
-    counts: dict[str, list] = {}
+def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per word and label: occurrences after different words of a row, and a bitmap of the words before it."""
+    counts: dict[str, list[int]] = {}
 
     def out() -> pd.DataFrame:
-        rows = [(t, *c[:4], sorted(c[4]) if c[4] else None) for t, c in counts.items()]
-        return pd.DataFrame(rows, columns=["term", "clean", "toxic", "clean_bits", "toxic_bits", "words"])
+        return pd.DataFrame([(w, *c) for w, c in counts.items()], columns=["word", "clean", "toxic", "clean_bits", "toxic_bits"])
 
     for batch in batches:
         for text, label in zip(batch["text"], batch["label"], strict=True):
             words, label = folded_words(text), int(label)
+            bits = {word: 1 << (zlib.crc32(word.encode()) % 63) for word in {"", *words}}
             for before, word in set(zip(["", *words], words)):
-                bit = np.int64(1 << (zlib.crc32(before.encode()) % 63))
-                for term in _terms_of(word):
-                    if (found := counts.get(term)) is None:
-                        counts[term] = found = [0, 0, 0, 0, None]
-                    found[label] += 1
-                    found[2 + label] |= int(bit)
-                    if label and len(found[4] or ()) < PREFIX_WORDS:
-                        found[4] = {word} if found[4] is None else found[4] | {word}
+                if (found := counts.get(word)) is None:
+                    counts[word] = found = [0, 0, 0, 0]
+                found[label] += 1
+                found[2 + label] |= bits[before]
             if len(counts) > FLUSH:
                 yield out()
                 counts.clear()
@@ -127,6 +117,12 @@ def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out()
 
 
+def _terms_of(word: Column) -> Column:
+    """The terms that a word counts for: itself, and its beginnings."""
+    starts = [F.when(F.length(word) >= size, F.concat(F.lit(" "), F.substring(word, 1, size))) for size in PREFIXES]
+    return F.array_compact(F.array(F.concat(F.lit(" "), word, F.lit(" ")), *starts))
+
+
 def _spread(count: int, bits: int) -> float:
     """Different words before a term, estimated from its bitmap; a full bitmap says no more than the count."""
     filled = bits.bit_count()
@@ -180,22 +176,25 @@ def learn(labelled: DataFrame, *, train_rows: int = TRAIN_ROWS) -> Lexicon:
     totals = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if not totals.get(0) or not totals.get(1):
         return Lexicon({}, set(), 0.0, 20.0 if totals.get(1) else -20.0)
-    counts = (
+    sums = [F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")]
+    sums += [F.bit_or("clean_bits").alias("clean_bits"), F.bit_or("toxic_bits").alias("toxic_bits")]
+    by_word = (
         with_python(rows.select("text", "label"))
-        .mapInPandas(_term_counts, "term string, clean long, toxic long, clean_bits long, toxic_bits long, words array<string>")
+        .mapInPandas(_word_counts, "word string, clean long, toxic long, clean_bits long, toxic_bits long")
+        .groupBy("word")
+        .agg(*sums)
+    )
+    counts = (
+        by_word.withColumn("term", F.explode(_terms_of(F.col("word"))))
         .groupBy("term")
-        .agg(
-            F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"),
-            F.bit_or("clean_bits").alias("clean_bits"), F.bit_or("toxic_bits").alias("toxic_bits"),
-            F.flatten(F.collect_set("words")).alias("words"),
-        )
-    )
+        .agg(*sums, F.count_if(F.col("toxic") > 0).alias("words"))
+    )
     words = rows.select("label", F.size(F.split(F.col("text"), r"\s+")).alias("n")).groupBy("label").agg(F.sum("n").alias("n"))
     sizes = {r["label"]: float(r["n"] or 1) for r in words.collect()}
     odds = F.log((F.col("toxic") + 0.5) / (sizes[1] + 1)) - F.log((F.col("clean") + 0.5) / (sizes[0] + 1))
     likely = (
         counts.filter((F.bit_count("toxic_bits") >= MIN_SPREAD) & (odds >= MIN_LOG_ODDS))
-        .filter(F.col("term").endswith(" ") | (F.size(F.array_distinct("words")) >= PREFIX_WORDS))
+        .filter(F.col("term").endswith(" ") | (F.col("words") >= PREFIX_WORDS))
         .orderBy(F.desc(odds * F.col("toxic")), "term")
         .limit(MAX_TERMS)
         .collect()
