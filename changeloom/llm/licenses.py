@@ -1,10 +1,12 @@
-"""Licence scans: a trained paragraph classifier, a calibrated unknown class, and templates that confirm.
+"""Licence scans: a trained classifier, a calibrated unknown class, and templates that confirm.
 
-Paragraphs are lines that are not blank. Features are hashed words and word pairs; a multinomial logistic regression
+Paragraphs are blocks between lines without words, joined over line ends and comment marks. What is classified are
+their lines and overlapping windows of their words, in several lengths, so that a notice is seen whole wherever it is
+wrapped and whatever surrounds it. Features are hashed words and word pairs; a multinomial logistic regression
 tells licence families from each other and from everything else. It is trained on the notices below, cut, thinned out
-and embedded in other words, against a bounded sample of paragraphs that resemble no notice. A temperature and the
-probability from which a family is believed are set on examples kept aside. A prediction counts only if the paragraph
-holds enough of one of the family's notices.
+and embedded in other words, against a bounded sample of lines that resemble no notice. A
+temperature and the probability from which a family is believed are set on examples kept aside. A prediction counts
+only if the window holds enough of one of the family's notices, in word pairs that no better prediction rests on.
 """
 
 from __future__ import annotations
@@ -54,34 +56,55 @@ UNKNOWN = len(FAMILIES)
 BITS = 16
 #: Paragraphs outside licences that the classifier sees, at most (about), and copies made of each notice.
 TRAIN_PARAGRAPHS, COPIES = 6_000, 60
-#: Share of a notice's word pairs that a paragraph must hold to confirm the family.
+#: Lengths and strides, in words, of the windows of a paragraph. Every notice lies whole in one of some length.
+WINDOWS = ((12, 6), (24, 8), (48, 16))
+#: Share of a notice's word pairs that a line or window must hold to confirm the family.
 CONFIRMED = 0.6
 #: Paragraphs outside licences that may pass the calibrated probability, as a share.
 PASSING = 0.002
 EPOCHS, BATCH, RATE, L2 = 6, 64, 0.5, 1e-5
 REMEMBERED = 200_000
-_TOKEN = re.compile(r"\n|\w+")
+#: Line ends, with the comment marks that are words where a line starts with one, and words.
+_TOKEN = re.compile(r"\n(?:[^\w\n]*(?:rem|dnl|c)(?=[^\S\n]))?|\w+")
 
 
 class _Words(dict):
     def __missing__(self, word: str) -> int:
         if len(self) >= REMEMBERED:
             self.clear()
-        self[word] = value = -1 if word == "\n" else zlib.crc32(word.encode())
+        self[word] = value = -1 if word[0] == "\n" else zlib.crc32(word.encode())
         return value
 
 
+def _read(text: str | None, words: _Words) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of a text, and the number of each word's line."""
+    found = _TOKEN.findall("\n" + text.lower()) if text else []
+    hashes = np.fromiter(map(words.__getitem__, found), np.int64, len(found))
+    return hashes[hashes >= 0], np.cumsum(hashes < 0)[hashes >= 0]
+
+
+def _starts(line: np.ndarray, apart: int) -> np.ndarray:
+    """Where the lines of words that are not empty (1 apart), or the paragraphs (2 apart), begin."""
+    return np.append(0, 1 + np.flatnonzero(np.diff(line) >= apart))
+
+
 def paragraphs(text: str | None, words: _Words) -> list[np.ndarray]:
     """Word hashes of every paragraph that holds a word."""
-    found = _TOKEN.findall(text.lower()) if text else []
-    hashes = np.fromiter(map(words.__getitem__, found), np.int64, len(found))
-    return [p for p in np.split(hashes[hashes >= 0], _starts(hashes)) if len(p)]
+    p, line = _read(text, words)
+    return np.split(p, _starts(line, 2)[1:]) if len(p) else []
 
 
-def _starts(hashes: np.ndarray) -> np.ndarray:
-    """Where paragraphs begin among the words: at the words that follow a line end."""
-    breaks = np.flatnonzero(hashes < 0)
-    return np.unique(breaks - np.arange(len(breaks)))
+def _units(line: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Starts and ends of what is classified: the lines, then the windows of each length, which end with their paragraph."""
+    starts = _starts(line, 1)
+    yield starts, np.append(starts[1:], len(line))
+    starts = _starts(line, 2)
+    ends = np.append(starts[1:], len(line))
+    for length, stride in WINDOWS:
+        number = 1 + np.maximum(0, -(-(ends - starts - length) // stride))
+        owner = np.repeat(np.arange(len(starts)), number)
+        begin = starts[owner] + stride * (np.arange(len(owner)) - (np.cumsum(number) - number)[owner])
+        yield begin, np.minimum(begin + length, ends[owner])
 
 
 def _pairs(p: np.ndarray) -> np.ndarray:
@@ -171,33 +194,75 @@ def learn(docs: DataFrame, *, text_col: str = "text") -> tuple[np.ndarray, float
     return np.frombuffer(model["weights"], np.float32).reshape(-1, UNKNOWN + 1), model["temperature"], model["believed"]
 
 
+class _Scanner:
+    """Finds the licences of texts; one per task."""
+
+    def __init__(self, weights: np.ndarray, temperature: float, believed: float) -> None:
+        notices = _notices()
+        self.words, self.weights, self.temperature, self.believed = _Words(), weights, temperature, believed
+        self.family = np.array([family for family, _ in notices])
+        self.pairs = np.unique(np.concatenate([_pairs(n) for _, n in notices]))
+        self.holds = np.array([np.isin(self.pairs, _pairs(n)) for _, n in notices])
+        self.sizes = self.holds.sum(axis=1)
+
+    def find(self, text: str | None) -> list[tuple[str, float, float, int]]:
+        """(family, probability, similarity, line on which its paragraph starts) of the lines and windows that name a licence."""
+        p, line = _read(text, self.words)
+        pairs = _pairs(p)
+        place = np.searchsorted(self.pairs, pairs).clip(max=len(self.pairs) - 1)
+        at = np.flatnonzero(self.pairs[place] == pairs)
+        ids = place[at]
+        if not len(at):
+            return []
+        # Only what holds enough of a notice can be confirmed, so only that is classified. Repeated pairs count at first.
+        counts = np.zeros((len(at) + 1, len(self.sizes)), np.int32)
+        np.cumsum(self.holds.T[ids], axis=0, out=counts[1:])
+        spans = []
+        for start, end in _units(line):
+            lo, hi = np.searchsorted(at, start), np.searchsorted(at, end - 1)
+            some = np.flatnonzero(hi > lo)
+            some = some[((counts[hi[some]] - counts[lo[some]]) / self.sizes >= CONFIRMED).any(axis=1)]
+            spans += zip(start[some].tolist(), end[some].tolist(), lo[some].tolist(), hi[some].tolist(), strict=True)
+        spans = sorted(set(spans))
+        if not spans:
+            return []
+        chances = _softmax(_logits(self.weights, [features(p[a:b]) for a, b, _, _ in spans]) / self.temperature)
+        found = []
+        for k in np.flatnonzero((chances.argmax(axis=1) != UNKNOWN) & (chances.max(axis=1) >= self.believed)).tolist():
+            start, _, lo, hi = spans[k]
+            family, chance = int(chances[k].argmax()), float(chances[k].max())
+            alike = np.where(self.family == family, self.holds[:, np.unique(ids[lo:hi])].sum(axis=1) / self.sizes, 0)
+            if alike.max() >= CONFIRMED:
+                found.append((-chance * float(alike.max()), start, family, chance, float(alike.max()), int(alike.argmax()), lo, hi))
+        # Windows that cut a notice may take it for another family's: a word pair counts for the best prediction's family only.
+        owner, kept = np.full(len(at), -1), []
+        blocks = _starts(line, 2)
+        for _, start, family, chance, alike, notice, lo, hi in sorted(found):
+            own = lo + np.flatnonzero(self.holds[notice, ids[lo:hi]])
+            own = own[(owner[own] < 0) | (owner[own] == family)]
+            if len(np.unique(ids[own])) >= CONFIRMED * self.sizes[notice]:
+                owner[own] = family
+                kept.append((FAMILIES[family], chance, alike, int(line[blocks[np.searchsorted(blocks, start, "right") - 1]])))
+        return kept
+
+
 def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ``licences`` (families in order), ``paragraphs`` (that name one), ``probability`` and ``similarity`` (the best) of every row.
 
-    Every paragraph of every text is classified. Null, empty and unlicensed texts have no licences, 0 paragraphs and
-    null figures. Repeated rows, null ids and empty tables are fine; other columns are not read.
+    Every line and window of every text is looked at. Null, empty and unlicensed texts have no licences, 0 paragraphs
+    and null figures. Repeated rows, null ids and empty tables are fine; other columns are not read.
     """
     weights, temperature, believed = learn(docs, text_col=text_col)
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # of fixed size
 
     def classify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, model, notices = _Words(), shared.value, _notices()
+        scanner = _Scanner(shared.value, temperature, believed)
         for batch in batches:
             rows = []
             for text in batch["text"]:
-                found: list[tuple[str, float, float]] = []
-                ps = paragraphs(text, words)
-                if ps:
-                    sizes = np.array([2 * len(p) - 1 for p in ps])
-                    index = 1 + np.concatenate([features(p) for p in ps])
-                    sums = np.add.reduceat(model[index], np.append(0, np.cumsum(sizes)[:-1]), axis=0)
-                    chances = _softmax((model[0] + sums / np.sqrt(sizes)[:, None]) / temperature)
-                    best = chances.argmax(axis=1)
-                    for k in np.flatnonzero((best != UNKNOWN) & (chances.max(axis=1) >= believed)).tolist():
-                        alike = max(similarity(ps[k], n) for family, n in notices if family == best[k])
-                        if alike >= CONFIRMED:
-                            found.append((FAMILIES[best[k]], float(chances[k, best[k]]), alike))
-                rows.append((sorted({f[0] for f in found}), len(found), max((f[1] for f in found), default=None), max((f[2] for f in found), default=None)))
+                found = scanner.find(text)
+                best = [max((f[k] for f in found), default=None) for k in (1, 2)]
+                rows.append((sorted({f[0] for f in found}), len({f[3] for f in found}), *best))
             out = pd.DataFrame(rows, columns=["licences", "paragraphs", "probability", "similarity"])
             yield pd.concat([batch[["doc_id"]].reset_index(drop=True), out], axis=1)
 

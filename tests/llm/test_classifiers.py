@@ -103,3 +103,28 @@ def test_licences_of_paragraphs(spark):
     assert got[None]["licences"] == ["gpl-3.0"]
     assert all(r["licences"] == [] and r["probability"] is None for i, r in got.items() if i is not None and i not in (90001, 90002))
     assert licenses.scan(docs.limit(0)).count() == 0
+
+
+def _licences_among_prose(spark, texts):
+    prose = spark.read.parquet(f"{SF}/documents.parquet").filter("NOT text RLIKE '(?i)licen|rights'").limit(400).select("doc_id", "text")
+    docs = prose.union(spark.createDataFrame([(90001 + k, t) for k, t in enumerate(texts)], "doc_id long, text string"))
+    got = {r["doc_id"]: r for r in licenses.scan(docs).collect()}
+    assert all(r["licences"] == [] for i, r in got.items() if i <= 90000)
+    return [got[90001 + k] for k in range(len(texts))]
+
+
+def test_licences_of_notices_that_run_over_lines(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met"
+    isc = "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that"
+    gpl = "it under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or"
+    texts = [
+        bsd,
+        "# Some file\n#\n# " + bsd.replace("\n", "\n# "),
+        "dnl " + isc.replace("\n", "\ndnl "),
+        "/*\n * This program is free software: you can redistribute it and/or modify\n * " + gpl.replace("\n", "\n * ") + "\n * (at your option) any later version.\n */",
+        "All rights\n\nreserved, said the words.",
+        bsd + "\n\n" + isc,
+    ]
+    got = _licences_among_prose(spark, texts)
+    assert [r["licences"] for r in got] == [["bsd"], ["bsd"], ["isc"], ["gpl-3.0"], [], ["bsd", "isc"]]
+    assert [r["paragraphs"] for r in got] == [1, 1, 1, 1, 0, 2] and got[0]["similarity"] == 1
