@@ -4,7 +4,7 @@ Paragraphs are blocks between lines without words, joined over line ends and com
 their lines and overlapping windows of their words, in several lengths, so that a notice is seen whole wherever it is
 wrapped and whatever surrounds it. Features are hashed words and word pairs; a multinomial logistic regression
 tells licence families from each other and from everything else. It is trained on the notices below, cut, thinned out
-and embedded in other words, against a bounded sample of lines that resemble no notice. A
+and embedded in other words, against a bounded sample of lines that resemble no notice, and windows of them. A
 temperature and the probability from which a family is believed are set on examples kept aside. A prediction counts
 only if the window holds enough of one of the family's notices, in word pairs that no better prediction rests on.
 """
@@ -143,11 +143,17 @@ def fit(others: list[np.ndarray]) -> tuple[np.ndarray, float, float]:
     notices = _notices()
     others = [p for p in others if max(similarity(p, n) for _, n in notices) < 0.3] or [np.arange(1, 9)]
     examples = [(features(p), UNKNOWN) for p in others]
+    for p in others:
+        length = WINDOWS[rng.integers(len(WINDOWS))][0]
+        if len(p) > length:
+            a = rng.integers(len(p) - length + 1)
+            examples.append((features(p[a : a + length]), UNKNOWN))
     for family, notice in notices:
+        room = next(length for length, stride in WINDOWS if length - stride >= len(notice)) - len(notice)
         for _ in range(COPIES):
             copy = notice[rng.random(len(notice)) > rng.choice([0.0, 0.0, 0.1, 0.2])]
             around = others[rng.integers(len(others))]
-            a, b = rng.integers(0, 7, 2)
+            a, b = rng.integers(0, 7, 2) if rng.random() < 0.5 else rng.multinomial(rng.integers(room + 1), [0.5, 0.5])
             examples.append((features(np.concatenate([around[:a], copy if len(copy) > 1 else notice, around[len(around) - b :]])), family))
     order = rng.permutation(len(examples))
     aside, used = order[: len(order) // 5], order[len(order) // 5 :]

@@ -128,3 +128,18 @@ def test_licences_of_notices_that_run_over_lines(spark):
     got = _licences_among_prose(spark, texts)
     assert [r["licences"] for r in got] == [["bsd"], ["bsd"], ["isc"], ["gpl-3.0"], [], ["bsd", "isc"]]
     assert [r["paragraphs"] for r in got] == [1, 1, 1, 1, 0, 2] and got[0]["similarity"] == 1
+
+
+def test_licences_inside_long_paragraphs(spark):
+    rng = random.Random(3)
+    words = [w for r in spark.read.parquet(f"{SF}/documents.parquet").limit(50).collect() for w in r["text"].split() if "licen" not in w.lower()]
+    notices = [
+        ("mit", "Released under the MIT License."),
+        ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ]
+    texts = []
+    for _, notice in notices * 10:
+        before, after = (rng.choices(words, k=rng.randrange(500, 1500)) for _ in range(2))
+        texts.append(" ".join([*before, notice, *after]))
+    got = _licences_among_prose(spark, texts)
+    assert [r["licences"] for r in got] == [[family] for family, _ in notices * 10]
