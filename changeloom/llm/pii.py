@@ -29,6 +29,7 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+#: What every match of the fixed expressions holds, and what every match of each shape holds.
 _ANY = re.compile(r"[0-9@]")
 #: Shapes that an identifier of a kind may have where no fixed expression holds.
 _SHAPES = (
@@ -37,6 +38,7 @@ _SHAPES = (
     re.compile(r"(?<![\w-])[0-9](?:[\x20./-]?[0-9]){11,18}(?![\w-])"),
     re.compile(r"(?<![\w+])\(?[0-9]{2,5}\)?(?:[\x20./-]?[0-9]{2,5}){2,4}(?!\w)"),
 )
+_SHAPED = (re.compile(r"@|\(at\)|\[at\]"), re.compile(r"[0-9:]"), re.compile(r"[0-9]"), re.compile(r"[0-9]"))
 
 
 def _luhn(digits: str) -> bool:
@@ -92,7 +94,7 @@ def mentions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, boo
     """(kind, known, start, end, instance, patterns) of the seeds and of whatever has the shape of a kind beside them."""
     out = [(k, True, a, b, text[a:b].lower(), _patterns(text, a, b)) for k, a, b in base]
     for kind, shape in enumerate(_SHAPES):
-        for m in shape.finditer(text):
+        for m in shape.finditer(text) if _SHAPED[kind].search(text) else ():
             a, b = m.span()
             if (kind != 3 or sum(c.isdigit() for c in m[0]) >= 7) and not any(a < y and x < b for _, x, y in base):
                 out.append((kind, False, a, b, m[0].lower(), _patterns(text, a, b)))
@@ -106,7 +108,7 @@ _SEEN = "array<struct<kind:int,known:boolean,start:int,end:int,instance:string,p
 def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         base = [base_spans(t) if t and _ANY.search(t) else [] for t in batch["text"]]
-        seen = [mentions(t, b) if t and _ANY.search(t) else [] for t, b in zip(batch["text"], base, strict=True)]
+        seen = [mentions(t, b) if t else [] for t, b in zip(batch["text"], base, strict=True)]
         as_rows = [[{"kind": k, "start": a, "end": b} for k, a, b in row] for row in base]
         names = ("kind", "known", "start", "end", "instance", "patterns")
         yield pd.DataFrame({

@@ -54,3 +54,12 @@ def test_patterns_find_identifiers_that_no_expression_holds(spark):
         assert r["base_sha256"] == hashlib.sha256(base.encode()).hexdigest()
         assert (r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]) == tuple(sum(k == x for x, _, _ in plain_spans(text)) for k in range(4))
     assert pii.report(docs.limit(0)).count() == 0
+
+
+def test_candidates_in_texts_without_digits(spark):
+    rows = [(k, f"please write to user{k}@example.com about it") for k in range(30)]
+    rows += [(100, "please write to jane(at)example.com about it"), (101, "please write to joe[at]example.com about it"), (102, "please write to nobody about it")]
+    rows += [(200 + k, f"the host 10.0.0.{k} answers") for k in range(30)] + [(300, "the host fe:ed:ba:be answers")]
+    got = {r["doc_id"]: r["spans"] for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[100] == "email:16:35" and got[101] == "email:16:34" and got[102] == ""
+    assert got[300] == "ip:9:20"
