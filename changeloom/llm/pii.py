@@ -2,8 +2,9 @@
 
 Seeds induce lexical patterns: the word before, the two words before, the word after, and both neighbours. Patterns
 and instances form a graph that Spark scores in rounds: a pattern's confidence for a kind is the share of its
-distinct instances that are known to be of the kind, an instance's is the chance that not all of its patterns are
-wrong. Instances found by patterns of high confidence join the known ones and support further patterns.
+distinct instances that are known to be of the kind, where those not known to be of any kind weigh little; an
+instance's is the chance that not all of its patterns are wrong. Instances found by patterns of high confidence join
+the known ones and support further patterns, until a round finds no more.
 """
 
 from __future__ import annotations
@@ -19,9 +20,10 @@ from pyspark.sql import types as T
 from changeloom.llm.common import staged, with_python
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
 #: A pattern is trusted from this share and this many distinct known instances on, an instance from this confidence on.
 PATTERN_SHARE, PATTERN_SUPPORT, INSTANCE = 0.9, 8, 0.9
+#: What an instance that is not known to be of any kind counts against a pattern; one known to be of another kind counts 1.
+UNSEEN = 0.1
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -117,21 +119,25 @@ def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         })
 
 
-def discovered(seen: DataFrame, *, rounds: int = ROUNDS) -> DataFrame:
+def discovered(seen: DataFrame) -> DataFrame:
     """(kind, instance) of the identifiers found through patterns, from rows (kind, known, instance, pattern)."""
     edges = staged(seen.groupBy("pattern", "kind", "instance").agg(F.max("known").alias("known")), "pii-edges")
     # What a pattern surrounds, known or not: a text of several shapes counts once.
-    around = staged(edges.select("pattern", "instance").distinct().groupBy("pattern").count(), "pii-patterns")
+    spots = staged(edges.select("pattern", "instance").distinct(), "pii-spots")
+    around = staged(spots.groupBy("pattern").count(), "pii-patterns")
     seeds = edges.filter("known").select("kind", "instance").distinct().withColumn("confidence", F.lit(1.0))
-    known = seeds
-    for _ in range(rounds):
+    known = staged(seeds, "pii-known")
+    while True:
         support = edges.join(known, ["kind", "instance"]).groupBy("pattern", "kind").agg(
             F.sum("confidence").alias("sum"), F.count("*").alias("support")
         )
+        named = spots.join(known.select("instance").distinct(), "instance").groupBy("pattern").agg(F.count("*").alias("named"))
         trusted = (
-            support.join(around, "pattern")
-            .withColumn("share", F.col("sum") / (F.col("count") + 0.5))
-            .filter((F.col("share") >= PATTERN_SHARE) & (F.col("support") >= PATTERN_SUPPORT))
+            support.filter(F.col("support") >= PATTERN_SUPPORT)
+            .join(around, "pattern")
+            .join(named, "pattern")
+            .withColumn("share", F.col("sum") / (F.col("named") + UNSEEN * (F.col("count") - F.col("named")) + 0.5))
+            .filter(F.col("share") >= PATTERN_SHARE)
             .select("pattern", "kind", "share")
         )
         found = (
@@ -141,7 +147,10 @@ def discovered(seen: DataFrame, *, rounds: int = ROUNDS) -> DataFrame:
             .agg((1 - F.exp(F.sum(F.log(1 - F.col("share"))))).alias("confidence"))
             .filter(F.col("confidence") >= INSTANCE)
         )
-        known = staged(seeds.union(found.join(seeds.select("kind", "instance"), ["kind", "instance"], "left_anti")), "pii-known")
+        new = staged(found.join(known, ["kind", "instance"], "left_anti"), "pii-found")
+        if new.isEmpty():
+            break
+        known = staged(known.union(new), "pii-known")
     return known.join(seeds.select("kind", "instance"), ["kind", "instance"], "left_anti").select("kind", "instance")
 
 

@@ -63,3 +63,34 @@ def test_candidates_in_texts_without_digits(spark):
     got = {r["doc_id"]: r["spans"] for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[100] == "email:16:35" and got[101] == "email:16:34" and got[102] == ""
     assert got[300] == "ip:9:20"
+
+
+def _found(spark, rows):
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    return [r["spans"] for r in pii.report(docs).orderBy("doc_id").collect()]
+
+
+def test_unseen_forms_do_not_count_like_contradictions(spark):
+    plain = [f"you can call desk +1 (3{k:02d}) 555-{1000 + k} soon" for k in range(20)]
+    unseen = [f"then call desk 988-555-{2000 + k} soon" for k in range(8)]
+    assert _found(spark, plain + unseen)[20:] == ["phone:15:27"] * 8
+    # Where as many cards as telephones follow, nothing is learned.
+    cards = [f"you can call desk 4{k:03d} soon".replace(f"4{k:03d}", n) for k, n in enumerate(_cards(20))]
+    assert _found(spark, plain + unseen + cards)[20:28] == [""] * 8
+
+
+def _cards(number: int) -> list[str]:
+    out = []
+    for k in range(number):
+        digits = f"41111111111{k:04d}"
+        out.append(next(digits + str(d) for d in range(10) if luhn(digits + str(d))))
+    return out
+
+
+def test_rounds_go_on_while_they_find_more(spark):
+    # Every context shows the identifiers of one group, and those of the next group, which no other context before shows.
+    sizes = (40, 36, 32, 28, 24, 20)
+    form = lambda group, k: f"9{group}8-555-{2000 + k}" if group else f"+1 (3{k:02d}) 555-{1000 + k}"
+    rows = [f"go ctx{c} {form(group, k)} end{c}" for c in range(5) for group in (c, c + 1) for k in range(sizes[group])]
+    found = _found(spark, rows)
+    assert all(found)
