@@ -102,8 +102,8 @@ def depths(calls: DataFrame) -> DataFrame:
     return state.select("conv_id", "call_id", F.when(F.col("to").isNull(), F.col("depth")).alias("depth"))
 
 
-def tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
-    """One record for every call, and for every result that no call has.
+def tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], others: DataFrame | None = None) -> DataFrame:
+    """One record for every call, for every result that no call has, and for every other turn.
 
     ``calls`` has conv_id, turn, call_id, name, arguments (JSON) and after (the identifier of the call whose result it
     uses, or null); ``results`` has conv_id, turn, call_id and content. Other columns are not read. The result has
@@ -114,6 +114,9 @@ def tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
     "repeated"; results likewise. Equal rows are one record with their number of copies. A dependence on an unknown call is none; calls on or
     behind a cycle have a null depth. Arguments that are null, no JSON, or for a tool without schema are invalid and
     kept as text. Empty tables give an empty result.
+
+    ``others`` has conv_id, turn, role and text of turns that are neither call nor result. Their records hold role and
+    text; they have the status "no call", no identifier, a null depth and no problem, and are not valid calls.
     """
     calls = calls.select("conv_id", "turn", "call_id", "name", "arguments", "after")
     linked = _linked(calls, results.select("conv_id", "turn", "call_id", "content"))
@@ -140,7 +143,25 @@ def tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     shape = f"conv_id {kinds['conv_id']}, turn {kinds['turn']}, depth long, call_id string, status string, copies long, valid boolean, problem string, json string"
-    return with_python(rows).mapInPandas(write, shape)
+    records = with_python(rows).mapInPandas(write, shape)
+    return records if others is None else records.unionByName(_carried(others))
+
+
+def _carried(others: DataFrame) -> DataFrame:
+    """Records of turns that are neither call nor result. Equal rows are one with their number of copies."""
+    turns = others.groupBy("conv_id", "turn", "role", "text").agg(F.count("*").alias("copies"))
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            fields = batch[["role", "text"]].astype(object)
+            pairs = fields.where(fields.notna(), None).itertuples(index=False)
+            out = [(None, None, "no call", False, None, canonical({"role": role, "status": "no call", "text": text})) for role, text in pairs]
+            extra = pd.DataFrame(out, columns=["depth", "call_id", "status", "valid", "problem", "json"])
+            yield pd.concat([batch[["conv_id", "turn", "copies"]].reset_index(drop=True), extra], axis=1)
+
+    kinds = {f.name: f.dataType.simpleString() for f in turns.schema}
+    shape = f"conv_id {kinds['conv_id']}, turn {kinds['turn']}, copies long, depth long, call_id string, status string, valid boolean, problem string, json string"
+    return with_python(turns).mapInPandas(write, shape)
 
 
 #: What a turn of the conversations is checked against when it is read as a call.
@@ -163,7 +184,7 @@ def identifier(conv_id: Column, turn: Column) -> Column:
 def conversation_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results that conversations (conv_id, turn, role, text) stand for: a user's turn asks, an assistant's answers the turn before.
 
-    A question uses the answer to the question two turns earlier. Other roles are neither.
+    A question uses the answer to the question two turns earlier. Other roles are neither; ``other_turns`` has them.
     """
     conv, turn = F.col("conv_id"), F.col("turn")
     question = F.to_json(F.struct(F.col("text").alias("question"), turn.alias("turn"), F.regexp_count("text", F.lit(r"\S+")).alias("words")))
@@ -172,3 +193,8 @@ def conversation_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     results = conversations.filter("role = 'assistant'").select("conv_id", "turn", identifier(conv, turn - 1).alias("call_id"), F.col("text").alias("content"))
     return calls, results
+
+
+def other_turns(conversations: DataFrame) -> DataFrame:
+    """The turns that ``conversation_calls`` takes for neither call nor result: system, tool, any other role and none."""
+    return conversations.filter("role IS NULL OR role NOT IN ('user', 'assistant')").select("conv_id", "turn", "role", "text")

@@ -59,8 +59,9 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    calls, results = chat.conversation_calls(load(spark, sf_dir, "conversations"))
-    return chat.tool_calls(calls, results, {"ask": chat.ASK})
+    conversations = load(spark, sf_dir, "conversations")
+    calls, results = chat.conversation_calls(conversations)
+    return chat.tool_calls(calls, results, {"ask": chat.ASK}, chat.other_turns(conversations))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

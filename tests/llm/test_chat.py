@@ -1,6 +1,6 @@
 import json
 
-from changeloom.llm import chat
+from changeloom.llm import chat, queries
 
 SCHEMAS = {"add": {"type": "object", "required": ["a"], "properties": {"a": {"type": "integer", "minimum": 0}}, "additionalProperties": False}}
 CALL = "conv_id long, turn long, call_id string, name string, arguments string, after string, depth string"
@@ -74,3 +74,26 @@ def test_turns_of_conversations(spark):
     assert rows[1, 0]["valid"] and json.loads(rows[1, 0]["json"])["arguments"] == {"question": 'say "hi"\n', "turn": 0, "words": 2}
     assert rows[1, 2]["problem"] == "$.question: minLength" and rows[1, 2]["depth"] == 1
     assert rows[2, 5]["status"] == "result without call" and rows[3, 0]["problem"] == "$.question: missing"
+
+
+def test_every_turn_has_a_record(spark, tmp_path):
+    turns = [(1, 0, "system", 'be "kind"\n'), (1, 1, "user", "hi"), (1, 2, "assistant", "hello"), (1, 3, "tool", None), (1, 4, None, "x"), (2, 0, "system", "s"), (2, 0, "system", "s"), (None, 0, "system", "")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    rows = queries.op10_chat(spark, str(tmp_path)).collect()
+    by = {(r["conv_id"], r["turn"]): r for r in rows}
+    assert len(rows) == len(by) == 6 and sorted(r["status"] for r in rows) == ["linked"] + ["no call"] * 5
+    assert json.loads(by[1, 1]["json"])["result"] == "hello"
+    for conv, turn, role, text in turns:
+        if role not in ("user", "assistant"):
+            r = by[conv, turn]
+            assert r["json"] == chat.canonical({"role": role, "status": "no call", "text": text})
+            assert (r["depth"], r["call_id"], r["valid"], r["problem"]) == (None, None, False, None)
+    assert by[2, 0]["copies"] == 2
+
+
+def test_turns_of_given_conversations_are_all_there(spark):
+    sf = "/root/testdata/sf0.1"
+    told = spark.read.parquet(f"{sf}/conversations.parquet")
+    rows = queries.op10_chat(spark, sf).collect()
+    others = told.filter("role IS NULL OR role NOT IN ('user', 'assistant')").count()
+    assert others > 0 and sum(r["copies"] for r in rows if r["status"] == "no call") == others
