@@ -5,11 +5,14 @@ bit of the value above the block's minimum. A query's scores are sums of such bi
 shifts the bitmaps by the bits of its absolute value, a negative component takes their complements, and full adders
 add the bitmaps of equal weight, three at a time, until one bitmap is left for each bit of the score. The best rows
 are then found from the most significant bitmap downward. Rows of a block lie in the order of their ids, so rows that
-tie at the boundary are resolved exactly, by the smaller id.
+tie at the boundary are resolved exactly, by the smaller id. Vectors too large for 64-bit sums are not in the index;
+their products are taken one by one, in Python's integers.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -24,15 +27,24 @@ from changeloom.llm.common import staged, with_python
 BLOCK = 16_384
 #: Queries that travel together, and queries that are added up together.
 CHUNK, TOGETHER = 256, 32
-#: Components are below this, so that scores fit into 64 bits.
-LIMIT = float(1 << 20)
+#: Components in the index are below this, and so small that scores of their number of dimensions fit into 64 bits.
+LIMIT, SCORES = float(1 << 20), float(1 << 61)
 Bitmap = np.ndarray
 
 
+def _usable(vector: Column) -> Column:
+    return ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+
+
+def _wide(vector: Column) -> Column:
+    """Whether a component is as large as ``LIMIT``, or so large that sums of products might not fit."""
+    limit = F.least(F.lit(LIMIT), F.sqrt(F.lit(SCORES) / F.greatest(F.size(vector), F.lit(1))) / 256)
+    return F.exists(vector, lambda x: F.abs(x) >= limit)
+
+
 def quantised(vector: Column) -> Column:
-    """floor(256 x) of every component; null where a component is null, not finite, or as large as ``LIMIT``."""
-    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) >= LIMIT))
-    return F.when(~bad, F.transform(vector, lambda x: F.floor(x.cast("double") * 256)))
+    """floor(256 x) of every component; null where a component is null, not finite, or too large for the index."""
+    return F.when(_usable(vector) & ~_wide(vector), F.transform(vector, lambda x: F.floor(x.cast("double") * 256)))
 
 
 def pack(bits: np.ndarray) -> Bitmap:
@@ -124,7 +136,8 @@ def search_block(low, widths, maps, ids: np.ndarray, queries: np.ndarray, own: n
 def index(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = BLOCK) -> DataFrame:
     """The bit-sliced index: one row per block, with ids, quantised values of the rows, minima, widths and bitmaps.
 
-    Vectors that are null or hold null, non-finite or huge components (``LIMIT``) and vectors without id take no part.
+    Vectors that are null or hold null or non-finite components and vectors without id take no part; those with huge
+    components (``LIMIT``) are left to :func:`_wide_answers`.
     """
     values = vectors.select(F.col(id_col).cast("long").alias("vec_id"), quantised(F.col(vector_col)).alias("v"))
     values = values.filter("v IS NOT NULL AND vec_id IS NOT NULL").withColumn("dims", F.size("v"))
@@ -145,12 +158,79 @@ def index(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embe
     return staged(built, "topk-index").withColumn("blocks", F.lit(blocks))
 
 
+def _whole(x: float) -> int:
+    return int(x) * 256 if abs(x) >= 1 << 52 else math.floor(256 * x)
+
+
+def _answers(scores: list[int], ids: list[int], k: int) -> list[tuple[int, int, int]]:
+    """(vec_id, score, over) of the k best; ``over`` tells on which side a score leaves 64 bits."""
+    top = heapq.nsmallest(k, range(len(ids)), key=lambda j: (-scores[j], ids[j]))
+    low, high = -(1 << 63), (1 << 63) - 1
+    return [(ids[j], min(max(scores[j], low), high), (scores[j] > high) - (scores[j] < low)) for j in top]
+
+
+def _wide_answers(vectors: DataFrame, found: DataFrame, k: int, every: int, id_col: str, vector_col: str) -> DataFrame | None:
+    """What huge vectors add to the answers: as queries with all rows, as candidates of all queries. None without any."""
+    vector = F.col(vector_col)
+    wide = vectors.filter(F.col(id_col).isNotNull() & _usable(vector) & _wide(vector))
+    wide = wide.select(F.col(id_col).cast("long").alias("vec_id"), F.transform(vector, lambda x: x.cast("double")).alias("x"))
+    wide = staged(wide.withColumn("place", F.monotonically_increasing_id()).withColumn("dims", F.size("x")), "topk-wide")
+    number = wide.count()
+    if not number:
+        return None
+
+    def gather(rows: pd.DataFrame) -> pd.DataFrame:
+        x = np.stack(rows["x"].to_numpy()).astype(np.float64)
+        ids, places = (rows[c].to_numpy(np.int64).tobytes() for c in ("vec_id", "place"))
+        return pd.DataFrame({"dims": [rows["dims"].iloc[0]], "wide_ids": [ids], "places": [places], "x": [x.tobytes()]})
+
+    dealt = wide.withColumn("part", F.pmod(F.xxhash64("place"), F.lit(-(-number // CHUNK))))
+    parts = with_python(dealt).groupBy("dims", "part").applyInPandas(gather, "dims int, wide_ids binary, places binary, x binary")
+    parts = staged(parts, "topk-parts")
+
+    def values(x: bytes, dims: int) -> np.ndarray:
+        return np.array([_whole(c) for c in np.frombuffer(x).tolist()], object).reshape(-1, dims)
+
+    def ints(x: bytes) -> list[int]:
+        return np.frombuffer(x, np.int64).tolist()
+
+    columns = ["query_id", "query_block", "query_row", "vec_id", "score", "over"]
+    shape = "query_id long, query_block long, query_row long, vec_id long, score long, over int"
+
+    def with_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                ids, wide_ids, places, w = ints(row.ids), ints(row.wide_ids), ints(row.places), values(row.x, row.dims)
+                v = np.frombuffer(row.v, np.int64).reshape(len(ids), row.dims).astype(object)
+                asked = [n for n, i in enumerate(ids) if i % every == 0]
+                out = [(ids[n], row.block, n, *a) for n in asked for a in _answers((w @ v[n]).tolist(), wide_ids, k)]
+                out += [(i, -1, at, *a) for i, at, q in zip(wide_ids, places, w, strict=True) if i % every == 0 for a in _answers((v @ q).tolist(), ids, k)]
+                yield pd.DataFrame(out, columns=columns)
+
+    def with_wide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples():
+                ids, places, w, others = ints(row.wide_ids), ints(row.places), values(row.x, row.dims), values(row.other_x, row.dims)
+                other_ids, other_places, out = ints(row.other_ids), ints(row.other_places), []
+                for i, at, q in zip(ids, places, w, strict=True):
+                    if i % every == 0:
+                        there = [n for n, place in enumerate(other_places) if place != at]
+                        out += [(i, -1, at, *a) for a in _answers((others[there] @ q).tolist(), [other_ids[n] for n in there], k)]
+                yield pd.DataFrame(out, columns=columns)
+
+    others = parts.select("dims", F.col("wide_ids").alias("other_ids"), F.col("places").alias("other_places"), F.col("x").alias("other_x"))
+    return (
+        found.select("dims", "block", "ids", "v").join(parts, "dims").mapInPandas(with_blocks, shape)
+        .union(parts.join(others, "dims").mapInPandas(with_wide, shape))
+    )
+
+
 def top_k(vectors: DataFrame, *, k: int = 5, every: int = 50, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id and score of the ``k`` best rows for every row whose id is divisible by ``every``.
 
     A query is compared with all other rows of its length; the row itself is left out, rows that repeat its id or its
     vector are not. Ties go to the smaller id; fewer than ``k`` rows are all returned. See :func:`index` for vectors
-    that take no part; an empty table gives an empty result.
+    that take no part; an empty table gives an empty result. A score among the best that 64 bits do not hold is an error.
     """
     found = index(vectors, id_col=id_col, vector_col=vector_col)
 
@@ -189,7 +269,12 @@ def top_k(vectors: DataFrame, *, k: int = 5, every: int = 50, id_col: str = "vec
 
     pairs = asked.join(found.drop("v", "blocks"), ["dims", "block"])
     answers = pairs.mapInPandas(search, "query_id long, query_block long, query_row long, vec_id long, score long")
+    answers = answers.withColumn("over", F.lit(0))
+    wide = _wide_answers(vectors, found, k, every, id_col, vector_col)
+    if wide is not None:
+        answers = answers.union(wide)
     # The place of the query tells repeated rows with one id apart.
-    order = Window.partitionBy("query_id", "query_block", "query_row").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id", "query_block", "query_row").orderBy(F.desc("over"), F.desc("score"), "vec_id")
     ranked = answers.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    score = F.when(F.col("over") == 0, F.col("score")).otherwise(F.raise_error("A score does not fit into 64 bits").cast("long"))
+    return ranked.select("query_id", F.col("rank").cast("int"), "vec_id", score.alias("score"))

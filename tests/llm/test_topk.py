@@ -48,3 +48,21 @@ def test_sums_of_bitmaps_are_the_products():
     sums, base = topk.add_up(*topk.slices_of(values), queries)
     total = sum(topk.unpack(s)[:, :130].astype(np.int64) << w for w, s in enumerate(sums)) + base[:, None]
     assert (total == queries @ values.T).all()
+
+
+def test_vectors_with_huge_components_take_part(spark):
+    rng = np.random.default_rng(6)
+    rows = [(k, rng.normal(0, 3, 3).tolist()) for k in range(60)]
+    huge = [[float(1 << 20), 0.0, 1.0], [-3e6, 0.5, 2e6], [2.0**21, 2.0**21, 0.25], [2.0**21, 2.0**21, 0.25], [5.5e6, 1.0, -7e6]]
+    rows += [(i, v) for i, v in zip((100, 110, 101, 101, 103), huge, strict=True)] + [(120, [4e6, 1.0]), (7, [-4e6, 0.0, 0.0])]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert got(docs, every=10) == plain(rows, 5, 10)
+    assert got(docs.filter("vec_id >= 100"), every=10) == plain([r for r in rows if r[0] >= 100], 5, 10)
+
+
+def test_many_dimensions_do_not_overflow(spark):
+    rows = [(k, [1e6 if k % 2 else -1e6] * 400) for k in range(4)]
+    with pytest.raises(Exception, match="64 bits"):
+        got(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=2)
+    small = [(k, [3e5 * (1 + k)] * 200) for k in range(3)]
+    assert got(spark.createDataFrame(small, "vec_id long, embedding array<double>"), every=2) == plain(small, 5, 2)
