@@ -33,7 +33,8 @@ def test_run_accounts_for_every_sequence(spark):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
+    for table in ("documents", "embeddings", "labels", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     got = entry.queries()[name](spark, SF)
     expected = con.execute(entry.oracle_sql()[name]).fetchall()
     assert sorted(map(tuple, got.collect())) == sorted(expected)
