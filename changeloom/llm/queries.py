@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm import chat, decontaminate, interleave, licenses, mixing, pii, quality, shards, simhash, topk, toxicity
+from changeloom.llm import chat, decontaminate, filter_audit, interleave, licenses, mixing, pii, quality, shards, simhash, topk, toxicity
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,17 +68,22 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleave.report(load(spark, sf_dir, "documents"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_quality, op3_pii, op4_decontaminate, op5_licenses,
         op6_mixing, op7_token_shards, op8_toxicity, op9_topk, op10_chat,
-        op11_sharding,
+        op11_sharding, op13_filter_audit,
     )
 }
 
 SQL = {
     "op11_sharding": interleave.SQL,
+    "op13_filter_audit": filter_audit.SQL,
     "op9_topk": """
         WITH v AS (
             SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS v

@@ -1,0 +1,84 @@
+import random
+import re
+from collections import Counter
+from itertools import permutations
+
+import pytest
+
+from changeloom.llm import filter_audit
+
+WORD = re.compile(rb"[^\x20\x09-\x0d]+")
+
+
+def plain_counts(text: str):
+    words = WORD.findall(text.encode())
+    return len(words), len(set(words)), sum("A" <= c <= "Z" for c in text), len(text), sum(c in "#$%&*|" for c in text)
+
+
+def plain(docs, labels):
+    """Every order applied to every document, one after the other."""
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, t in labels if t == 1 and i is not None}
+    failed = []
+    for doc_id, text, source in docs:
+        words, different, capitals, points, symbols = plain_counts(text or "")
+        copy = doc_id is not None and any(i is not None and i < doc_id and (t or "") == (text or "") for i, t, _ in docs)
+        fails = dict(zip("ABCDE", (words < 200, 2 * different < words, 50 * capitals > points, symbols > 0, copy)))
+        failed.append((source or "", doc_id, {f for f in fails if fails[f]}))
+    out, shapley = {}, Counter()
+    for order in map("".join, permutations("ABCDE")):
+        for part in {p for p, _, _ in failed}:
+            left, gone = [(i, f) for p, i, f in failed if p == part], []
+            for step, name in enumerate(order, 1):
+                hit = [(i, f) for i, f in left if name in f]
+                redundant = sum(name in f for _, f in gone)
+                left = [(i, f) for i, f in left if name not in f]
+                gone += hit
+                unique = sum(f == {name} for p, _, f in failed if p == part)
+                shapley[part, name] += len(hit)
+                lost = [sum(i in marked for i, _ in hit) for marked in (good, toxic)]
+                out[part, order, step] = (len(left), len(hit), redundant, unique, *lost)
+    return sorted((*k, *v, shapley[k[0], k[1][k[2] - 1]]) for k, v in out.items())
+
+
+@pytest.mark.parametrize("block", [1, 2, 3, 7, 1 << 20])
+def test_transducer_counts_like_expressions(block):
+    rng = random.Random(block)
+    alphabet = ["a", "B", " ", "\n", "\t", "\x0b", "\x0c", "\r", "\x1c", "\xa0", "é", "漢", "🙂", "#", "|", "Ä", "\x00", " ", "zz"]
+    texts = ["", " ", "a", "é", "a é a", " \n", "A" * 9, *("".join(rng.choices(alphabet, k=rng.randrange(60))) for _ in range(300))]
+    for text in texts:
+        assert filter_audit.transduce(text.encode(), block) == plain_counts(text), text
+
+
+def _documents():
+    rng = random.Random(3)
+    vocabulary = [f"w{k}" for k in range(400)] + ["AB", "C", "x#y", "ü"]
+    texts = [" ".join(rng.choices(vocabulary[: rng.choice((20, 404))], k=rng.randrange(150, 500))) for _ in range(40)]
+    docs = [(k, rng.choice(texts), rng.choice(("a", "b", None))) for k in range(160)]
+    docs += [(7, docs[7][1], "a"), (7, "", "b"), (200, None, "b"), (201, "", "b"), (None, texts[0], "a"), (None, None, None), (9, None, "")]
+    labels = [(k, k % 2, k % 3) for k in range(0, 160, 3)] + [(0, 1, 1), (None, 1, 1), (200, None, 1), (7, None, None)]
+    return docs, labels
+
+
+def test_agrees_with_filtering_in_every_order(spark):
+    docs, labels = _documents()
+    df = spark.createDataFrame([(*d, 0, "x") for d in docs], "doc_id long, text string, source string, failed int, digest string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = filter_audit.report(df, marks)
+    assert got.columns == "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley".split()
+    assert sorted(map(tuple, got.collect())) == plain(docs, labels)
+
+
+def test_empty_tables(spark):
+    df = spark.createDataFrame([(1, "a", "s")], "doc_id long, text string, source string")
+    marks = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert filter_audit.report(df.limit(0), marks).count() == 0
+    rows = filter_audit.report(df, marks).filter("filter_order = 'EDCBA'").orderBy("step").collect()
+    assert [r["removed"] for r in rows] == [0, 0, 0, 0, 1] and rows[4]["shapley"] == 120
+
+
+def test_long_texts_are_read_whole(spark):
+    text = "word " * 400_000 + "Ende #"
+    df = spark.createDataFrame([(1, text, "s")], "doc_id long, text string, source string")
+    row = filter_audit.with_counts(df, keep=["doc_id"]).first()
+    assert tuple(row)[:6] == (1, 400_002, 3, 1, len(text), 1)
