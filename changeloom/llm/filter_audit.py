@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import fresh, staged, with_python
+from changeloom.llm.common import staged, with_python
 
 #: The filters by bit, the first one lowest.
 FILTERS = "ABCDE"
@@ -176,50 +176,38 @@ def audit(counted: DataFrame, filters: str = FILTERS) -> DataFrame:
             steps.append(("".join(filters[x] for x in order), k + 1, before, 1 << f))
             before |= 1 << f
 
-    def tally(weight: Column) -> Column:
-        cells = [F.coalesce(F.sum(F.when(F.col("failed") == m, weight)), F.lit(0)) for m in range(size)]
-        return F.array(*cells)
+    def tally(weight: str, name: str) -> Column:
+        cells = (f"coalesce(sum(CASE WHEN failed = {m} THEN {weight} END), 0L)" for m in range(size))
+        return F.expr(f"array({', '.join(cells)})").alias(name)
+
+    def listed(values: Iterator) -> str:
+        return f"array({', '.join(map(repr, values))})"
 
-    n = F.col("n")
     parts = counted.groupBy("part").agg(
-        tally(n).alias("all"),
-        tally(F.when(F.col("good"), n).otherwise(0)).alias("good"),
-        tally(F.when(F.col("toxic"), n).otherwise(0)).alias("toxic"),
+        tally("n", "all"), tally("CASE WHEN good THEN n ELSE 0L END", "good"), tally("CASE WHEN toxic THEN n ELSE 0L END", "toxic")
     )
-    orders = F.array(*[
-        F.struct(F.lit(o).alias("filter_order"), F.lit(k).alias("step"), F.lit(b).alias("before"), F.lit(f).alias("bit"))
-        for o, k, b, f in steps
-    ])
-    rows = parts.select("*", F.inline(orders))
-    before, bit = F.col("before"), F.col("bit")
-    zero = F.lit(0).cast("long")
-
-    def total(cells: str, holds, share=None) -> Column:
-        """Sum over the masks for which ``holds(mask)``."""
-        at = F.sequence(F.lit(0), F.lit(size - 1))
-        worth = share or (lambda m: F.lit(1))
-        return F.aggregate(at, zero, lambda s, m: s + F.when(holds(m), F.col(cells)[m] * worth(m)).otherwise(zero))
-
-    def fails(m: Column) -> Column:
-        return m.bitwiseAND(bit) != 0
-
-    def there(m: Column) -> Column:
-        return m.bitwiseAND(before) == 0
+    orders = ", ".join(map(listed, zip(*steps)))
+    rows = parts.select("*", F.expr(f"inline(arrays_zip({orders}))").alias("filter_order", "step", "before", "bit"))
+
+    def total(cells: str, holds: str, share: str = "1L") -> Column:
+        """Sum over the masks m for which ``holds``."""
+        step = f"CASE WHEN {holds} THEN {cells}[m] * {share} ELSE 0L END"
+        return F.expr(f"aggregate(sequence(0, {size - 1}), 0L, (s, m) -> s + {step})")
 
+    there, fails = "(m & before) = 0", "(m & bit) <> 0"
     # Of all orders, a filter comes first among the k that a document fails in one of k.
-    orders_each = factorial(len(filters))
-    shares = F.array(*[F.lit(orders_each // max(1, m.bit_count())).cast("long") for m in range(size)])
+    shares = f"array({', '.join(f'{factorial(len(filters)) // max(1, m.bit_count())}L' for m in range(size))})"
     return rows.select(
         "part",
         "filter_order",
         "step",
-        total("all", lambda m: there(m) & ~fails(m)).alias("kept"),
-        total("all", lambda m: there(m) & fails(m)).alias("removed"),
-        total("all", lambda m: ~there(m) & fails(m)).alias("redundant"),
-        F.col("all")[bit].alias("unique_fails"),
-        total("good", lambda m: there(m) & fails(m)).alias("good_lost"),
-        total("toxic", lambda m: there(m) & fails(m)).alias("toxic_lost"),
-        total("all", fails, lambda m: shares[m]).alias("shapley"),
+        total("all", f"{there} AND NOT {fails}").alias("kept"),
+        total("all", f"{there} AND {fails}").alias("removed"),
+        total("all", f"NOT {there} AND {fails}").alias("redundant"),
+        F.col("all")[F.col("bit")].alias("unique_fails"),
+        total("good", f"{there} AND {fails}").alias("good_lost"),
+        total("toxic", f"{there} AND {fails}").alias("toxic_lost"),
+        total("all", fails, f"{shares}[m]").alias("shapley"),
     )
 
 
