@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm import chat, decontaminate, filter_audit, interleave, licenses, mixing, pii, quality, shards, simhash, topk, toxicity
+from changeloom.llm import chat, decontaminate, filter_audit, interleave, licenses, mixing, pii, prefix_trie, quality, shards, simhash, topk, toxicity
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,10 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleave.report(load(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.report(load(spark, sf_dir, "conversations"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.report(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
@@ -77,12 +81,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_simhash, op2_quality, op3_pii, op4_decontaminate, op5_licenses,
         op6_mixing, op7_token_shards, op8_toxicity, op9_topk, op10_chat,
-        op11_sharding, op13_filter_audit,
+        op11_sharding, op12_prefix_trie, op13_filter_audit,
     )
 }
 
 SQL = {
     "op11_sharding": interleave.SQL,
+    "op12_prefix_trie": prefix_trie.SQL,
     "op13_filter_audit": filter_audit.SQL,
     "op9_topk": """
         WITH v AS (

@@ -1,0 +1,101 @@
+import hashlib
+import random
+import zlib
+
+import pytest
+
+from changeloom.llm import prefix_trie
+
+
+def plain(rows):
+    """Every prefix of every rebuilt conversation in a dictionary."""
+    own = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own.setdefault(conv, []).append(((turn is not None, turn or 0), role or "", text or ""))
+    turns = {c: [t[1:] for t in sorted(own[c])] for c in own}
+    whole = {}
+    for c in turns:
+        h = zlib.crc32(str(c).encode()) % 9
+        whole[c] = tuple(turns.get(c - c % 5, [])[:h] + turns[c][h:])
+    nodes = {}
+    for c, sequence in whole.items():
+        for d in range(len(sequence) + 1):
+            nodes.setdefault(sequence[:d], []).append(c)
+    out = []
+    for prefix, convs in nodes.items():
+        below = [p for p in nodes if p[: len(prefix)] == prefix]
+        children = {p[: len(prefix) + 1] for p in below} - {prefix}
+        leaves = sum(not any(len(q) > len(p) and q[: len(p)] == p for q in below) for p in below)
+        saved = sum((len(nodes[p]) - 1) * len(p[-1][1].encode()) for p in below if p)
+        ends = ",".join(str(c) for c in sorted(convs) if whole[c] == prefix)
+        parent = min(nodes[prefix[:-1]]) if prefix else None
+        out.append((min(convs), len(prefix), parent, len(convs), len(children), leaves, saved, hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def got(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def _rows(seed, convs, most=12):
+    rng = random.Random(seed)
+    return [
+        (c, turn, rng.choice(("user", "assistant", None)), rng.choice(("hi", "yes", "é", "", None)) if rng.random() < 0.8 else f"t{rng.random()}")
+        for c in convs
+        for turn in range(rng.randrange(1, most))
+    ]
+
+
+DDL = "conv_id long, turn long, role string, text string"
+
+
+@pytest.mark.parametrize(("turns", "band", "queue"), [(4096, 4096, 65536), (8, 2, 3), (1, 1, 1), (40, 3, 2)])
+def test_agrees_with_all_prefixes(spark, turns, band, queue, monkeypatch):
+    monkeypatch.setattr(prefix_trie, "SHARDS_EACH", 10_000)
+    rows = _rows(turns, range(60)) + [(c, t, "user", "same") for c in range(100, 140) for t in range(6)]  # one conversation many times
+    rows += [(201, 0, "a", "b")] * 3 + [(203, None, "x", "late"), (203, 0, "x", "first"), (None, 0, "user", "nobody")]
+    df = spark.createDataFrame(rows, DDL)
+    members = prefix_trie.members(prefix_trie.rebuilt(df))
+    found = prefix_trie.trie(members, shard_turns=turns, band=band, queue_rows=queue).drop("n1", "n2")
+    assert got(found) == plain(rows)
+
+
+def test_report_with_other_columns_and_long_texts(spark):
+    rows = [(c, t, "user", "x" * 200_000 if t == 1 else "y") for c in range(7) for t in range(4)]
+    df = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], DDL + ", d int, family string, n1 int")
+    result = prefix_trie.report(df)
+    assert result.columns == "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256".split()
+    assert got(result) == plain(rows)
+
+
+def test_empty_table_and_turnless_conversations(spark):
+    df = spark.createDataFrame([], DDL)
+    assert got(prefix_trie.report(df)) == []
+    rows = [(c, 0, "u", "only") for c in range(40) if c % 5]  # their families' first conversations are absent
+    assert got(prefix_trie.report(spark.createDataFrame(rows, DDL))) == plain(rows)
+
+
+def test_ids_of_several_blocks(spark, monkeypatch):
+    monkeypatch.setattr(prefix_trie, "BLOCK_BITS", 3)
+    rows = [(c, t, "u", "a") for c in (*range(0, 90, 2), 10**12, 10**15) for t in range(10)]
+    assert got(prefix_trie.report(spark.createDataFrame(rows, DDL))) == plain(rows)
+
+
+@pytest.mark.parametrize("most", [1, 2, 7, 1000])
+def test_queue_gives_least_first_across_runs(most):
+    rng = random.Random(most)
+    queue, held = prefix_trie.SpillingQueue(most), []
+    for _ in range(500):
+        if held and rng.random() < 0.4:
+            assert queue.peek() == min(held)
+            held.remove(queue.pop())
+        else:
+            item = (rng.randrange(30), rng.randrange(5))
+            queue.push(item)
+            held.append(item)
+    while held:
+        least = queue.pop()
+        assert least == min(held)
+        held.remove(least)
+    assert queue.peek() is None
