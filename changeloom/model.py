@@ -154,6 +154,8 @@ class KeyedTable:
 
     df: DataFrame
     spec: TableSpec
+    #: In how many buckets of the key the rows are known to lie, if they are (:mod:`changeloom.sources.bucketed`).
+    buckets: int | None = None
 
     @classmethod
     def of(cls, df: DataFrame, keys: Iterable[str] = (), **kwargs) -> KeyedTable:

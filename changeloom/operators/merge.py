@@ -89,7 +89,8 @@ def apply_changes(
 
     If the changes are small (``small=None`` measures them), they are broadcast and the target is not
     shuffled. Otherwise one full outer join keeps, changes and inserts rows in a single pass; the key is
-    unique on either side, so no key is hot.
+    unique on either side, so no key is hot. A target that lies in buckets of its key is not shuffled then either:
+    the changes are sent to its buckets, and so the result comes bucket by bucket.
     """
     spec = table.spec
     keys = table.require_keys()
@@ -99,17 +100,17 @@ def apply_changes(
         small = all(fits_broadcast(df) for df in (delete, replace, update) if df is not None)
     if replace is None and update is None:
         gone = typed(delete.select(*keys), spec)
-        return table.with_df(table.df.join(F.broadcast(gone) if small else gone.distinct(), keys, "left_anti"))
+        return table.with_df(table.df.join(F.broadcast(gone) if small else _dealt(gone.distinct(), table), keys, "left_anti"))
 
     upserts = None if replace is None else _with_keys(typed(replace, spec), keys)
     changes = _fold(spec, upserts, update, delete, unmodified)
     replaced, kept = F.col(_ROW).isNotNull(), F.col(_DELETED).isNull()
     stored = table.df.withColumn(_STORED, F.lit(True))
     if upserts is None:
-        lookup = F.broadcast(changes) if small else changes
+        lookup = F.broadcast(changes) if small else _dealt(changes, table)
         changed = stored.join(lookup, keys, "left")
     elif not small:
-        changed = stored.join(changes, keys, "full_outer").filter(F.col(_STORED).isNotNull() | replaced)
+        changed = stored.join(_dealt(changes, table), keys, "full_outer").filter(F.col(_STORED).isNotNull() | replaced)
     else:
         changed, new = stored.join(F.broadcast(changes), keys, "left"), changes.filter(replaced)
         # Stored rows are changed in place, also where a key that should be unique is not: the join below gives the same.
@@ -119,6 +120,11 @@ def apply_changes(
     return table.with_df(changed.filter(kept).select(*_cells(spec, upserts, update)))
 
 
+def _dealt(changes: DataFrame, table: KeyedTable) -> DataFrame:
+    """Changes where the target's rows of their keys are, if it lies in buckets."""
+    return changes if table.buckets is None else changes.repartition(table.buckets, *table.spec.keys)
+
+
 def _fold(
     spec: TableSpec,
     upserts: DataFrame | None,

@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 
 from ..errors import ChangeError, UserActionError
 from ..functions.skew import fits_broadcast
-from ..model import BatchFiles, Column, KeyedTable, ReadOptions, TableSpec
+from ..model import BatchFiles, Column, KeyedTable, ReadOptions, SystemColumns, TableSpec
 from ..operators.checks import check_keys
 from ..operators.history import history_batch_parts, refused_versions
 from ..operators.merge import apply_changes, cell, cutoff_at, loaded_before, truncate_before
 from ..session import scratch_path
+from ..sources.bucketed import open_bucketed, save_bucketed
 from ..sources.change_files import deletion_columns, earliest_columns, key_columns, read_changes
 from ..sources.tables import Commit, VersionedTable
 
@@ -55,6 +56,39 @@ def write_batch(
         return table.publish(state, buckets=touched, base=base, stream=stream, rebalance=not small)
 
 
+def write_bucketed_batch(
+    spark: SparkSession,
+    name: str,
+    into: str,
+    files: BatchFiles,
+    options: ReadOptions | None = None,
+    columns: Sequence[Column] = (),
+    *,
+    system: SystemColumns | None = None,
+    path: str | None = None,
+    small: bool | None = None,
+) -> KeyedTable:
+    """Replace, update and delete files applied to the bucketed catalog table ``name``; the result is the new table ``into``.
+
+    Of a large batch only the change rows are shuffled. ``name`` stays as it is, so readers of it are not disturbed,
+    and a view moves them to the result in one step.
+    """
+    options = options or ReadOptions()
+    current = open_bucketed(spark, name, system)
+    if files.earliest:
+        raise ChangeError("Earliest-start files belong to history tables")
+    brought = _brought(current.spec, columns)
+    with _Staging(spark, options) as staging:
+        replace = staging.read(files.replace, brought)
+        update = staging.read(files.update, brought, as_text=True)
+        delete = staging.read(files.delete, key_columns(current.spec))
+        state = apply_changes(
+            current, replace=replace, update=update, delete=delete, unmodified=options.unmodified, small=small
+        )
+        save_bucketed(state, into, current.buckets, path=path, dealt=True)
+    return open_bucketed(spark, into, system)
+
+
 def write_history_batch(
     table: VersionedTable,
     files: BatchFiles,

@@ -241,7 +241,7 @@ def _table_of(spark: SparkSession, state: KeyedTable, buckets: int) -> Versioned
     return table
 
 
-def _order_files(spark: SparkSession, sf_dir: str) -> tuple[KeyedTable, BatchFiles]:
+def order_files(spark: SparkSession, sf_dir: str) -> tuple[KeyedTable, BatchFiles]:
     target, (recent, urgent), update, gone = order_batch(spark, sf_dir)
     untouched = [F.lit(MARK).alias(c) for c in ORDERS if c not in update.columns]
     return target, BatchFiles(
@@ -254,7 +254,7 @@ def _order_files(spark: SparkSession, sf_dir: str) -> tuple[KeyedTable, BatchFil
 @query(MERGE_SQL["apply_batch"])
 def table_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch of files applied to a published table."""
-    target, files = _order_files(spark, sf_dir)
+    target, files = order_files(spark, sf_dir)
     table = _table_of(spark, target, buckets=1)
     write_batch(table, files, OPTIONS)
     return table.read().df
@@ -263,7 +263,7 @@ def table_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(MERGE_SQL["apply_batch"])
 def table_batch_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same on a bucketed table, of which only the touched buckets are rewritten."""
-    target, files = _order_files(spark, sf_dir)
+    target, files = order_files(spark, sf_dir)
     table = _table_of(spark, target, buckets=16)
     write_batch(table, files, OPTIONS)
     return table.read().df
