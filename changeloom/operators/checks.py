@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from functools import reduce
+
 from pyspark.sql import Column as Expr
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import ChangeError, UserActionError
 from ..model import KeyedTable
+from ..session import scratch_path, shuffle_partitions
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -62,6 +65,59 @@ def check_new_key(table: KeyedTable, new_keys: Sequence[str]) -> None:
         )
 
 
+#: What :func:`history_violations` finds.
+BACKWARD, OVERLAP, ACTIVE = "ends before it starts", "overlaps an earlier version", "not the only active version"
+
+
+def history_violations(table: KeyedTable, *, partitions: int | None = None) -> DataFrame:
+    """Versions that break a history table: source key, start, end, active flag and the ``problem``, a row for each.
+
+    A version *ends before it starts*; *overlaps an earlier version* of its key if one ends at or after its start; or is
+    *not the only active version* if an earlier one is active as well. Earlier is by start, end and active flag, NULL
+    first. Versions without start or end are not known to overlap; NULL keys count as one key.
+
+    A sweep over range partitions of (key, start): each carries the greatest end and the active flag of a key so far,
+    first inside a partition, then across its border. So a key with any share of the versions is spread over as many
+    partitions as it fills. What crosses borders is a row for each partition's first and last key.
+    """
+    keys, system = table.require_source_keys(), table.spec.system
+    start, end, active = (F.col(c) for c in system.version_columns)
+    spark = table.df.sparkSession
+    n = partitions or shuffle_partitions(spark)
+    part, top, first_active = "__part", "__greatest_end", "__some_active"
+    order = [*keys, *system.version_columns]
+    path = scratch_path(spark, "sweep")
+    dealt = table.df.select(*order).repartitionByRange(n, *order)
+    dealt.withColumn(part, F.spark_partition_id()).write.parquet(path)
+    versions = spark.read.parquet(path)
+
+    inside = Window.partitionBy(part, *keys).orderBy(*system.version_columns).rowsBetween(Window.unboundedPreceding, -1)
+    swept = versions.withColumns({top: F.max(end).over(inside), first_active: F.bool_or(active).over(inside)})
+
+    # Two rows for each partition at most, so they can be broadcast.
+    one = F.struct(*keys)
+    borders = versions.groupBy(part).agg(F.array_distinct(F.array(F.min(one), F.max(one))).alias("keys"))
+    borders = borders.select(part, F.inline("keys"))
+    at_border = _null_safe(versions.alias("v"), F.broadcast(borders.alias("b")), [part, *keys], "left_semi")
+    sums = at_border.groupBy(part, *keys).agg(F.max(end).alias(top), F.bool_or(active).alias(first_active))
+    across = Window.partitionBy(*keys).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    carried = sums.select(part, *keys, F.max(top).over(across).alias("__carried_end"), F.bool_or(first_active).over(across).alias("__carried_active"))
+
+    joined = _null_safe(swept.alias("v"), F.broadcast(carried.alias("b")), [part, *keys], "left")
+    joined = joined.select("v.*", "b.__carried_end", "b.__carried_active")
+    greatest, some = F.greatest(top, "__carried_end"), F.coalesce(first_active, F.lit(False)) | F.coalesce("__carried_active", F.lit(False))
+    problems = F.array(
+        F.when(end < start, F.lit(BACKWARD)), F.when(greatest >= start, F.lit(OVERLAP)), F.when(active & some, F.lit(ACTIVE))
+    )
+    return joined.select(*order, F.explode(F.array_compact(problems)).alias("problem"))
+
+
+def _null_safe(left: DataFrame, right: DataFrame, names: Sequence[str], how: str) -> DataFrame:
+    """A join of the aliases v and b on columns of which some may be NULL."""
+    on = reduce(lambda a, b: a & b, [F.col(f"v.{c}").eqNullSafe(F.col(f"b.{c}")) for c in names])
+    return left.join(right, on, how)
+
+
 def history_state(table: KeyedTable, moment: Expr) -> DataFrame:
     """One row: ``total_rows``, ``last_start`` of the active versions, and whether the table is ``ready``.
 

@@ -55,6 +55,47 @@ def latest_versions(
     return first_per_key(before.select(*table.spec.names), keys, [start.desc()])
 
 
+def marked_columns(table: KeyedTable, update: DataFrame, unmodified: str = "") -> list[str]:
+    """The columns of which some cell of ``update`` holds the marker; one aggregate over the change rows."""
+    cells = _markable(table, update)
+    if not cells:
+        return []
+    found = update.agg(*[F.bool_or(_holds(c, unmodified)).alias(c) for c in cells]).first()
+    return [c for c in cells if found[c]]
+
+
+def previous_cells(
+    table: KeyedTable, update: DataFrame, earliest: DataFrame, unmodified: str = "", *, small: bool | None = None
+) -> DataFrame | None:
+    """What :func:`append_partial_versions` needs for marked cells: for each key with one, the columns in which markers
+    stand, as of the version before the earliest start. None if nothing is marked.
+
+    Of the stored versions only keys, starts and these columns are read. A version's cells travel to the key's
+    latest ones as an aggregate, so one row per key and task is shuffled, not one per version; where the keys are too
+    many to be broadcast, that is preceded by the keyed lookup of the earliest start, on the same few columns.
+    """
+    marked = marked_columns(table, update, unmodified)
+    if not marked:
+        return None
+    keys, start = table.require_source_keys(), table.spec.system.start
+    anything = reduce(lambda a, b: a | b, [_holds(c, unmodified) for c in marked])
+    wanted = update.filter(anything).select(*[cell(update, k, F.col(k), table.spec[k].dtype).alias(k) for k in keys])
+    starts = _first_starts(table, earliest).join(wanted.distinct(), keys, "left_semi")
+    stored = table.df.select(*keys, start, *[c for c in marked if c != start])
+    before = lookup_join(stored, starts, keys, salt_by=[start], how="inner", small=small).filter(F.col(start) < F.col(_FIRST))
+    latest = before.groupBy(*keys).agg(F.max_by(F.struct(*marked), start).alias("__cells"))
+    return latest.select(*keys, *[F.col("__cells")[c].alias(c) for c in marked])
+
+
+def _markable(table: KeyedTable, update: DataFrame) -> list[str]:
+    keys = table.require_source_keys()
+    return [c for c in update.columns if c in table.spec and c not in keys and update.schema[c].dataType.typeName() == "string"]
+
+
+def _holds(column: str, unmodified: str) -> Expr:
+    return F.coalesce(F.col(column) == F.lit(unmodified), F.lit(False))
+
+
 def close_versions(table: KeyedTable, earliest: DataFrame, *, small: bool | None = None) -> KeyedTable:
     """Close the active versions of the keys in ``earliest``, one millisecond before its start."""
     starts = _first_starts(table, earliest)
@@ -104,7 +145,8 @@ def append_partial_versions(
 ) -> KeyedTable:
     """Add new versions given as text cells, taking marked cells from ``latest``.
 
-    A key without previous version gets NULL there. ``small`` states that ``latest`` may be broadcast.
+    That is :func:`latest_versions`, or of these the columns with markers (:func:`previous_cells`). A key without
+    previous version gets NULL there. ``small`` states that ``latest`` may be broadcast.
     """
     return insert(table, _completed(table, update, latest, unmodified, small))
 
@@ -135,8 +177,8 @@ def history_batch_parts(
     """The state after a batch in two parts: rows that moved or are new, and rows that lie as they were read.
 
     ``earliest`` and ``delete`` are folded into one row per key first, so trimming, closing and deleting
-    take one join of the target. A second read of it, limited to the keys of ``update``, finds the
-    previous versions for marked cells. Without ``earliest`` there are no previous versions to take from.
+    take one join of the target. A second read of it, limited to the keys and columns of marked cells, finds what
+    they held before. Without ``earliest`` there are no previous versions to take from.
 
     The key sets of ``earliest`` and ``delete`` are narrow. If they are small (``small=None`` measures
     them), the stored versions are not shuffled at all.
@@ -156,11 +198,7 @@ def history_batch_parts(
     if update is not None:
         latest = None
         if starts is not None:
-            # Only marked cells need the version before.
-            cells = [c for c in update.columns if c in spec and c not in keys and update.schema[c].dataType.typeName() == "string"]
-            marked = reduce(lambda a, b: a | b, [F.coalesce(F.col(c) == F.lit(unmodified), F.lit(False)) for c in cells], F.lit(False))
-            wanted = update.filter(marked).select(*[cell(update, k, F.col(k), spec[k].dtype).alias(k) for k in keys])
-            latest = latest_versions(table, earliest, only=wanted, small=small)
+            latest = previous_cells(table, update, earliest, unmodified, small=small)
         new = _completed(table, update, latest, unmodified, small=False)
     if replace is not None:
         rows = conform(replace, spec)
@@ -289,7 +327,8 @@ def _completed(
     cells = [c for c in spec.columns if c.name in update.columns and c.name not in keys]
     rows = update.select(*typed_keys, *[F.col(c.name).alias(f"__new_{c.name}") for c in cells])
     if latest is not None:
-        previous = latest.select(*keys, *[F.col(c.name).alias(f"__old_{c.name}") for c in cells])
+        known = [c.name for c in cells if c.name in latest.columns]
+        previous = latest.select(*keys, *[F.col(c).alias(f"__old_{c}") for c in known])
         start = f"__new_{spec.system.start}"
         rows = lookup_join(rows, previous, keys, salt_by=[start if start in rows.columns else keys[0]], small=small)
     out = [F.col(k) for k in keys]
@@ -297,7 +336,7 @@ def _completed(
         new = F.col(f"__new_{c.name}")
         value = cell(update, c.name, new, c.dtype)
         if update.schema[c.name].dataType.typeName() == "string":
-            old = F.col(f"__old_{c.name}") if latest is not None else F.lit(None).cast(c.dtype)
+            old = F.col(f"__old_{c.name}") if latest is not None and c.name in known else F.lit(None).cast(c.dtype)
             value = F.when(new == F.lit(unmodified), old).otherwise(value)
         out.append(value.alias(c.name))
     return conform(rows.select(*out), spec)

@@ -110,6 +110,14 @@ def hist_partial_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.append_partial_versions(table, updates(spark, sf_dir), latest, MARK).df
 
 
+@query(f"SELECT * FROM ({_T}) UNION ALL SELECT * FROM ({_PARTIAL})")
+def hist_partial_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with only the marked columns of earlier versions, by the way taken for many keys."""
+    table, update = loaded_table(spark, sf_dir), updates(spark, sf_dir)
+    latest = history.previous_cells(table, update, earliest(spark, sf_dir), MARK, small=False)
+    return history.append_partial_versions(table, update, latest, MARK).df
+
+
 @query(f"""
     SELECT * FROM ({versions_sql(f"ts < TIMESTAMP '{RESENT}'")})
     UNION ALL SELECT * FROM ({_RECENT}) WHERE event_type <> 'click'""")
@@ -226,6 +234,34 @@ def hist_drop_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return modes.drop_column_in_history(some, "props", at("2024-02-01")).df
 
 
+_DAMAGED = f"""
+    SELECT user_id, valid_from,
+           CASE WHEN event_id % 7 = 0 THEN valid_from + INTERVAL '5 days'
+                WHEN event_id % 11 = 0 THEN valid_from - INTERVAL '1 second'
+                WHEN event_id % 17 = 0 THEN NULL ELSE valid_to END AS valid_to,
+           is_current OR event_id % 13 = 0 AS is_current
+    FROM ({versions_sql()})"""
+
+
+@query(f"""
+    WITH v AS ({_DAMAGED}),
+         s AS (SELECT *, MAX(valid_to) OVER w AS earlier_end, MAX(CAST(is_current AS INTEGER)) OVER w AS earlier_active FROM v
+               WINDOW w AS (PARTITION BY user_id ORDER BY valid_from NULLS FIRST, valid_to NULLS FIRST, is_current NULLS FIRST
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+    SELECT user_id, valid_from, valid_to, is_current, 'ends before it starts' AS problem FROM s WHERE valid_to < valid_from
+    UNION ALL
+    SELECT user_id, valid_from, valid_to, is_current, 'overlaps an earlier version' FROM s WHERE earlier_end >= valid_from
+    UNION ALL
+    SELECT user_id, valid_from, valid_to, is_current, 'not the only active version' FROM s WHERE is_current AND earlier_active = 1""")
+def hist_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions that were damaged: ends moved to both sides or lost, and closed ones made active."""
+    table, number = _whole(spark, sf_dir), F.col("event_id")
+    start, end = F.col("valid_from"), F.col("valid_to")
+    ends = F.when(number % 7 == 0, start + F.expr("INTERVAL '5' DAY")).when(number % 11 == 0, start - F.expr("INTERVAL '1' SECOND"))
+    damaged = table.df.withColumn("valid_to", ends.when(number % 17 == 0, F.lit(None)).otherwise(end))
+    return checks.history_violations(table.with_df(damaged.withColumn("is_current", F.col("is_current") | (number % 13 == 0))))
+
+
 @query(f"""
     SELECT COUNT(*) AS total_rows, MAX(valid_from) FILTER (WHERE is_current) AS last_start,
            MAX(valid_from) FILTER (WHERE is_current) <= TIMESTAMP '2024-02-01' AS ready FROM ({versions_sql()})""")
