@@ -2,12 +2,14 @@
 
 Cells are matched to columns by header name, whatever their order. All routes give text cells first, and
 one set of expressions turns them into NULLs and typed values. The format is fixed: comma, double quotes
-doubled inside quoted cells, ``\\n`` between records, UTF-8, one header line.
+doubled inside quoted cells, ``\\n`` between records, UTF-8, one header line. A file with other bytes, or with a quoted
+cell that is never closed, fails the batch, however large it is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column as Expr
@@ -19,9 +21,10 @@ from ..errors import ChangeError
 from ..functions.types import from_text
 from ..model import Column, ReadOptions, TableSpec
 from ..operators.merge import SEQ
+from .damage import refuse_damaged
 from .files import ChangeFile, cell_bytes, probe, with_position, within
 from .records import read_split
-from .sealed import read_sealed, sealed_header
+from .sealed import read_sealed, sealed_headers
 
 # Records with missing or extra cells fail. Cells grow as needed: a fixed bound would be allocated up
 # front by every task, so the record size is checked after parsing.
@@ -62,7 +65,11 @@ def read_changes(
         if options.encrypted and path not in options.keys:
             raise ChangeError(f"Missing encryption key for file <{path}>")
     files = probe(spark, paths, [path in options.keys for path in paths])
-    wanted = list(columns) or [Column(name) for name in _common_header(spark, files, options)]
+    sealed = [f for f in files if not f.direct]
+    if sealed:
+        headers = sealed_headers(spark, sealed, options)
+        files = [f if f.direct else replace(f, header=headers[f.seq]) for f in files]
+    wanted = list(columns) or [Column(name) for name in _common_header(files)]
     names = [c.name for c in wanted]
 
     raw = _raw(spark, files, names, options)
@@ -122,12 +129,12 @@ def _raw(spark: SparkSession, files: list[ChangeFile], names: list[str], options
         groups.setdefault((f.direct, large, f.header), []).append(f)
     parts = []
     for (direct, large, header), members in groups.items():
-        if not direct:
-            parts.append(read_sealed(spark, members, names, options))
-            continue
         missing = [n for n in names if n not in header]
         if missing:
             raise ChangeError(f"Columns {missing} not found in file <{members[0].path}>")
+        if not direct:
+            parts.append(read_sealed(spark, members, header, names, _CSV, options).select(*names, SEQ))
+            continue
         read = read_split if large else _read_whole
         parts.append(read(spark, members, header, names, _CSV, options.record_bytes).select(*names, SEQ))
     return reduce(DataFrame.unionByName, parts)
@@ -141,6 +148,7 @@ def _read_whole(
     parser: dict[str, str],
     limit: int,
 ) -> DataFrame:
+    refuse_damaged(spark, members)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in header])
     df = spark.read.schema(schema).options(**parser).csv([f.pattern for f in members])
     return with_position(df, members, F.col("_metadata.file_path")).filter(within(cell_bytes(header), limit))
@@ -153,7 +161,6 @@ def _null_or_text(cell: Expr, null_value: str) -> Expr:
     return F.nullif(cell, F.lit(""))
 
 
-def _common_header(spark: SparkSession, files: list[ChangeFile], options: ReadOptions) -> list[str]:
+def _common_header(files: list[ChangeFile]) -> list[str]:
     """All names that some file has, in the order they come up; a file that lacks one of them is refused when it is read."""
-    headers = [f.header if f.direct else sealed_header(spark, f, options) for f in files]
-    return list(dict.fromkeys(name for header in headers for name in header))
+    return list(dict.fromkeys(name for f in files for name in f.header))

@@ -107,7 +107,7 @@ def _probe(spark: SparkSession, seq: int, path: str, sealed: bool) -> ChangeFile
 
 def _header(path: str, read_line) -> tuple[str, ...]:
     text = read_line()
-    while text is not None and _open(text):
+    while text is not None and is_open(text):
         more = read_line()
         if more is None:
             break
@@ -115,7 +115,7 @@ def _header(path: str, read_line) -> tuple[str, ...]:
     return parse_header(path, text or "")
 
 
-def _open(text: str) -> bool:
+def is_open(text: str) -> bool:
     """Whether a record that starts with ``text`` goes on in the next line, by the rule that the split reading follows."""
     return re.sub(r'(?s)^.*[^,]"', "", text.replace('""', "")).count('"') % 2 == 1
 

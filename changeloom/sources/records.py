@@ -33,9 +33,14 @@ def read_split(
     limit: int,
 ) -> DataFrame:
     """Text cells ``names`` of files that share a header, and the file position."""
+    return parse_lines(_lines(spark, members), header, names, parser, limit)
+
+
+def parse_lines(lines: DataFrame, header: Sequence[str], names: Sequence[str], parser: dict[str, str], limit: int) -> DataFrame:
+    """The same from lines that :func:`told` has made."""
     line_parser = {k: v for k, v in parser.items() if k not in ("header", "multiLine", "columnPruning", "encoding")}
     # Quoting at most doubles a cell and adds three characters, so a longer record is beyond the limit by its cells.
-    records = assemble(_lines(spark, members), 2 * limit + 3 * len(header), limit).filter(
+    records = assemble(lines, 2 * limit + 3 * len(header), limit).filter(
         ~F.col("is_header") & (F.col("record") != "")
     )
     parsed = records.select(F.from_csv("record", _ddl(header), line_parser).alias("cells"), SEQ)
@@ -49,16 +54,22 @@ def _ddl(header: Sequence[str]) -> str:
 
 def _lines(spark: SparkSession, members: Sequence[ChangeFile]) -> DataFrame:
     lines = spark.read.option("lineSep", "\n").text([f.pattern for f in members])
+    path = F.col("_metadata.file_path")
     numbered = lines.select(
-        F.col("_metadata.file_path").alias("path"),
+        path.alias("path"),
         F.col("_metadata.file_block_start").alias(_BLOCK),
         F.monotonically_increasing_id().alias(_LINE),
-        F.col("value"),
-        *quoting(F.col("value")),
+        *told(F.col("value"), path),
     )
     return with_position(numbered, members, F.col("path")).drop("path")
 
 
+def told(value: Expr, path: Expr) -> tuple[Expr, ...]:
+    """A line and what it does to quoting; one that is not UTF-8 fails the job, which names the file."""
+    bad = F.raise_error(F.concat(F.lit("File <"), path, F.lit("> holds bytes that are not UTF-8"))).cast("string")
+    return F.when(F.is_valid_utf8(value), value).otherwise(bad).alias("value"), *quoting(value)
+
+
 def quoting(line: Expr) -> tuple[Expr, Expr]:
     """What a line does to the quoting state: ``resets`` to outside at some point, and number of ``flips`` after that."""
     single = F.replace(line, F.lit('""'), F.lit(""))

@@ -1,7 +1,8 @@
 """Change files that Spark's CSV source cannot open: encrypted, or zstd without the file ending.
 
-Files are spread over the executors and each is decrypted, decompressed and parsed where it is read. Both
-formats can only be read from the front, so one file is one task; a file must stay below 2 GiB on disk.
+Files are spread over the executors and each is decrypted, decompressed and cut into lines where it is read. From there on
+they take the way of large files, so their records are told apart and parsed by many tasks and by the same rules. Both
+formats can only be read from the front, so one file is one task up to its lines; a file must stay below 2 GiB on disk.
 """
 
 from __future__ import annotations
@@ -11,45 +12,61 @@ from collections.abc import Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..errors import ChangeError
 from ..model import ReadOptions
 from ..operators.merge import SEQ
 from ..session import ship_package
-from .files import ZSTD_MAGIC, ChangeFile, cell_bytes, parse_header, within
+from .files import ZSTD_MAGIC, ChangeFile, is_open, parse_header
+from .records import _BLOCK, _LINE, parse_lines, told
 
 _KEYS = "path string, key binary, seq int"
+#: Bytes read at once, and bytes of a block, whose lines are brought together.
+_READ, _BLOCK_BYTES = 4 << 20, 1 << 26
 
 
 def read_sealed(
-    spark: SparkSession, files: Sequence[ChangeFile], names: Sequence[str], options: ReadOptions
+    spark: SparkSession,
+    members: Sequence[ChangeFile],
+    header: Sequence[str],
+    names: Sequence[str],
+    parser: dict[str, str],
+    options: ReadOptions,
 ) -> DataFrame:
-    """Text cells of the named columns, and the file position."""
-    names, limit = list(names), options.record_bytes
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names]).add(SEQ, T.IntegerType(), False)
+    """Text cells ``names`` of files that share a header, and the file position."""
+    limit = options.record_bytes
+    longest = 2 * limit + 3 * len(header)
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content, seq in zip(batch.column("content"), batch.column("seq")):
-                yield from _text_cells(content.as_buffer(), seq.as_py(), names, limit)
+            for content, path, seq in zip(batch.column("content"), batch.column("path"), batch.column("seq")):
+                yield from _lines(content.as_buffer(), path.as_py(), seq.as_py(), longest, limit)
 
-    return _contents(spark, files, options).mapInArrow(parse, schema).filter(within(cell_bytes(names), limit))
+    lines = _contents(spark, members, options).mapInArrow(
+        cut, f"path string, {SEQ} int, {_BLOCK} long, {_LINE} long, value binary"
+    )
+    value = F.col("value").cast("string")
+    return parse_lines(lines.select(SEQ, _BLOCK, _LINE, *told(value, F.col("path"))), header, names, parser, limit)
 
 
-def sealed_header(spark: SparkSession, file: ChangeFile, options: ReadOptions) -> tuple[str, ...]:
-    """Column names of one file, found on an executor."""
+def sealed_headers(spark: SparkSession, files: Sequence[ChangeFile], options: ReadOptions) -> dict[int, tuple[str, ...]]:
+    """Column names of each file by its position, found on executors in one job."""
 
-    def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def first_record(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines = []
+            found = []
             for content in batch.column("content"):
                 with _plain(content.as_buffer()) as stream:
-                    lines.append(stream.read(1024 * 1024).decode("utf-8", "replace").split("\n", 1)[0])
-            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["line"])
+                    lines = stream.read(_READ).decode("utf-8", "replace").split("\n")
+                text = lines.pop(0)
+                while lines and is_open(text):
+                    text = f"{text}\n{lines.pop(0)}"
+                found.append(text)
+            yield pa.RecordBatch.from_arrays([batch.column("seq"), pa.array(found, pa.string())], ["seq", "line"])
 
-    row = _contents(spark, [file], options).mapInArrow(first_line, "line string").first()
-    return parse_header(file.path, row["line"])
+    rows = _contents(spark, files, options).mapInArrow(first_record, "seq int, line string").collect()
+    paths = {f.seq: f.path for f in files}
+    return {r["seq"]: parse_header(paths[r["seq"]], r["line"]) for r in rows}
 
 
 def _contents(spark: SparkSession, files: Sequence[ChangeFile], options: ReadOptions) -> DataFrame:
@@ -60,7 +77,7 @@ def _contents(spark: SparkSession, files: Sequence[ChangeFile], options: ReadOpt
     opened = F.when(
         F.col("key").isNotNull(), F.aes_decrypt("content", "key", F.lit("CBC"), F.lit("PKCS"))
     ).otherwise(F.col("content"))
-    return keyed.select(opened.alias("content"), "seq")
+    return keyed.select(opened.alias("content"), "path", "seq")
 
 
 def _plain(buffer: pa.Buffer) -> pa.NativeFile:
@@ -70,27 +87,29 @@ def _plain(buffer: pa.Buffer) -> pa.NativeFile:
     return source
 
 
-def _text_cells(buffer: pa.Buffer, seq: int, names: list[str], limit: int) -> Iterator[pa.RecordBatch]:
-    from pyarrow import csv
-
-    try:
-        with _plain(buffer) as stream:
-            reader = csv.open_csv(
-                stream,
-                read_options=csv.ReadOptions(block_size=limit),
-                parse_options=csv.ParseOptions(newlines_in_values=True),
-                convert_options=csv.ConvertOptions(
-                    column_types={n: pa.string() for n in names},
-                    include_columns=names,
-                    strings_can_be_null=False,
-                ),
-            )
-            for batch in reader:
-                position = pa.array([seq] * batch.num_rows, pa.int32())
-                yield pa.RecordBatch.from_arrays([*batch.columns, position], [*names, SEQ])
-    except pa.ArrowInvalid as e:
-        if "block" in str(e):
-            raise ChangeError(f"Record beyond the record limit of {limit} bytes: {e}") from e
-        raise
-    except pa.ArrowKeyError as e:
-        raise ChangeError(f"Column not found in change file: {e}") from e
+def _lines(buffer: pa.Buffer, path: str, seq: int, longest: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """The lines of a file; one of more than ``longest`` bytes fails before all of it is held."""
+    done = number = 0
+
+    def batch(lines: list[bytes]) -> pa.RecordBatch:
+        n = len(lines)
+        numbers = pa.array(range(number, number + n), pa.int64())
+        columns = [pa.array([path] * n, pa.string()), pa.array([seq] * n, pa.int32()), pa.array([done // _BLOCK_BYTES] * n, pa.int64())]
+        return pa.RecordBatch.from_arrays([*columns, numbers, pa.array(lines, pa.binary())], ["path", SEQ, _BLOCK, _LINE, "value"])
+
+    held: list[bytes] = []
+    size = 0
+    with _plain(buffer) as stream:
+        while data := stream.read(_READ):
+            first, *rest = data.split(b"\n")
+            held.append(first)
+            size += len(first)
+            if size > longest:
+                raise ChangeError(f"Record beyond the record limit of {limit // 2**20} MiB in file <{path}>")
+            if rest:
+                lines = [b"".join(held), *rest[:-1]]
+                yield batch(lines)
+                held, size, number = [rest[-1]], len(rest[-1]), number + len(lines)
+            done += len(data)
+    if size:
+        yield batch([b"".join(held)])

@@ -252,10 +252,53 @@ def test_size_limit_counts_cells_that_are_not_read(spark, tmp_path, split_bytes)
     assert rows(read_changes(spark, path, cols("id:INT"), enough)) == [(1,), (2,)]
 
 
-def test_large_file_with_open_quote_fails(spark, tmp_path):
-    path = put(tmp_path / "a.csv", "id,s\n1,x\n2,\"never closed\n3,y\n")
+@pytest.mark.parametrize("route", ["whole", "split", "sealed"])
+@pytest.mark.parametrize(
+    "body",
+    [
+        'id,s\n1,x\n2,"never closed\n3,y\n',
+        'id,s\n1,a\n2,"open\n3,c\n4,d',
+        'id,s\n1,"a""',
+        'id,s\n1,"a"\n2,"b\n""\n',
+        '"id",s\n1,a"b\n2,"',
+    ],
+)
+def test_a_quote_that_is_never_closed_fails(spark, tmp_path, body, route):
+    fine = put(tmp_path / "fine.csv", 'id,s\n1,"x\n"\n2,5" pipe\n3,"y""z"\n4,""\n')
+    path, options = put(tmp_path / "a.csv", body), ReadOptions(split_bytes=0 if route == "split" else 2**40)
+    if route == "sealed":
+        options = ReadOptions(keys={path: KEY})
+        put(tmp_path / "a.csv", encrypt(spark, body.encode()))
     with pytest.raises(Exception, match="not closed"):
-        read_changes(spark, path, cols("id:INT s:STRING"), ReadOptions(split_bytes=0)).collect()
+        read_changes(spark, [fine, path], cols("id:STRING s:STRING"), options).collect()
+    assert len(rows(read_changes(spark, fine, cols("id:INT s:STRING"), options))) == 4
+
+
+@pytest.mark.parametrize("route", ["whole", "split", "sealed"])
+@pytest.mark.parametrize("at", ["header", "cell", "unread"])
+def test_bytes_that_are_not_utf8_fail(spark, tmp_path, route, at):
+    body = {"header": b"id,s,\xff\n1,a,b\n", "cell": b"id,s,t\n1,a\xff,b\n", "unread": "id,s,t\n1,é,".encode() + b"\xc3\n"}[at]
+    path, options = put(tmp_path / "odd name.csv", body), ReadOptions(split_bytes=0 if route == "split" else 2**40)
+    if route == "sealed":
+        options = ReadOptions(keys={path: KEY})
+        put(tmp_path / "odd name.csv", encrypt(spark, body))
+    with pytest.raises(Exception, match="odd.*name.*not UTF-8"):
+        read_changes(spark, path, cols("id:INT s:STRING"), options).collect()
+
+
+@pytest.mark.parametrize("block", ["5", "1000"])
+def test_damage_is_found_across_scan_splits(spark, tmp_path, block):
+    fine = put(tmp_path / "fine.csv", 'id,s\n1,"a\n\n\n,""x\n"\n2,5" pipe\n3,"y\n"\n' * 3)
+    bad = put(tmp_path / "bad.csv", 'id,s\n1,"a\n\n\n,""x\n"\n2,"5"" pipe\n3,y\n\n\n4,z\n')
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        assert len(rows(read_changes(spark, fine, cols("id:STRING s:STRING")))) == 11
+        with pytest.raises(ChangeError, match="not closed.*bad.csv"):
+            read_changes(spark, [fine, bad], cols("id:STRING s:STRING"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
 def test_missing_file(spark, tmp_path):
