@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -17,19 +18,63 @@ from pyspark.sql import functions as F
 
 from changeloom.llm.common import staged, with_python
 
+_SURROGATE = re.compile("[\ud800-\udfff]")
 _KINDS = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list, "null": type(None)}
 
 
+#: What :func:`violation` looks at, and words that restrict nothing. A schema with others is refused, not half checked.
+_CHECKED = frozenset(
+    "type enum const anyOf allOf minLength maxLength minItems maxItems minimum maximum pattern properties required additionalProperties items".split()
+)
+_REMARKS = frozenset("title description default examples $schema $comment deprecated".split())
+#: Levels of nesting that arguments may have.
+MAX_DEPTH = 200
+
+
+def check_schema(schema: object, where: str = "$") -> None:
+    """Raises ValueError, naming the word, if a schema asks for something that is not checked here."""
+    if not isinstance(schema, dict):
+        raise ValueError(f"{where}: a schema is an object")
+    if unknown := sorted(schema.keys() - _CHECKED - _REMARKS):
+        raise ValueError(f"{where}: {', '.join(unknown)} is not checked")
+    kinds = schema.get("type", [])
+    if unknown := [k for k in ([kinds] if isinstance(kinds, str) else kinds) if k not in _KINDS]:
+        raise ValueError(f"{where}: no type {unknown[0]}")
+    if not isinstance(schema.get("additionalProperties", True), bool):
+        raise ValueError(f"{where}: additionalProperties is true or false")
+    re.compile(schema.get("pattern", ""))
+    parts = [*schema.get("properties", {}).items(), *((f"{w}[{k}]", x) for w in ("anyOf", "allOf") for k, x in enumerate(schema.get(w, [])))]
+    for name, part in [*parts, *([("items", schema["items"])] if "items" in schema else [])]:
+        check_schema(part, f"{where}.{name}")
+
+
+def _is(value: object, kind: str) -> bool:
+    return isinstance(value, _KINDS[kind]) and not (isinstance(value, bool) and kind in ("integer", "number"))
+
+
+def _same(a: object, b: object) -> bool:
+    """Equal as JSON, where true is not 1."""
+    return canonical(a) == canonical(b)
+
+
 def violation(value: object, schema: dict, where: str = "$") -> str | None:
-    """The first way in which a value breaks a schema: type, enum, required, properties, items, lengths and limits."""
-    kind = schema.get("type")
-    if kind and (not isinstance(value, _KINDS[kind]) or isinstance(value, bool) and kind in ("integer", "number")):
-        return f"{where}: not {kind}"
-    if "enum" in schema and value not in schema["enum"]:
+    """The first way in which a value breaks a schema: type, constants, alternatives, lengths, limits, pattern, properties, items."""
+    kinds = schema.get("type", [])
+    kinds = [kinds] if isinstance(kinds, str) else kinds
+    if kinds and not any(_is(value, k) for k in kinds):
+        return f"{where}: not {' or '.join(kinds)}"
+    if "enum" in schema and not any(_same(value, x) for x in schema["enum"]) or "const" in schema and not _same(value, schema["const"]):
         return f"{where}: not allowed"
+    if "anyOf" in schema and all(violation(value, x, where) for x in schema["anyOf"]):
+        return f"{where}: anyOf"
+    if found := next((f for x in schema.get("allOf", ()) if (f := violation(value, x, where))), None):
+        return found
+    if isinstance(value, str) and "pattern" in schema and not re.search(schema["pattern"], value):
+        return f"{where}: pattern"
     size = len(value) if isinstance(value, (str, list)) else None
     number = value if isinstance(value, (int, float)) and not isinstance(value, bool) else None
-    limits = ((size, "minLength", -1), (size, "maxLength", 1), (number, "minimum", -1), (number, "maximum", 1))
+    unit = "Items" if isinstance(value, list) else "Length"
+    limits = ((size, f"min{unit}", -1), (size, f"max{unit}", 1), (number, "minimum", -1), (number, "maximum", 1))
     for got, name, side in limits:
         if got is not None and name in schema and (got - schema[name]) * side > 0:
             return f"{where}: {name}"
@@ -49,8 +94,20 @@ def violation(value: object, schema: dict, where: str = "$") -> str | None:
 
 
 def canonical(value: object) -> str:
-    """JSON with sorted keys and without spaces; equal values give equal text."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    """JSON with sorted keys and without spaces; equal values give equal text. Half of a surrogate pair stays an escape."""
+    text = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    return _SURROGATE.sub(lambda c: f"\\u{ord(c[0]):04x}", text)
+
+
+def parsed(arguments: str) -> object:
+    """The value of a JSON text; ValueError if it is none, or nested deeper than ``MAX_DEPTH``."""
+    value = json.loads(arguments)
+    level, depth = [value], 0
+    while level := [y for x in level if isinstance(x, (dict, list)) for y in (x.values() if isinstance(x, dict) else x)]:
+        depth += 1
+        if depth > MAX_DEPTH:
+            raise ValueError("nested too deep")
+    return value
 
 
 def _linked(calls: DataFrame, results: DataFrame) -> DataFrame:
@@ -64,7 +121,7 @@ def _linked(calls: DataFrame, results: DataFrame) -> DataFrame:
     heads = staged(calls.filter("call_id IS NOT NULL").groupBy(*key).agg(F.min(place).alias("head")), "chat-heads")
     firsts = results.filter("call_id IS NOT NULL").groupBy(*key).agg(F.min_by(F.struct("turn", "hash", "content"), place).alias("answer"))
     firsts = staged(firsts, "chat-answers")
-    is_head = F.col("head").isNotNull() & (place == F.col("head"))
+    is_head = F.col("conv_id").isNull() | F.col("head").isNotNull() & (place == F.col("head"))
     asked = calls.join(heads, key, "left").withColumn("is_head", is_head).drop("head")
     asked = asked.join(firsts.withColumn("is_head", F.lit(True)), [*key, "is_head"], "left")
     status = (
@@ -77,7 +134,7 @@ def _linked(calls: DataFrame, results: DataFrame) -> DataFrame:
     asked = asked.select(*key, "turn", status.alias("status"), "name", "arguments", "after", F.col("answer.content").alias("content"), "copies")
     told = results.join(firsts, key, "left").withColumn("first", F.coalesce(F.col("answer.turn").eqNullSafe(F.col("turn")) & (F.col("answer.hash") == F.col("hash")), F.lit(False)))
     told = told.join(heads.select(*key, F.lit(True).alias("called")), key, "left")
-    status = F.when(F.col("called").isNull(), "result without call").when(~F.col("first"), "repeated result")
+    status = F.when(F.col("called").isNull() | F.col("conv_id").isNull(), "result without call").when(~F.col("first"), "repeated result")
     none = F.lit(None).cast("string")
     told = told.withColumn("status", status).filter("status IS NOT NULL")
     return asked.union(told.select(*key, "turn", "status", none.alias("name"), none.alias("arguments"), none.alias("after"), "content", "copies"))
@@ -108,16 +165,19 @@ def tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], o
     ``calls`` has conv_id, turn, call_id, name, arguments (JSON) and after (the identifier of the call whose result it
     uses, or null); ``results`` has conv_id, turn, call_id and content. Other columns are not read. The result has
     conv_id, turn, depth, call_id, status, copies, valid, problem and json. Sorted by depth and turn, the records of a
-    conversation are in topological order.
+    conversation are in topological order. Calls and results without conversation link to nothing and repeat nothing.
 
     A null identifier links to nothing. Of calls with one identifier the first by turn is the call and the others are
     "repeated"; results likewise. Equal rows are one record with their number of copies. A dependence on an unknown call is none; calls on or
     behind a cycle have a null depth. Arguments that are null, no JSON, or for a tool without schema are invalid and
-    kept as text. Empty tables give an empty result.
+    kept as text, and so are those nested deeper than ``MAX_DEPTH``. A schema with words that are not checked is refused
+    before anything runs. Empty tables give an empty result.
 
     ``others`` has conv_id, turn, role and text of turns that are neither call nor result. Their records hold role and
     text; they have the status "no call", no identifier, a null depth and no problem, and are not valid calls.
     """
+    for name, schema in schemas.items():
+        check_schema(schema, name)
     calls = calls.select("conv_id", "turn", "call_id", "name", "arguments", "after")
     linked = _linked(calls, results.select("conv_id", "turn", "call_id", "content"))
     rows = linked.join(depths(calls), ["conv_id", "call_id"], "left")
@@ -126,10 +186,10 @@ def tool_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], o
         problem, value = None, arguments
         if status not in ("result without call", "repeated result"):
             try:
-                value = json.loads(arguments) if arguments is not None else None
+                value = parsed(arguments) if arguments is not None else None
                 problem = violation(value, schemas[name]) if name in schemas else f"no schema for {name}"
                 canonical(value)
-            except ValueError:
+            except (ValueError, RecursionError):
                 problem, value = "arguments are not JSON", arguments
         record = {"call_id": call_id, "name": name, "arguments": value, "after": after, "result": content, "status": status}
         return problem is None and status == "linked", problem, canonical(record)

@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from changeloom.llm import chat, queries
 
 SCHEMAS = {"add": {"type": "object", "required": ["a"], "properties": {"a": {"type": "integer", "minimum": 0}}, "additionalProperties": False}}
@@ -97,3 +99,46 @@ def test_turns_of_given_conversations_are_all_there(spark):
     rows = queries.op10_chat(spark, sf).collect()
     others = told.filter("role IS NULL OR role NOT IN ('user', 'assistant')").count()
     assert others > 0 and sum(r["copies"] for r in rows if r["status"] == "no call") == others
+
+
+def test_valid_json_of_any_kind_is_no_crash(spark):
+    deep = "[" * 100_000 + "]" * 100_000
+    texts = ['{"a":"\\ud800"}', deep, '{"a":' * 300 + "1" + "}" * 300, "[[[1]]]", '"' + "x" * 2_000_000 + '"', "", "nul"]
+    rows = {r["turn"]: r for r in records(spark, [(1, k, f"c{k}", "add", t, None) for k, t in enumerate(texts)], [])}
+    assert rows[0]["problem"] == "$.a: not integer" and '"\\ud800"' in rows[0]["json"]
+    assert [rows[k]["problem"] for k in (1, 2, 5, 6)] == ["arguments are not JSON"] * 4
+    assert rows[3]["problem"] == rows[4]["problem"] == "$: not object" and len(rows[4]["json"]) > 2_000_000
+    for row in rows.values():
+        json.loads(row["json"])
+
+
+def test_calls_without_conversation_stand_alone(spark):
+    calls = [(None, 0, "a", "add", '{"a":1}', None), (None, 1, "a", "add", '{"a":2}', None), (1, 0, "a", "add", '{"a":1}', None)]
+    got = sorted((r["conv_id"] or 0, r["turn"], r["status"]) for r in records(spark, calls, [(None, 2, "a", "x"), (None, 3, "a", "y"), (1, 1, "a", "z")]))
+    assert got == [
+        (0, 0, "without result"), (0, 1, "without result"), (0, 2, "result without call"), (0, 3, "result without call"), (1, 0, "linked")
+    ]
+
+
+def test_schemas_are_checked_or_refused(spark):
+    schema = {
+        "type": ["object", "null"],
+        "properties": {
+            "a": {"anyOf": [{"type": "integer", "minimum": 3}, {"const": "none"}]},
+            "b": {"type": "string", "pattern": "^x+$"},
+            "c": {"type": "array", "minItems": 1, "items": {"enum": [1, "1"]}},
+            "d": {"allOf": [{"type": "string"}, {"maxLength": 2}]},
+        },
+    }
+    chat.check_schema(schema)
+    fine = [None, {}, {"a": 3}, {"a": "none"}, {"b": "xx"}, {"c": [1, "1"]}, {"d": "ab"}]
+    assert [chat.violation(v, schema) for v in fine] == [None] * len(fine)
+    wrong = [([], "$: not object or null"), ({"a": 2}, "$.a: anyOf"), ({"a": True}, "$.a: anyOf"), ({"b": "y"}, "$.b: pattern"), ({"c": []}, "$.c: minItems")]
+    wrong += [({"c": [True]}, "$.c[0]: not allowed"), ({"d": "abc"}, "$.d: maxLength"), ({"d": 1}, "$.d: not string")]
+    assert [chat.violation(v, schema) for v, _ in wrong] == [p for _, p in wrong]
+    for bad in ({"$ref": "#/x"}, {"properties": {"a": {"oneOf": []}}}, {"type": "text"}, {"type": ["null", "date"]}, {"items": [{}]}):
+        with pytest.raises(ValueError):
+            chat.check_schema(bad)
+    empty = spark.createDataFrame([], CALL)
+    with pytest.raises(ValueError, match="oneOf"):
+        chat.tool_calls(empty, spark.createDataFrame([], RESULT), {"f": {"oneOf": []}})
