@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import staged, with_python
+from changeloom.llm.common import fresh, staged, with_python
 
 SEED = 5
 COVERAGE = 0.5
@@ -207,5 +207,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, text_col: str =
     Rows go by their text, so repeated ids and null ids make no difference.
     """
     found = contamination(docs, benchmark, text_col=text_col, **options)
-    keys = staged(found.select(F.col("text_key").alias("__tainted")).distinct(), "tiling-keys")
-    return docs.join(keys, F.xxhash64(text_col) == F.col("__tainted"), "left_anti")
+    key = fresh(docs, "text_key")
+    keys = staged(found.select(F.col("text_key").alias(key)).distinct(), "tiling-keys")
+    return docs.join(keys, F.xxhash64(text_col) == F.col(key), "left_anti")

@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import staged, with_python
+from changeloom.llm.common import fresh, staged, with_python
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -120,12 +120,13 @@ def mix(
     """
     ranked_by = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
     docs = docs.drop(*ADDED)
+    own = {n: fresh(docs, f"mix_{n}") for n in ("hash", "part", "source", "length", "slot", "base", "extra", "passes")}
     sized = (
         docs.withColumn("mix_size", size_of(text_col))
-        .withColumn("__mix_hash", ranked_by)
-        .withColumn("__mix_part", F.pmod("__mix_hash", F.lit(PARTS)))
+        .withColumn(own["hash"], ranked_by)
+        .withColumn(own["part"], F.pmod(own["hash"], F.lit(PARTS)))
     )
-    keys = [F.col(source_col).alias("source"), F.col("mix_size").alias("size"), F.col("__mix_part").alias("part")]
+    keys = [F.col(source_col).alias("source"), F.col("mix_size").alias("size"), F.col(own["part"]).alias("part")]
     parts = staged(sized.groupBy(*keys).count(), "mix-counts")
     lengths = parts.groupBy("source", "size").agg(F.sum("count").alias("count"))
     by_source = lengths.groupBy("source").agg(F.sum(F.col("size") * F.col("count")).alias("source_size"))
@@ -154,15 +155,15 @@ def mix(
         .join(e, F.col("p.source").eqNullSafe(F.col("e.source")) & (F.col("p.size") == F.col("e.size")), "left")
         .join(g, F.col("p.source").eqNullSafe(F.col("g.source")))
         .select(
-            F.col("p.source").alias("__mix_source"), F.col("p.size").alias("__mix_length"), F.col("p.part").alias("__mix_slot"),
-            F.col("base").alias("__mix_base"), F.coalesce("extra", F.lit(0)).alias("__mix_extra"),
-            F.col("passes").alias("__mix_passes"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"),
+            F.col("p.source").alias(own["source"]), F.col("p.size").alias(own["length"]), F.col("p.part").alias(own["slot"]),
+            F.col("base").alias(own["base"]), F.coalesce("extra", F.lit(0)).alias(own["extra"]),
+            F.col("passes").alias(own["passes"]), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"),
         ),
         "mix-plan",
     )
-    same = [F.col(source_col).eqNullSafe(F.col("__mix_source")), F.col("mix_size") == F.col("__mix_length"), F.col("__mix_part") == F.col("__mix_slot")]
+    same = [F.col(source_col).eqNullSafe(F.col(own["source"])), F.col("mix_size") == F.col(own["length"]), F.col(own["part"]) == F.col(own["slot"])]
     joined = sized.join(plan, reduce(lambda a, b: a & b, same))
-    order = Window.partitionBy(source_col, "mix_size", "__mix_part").orderBy("__mix_hash", id_col)
-    rank = F.col("__mix_base") + F.row_number().over(order)
-    times = F.col("__mix_passes") + (rank <= F.col("__mix_extra")).cast("long")
+    order = Window.partitionBy(source_col, "mix_size", own["part"]).orderBy(own["hash"], id_col)
+    rank = F.col(own["base"]) + F.row_number().over(order)
+    times = F.col(own["passes"]) + (rank <= F.col(own["extra"])).cast("long")
     return joined.withColumn("mix_times", times).select(*[joined[f"`{c}`"] for c in docs.columns], *ADDED)

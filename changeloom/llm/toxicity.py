@@ -13,9 +13,11 @@ import math
 import re
 import unicodedata
 import zlib
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -39,7 +41,6 @@ MIN_GAIN = 40.0
 FLUSH = 100_000
 #: Rows that are used for fitting, at most (about); everything else covers all rows.
 TRAIN_ROWS = 12_000
-MAX_TERMS = 5_000
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -90,7 +91,10 @@ def density_of(text: str | None, automaton: ahocorasick.Automaton | None) -> flo
     hits, excused = [], []
     for end, (length, weight) in automaton.iter(f" {' '.join(words)} "):
         (excused if weight is None else hits).append((end - length + 1, end, weight))
-    total = sum(w for a, b, w in hits if not any(x <= a and b <= y for x, y, _ in excused))
+    # Of the phrases that begin at or before a term, the one that ends last tells whether one of them holds it.
+    excused.sort()
+    begins, reach = [x for x, _, _ in excused], list(accumulate((y for _, y, _ in excused), max))
+    total = sum(w for a, b, w in hits if not (k := bisect_right(begins, a)) or reach[k - 1] < b)
     return 100 * total / (len(words) + 10)
 
 
@@ -143,12 +147,18 @@ def _chosen(candidates: list[tuple[str, float, float]], all_toxic: float, all_cl
 
     scored = [(_gain(t, c, all_toxic, all_clean), len(term), term, weight(t, c)) for term, t, c in candidates]
     kept: dict[str, float] = {}
+    beginnings, within = set(), set()  # the beginnings kept, and all that a kept term begins with
     for gain, _, term, odds in sorted(scored, reverse=True):
-        stem = term.rstrip()
-        if gain >= MIN_GAIN and odds >= MIN_LOG_ODDS and not any(
-            stem.startswith(k.rstrip()) and not k.endswith(" ") or k.startswith(stem) and not term.endswith(" ") for k in kept
-        ):
-            kept[term] = odds
+        stem, whole = term.rstrip(), term.endswith(" ")
+        if gain < MIN_GAIN or odds < MIN_LOG_ODDS or not whole and stem in within:
+            continue
+        starts = {stem[:k] for k in range(1, len(stem) + 1)}
+        if starts & beginnings:
+            continue
+        kept[term] = odds
+        within |= starts
+        if not whole:
+            beginnings.add(stem)
     return kept
 
 
@@ -195,9 +205,7 @@ def learn(labelled: DataFrame, *, train_rows: int = TRAIN_ROWS) -> Lexicon:
     likely = (
         counts.filter((F.bit_count("toxic_bits") >= MIN_SPREAD) & (odds >= MIN_LOG_ODDS))
         .filter(F.col("term").endswith(" ") | (F.col("words") >= PREFIX_WORDS))
-        .orderBy(F.desc(odds * F.col("toxic")), "term")
-        .limit(MAX_TERMS)
-        .collect()
+        .collect()  # terms of the rows used for fitting, whose number is bounded
     )
     found = [(r["term"], _spread(r["toxic"], r["toxic_bits"]), _spread(r["clean"], r["clean_bits"])) for r in likely]
     weights = _chosen(found, sizes[1], sizes[0])
@@ -237,8 +245,6 @@ def _exceptions(rows: DataFrame, lexicon: Lexicon) -> set[str]:
         .groupBy("phrase")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .filter((F.col("clean") >= 5) & (F.col("toxic") == 0))
-        .orderBy(F.desc("clean"), "phrase")
-        .limit(MAX_TERMS)
         .collect()
     )
     return {f" {r["phrase"]} " for r in counted}

@@ -143,3 +143,21 @@ def test_licences_inside_long_paragraphs(spark):
         texts.append(" ".join([*before, notice, *after]))
     got = _licences_among_prose(spark, texts)
     assert [r["licences"] for r in got] == [[family] for family, _ in notices * 10]
+
+
+def test_exception_phrases_excuse_the_terms_inside_them():
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(6)]
+    lexicon = toxicity.Lexicon({" w1 ": 2.0, " w2": 1.0}, {" w0 w1 ", " w1 w2 ", " w2 w3 ", " w1 w2 w4 "})
+    for _ in range(300):
+        text = rng.choices(words, k=rng.randrange(1, 12))
+        padded = f" {' '.join(text)} "
+        spans = [(m, m + len(e) - 1) for e in lexicon.exceptions for m in range(len(padded)) if padded.startswith(e, m)]
+        hits = [(m, m + len(t) - 1, w) for t, w in lexicon.weights.items() for m in range(len(padded)) if padded.startswith(t, m)]
+        total = sum(w for a, b, w in hits if not any(x <= a and b <= y for x, y in spans))
+        assert toxicity.density_of(" ".join(text), lexicon.automaton()) == pytest.approx(100 * total / (len(text) + 10))
+
+
+def test_terms_that_begin_alike_are_one():
+    terms = [(" bad", 900.0, 1.0), (" badly ", 500.0, 0.0), (" bads", 400.0, 0.0), (" worse ", 300.0, 0.0), (" wor", 100.0, 0.0), (" worst", 200.0, 0.0)]
+    assert toxicity._chosen(terms, 10_000.0, 10_000.0).keys() == {" bad", " worse ", " worst"}

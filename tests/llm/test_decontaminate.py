@@ -73,3 +73,10 @@ def test_empty_tables(tables):
     assert dc.contamination(docs.limit(0), items).count() == 0
     assert dc.contamination(docs, items.limit(0)).count() == 0
     assert dc.drop_contaminated(docs, items.limit(0)).count() == docs.count()
+
+
+def test_own_columns_of_any_name_stay(spark):
+    item = " ".join(f"word{k}" for k in range(30))
+    docs = spark.createDataFrame([(1, item, 5, 6), (2, "clean text of a few words here", 7, 8)], "doc_id long, text string, __tainted int, text_key int")
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert [tuple(r) for r in dc.drop_contaminated(docs, benchmark).collect()] == [(2, "clean text of a few words here", 7, 8)]

@@ -63,3 +63,12 @@ def test_mix_of_documents(spark):
     again = mixing.mix(docs.repartition(5)).toPandas()
     assert sorted(map(str, again[columns].values.tolist())) == sorted(map(str, mixed[columns].values.tolist()))
     assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_own_columns_of_any_name_stay(spark):
+    names = "doc_id long, text string, source string, mix_hash int, mix_source int, mix_part string, __mix_source string, mix_base int"
+    rows = [(k, "a b " * (k % 5), f"s{k % 3}", 1, 2, "p", "q", k) for k in range(40)]
+    docs = spark.createDataFrame(rows, names)
+    got = mixing.mix(docs)
+    assert got.columns[: len(docs.columns)] == docs.columns
+    assert sorted(tuple(r) for r in got.select(*docs.columns).collect()) == rows
