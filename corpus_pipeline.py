@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeloom.llm import decontaminate, mixing, shards, simhash, toxicity
-from changeloom.llm.common import staged
+from changeloom.llm.common import fresh, staged
 
 #: Documents from this toxicity on are rejected.
 TOXIC = 0.7
@@ -16,7 +16,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents whose toxicity stays below ``TOXIC``; the lexicon is learned from the labelled ones."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     lexicon = toxicity.learn(toxicity.training_rows(docs, labels))
-    return toxicity.score(docs, lexicon, name="__toxicity").filter(F.col("__toxicity") < TOXIC).select(*_columns(docs))
+    name = fresh(docs, "toxicity")
+    return toxicity.score(docs, lexicon, name=name).filter(F.col(name) < TOXIC).select(*_columns(docs))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +33,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     times = mixing.mix(docs).filter("mix_times > 0")
-    return times.withColumn("__turn", F.explode(F.sequence(F.lit(1), F.col("mix_times").cast("int")))).select(*_columns(docs))
+    turn = fresh(times, "turn")
+    return times.withColumn(turn, F.explode(F.sequence(F.lit(1), F.col("mix_times").cast("int")))).select(*_columns(docs))
 
 
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
