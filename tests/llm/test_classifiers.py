@@ -147,8 +147,8 @@ def test_licences_inside_long_paragraphs(spark):
 
 def test_exception_phrases_excuse_the_terms_inside_them():
     rng = random.Random(8)
-    words = [f"w{k}" for k in range(6)]
-    lexicon = toxicity.Lexicon({" w1 ": 2.0, " w2": 1.0}, {" w0 w1 ", " w1 w2 ", " w2 w3 ", " w1 w2 w4 "})
+    words = ["wa", "wb", "wc", "wd", "we", "wf"]
+    lexicon = toxicity.Lexicon({" wb ": 2.0, " wc": 1.0}, {" wa wb ", " wb wc ", " wc wd ", " wb wc we "})
     for _ in range(300):
         text = rng.choices(words, k=rng.randrange(1, 12))
         padded = f" {' '.join(text)} "
