@@ -30,46 +30,30 @@ from changeloom.session import scratch_path
 
 #: Fixed value: how the vocabulary's tokenizer cuts a text into pieces.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: What a text may not hold if it is to be cut before every space and line end: pieces of several white spaces, or others.
-_BLANKS = ("  ", " \n", "\n ", "\n\n", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f")
-_WIDE_BLANKS = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: The same for texts without white space next to white space: nothing has to be looked ahead at, which takes half the time.
+PLAIN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s"
+_BLANKS_MEET = re.compile(r"\s\s")
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 LENGTH = 1024
 SHARD_RECORDS = 16_384
-#: Words whose ids a Python worker remembers.
-REMEMBERED = 300_000
 #: Between records, so that text files can carry them; two bytes keep records aligned to ids.
 RECORD_END = "\n\n"
 ROUNDS = 4
 
 
-class Encoder(dict):
-    """Ids as bytes, two for each id; of words that came before they are remembered.
-
-    A space or line end after something else always begins a piece, so a text may be cut there.
-    """
+class Encoder:
+    """Ids of texts as bytes, two for each id."""
 
     def __init__(self, vocabulary: bytes):
-        super().__init__()
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
         self.separator = np.uint16(len(ranks)).tobytes()
-        self.encoding = tiktoken.Encoding("pieces", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-    def whole(self, text: str) -> bytes:
-        return array("H", self.encoding.encode_ordinary(text)).tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.whole(word if word[:1] == "\n" else " " + word)
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = ids
-        return ids
+        self.any, self.plain = (
+            tiktoken.Encoding("pieces", pat_str=p, mergeable_ranks=ranks, special_tokens={}) for p in (PATTERN, PLAIN_PATTERN)
+        )
 
     def encode(self, text: str) -> bytes:
-        if any(b in text for b in _BLANKS) or not text.isascii() and _WIDE_BLANKS.search(text):
-            return self.whole(text)
-        first, *words = text.replace("\n", " \n").split(" ")
-        return self.whole(first) + b"".join(map(self.__getitem__, words))
+        encoding = self.any if _BLANKS_MEET.search(text) else self.plain
+        return array("H", encoding.encode_ordinary(text)).tobytes()
 
 
 @lru_cache(1)
@@ -204,7 +188,8 @@ def materialise(
     shard = F.expr(f"slot div {shard_records}")
     shards = max(1, -(-total // shard_records))
     records = rows.mapInPandas(place, "slot long, record binary").withColumn("shard", shard)
-    dealt = records.repartition(shards, "shard").sortWithinPartitions("shard", "slot")
+    # A shard is a range of slots and belongs to the task of its number, so none gets two.
+    dealt = records.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "slot")
     dealt.select("shard", F.col("record").cast("string")).write.partitionBy("shard").option("lineSep", RECORD_END).text(path)
 
     @F.pandas_udf("long")
