@@ -35,7 +35,7 @@ from changeloom.session import shuffle_partitions
 FAMILY = 5
 HEADS = 9
 #: Turns below a node from which it may be heavy, and shards for each shuffle partition from which it is.
-SHARD_TURNS = 4096
+SHARD_TURNS = 256
 SHARDS_EACH = 4
 #: Levels of heavy nodes that are worked through at once, and messages that a queue holds in memory.
 BAND = 4096
