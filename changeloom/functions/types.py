@@ -77,6 +77,18 @@ def _whole_number(text: Expr, dtype: T.DataType) -> Expr:
     return F.coalesce(text.try_cast(dtype), F.round(text.cast(T.DecimalType(38, 18)), 0).cast(dtype))
 
 
+def try_from_text(raw: Expr, dtype: T.DataType) -> Expr:
+    """:func:`from_text`, with NULL for a cell that is not of the type."""
+    if isinstance(dtype, T.StringType):
+        return raw
+    if isinstance(dtype, T.BinaryType):
+        return F.try_to_binary(raw, F.lit("base64"))
+    filled = F.nullif(raw, F.lit(""))
+    if not isinstance(dtype, _INTEGRAL):
+        return filled.try_cast(dtype)
+    return F.coalesce(filled.try_cast(dtype), F.round(filled.try_cast(T.DecimalType(38, 18)), 0).try_cast(dtype))
+
+
 def convert(value: Expr, old: T.DataType, new: T.DataType) -> Expr:
     """Change of a stored column's type. Fractions are rounded, where a bare cast would cut them off."""
     if old == new:

@@ -65,6 +65,18 @@ def check_new_key(table: KeyedTable, new_keys: Sequence[str]) -> None:
         )
 
 
+def key_conflicts(table: KeyedTable, new_keys: Sequence[str]) -> DataFrame:
+    """The rows that :func:`check_new_key` refuses a key change for: values of the new key's existing columns that several
+    rows have or that hold NULL, with their ``row_count``. If all its columns are new, any two rows collide and there is
+    the count alone."""
+    known = [k for k in new_keys if k in table.spec]
+    if not known:
+        return table.df.agg(F.count(F.lit(1)).alias("row_count")).filter(F.col("row_count") > (1 if new_keys else 2**62))
+    empty = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in known])
+    counted = table.df.groupBy(*known).agg(F.count(F.lit(1)).alias("row_count"))
+    return counted.filter(empty | (F.col("row_count") > 1))
+
+
 #: What :func:`history_violations` finds.
 BACKWARD, OVERLAP, ACTIVE = "ends before it starts", "overlaps an earlier version", "not the only active version"
 

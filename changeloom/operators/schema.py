@@ -37,6 +37,15 @@ def describe_table(table: KeyedTable) -> DataFrame:
     return table.df.sparkSession.createDataFrame(rows, schema)
 
 
+def describe_content(table: KeyedTable) -> DataFrame:
+    """:func:`describe_table` with the table's ``row_count`` and each column's ``null_count``, from one aggregate over it."""
+    names = table.spec.names
+    counts = [F.count_if(F.col(c).isNull()).alias(f"null_{k}") for k, c in enumerate(names)]
+    found = table.df.agg(F.count(F.lit(1)).alias("row_count"), *counts)
+    per_column = F.inline(F.array(*[F.struct(F.lit(k).alias("position"), F.col(f"null_{k}").alias("null_count")) for k in range(len(names))]))
+    return describe_table(table).join(found.select("row_count", per_column), "position")
+
+
 def add_column(table: KeyedTable, column: Column, *, if_not_exists: bool = False) -> KeyedTable:
     """Add a column at the end; existing rows get its default. The text ``NULL`` is just text."""
     if column.name in table.spec:

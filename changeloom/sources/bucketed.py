@@ -11,6 +11,8 @@ buckets, while the target is joined where it lies and the result is written buck
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +46,19 @@ def open_bucketed(spark: SparkSession, name: str, system: SystemColumns | None =
         raise ChangeError(f"Table {name} does not lie in buckets of its key {spec.keys}")
     return KeyedTable(df, spec, buckets=int(facts["Num Buckets"]))
 
+
+
+def copy_bucketed(
+    table: KeyedTable, name: str, buckets: int, *, path: str | None = None, keys: Sequence[str] = ()
+) -> KeyedTable:
+    """A copy of the rows, with defaults and key, as the new catalog table ``name``; ``keys`` join the key of the copy.
+
+    A table without key cannot be copied. A history table keeps its version start in the key, as its source key alone
+    does not tell versions apart.
+    """
+    spec = table.spec.with_keys([*table.require_keys(), *keys])
+    unknown = [k for k in keys if k not in table.spec]
+    if unknown:
+        raise ChangeError(f"Key columns not found: {unknown}")
+    save_bucketed(KeyedTable(table.df, spec), name, buckets, path=path)
+    return open_bucketed(table.df.sparkSession, name, table.spec.system)

@@ -7,11 +7,15 @@ formats can only be read from the front, so one file is one task up to its lines
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow import fs
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.types import StructType
 
 from ..errors import ChangeError
 from ..model import ReadOptions
@@ -113,3 +117,62 @@ def _lines(buffer: pa.Buffer, path: str, seq: int, longest: int, limit: int) ->
             done += len(data)
     if size:
         yield batch([b"".join(held)])
+
+
+class WholeFiles(DataSource):
+    """Spark data source that writes each row (name, content) as one file below ``path``.
+
+    It writes where Arrow's file systems reach: local and mounted folders, HDFS, S3, GCS and Azure.
+    """
+
+    @classmethod
+    def name(cls) -> str:
+        return "changeloom_files"
+
+    def schema(self) -> str:
+        return "name string, content binary"
+
+    def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
+        return _Writer(self.options["path"])
+
+
+class _Writer(DataSourceWriter):
+    def __init__(self, path: str):
+        self.path = path
+
+    def write(self, iterator: Iterator[Row]) -> WriterCommitMessage:
+        """Files appear whole, under their own name, so a task that runs again replaces them by themselves."""
+        local = re.sub("^file:/+", "/", self.path)
+        files, base = fs.FileSystem.from_uri(local) if "://" in local else (fs.LocalFileSystem(), local)
+        files.create_dir(base, recursive=True)
+        for row in iterator:
+            with files.open_output_stream(f"{base}/.{row.name}.part") as out:
+                out.write(row.content)
+            files.move(f"{base}/.{row.name}.part", f"{base}/{row.name}")
+        return WriterCommitMessage()
+
+
+def write_sealed(df: DataFrame, path: str, key: bytes, files: int, null_value: str) -> list[str]:
+    """Rows as ``files`` encrypted change files below ``path``, written by executors; returns their paths.
+
+    A file is encrypted whole (AES-CBC, a random first block), so it must stay below 2 GiB. Texts are quoted, NULL is
+    ``null_value``. Without rows there is one file that holds the header alone.
+    """
+    spark = df.sparkSession
+    ship_package(spark)
+    spark.dataSource.register(WholeFiles)
+    quoted = [
+        F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')) if t == "string" else F.col(c).cast("string") for c, t in df.dtypes
+    ]
+    line = F.concat_ws(",", *[F.coalesce(c, F.lit(null_value)) for c in quoted])
+    lines = df.select(F.pmod(F.xxhash64(*df.columns), F.lit(files)).alias("file"), line.alias("line"), F.lit(1).alias("place"))
+    headers = lines.select("file").union(spark.range(1).select(F.col("id").alias("file"))).distinct()
+    headers = headers.select("file", F.lit(",".join(df.columns)).alias("line"), F.lit(0).alias("place"))
+    ordered = F.array_sort(F.collect_list(F.struct("place", "line")))
+    text = F.concat(F.array_join(F.transform(ordered, lambda x: x["line"]), "\n"), F.lit("\n"))
+    whole = lines.unionByName(headers).groupBy("file").agg(text.alias("text"))
+    name = F.format_string("part-%05d.csv.aes", "file")
+    sealed = F.aes_encrypt(F.col("text").cast("binary"), F.lit(key), F.lit("CBC"), F.lit("PKCS"))
+    whole.select(name.alias("name"), sealed.alias("content")).write.format(WholeFiles.name()).mode("append").option("path", path).save()
+    found = spark.read.format("binaryFile").load(path).select("path")
+    return sorted(r["path"] for r in found.collect())

@@ -4,7 +4,7 @@ from helpers import rows, table
 from changeloom import BatchFiles, ChangeError, KeyedTable, ReadOptions, TableSpec
 from changeloom.operators.merge import apply_changes, stack
 from changeloom.plans.batches import write_bucketed_batch
-from changeloom.sources.bucketed import open_bucketed, save_bucketed
+from changeloom.sources.bucketed import copy_bucketed, open_bucketed, save_bucketed
 
 DDL = "a int, b string, v string, n long"
 
@@ -109,3 +109,15 @@ def test_empty_tables_and_batches(spark, books):
     changes = spark.createDataFrame([(1, "x", "v", 1)], DDL)
     assert rows(apply_changes(stored, replace=changes, small=False)) == [(1, "x", "v", 1)]
     assert rows(apply_changes(stored, replace=changes.limit(0), delete=changes, small=False)) == []
+
+
+def test_copies_keep_key_and_defaults(spark, books, tmp_path):
+    stored = books(DATA, "books_origin", 4, defaults={"v": "none"})
+    spark.sql("DROP TABLE IF EXISTS books_copy")
+    copy = copy_bucketed(stored, "books_copy", 8, path=f"{tmp_path}/copy", keys=["n"])
+    assert (copy.buckets, copy.spec.keys, copy.spec["v"].default) == (8, ["a", "b", "n"], "none")
+    assert rows(copy) == sorted(DATA, key=repr)
+    with pytest.raises(ChangeError, match="not found"):
+        copy_bucketed(stored, "books_other", 4, keys=["q"])
+    with pytest.raises(ChangeError, match="key"):
+        copy_bucketed(KeyedTable(stored.df, TableSpec.of(stored.df)), "books_other", 4)

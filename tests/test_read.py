@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from changeloom import ChangeError, Column, ReadOptions
 from changeloom.functions.types import spark_type
 from changeloom.operators.merge import SEQ
-from changeloom.sources.change_files import read_changes
+from changeloom.sources.change_files import read_changes, read_checked
+from changeloom.sources.sealed import write_sealed
 
 TOKEN = "nil-7f3a"
 KEY = b"0123456789abcdef0123456789abcdef"
@@ -313,3 +314,55 @@ def test_decimal_parameters():
             spark_type("DECIMAL", *bad)
     with pytest.raises(ChangeError):
         spark_type("UNSPECIFIED")
+
+
+def test_bad_cells_are_told_and_good_rows_pass(spark, tmp_path):
+    first = put(tmp_path / "1.csv", 'n,id,s,b\n1.5,1,"a\nb",aGk=\nx,2,b,aGk=\n,3,,\n2,z,c,***\n\n3,70000,d,aGk=\n')
+    second = put(tmp_path / "2.csv", 's,id,n,b\nt,1,1,aGk=\nshort,2\n"q,",3,4,aGk=,more\nlast,NIL,2.5,aGk=\n')
+    wanted = cols("id:SHORT n:DOUBLE b:BINARY s:STRING")
+    good, bad = read_checked(spark, [first, second], wanted, ReadOptions(null_value="NIL"))
+    assert rows(good.select(SEQ, "id", "n", "s")) == sorted(
+        [(0, 1, 1.5, "a\nb"), (0, 3, None, ""), (1, 1, 1.0, "t"), (1, None, 2.5, "last")], key=repr
+    )
+    found = rows(bad.select("file", "record", "column", "reason", "cell"))
+    assert found == sorted(
+        [
+            (0, 2, "n", "not DOUBLE", "x"),
+            (0, 4, "id", "not SHORT", "z"),
+            (0, 4, "b", "not BINARY", "***"),
+            (0, 5, "id", "not SHORT", "70000"),
+            (1, 2, None, "wrong number of cells", "short,2"),
+            (1, 3, None, "wrong number of cells", '"q,",3,4,aGk=,more'),
+        ],
+        key=repr,
+    )
+    alone, none = read_checked(spark, first, cols("s:STRING"))
+    assert alone.columns == ["s"] and alone.count() == 5 and none.count() == 0
+    with pytest.raises(ChangeError, match="types"):
+        read_checked(spark, first, [Column("id")])
+
+
+@pytest.mark.parametrize("route", ["split", "sealed"])
+def test_bad_cells_of_large_and_sealed_files(spark, tmp_path, route):
+    body = "id,s\n" + "".join(f"{k if k % 10 else 'x'},t\n" for k in range(200))
+    path = put(tmp_path / "a.csv", encrypt(spark, body.encode()) if route == "sealed" else body)
+    options = ReadOptions(split_bytes=0) if route == "split" else ReadOptions(keys={path: KEY})
+    good, bad = read_checked(spark, path, cols("id:INT s:STRING"), options)
+    assert good.count() == 180 and rows(bad) == [(0, None, "id", "not INT", "x")] * 20
+
+
+def test_a_record_beyond_the_limit_is_told(spark, tmp_path):
+    path = put(tmp_path / "a.csv", "id,s\n1,{}\n2,b\n".format("x" * 25 * 2**20))
+    good, bad = read_checked(spark, path, cols("id:INT"))
+    assert rows(good) == [(2,)] and rows(bad) == [(0, 1, None, "beyond the record limit of 24 MiB", None)]
+
+
+def test_sealed_files_are_written_by_executors(spark, tmp_path):
+    data = [(k, None if k % 7 == 0 else f'a"{k}\n,é' * (k % 3), k / 2) for k in range(300)]
+    df = spark.createDataFrame(data, "id int, s string, n double")
+    paths = write_sealed(df, f"{tmp_path}/sealed", KEY, 5, TOKEN)
+    assert len(paths) == 5 and b"id,s" not in b"".join((tmp_path / "sealed" / p.rsplit("/", 1)[1]).read_bytes() for p in paths)
+    options = ReadOptions(null_value=TOKEN, encrypted=True, keys=dict.fromkeys(paths, KEY))
+    assert rows(read_changes(spark, paths, cols("id:INT s:STRING n:DOUBLE"), options).drop(SEQ)) == sorted(data, key=repr)
+    (alone,) = write_sealed(df.limit(0), f"{tmp_path}/none", KEY, 5, TOKEN)
+    assert rows(read_changes(spark, alone, cols("id:INT"), ReadOptions(keys={alone: KEY}))) == []

@@ -159,3 +159,19 @@ def test_names_must_be_unique():
         TableSpec((Column("a"), Column("a")))
     with pytest.raises(ChangeError, match="dots"):
         TableSpec((Column("a.b"),))
+
+
+def test_conflicts_name_what_stands_against_a_key(spark):
+    t = table(spark, [(1, "a"), (1, "b"), (2, "a"), (None, "c")], "id int, s string", ["s"])
+    assert rows(checks.key_conflicts(t, ["id", "new"])) == sorted([(1, 2), (None, 1)], key=repr)
+    assert rows(checks.key_conflicts(t, ["id", "s"])) == [(None, "c", 1)]
+    assert rows(checks.key_conflicts(t, ["new"])) == [(4,)] and rows(checks.key_conflicts(t, [])) == []
+
+
+def test_describe_content_counts_rows_and_nulls(spark):
+    t = table(spark, [(1, None), (2, "x"), (None, None)], "id int, s string", ["id"], defaults={"s": "d"})
+    found = schema.describe_content(t).orderBy("position").collect()
+    assert [(r["column_name"], r["primary_key"], r["column_default"], r["row_count"], r["null_count"]) for r in found] == [
+        ("id", True, None, 3, 1), ("s", False, "d", 3, 2)
+    ]
+    assert {r["row_count"] for r in schema.describe_content(t.with_df(t.df.limit(0))).collect()} == {0}

@@ -11,7 +11,7 @@ from changeloom import KeyedTable
 from changeloom.operators.merge import apply_changes, stack
 from changeloom.plans.batches import write_bucketed_batch
 from changeloom.session import scratch_path
-from changeloom.sources.bucketed import open_bucketed, save_bucketed
+from changeloom.sources.bucketed import copy_bucketed, open_bucketed, save_bucketed
 
 from .common import MARK, SYS, Query
 from .files import OPTIONS, order_files
@@ -70,3 +70,15 @@ def bucketed_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     returned = spark.read.parquet(f"{sf_dir}/lineitem.parquet").filter("l_returnflag = 'R'")
     table = saved_orders(spark, KeyedTable.of(orders, ["o_orderkey"], system=SYS))
     return apply_changes(table, delete=returned.select(F.col("l_orderkey").alias("o_orderkey")), small=False).df
+
+
+@query("SELECT * FROM customer")
+def copy_into_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table copied with its key, to which a column joins, and its defaults."""
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    table = KeyedTable.of(customer, ["c_custkey"], defaults={"c_name": "unknown"}, system=SYS)
+    name, path = _name(spark, "customer")
+    copy = copy_bucketed(table, name, BUCKETS, path=path, keys=["c_nationkey"])
+    if copy.spec.keys != ["c_custkey", "c_nationkey"] or copy.spec["c_name"].default != "unknown":
+        raise AssertionError(copy.spec)
+    return copy.df

@@ -16,7 +16,8 @@ from changeloom.plans.batches import load as load_table
 from changeloom.plans.batches import truncate, write_batch, write_history_batch
 from changeloom.plans.migrations import migrate
 from changeloom.session import scratch_path
-from changeloom.sources.change_files import read_changes
+from changeloom.sources.change_files import read_changes, read_checked
+from changeloom.sources.sealed import write_sealed
 from changeloom.sources.tables import VersionedTable
 from changeloom.streaming.requests import follow
 
@@ -92,6 +93,16 @@ def csv_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_changes(spark, parts(spark, path), _columns(documents), OPTIONS).select(*documents.columns)
 
 
+@query("SELECT * FROM documents")
+def csv_sealed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encrypted files, made by the executors; each has its own key on the list, here the same."""
+    documents = load(spark, sf_dir, "documents")
+    key = bytes(range(32))
+    paths = write_sealed(documents, scratch_path(spark, "sealed"), key, spark.sparkContext.defaultParallelism, TOKEN)
+    options = ReadOptions(null_value=TOKEN, encrypted=True, keys={p: key for p in paths})
+    return read_changes(spark, paths, _columns(documents), options).select(*documents.columns)
+
+
 @query("SELECT doc_id, text || ' 5\" x' AS text, source FROM documents WHERE text IS NOT NULL")
 def csv_split_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Split reading of cells that hold quotes but are not quoted, as far as a text may go unquoted."""
@@ -111,6 +122,54 @@ def csv_split_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_changes(spark, paths, wanted, ReadOptions(split_bytes=0)).select("doc_id", "text", "source")
 
 
+def _damaged_events(spark: SparkSession, sf_dir: str) -> tuple[list[str], list[Column]]:
+    """Events as text in four files by number, some cells of which are not of their type and some records too short."""
+    number = F.col("event_id")
+    events = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    cells = [
+        number.cast("string"),
+        F.when(number % 17 == 0, "2024-13-01").otherwise(F.col("ts").cast("string")),
+        F.when(number % 11 == 0, F.concat(F.lit("x"), number.cast("string"))).otherwise(F.col("user_id").cast("string")),
+        F.when(number % 13 == 0, "1.2.3").otherwise(F.col("value").cast("string")),
+    ]
+    line = F.when(number % 23 == 0, F.concat_ws(",", *cells[:3])).otherwise(F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in cells]))
+    records = events.select(line.alias("value"), (number % 4).alias("file"), number.alias("place"))
+    headers = spark.range(4).select(F.lit(",".join(events.columns)).alias("value"), F.col("id").alias("file"), F.lit(-1).cast("long").alias("place"))
+    lines = headers.unionByName(records).repartition("file").sortWithinPartitions("file", "place")
+    path = scratch_path(spark, "damaged")
+    lines.select("value", "file").write.partitionBy("file").text(path)
+    return [part for k in range(4) for part in parts(spark, f"{path}/file={k}")], _columns(events)
+
+
+_RECORDS = """
+    SELECT *, CAST(event_id % 4 AS INTEGER) AS file, row_number() OVER (PARTITION BY event_id % 4 ORDER BY event_id) AS record FROM events"""
+
+
+@query(f"""
+    SELECT file, record, 'ts' AS "column", 'not NAIVE_DATETIME' AS reason, '2024-13-01' AS cell FROM ({_RECORDS})
+    WHERE event_id % 17 = 0 AND event_id % 23 <> 0
+    UNION ALL
+    SELECT file, record, 'user_id', 'not LONG', 'x' || event_id FROM ({_RECORDS}) WHERE event_id % 11 = 0 AND event_id % 23 <> 0
+    UNION ALL
+    SELECT file, record, 'value', 'not DOUBLE', '1.2.3' FROM ({_RECORDS}) WHERE event_id % 13 = 0 AND event_id % 23 <> 0
+    UNION ALL
+    SELECT file, record, NULL, 'wrong number of cells', NULL FROM ({_RECORDS}) WHERE event_id % 23 = 0""")
+def csv_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong in damaged files: file, record, column, reason and cell."""
+    _, rejected = read_checked(spark, *_damaged_events(spark, sf_dir))
+    short = F.col("column").isNull()
+    return rejected.withColumn("cell", F.when(~short, F.col("cell")))
+
+
+@query("""
+    SELECT event_id, ts, user_id, value FROM events
+    WHERE event_id % 11 <> 0 AND event_id % 13 <> 0 AND event_id % 17 <> 0 AND event_id % 23 <> 0""")
+def csv_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the same files that nothing is wrong with."""
+    paths, columns = _damaged_events(spark, sf_dir)
+    return read_checked(spark, paths, columns)[0].select(*[c.name for c in columns])
+
+
 @query("SELECT * FROM pages")
 def csv_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = load(spark, sf_dir, "pages")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeloom import Column, KeyedTable
+from changeloom import Column, KeyedTable, UserActionError
 from changeloom.operators import checks, modes, schema
 
 from .common import VERSIONS, Query, at, keyed, load, versions_of, versions_sql
@@ -114,6 +114,57 @@ def alter_key_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema.alter_table(customer, requested).df
 
 
+@query("""
+    SELECT l_orderkey, l_linenumber, COUNT(*) AS row_count FROM lineitem
+    GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1 OR l_orderkey IS NULL OR l_linenumber IS NULL""")
+def alter_key_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key change that rows stand against, which are named; the table stays as it is."""
+    lineitem = keyed(load(spark, sf_dir, "lineitem"))
+    wanted = ["l_orderkey", "l_linenumber", "batch"]
+    requested = lineitem.spec.with_columns([*lineitem.spec.columns, Column("batch", T.IntegerType())]).with_keys(wanted)
+    try:
+        schema.alter_table(lineitem, requested)
+    except UserActionError:
+        return checks.key_conflicts(lineitem, wanted)
+    raise AssertionError("the key change was not refused")
+
+
+_DESCRIBED = {
+    "customer": (["c_custkey"], {"c_name": "unknown"}, "LONG STRING INT DOUBLE STRING"),
+    "part": (["p_partkey", "p_brand"], {}, "LONG STRING STRING STRING INT DOUBLE"),
+    "events": (["event_id"], {"value": "0", "props": "{}"}, "LONG NAIVE_DATETIME LONG STRING DOUBLE STRING"),
+}
+
+
+def _describe_sql() -> str:
+    """From the types that the files are known to have, and counts."""
+    columns = {
+        "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+        "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+        "events": "event_id ts user_id event_type value props",
+    }
+    rows = []
+    for table, (keys, defaults, types) in _DESCRIBED.items():
+        for position, (name, kind) in enumerate(zip(columns[table].split(), types.split(), strict=True)):
+            default = f"'{defaults[name]}'" if name in defaults else "CAST(NULL AS VARCHAR)"
+            rows.append(
+                f"SELECT '{table}' AS table_name, {position} AS position, '{name}' AS column_name, '{kind}' AS column_type, "
+                f"CAST(NULL AS INTEGER) AS precision, CAST(NULL AS INTEGER) AS scale, {name in keys} AS primary_key, "
+                f"{default} AS column_default, COUNT(*) AS row_count, COUNT(*) - COUNT({name}) AS null_count FROM {table}"
+            )
+    return " UNION ALL ".join(rows)
+
+
+@query(_describe_sql())
+def describe_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns of several tables with types, keys and defaults, and how full they are."""
+    described = None
+    for name, (keys, defaults, _) in _DESCRIBED.items():
+        found = schema.describe_content(keyed(load(spark, sf_dir, name), *keys, defaults=defaults)).withColumn("table_name", F.lit(name))
+        described = found if described is None else described.unionByName(found)
+    return described
+
+
 @query("SELECT c_custkey, c_name AS full_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def rename_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema.rename_column(_customer(spark, sf_dir), "c_name", "full_name").df
