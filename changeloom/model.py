@@ -156,6 +156,8 @@ class KeyedTable:
     spec: TableSpec
     #: In how many buckets of the key the rows are known to lie, if they are (:mod:`changeloom.sources.bucketed`).
     buckets: int | None = None
+    #: Whether the rows are known to lie in ranges of the key (:mod:`changeloom.sources.clustered`).
+    clustered: bool = False
 
     @classmethod
     def of(cls, df: DataFrame, keys: Iterable[str] = (), **kwargs) -> KeyedTable:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column as Expr
 from pyspark.sql import DataFrame
@@ -90,7 +91,9 @@ def apply_changes(
     If the changes are small (``small=None`` measures them), they are broadcast and the target is not
     shuffled. Otherwise one full outer join keeps, changes and inserts rows in a single pass; the key is
     unique on either side, so no key is hot. A target that lies in buckets of its key is not shuffled then either:
-    the changes are sent to its buckets, and so the result comes bucket by bucket.
+    the changes are sent to its buckets, and so the result comes bucket by bucket. Of a target that lies in ranges of
+    its key, only what lies between the least and the greatest key of the changes is joined; the rest is a scan that
+    leaves these row groups out.
     """
     spec = table.spec
     keys = table.require_keys()
@@ -98,14 +101,18 @@ def apply_changes(
         return table
     if small is None:
         small = all(fits_broadcast(df) for df in (delete, replace, update) if df is not None)
+    first = keys[0]
+    given = [df for df in (replace, update, delete) if df is not None]
+    near, far = _reached(table, [df.select(cell(df, first, F.col(first), spec[first].dtype).alias("key")) for df in given])
     if replace is None and update is None:
         gone = typed(delete.select(*keys), spec)
-        return table.with_df(table.df.join(F.broadcast(gone) if small else _dealt(gone.distinct(), table), keys, "left_anti"))
+        left = near.join(F.broadcast(gone) if small else _dealt(gone.distinct(), table), keys, "left_anti")
+        return table.with_df(left if far is None else left.unionByName(far))
 
     upserts = None if replace is None else _with_keys(typed(replace, spec), keys)
     changes = _fold(spec, upserts, update, delete, unmodified)
     replaced, kept = F.col(_ROW).isNotNull(), F.col(_DELETED).isNull()
-    stored = table.df.withColumn(_STORED, F.lit(True))
+    stored = near.withColumn(_STORED, F.lit(True))
     if upserts is None:
         lookup = F.broadcast(changes) if small else _dealt(changes, table)
         changed = stored.join(lookup, keys, "left")
@@ -114,10 +121,28 @@ def apply_changes(
     else:
         changed, new = stored.join(F.broadcast(changes), keys, "left"), changes.filter(replaced)
         # Stored rows are changed in place, also where a key that should be unique is not: the join below gives the same.
-        known = table.df.select(*keys).join(F.broadcast(changes.select(*keys)), keys, "left_semi")
+        known = near.select(*keys).join(F.broadcast(changes.select(*keys)), keys, "left_semi")
         new = new.join(known, keys, "left_anti")
         changed = changed.unionByName(new, allowMissingColumns=True)
-    return table.with_df(changed.filter(kept).select(*_cells(spec, upserts, update)))
+    result = changed.filter(kept).select(*_cells(spec, upserts, update))
+    return table.with_df(result if far is None else result.unionByName(far.select(*spec.names)))
+
+
+def _reached(table: KeyedTable, keys: list[DataFrame]) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of the target that some of ``keys`` (values of the first key column) may meet, and the others.
+
+    Bounds are one aggregate over the change rows, and constants in the plan, so the scans leave out row groups by them.
+    """
+    if not table.clustered:
+        return table.df, None
+    every = reduce(DataFrame.unionByName, keys)
+    low, high = every.agg(F.min("key").cast("string"), F.max("key").cast("string")).first()
+    if low is None:
+        return table.df.filter(F.lit(False)), table.df
+    name = table.spec.keys[0]
+    dtype, key = table.spec[name].dtype, F.col(name)
+    low, high = F.lit(low).cast(dtype), F.lit(high).cast(dtype)
+    return table.df.filter((key >= low) & (key <= high)), table.df.filter((key < low) | (key > high) | key.isNull())
 
 
 def _dealt(changes: DataFrame, table: KeyedTable) -> DataFrame:

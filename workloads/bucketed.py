@@ -1,4 +1,4 @@
-"""Batches on catalog tables that lie in buckets of their key."""
+"""Batches on tables that lie in buckets, or in ranges, of their key."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from changeloom.operators.merge import apply_changes, stack
 from changeloom.plans.batches import write_bucketed_batch
 from changeloom.session import scratch_path
 from changeloom.sources.bucketed import copy_bucketed, open_bucketed, save_bucketed
+from changeloom.sources.clustered import open_clustered, save_clustered
 
 from .common import MARK, SYS, Query
 from .files import OPTIONS, order_files
@@ -82,3 +83,23 @@ def copy_into_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     if copy.spec.keys != ["c_custkey", "c_nationkey"] or copy.spec["c_name"].default != "unknown":
         raise AssertionError(copy.spec)
     return copy.df
+
+
+@query("""
+    WITH b AS (SELECT MAX(o_orderkey) AS top FROM orders),
+         r AS (SELECT o.* REPLACE ('Z' AS o_orderstatus) FROM orders o, b WHERE o_orderkey > top * 0.9 AND o_orderkey % 3 <> 0),
+         t AS (SELECT o.* FROM orders o, b WHERE o_orderkey <= top * 0.95)
+    SELECT * FROM t WHERE o_orderkey NOT IN (SELECT o_orderkey FROM r)
+        AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem, b WHERE l_orderkey > top * 0.85 AND l_returnflag = 'R')
+    UNION ALL
+    SELECT * FROM r WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem, b WHERE l_orderkey > top * 0.85 AND l_returnflag = 'R')""")
+def clustered_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late orders replaced and deleted, in a table that lies in ranges of its key; the others are not shuffled."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    key, top = F.col("o_orderkey"), orders.agg(F.max("o_orderkey")).first()[0]
+    path = scratch_path(spark, "clustered")
+    save_clustered(KeyedTable.of(orders.filter(key <= top * 0.95), ["o_orderkey"], system=SYS), path, row_group_bytes=1 << 16)
+    late = orders.filter((key > top * 0.9) & (key % 3 != 0)).withColumn("o_orderstatus", F.lit("Z"))
+    gone = lineitem.filter((F.col("l_orderkey") > top * 0.85) & (F.col("l_returnflag") == "R")).select(F.col("l_orderkey").alias("o_orderkey"))
+    return apply_changes(open_clustered(spark, path, SYS), replace=late, delete=gone, small=False).df
