@@ -144,8 +144,8 @@ def _opened(spark: SparkSession, paths: Sequence[str], options: ReadOptions) ->
     sealed = [f for f in files if not f.direct]
     if not sealed:
         return files
-    headers = sealed_headers(spark, sealed, options)
-    return [f if f.direct else replace(f, header=headers[f.seq]) for f in files]
+    found = sealed_headers(spark, sealed, options)
+    return [f if f.direct else replace(f, header=found[f.seq][0], compressed=found[f.seq][1]) for f in files]
 
 
 def key_columns(spec: TableSpec) -> list[Column]:

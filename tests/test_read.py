@@ -1,6 +1,8 @@
 """Reading change files: order, types, NULL tokens, quoting, compression, encryption, record size."""
 
 import datetime as dt
+import itertools
+import random
 from decimal import Decimal
 
 import pyarrow as pa
@@ -11,6 +13,7 @@ from pyspark.sql import types as T
 from changeloom import ChangeError, Column, ReadOptions
 from changeloom.functions.types import spark_type
 from changeloom.operators.merge import SEQ
+from changeloom.sources import change_files, sealed
 from changeloom.sources.change_files import read_changes, read_checked
 from changeloom.sources.sealed import write_sealed
 
@@ -366,3 +369,63 @@ def test_sealed_files_are_written_by_executors(spark, tmp_path):
     assert rows(read_changes(spark, paths, cols("id:INT s:STRING n:DOUBLE"), options).drop(SEQ)) == sorted(data, key=repr)
     (alone,) = write_sealed(df.limit(0), f"{tmp_path}/none", KEY, 5, TOKEN)
     assert rows(read_changes(spark, alone, cols("id:INT"), ReadOptions(keys={alone: KEY}))) == []
+
+
+def long_text(newline_at_end=True):
+    """Quoted cells over several lines, bytes of several lengths, and lines longer than a piece."""
+    records = ["id,s"] + [f'{k},"é{k}\n""x""\n{"ü" * (k % 50)}"' for k in range(300)] + [f'300,"{"y" * 5000}"', "301,z"]
+    return "\n".join(records) + "\n" * newline_at_end
+
+
+@pytest.mark.parametrize(("piece", "newline_at_end"), [(1664, True), (1664, False), (1 << 24, True)])
+def test_encrypted_files_are_read_in_ranges(spark, tmp_path, monkeypatch, piece, newline_at_end):
+    monkeypatch.setattr(sealed, "PIECE", piece)
+    text = long_text(newline_at_end)
+    plain = put(tmp_path / "plain.csv", text)
+    path, other = put(tmp_path / "a b.csv.aes", encrypt(spark, text.encode())), put(tmp_path / "short.aes", encrypt(spark, b"id,s\n7,t"))
+    options = ReadOptions(null_value=TOKEN, encrypted=True, keys={path: KEY, other: KEY})
+    expected = rows(read_changes(spark, plain, cols("id:INT s:STRING"), ReadOptions(null_value=TOKEN)))
+    assert len(expected) == 302
+    assert rows(read_changes(spark, path, cols("id:INT s:STRING"), options)) == expected
+    both = read_changes(spark, [other, path], cols("id:INT s:STRING"), options)
+    assert rows(both.filter("id = 7").select(SEQ, "s")) == [(0, "t"), (1, 'é7\n"x"\n' + "ü" * 7)]
+
+
+def test_ranges_are_tasks_of_their_own_and_a_wrong_key_fails(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sealed, "PIECE", 1664)
+    path = put(tmp_path / "a.aes", encrypt(spark, long_text().encode()))
+    options = ReadOptions(null_value=TOKEN, encrypted=True, keys={path: KEY})
+    files = change_files._opened(spark, [path], options)
+    cut = sealed.cut_lines(spark, files, options, 1 << 20)
+    assert cut.select(F.spark_partition_id().alias("p")).distinct().count() > 8
+    with pytest.raises(Exception, match="AES|BadPadding|UTF-8|header"):
+        read_changes(spark, path, cols("id:INT s:STRING"), ReadOptions(null_value=TOKEN, encrypted=True, keys={path: KEY[::-1]})).collect()
+
+
+@pytest.mark.parametrize("piece", [700, 1 << 24])
+def test_zstd_files_are_read_in_stretches_of_frames(spark, tmp_path, monkeypatch, piece):
+    monkeypatch.setattr(sealed, "PIECE", piece)
+    text = long_text(newline_at_end=False)
+    skipped = (0x184D2A53).to_bytes(4, "little") + (5).to_bytes(4, "little") + b"5 by."
+    data = text.encode()
+    cuts = [*range(0, len(data), 997), len(data)]
+    # Frames of several kinds: with the size of their content and without, one without content, one to be skipped.
+    frames = [pa.compress(data[a:b], codec="zstd", asbytes=True) if k % 2 else zstd(data[a:b]) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    packed = put(tmp_path / "many.csv", skipped.join([frames[0], zstd(b""), *frames[1:]]))
+    options = ReadOptions(null_value=TOKEN)
+    files = change_files._opened(spark, [packed], options)
+    used = sealed.cut_lines(spark, files, options, 1 << 20).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert used > 4 if piece < 1000 else used == 1
+    plain = put(tmp_path / "plain.csv", text)
+    assert rows(read_changes(spark, packed, cols("id:INT s:STRING"), options)) == rows(read_changes(spark, plain, cols("id:INT s:STRING"), options))
+
+
+def test_ends_of_frames_follow_from_their_headers(tmp_path):
+    random_bytes = bytes(random.Random(1).randbytes(300_000))
+    parts = [zstd(b""), zstd(b"a" * 1_000_000), pa.compress(random_bytes, codec="zstd", asbytes=True), zstd(random_bytes)]
+    put(tmp_path / "f", b"".join(parts))
+    with pa.OSFile(str(tmp_path / "f")) as stream:
+        assert list(sealed._frame_ends(stream, "f")) == list(itertools.accumulate(map(len, parts)))
+    put(tmp_path / "g", b"".join(parts)[:-3])
+    with pa.OSFile(str(tmp_path / "g")) as stream, pytest.raises(ChangeError, match="inside a zstd frame"):
+        list(sealed._frame_ends(stream, "g"))
