@@ -6,7 +6,9 @@ wrapped and whatever surrounds it. Features are hashed words and word pairs; a m
 tells licence families from each other and from everything else. It is trained on the notices below, cut, thinned out
 and embedded in other words, against a bounded sample of lines that resemble no notice, and windows of them. A
 temperature and the probability from which a family is believed are set on examples kept aside. A prediction counts
-only if the window holds enough of one of the family's notices, in word pairs that no better prediction rests on.
+only if the window holds enough of one of the family's notices, in word pairs that no better prediction rests on, and
+if no other family's notice fits the same words better. A pair that many families use counts little, so that versions and
+names decide.
 """
 
 from __future__ import annotations
@@ -24,7 +26,11 @@ from changeloom.llm.common import staged, with_python
 
 #: What short notices of the families say.
 NOTICES = {
-    "agpl-3.0": ["licensed under the GNU Affero General Public License version 3", "under the terms of the GNU Affero General Public License"],
+    "agpl-3.0": [
+        "licensed under the GNU Affero General Public License version 3",
+        "under the terms of the GNU Affero General Public License",
+        "under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License",
+    ],
     "apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
@@ -37,20 +43,66 @@ NOTICES = {
     "cc-by-nc": ["Licensed under CC BY-NC 4.0.", "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"],
     "cc-by-sa": ["Licensed under CC BY-SA 4.0.", "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"],
     "cc0": ["Released into the public domain under CC0 1.0.", "To the extent possible under law, the author has waived all copyright and related rights"],
-    "gpl-2.0": ["licensed under the GNU General Public License, version 2.", "under the terms of the GNU General Public License version 2"],
+    "epl-2.0": [
+        "Licensed under the Eclipse Public License 2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+        "made available under the terms of the Eclipse Public License v2.0 which accompanies this distribution",
+    ],
+    "gpl-2.0": [
+        "licensed under the GNU General Public License, version 2.",
+        "under the terms of the GNU General Public License version 2",
+        "under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License",
+    ],
     "gpl-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
         "under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
     ],
     "isc": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
-    "lgpl": ["licensed under the GNU Lesser General Public License", "under the terms of the GNU Lesser General Public License version 2.1"],
+    "lgpl": [
+        "licensed under the GNU Lesser General Public License",
+        "under the terms of the GNU Lesser General Public License version 2.1",
+        "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License",
+        "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License",
+    ],
     "mit": [
+        "MIT License",
         "Released under the MIT License.",
+        "Licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
     ],
     "mpl-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
     "proprietary": ["All rights reserved.", "Proprietary and confidential. Unauthorized copying of this file is strictly prohibited"],
+    "unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary",
+    ],
+    "zlib": [
+        "Licensed under the zlib License.",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable",
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely",
+    ],
+}
+#: The families' names in the standard identifier lines.
+SPDX = {
+    "agpl-3.0": ["AGPL-3.0"],
+    "apache-2.0": ["Apache-2.0"],
+    "bsd": ["BSD-2-Clause", "BSD-3-Clause"],
+    "cc-by": ["CC-BY-4.0"],
+    "cc-by-nc": ["CC-BY-NC-4.0"],
+    "cc-by-sa": ["CC-BY-SA-4.0"],
+    "cc0": ["CC0-1.0"],
+    "epl-2.0": ["EPL-2.0"],
+    "gpl-2.0": ["GPL-2.0"],
+    "gpl-3.0": ["GPL-3.0"],
+    "isc": ["ISC"],
+    "lgpl": ["LGPL-2.1", "LGPL-3.0"],
+    "mit": ["MIT"],
+    "mpl-2.0": ["MPL-2.0"],
+    "unlicense": ["Unlicense"],
+    "zlib": ["Zlib"],
 }
+#: Says nothing about the licence of a text that names one.
+RESERVED = "All rights reserved."
 FAMILIES = tuple(sorted(NOTICES))
 UNKNOWN = len(FAMILIES)
 BITS = 16
@@ -64,6 +116,8 @@ CONFIRMED = 0.6
 PASSING = 0.002
 EPOCHS, BATCH, RATE, L2 = 6, 64, 0.5, 1e-5
 REMEMBERED = 200_000
+#: The weight of a word pair that one family alone uses.
+WHOLE = 5040
 #: Line ends, with the comment marks that are words where a line starts with one, and words.
 _TOKEN = re.compile(r"\n(?:[^\w\n]*(?:rem|dnl|c)(?=[^\S\n]))?|\w+")
 
@@ -117,15 +171,10 @@ def features(p: np.ndarray) -> np.ndarray:
     return (mixed ^ mixed >> 23) * 0x5851F42D >> 11 & (1 << BITS) - 1
 
 
-def similarity(p: np.ndarray, notice: np.ndarray) -> float:
-    """Share of the notice's distinct word pairs that the paragraph holds."""
-    wanted = np.unique(_pairs(notice))
-    return float(np.isin(wanted, _pairs(p)).mean()) if len(wanted) else 0.0
-
-
 def _notices() -> list[tuple[int, np.ndarray]]:
     words = _Words()
-    return [(k, paragraphs(n, words)[0]) for k, name in enumerate(FAMILIES) for n in NOTICES[name]]
+    spdx = {name: [f"SPDX-License-Identifier: {x}" for x in SPDX.get(name, ())] for name in FAMILIES}
+    return [(k, paragraphs(n, words)[0]) for k, name in enumerate(FAMILIES) for n in NOTICES[name] + spdx[name]]
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -141,7 +190,9 @@ def fit(others: list[np.ndarray]) -> tuple[np.ndarray, float, float]:
     """Weights (bias first), temperature and the probability from which a family is believed; one bounded set of examples."""
     rng = np.random.default_rng(5)
     notices = _notices()
-    others = [p for p in others if max(similarity(p, n) for _, n in notices) < 0.3] or [np.arange(1, 9)]
+    pairs = np.unique(np.concatenate([_pairs(n) for _, n in notices]))
+    holds = np.array([np.isin(pairs, _pairs(n)) for _, n in notices]).astype(np.int64)
+    others = [p for p in others if (holds @ np.isin(pairs, _pairs(p)) / holds.sum(axis=1)).max() < 0.3] or [np.arange(1, 9)]
     examples = [(features(p), UNKNOWN) for p in others]
     for p in others:
         length = WINDOWS[rng.integers(len(WINDOWS))][0]
@@ -209,7 +260,11 @@ class _Scanner:
         self.family = np.array([family for family, _ in notices])
         self.pairs = np.unique(np.concatenate([_pairs(n) for _, n in notices]))
         self.holds = np.array([np.isin(self.pairs, _pairs(n)) for _, n in notices])
-        self.sizes = self.holds.sum(axis=1)
+        used = np.array([self.holds[self.family == k].any(axis=0) for k in range(UNKNOWN)]).sum(axis=0)
+        #: What a pair tells: the less, the more families use it. Whole numbers, so that sums are exact.
+        self.weight = self.holds * (WHOLE // used)
+        self.sizes = self.weight.sum(axis=1)
+        self.reserved = next(k for k, (_, n) in enumerate(notices) if np.array_equal(n, paragraphs(RESERVED, self.words)[0]))
 
     def find(self, text: str | None) -> list[tuple[str, float, float, int]]:
         """(family, probability, similarity, line on which its paragraph starts) of the lines and windows that name a licence."""
@@ -221,14 +276,19 @@ class _Scanner:
         if not len(at):
             return []
         # Only what holds enough of a notice can be confirmed, so only that is classified. Repeated pairs count at first.
-        counts = np.zeros((len(at) + 1, len(self.sizes)), np.int32)
-        np.cumsum(self.holds.T[ids], axis=0, out=counts[1:])
+        counts = np.zeros((len(at) + 1, len(self.sizes)), np.int64)
+        np.cumsum(self.weight.T[ids], axis=0, out=counts[1:])
         spans = []
         for start, end in _units(line):
             lo, hi = np.searchsorted(at, start), np.searchsorted(at, end - 1)
             some = np.flatnonzero(hi > lo)
-            some = some[((counts[hi[some]] - counts[lo[some]]) / self.sizes >= CONFIRMED).any(axis=1)]
+            enough = (counts[hi[some]] - counts[lo[some]]) / self.sizes >= CONFIRMED
+            some, enough = some[enough.any(axis=1)], enough[enough.any(axis=1)]
             spans += zip(start[some].tolist(), end[some].tolist(), lo[some].tolist(), hi[some].tolist(), strict=True)
+            # And the words from the first to the last of a notice alone, as several may stand in a line.
+            for k, notice in zip(*np.nonzero(enough), strict=True):
+                own = lo[some[k]] + np.flatnonzero(self.holds[notice, ids[lo[some[k]] : hi[some[k]]]])
+                spans.append((int(at[own[0]]), int(at[own[-1]]) + 2, int(own[0]), int(own[-1]) + 1))
         spans = sorted(set(spans))
         if not spans:
             return []
@@ -237,26 +297,33 @@ class _Scanner:
         for k in np.flatnonzero((chances.argmax(axis=1) != UNKNOWN) & (chances.max(axis=1) >= self.believed)).tolist():
             start, _, lo, hi = spans[k]
             family, chance = int(chances[k].argmax()), float(chances[k].max())
-            alike = np.where(self.family == family, self.holds[:, np.unique(ids[lo:hi])].sum(axis=1) / self.sizes, 0)
-            if alike.max() >= CONFIRMED:
-                found.append((-chance * float(alike.max()), start, family, chance, float(alike.max()), int(alike.argmax()), lo, hi))
+            distinct = np.unique(ids[lo:hi])
+            alike = self.weight[:, distinct].sum(axis=1) / self.sizes
+            notice = int(np.where(self.family == family, alike, 0).argmax())
+            # A notice of another family that fits better, and mostly by the same words, is what stands there.
+            mine = self.holds[notice, distinct]
+            shared = (self.holds[:, distinct] & mine).sum(axis=1) * 2 > mine.sum()
+            if alike[notice] >= CONFIRMED and not (shared & (alike > alike[notice]) & (self.family != family)).any():
+                found.append((-float(alike[notice]), -chance, start, family, notice, lo, hi))
         # Windows that cut a notice may take it for another family's: a word pair counts for the best prediction's family only.
         owner, kept = np.full(len(at), -1), []
         blocks = _starts(line, 2)
-        for _, start, family, chance, alike, notice, lo, hi in sorted(found):
+        for alike, chance, start, family, notice, lo, hi in sorted(found):
             own = lo + np.flatnonzero(self.holds[notice, ids[lo:hi]])
             own = own[(owner[own] < 0) | (owner[own] == family)]
-            if len(np.unique(ids[own])) >= CONFIRMED * self.sizes[notice]:
+            if self.weight[notice, np.unique(ids[own])].sum() >= CONFIRMED * self.sizes[notice]:
                 owner[own] = family
-                kept.append((FAMILIES[family], chance, alike, int(line[blocks[np.searchsorted(blocks, start, "right") - 1]])))
-        return kept
+                kept.append((FAMILIES[family], -chance, -alike, int(line[blocks[np.searchsorted(blocks, start, "right") - 1]]), notice))
+        named = any(k[-1] != self.reserved for k in kept)
+        return [k[:-1] for k in kept if not named or k[-1] != self.reserved]
 
 
 def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ``licences`` (families in order), ``paragraphs`` (that name one), ``probability`` and ``similarity`` (the best) of every row.
 
     Every line and window of every text is looked at. Null, empty and unlicensed texts have no licences, 0 paragraphs
-    and null figures. Repeated rows, null ids and empty tables are fine; other columns are not read.
+    and null figures; so do texts that only some unknown licence stands in. Rights reserved are no licence where the text
+    names one. Repeated rows, null ids and empty tables are fine; other columns are not read.
     """
     weights, temperature, believed = learn(docs, text_col=text_col)
     shared = docs.sparkSession.sparkContext.broadcast(weights)  # of fixed size

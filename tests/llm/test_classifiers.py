@@ -130,6 +130,34 @@ def test_licences_of_notices_that_run_over_lines(spark):
     assert [r["paragraphs"] for r in got] == [1, 1, 1, 1, 0, 2] and got[0]["similarity"] == 1
 
 
+GNU = (
+    "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU {}General Public License as published by\n"
+    "the Free Software Foundation; either version {} of the License, or\n(at your option) any later version."
+)
+HEADERS = [
+    (GNU.format("", "2"), ["gpl-2.0"]),
+    (GNU.format("", "3"), ["gpl-3.0"]),
+    (GNU.format("Lesser ", "2.1"), ["lgpl"]),
+    (GNU.format("Lesser ", "3"), ["lgpl"]),
+    (GNU.format("Affero ", "3"), ["agpl-3.0"]),
+    ("All rights reserved. Licensed under the MIT license.", ["mit"]),
+    ("Copyright 2020 The Authors.\nAll rights reserved.", ["proprietary"]),
+    ("MIT License", ["mit"]),
+    ("This is free and unencumbered software released into the public domain.", ["unlicense"]),
+    ("This software is provided 'as-is', without any express or implied\nwarranty. In no event will the authors be held liable for any damages", ["zlib"]),
+    ("This program and the accompanying materials are made available under the\nterms of the Eclipse Public License 2.0 which is available at", ["epl-2.0"]),
+    ("SPDX-License-Identifier: FooBar-7.0", []),
+    ("// SPDX-License-Identifier: GPL-2.0-only", ["gpl-2.0"]),
+    ("# SPDX-License-Identifier: AGPL-3.0-or-later", ["agpl-3.0"]),
+] + [(f"/* SPDX-License-Identifier: {x} */", [family]) for family, names in licenses.SPDX.items() for x in names]
+
+
+def test_standard_headers_are_named_right_and_alone(spark):
+    got = _licences_among_prose(spark, [t for t, _ in HEADERS] + [f"# {t}".replace("\n", "\n# ") for t, _ in HEADERS])
+    wrong = [(t, w, r["licences"]) for (t, w), r in zip(HEADERS * 2, got, strict=True) if r["licences"] != w]
+    assert wrong == []
+
+
 def test_licences_inside_long_paragraphs(spark):
     rng = random.Random(3)
     words = [w for r in spark.read.parquet(f"{SF}/documents.parquet").limit(50).collect() for w in r["text"].split() if "licen" not in w.lower()]
