@@ -11,11 +11,15 @@ and by the same rules. Encrypted zstd files, and those that Arrow's file systems
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column as Expr
 from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
@@ -361,26 +365,49 @@ class WholeFiles(DataSource):
         return _Writer(self.options["path"])
 
 
+@dataclass
+class _Written(WriterCommitMessage):
+    """Files of a task, by the names they are to get and those they have until all tasks are done."""
+
+    names: list[tuple[str, str]]
+
+
 class _Writer(DataSourceWriter):
+    """Files get their names once all tasks are done, so attempts that were lost or ran twice leave none behind."""
+
     def __init__(self, path: str):
         self.path = path
 
     def write(self, iterator: Iterator[Row]) -> WriterCommitMessage:
-        """Files appear whole, under their own name, so a task that runs again replaces them by themselves."""
         files, base = _located(self.path)
         files.create_dir(base, recursive=True)
+        names = []
         for row in iterator:
-            with files.open_output_stream(f"{base}/.{row.name}.part") as out:
+            hidden = f".{row.name}.{uuid.uuid4().hex}"
+            with files.open_output_stream(f"{base}/{hidden}") as out:
                 out.write(row.content)
-            files.move(f"{base}/.{row.name}.part", f"{base}/{row.name}")
-        return WriterCommitMessage()
+            names.append((hidden, row.name))
+        return _Written(names)
+
+    def commit(self, messages: list[WriterCommitMessage | None]) -> None:
+        self._each(messages, lambda files, hidden, name: files.move(hidden, name))
+
+    def abort(self, messages: list[WriterCommitMessage | None]) -> None:
+        self._each(messages, lambda files, hidden, name: files.delete_file(hidden))
+
+    def _each(self, messages: list[WriterCommitMessage | None], do) -> None:
+        files, base = _located(self.path)
+        names = [n for m in messages if m for n in m.names]
+        with ThreadPoolExecutor(max_workers=32) as pool:
+            list(pool.map(lambda n: do(files, f"{base}/{n[0]}", f"{base}/{n[1]}"), names))
 
 
-def write_sealed(df: DataFrame, path: str, key: bytes, files: int, null_value: str) -> list[str]:
-    """Rows as ``files`` encrypted change files below ``path``, written by executors; returns their paths.
+def write_sealed(df: DataFrame, path: str, key: bytes, files: int, null_value: str, *, file_bytes: int = PIECE) -> list[str]:
+    """Rows as encrypted change files below ``path``, written by executors; returns their paths.
 
-    A file is encrypted whole (AES-CBC, a random first block), so it must stay below 2 GiB. Texts are quoted, NULL is
-    ``null_value``. Without rows there is one file that holds the header alone.
+    ``files`` tasks get equally many rows each, and start another file where one would exceed ``file_bytes`` before it is
+    encrypted: a file is encrypted whole (AES-CBC, a random first block), so that is what a task holds, or one record, if
+    that is longer. Texts are quoted, NULL is ``null_value``. Without rows there is one file that holds the header alone.
     """
     spark = df.sparkSession
     ship_package(spark)
@@ -389,14 +416,36 @@ def write_sealed(df: DataFrame, path: str, key: bytes, files: int, null_value: s
         F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"')) if t == "string" else F.col(c).cast("string") for c, t in df.dtypes
     ]
     line = F.concat_ws(",", *[F.coalesce(c, F.lit(null_value)) for c in quoted])
-    lines = df.select(F.pmod(F.xxhash64(*df.columns), F.lit(files)).alias("file"), line.alias("line"), F.lit(1).alias("place"))
-    headers = lines.select("file").union(spark.range(1).select(F.col("id").alias("file"))).distinct()
-    headers = headers.select("file", F.lit(",".join(df.columns)).alias("line"), F.lit(0).alias("place"))
-    ordered = F.array_sort(F.collect_list(F.struct("place", "line")))
-    text = F.concat(F.array_join(F.transform(ordered, lambda x: x["line"]), "\n"), F.lit("\n"))
-    whole = lines.unionByName(headers).groupBy("file").agg(text.alias("text"))
-    name = F.format_string("part-%05d.csv.aes", "file")
-    sealed = F.aes_encrypt(F.col("text").cast("binary"), F.lit(key), F.lit("CBC"), F.lit("PKCS"))
-    whole.select(name.alias("name"), sealed.alias("content")).write.format(WholeFiles.name()).mode("append").option("path", path).save()
-    found = spark.read.format("binaryFile").load(path).select("path")
-    return sorted(r["path"] for r in found.collect())
+    header = ",".join(df.columns).encode()
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = TaskContext.get().partitionId()
+        for number, text in enumerate(_texts(batches, header, file_bytes)):
+            names = pa.array([f"part-{place:05d}-{number:05d}.csv.aes"], pa.string())
+            yield pa.RecordBatch.from_arrays([names, pa.array([text], pa.binary())], ["name", "text"])
+
+    def write(texts: DataFrame) -> list[str]:
+        sealed = F.aes_encrypt(F.col("text"), F.lit(key), F.lit("CBC"), F.lit("PKCS")).alias("content")
+        texts.select("name", sealed).write.format(WholeFiles.name()).mode("append").option("path", path).save()
+        return sorted(r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect())
+
+    # Rows are dealt out in turn, so that equal ones do not meet in one task.
+    lines = df.repartition(files).select(line.cast("binary").alias("line"))
+    written = write(lines.mapInArrow(gathered, "name string, text binary"))
+    if written:
+        return written
+    return write(spark.range(1).select(F.lit("part-00000-00000.csv.aes").alias("name"), F.lit(header + b"\n").alias("text")))
+
+
+def _texts(batches: Iterator[pa.RecordBatch], header: bytes, limit: int) -> Iterator[bytes]:
+    """Lines below a header, as texts of up to ``limit`` bytes; one line at least is in each."""
+    held, size = [header], len(header) + 1
+    for batch in batches:
+        for line in batch.column(0).to_pylist():
+            if len(held) > 1 and size + len(line) >= limit:
+                yield b"\n".join([*held, b""])
+                held, size = [header], len(header) + 1
+            held.append(line)
+            size += len(line) + 1
+    if len(held) > 1:
+        yield b"\n".join([*held, b""])

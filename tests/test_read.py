@@ -371,6 +371,17 @@ def test_sealed_files_are_written_by_executors(spark, tmp_path):
     assert rows(read_changes(spark, alone, cols("id:INT"), ReadOptions(keys={alone: KEY}))) == []
 
 
+def test_sealed_files_stay_small_whatever_repeats(spark, tmp_path):
+    data = [(1, "the same text"), *[(k, "w" * (k % 40)) for k in range(50)], (2, "x" * 3000)] + [(1, "the same text")] * 400
+    df = spark.createDataFrame(data, "id int, s string").repartition(3)
+    paths = write_sealed(df, f"{tmp_path}/sealed", KEY, 2, TOKEN, file_bytes=1000)
+    sizes = sorted((tmp_path / "sealed" / p.rsplit("/", 1)[1]).stat().st_size for p in paths)
+    # A record beyond the limit has a file for itself; nothing else is left in the folder.
+    assert sizes[-1] > 3000 and sizes[-2] <= 1000 + 2 * 16 and len(list((tmp_path / "sealed").iterdir())) == len(paths) > 10
+    options = ReadOptions(null_value=TOKEN, encrypted=True, keys=dict.fromkeys(paths, KEY))
+    assert rows(read_changes(spark, paths, cols("id:INT s:STRING"), options).drop(SEQ)) == sorted(data, key=repr)
+
+
 def long_text(newline_at_end=True):
     """Quoted cells over several lines, bytes of several lengths, and lines longer than a piece."""
     records = ["id,s"] + [f'{k},"é{k}\n""x""\n{"ü" * (k % 50)}"' for k in range(300)] + [f'300,"{"y" * 5000}"', "301,z"]
