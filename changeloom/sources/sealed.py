@@ -29,7 +29,7 @@ from pyspark.sql.types import StructType
 from ..errors import ChangeError
 from ..model import ReadOptions
 from ..operators.merge import SEQ
-from ..session import scratch_path, ship_package
+from ..session import scratch_path, set_for, ship_package
 from .files import ZSTD_MAGIC, ChangeFile, is_open, parse_header, within
 from .records import _BLOCK, _LINE, parse_lines, told
 
@@ -38,8 +38,11 @@ _PIECES = "path string, uri string, seq int, piece long, start long, size long"
 _CUT = f"path string, {SEQ} int, {_BLOCK} long, {_LINE} long, part int, value binary"
 #: Bytes read at once, and bytes of a block, whose lines are brought together.
 _READ, _BLOCK_BYTES = 4 << 20, 1 << 26
+_BATCH, _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 1 << 20
 #: Bytes of a file, as stored, that are a task at least.
 PIECE = 16 << 20
+#: Bytes of a file to be written, before it is encrypted. The task holds it several times: as text, encrypted, in Python.
+FILE = 8 << 20
 #: Blocks are numbered through a file: those of a piece follow those of the piece before.
 _BLOCKS = 1 << 24
 #: A cipher block; the first of a file is the random one.
@@ -66,7 +69,9 @@ def read_sealed(
     longest = 2 * limit + 3 * len(header)
     # What follows looks at the lines several times; files are opened once.
     path = scratch_path(spark, "cut-lines")
-    cut_lines(spark, members, options, longest).write.parquet(path)
+    # Python workers get one piece at once.
+    with set_for(spark, _BATCH, str(_BATCH_BYTES)):
+        cut_lines(spark, members, options, longest).write.option("compression", "zstd").parquet(path)
     lines = joined_lines(spark.read.schema(_CUT).parquet(path), longest, limit)
     value = F.col("value").cast("string")
     return parse_lines(lines.select(SEQ, _BLOCK, _LINE, *told(value, F.col("path"))), header, names, parser, limit)
@@ -346,6 +351,8 @@ def _lines(stream: pa.NativeFile, path: str, seq: int, piece: int, longest: int,
             held, size, number = [rest[-1]], len(rest[-1]), number + len(lines)
         done += len(data)
     yield batch([b"".join(held)], _LAST, _TAIL) if broken else batch([b"".join(held)], _FIRST, _THROUGH)
+    # Workers wait for other tasks; what the last piece took need not wait with them.
+    pa.default_memory_pool().release_unused()
 
 
 class WholeFiles(DataSource):
@@ -402,11 +409,11 @@ class _Writer(DataSourceWriter):
             list(pool.map(lambda n: do(files, f"{base}/{n[0]}", f"{base}/{n[1]}"), names))
 
 
-def write_sealed(df: DataFrame, path: str, key: bytes, files: int, null_value: str, *, file_bytes: int = PIECE) -> list[str]:
+def write_sealed(df: DataFrame, path: str, key: bytes, files: int, null_value: str, *, file_bytes: int = FILE) -> list[str]:
     """Rows as encrypted change files below ``path``, written by executors; returns their paths.
 
-    ``files`` tasks get equally many rows each, and start another file where one would exceed ``file_bytes`` before it is
-    encrypted: a file is encrypted whole (AES-CBC, a random first block), so that is what a task holds, or one record, if
+    ``files`` tasks at most take whole partitions, and start another file where one would exceed ``file_bytes`` before it
+    is encrypted: a file is encrypted whole (AES-CBC, a random first block), so that is what a task holds, or one record, if
     that is longer. Texts are quoted, NULL is ``null_value``. Without rows there is one file that holds the header alone.
     """
     spark = df.sparkSession
@@ -426,11 +433,14 @@ def write_sealed(df: DataFrame, path: str, key: bytes, files: int, null_value: s
 
     def write(texts: DataFrame) -> list[str]:
         sealed = F.aes_encrypt(F.col("text"), F.lit(key), F.lit("CBC"), F.lit("PKCS")).alias("content")
-        texts.select("name", sealed).write.format(WholeFiles.name()).mode("append").option("path", path).save()
+        rows = texts.select("name", sealed)
+        # Python workers get one file at once, or some lines.
+        with set_for(spark, _BATCH, str(_BATCH_BYTES)):
+            rows.write.format(WholeFiles.name()).mode("append").option("path", path).save()
         return sorted(r["path"] for r in spark.read.format("binaryFile").load(path).select("path").collect())
 
-    # Rows are dealt out in turn, so that equal ones do not meet in one task.
-    lines = df.repartition(files).select(line.cast("binary").alias("line"))
+    # No key decides where a row goes, so nothing is shuffled and equal rows need not meet in one file.
+    lines = df.coalesce(files).select(line.cast("binary").alias("line"))
     written = write(lines.mapInArrow(gathered, "name string, text binary"))
     if written:
         return written
@@ -443,9 +453,11 @@ def _texts(batches: Iterator[pa.RecordBatch], header: bytes, limit: int) -> Iter
     for batch in batches:
         for line in batch.column(0).to_pylist():
             if len(held) > 1 and size + len(line) >= limit:
-                yield b"\n".join([*held, b""])
+                text = b"\n".join([*held, b""])
                 held, size = [header], len(header) + 1
+                yield text
             held.append(line)
             size += len(line) + 1
     if len(held) > 1:
         yield b"\n".join([*held, b""])
+    pa.default_memory_pool().release_unused()
