@@ -2,9 +2,10 @@
 
 Seeds induce lexical patterns: the word before, the two words before, the word after, and both neighbours. Patterns
 and instances form a graph that Spark scores in rounds: a pattern's confidence for a kind is the share of its
-distinct instances that are known to be of the kind, where those not known to be of any kind weigh little; an
-instance's is the chance that not all of its patterns are wrong. Instances found by patterns of high confidence join
-the known ones and support further patterns, until a round finds no more.
+distinct instances that are known to be of the kind, where identifiers not known to be of any kind weigh little and
+plain words in their place weigh fully; an instance's is the chance that not all of its patterns are wrong. Instances
+that two contexts agree on, with high confidence, join the known ones and support further patterns, until a round
+finds no more. Clock times and dates have the shape of no kind.
 """
 
 from __future__ import annotations
@@ -24,6 +25,10 @@ KINDS = ("email", "ip", "card", "phone")
 PATTERN_SHARE, PATTERN_SUPPORT, INSTANCE = 0.9, 8, 0.9
 #: What an instance that is not known to be of any kind counts against a pattern; one known to be of another kind counts 1.
 UNSEEN = 0.1
+#: Patterns are sent to the tasks that look for them up to this number; beyond it, all that texts hold are joined with them.
+SENT = 200_000
+#: Stands for an identifier among the words of a text.
+_SLOT = "\0"
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -40,6 +45,12 @@ _SHAPES = (
     re.compile(r"(?<![\w-])[0-9](?:[\x20./-]?[0-9]){11,18}(?![\w-])"),
     re.compile(r"(?<![\w+])\(?[0-9]{2,5}\)?(?:[\x20./-]?[0-9]{2,5}){2,4}(?!\w)"),
 )
+#: What has such a shape as well, but is a clock time or begins with a date (year first, or last behind day and month).
+_CLOCK = re.compile(r"(?:[01]?[0-9]|2[0-3])(?::[0-5][0-9]){2}")
+_DATE = re.compile(
+    r"\(?(?:(?:19|20)[0-9]{2}([\x20./-]?)(?:0?[1-9]|1[0-2])\1(?:0?[1-9]|[12][0-9]|3[01])"
+    r"|(?:0?[1-9]|[12][0-9]|3[01])([\x20./-])(?:0?[1-9]|[12][0-9]|3[01])\2(?:19|20)[0-9]{2})(?![0-9./-])"
+)
 _SHAPED = (re.compile(r"@|\(at\)|\[at\]"), re.compile(r"[0-9:]"), re.compile(r"[0-9]"), re.compile(r"[0-9]"))
 
 
@@ -92,13 +103,46 @@ def _patterns(text: str, start: int, end: int) -> list[str]:
     return out
 
 
+def fillers(text: str, sought: frozenset[str] | None, lefts: frozenset[str], rights: frozenset[str]) -> set[tuple[str, str]]:
+    """(pattern, word) of the words, not identifiers, that stand where a pattern has its instance.
+
+    ``sought`` are the patterns, made of the words ``lefts`` and ``rights``; None stands for all there are.
+    """
+    end, parts = 0, []
+    for a, b in sorted((a, b) for _, _, a, b, _, _ in mentions(text, base_spans(text))):
+        if b > end:
+            # A blank on either side: what touches an identifier is its neighbour, as in its patterns.
+            parts += [text[end:a], f" {_SLOT} "] if a >= end else []
+            end = b
+    words = ["", *"".join([*parts, text[end:]]).lower().split(), ""]
+    out = set()
+    for k in range(1, len(words) - 1):
+        left, right = words[k - 1], words[k + 1]
+        by_left, by_right = sought is None or left in lefts, sought is None or right in rights
+        if not (by_left or by_right) or words[k] == _SLOT:
+            continue
+        if by_left and left:
+            out.add((f"l {left}", words[k]))
+            if k > 2:
+                out.add((f"L {words[k - 2]} {left}", words[k]))
+        if by_right and right:
+            out.add((f"r {right}", words[k]))
+        if by_left and by_right and left and right:
+            out.add((f"b {left} | {right}", words[k]))
+    return out if sought is None else {(p, w) for p, w in out if p in sought}
+
+
+def _is_time(text: str) -> bool:
+    return bool(_CLOCK.fullmatch(text) or _DATE.match(text))
+
+
 def mentions(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, bool, int, int, str, list[str]]]:
     """(kind, known, start, end, instance, patterns) of the seeds and of whatever has the shape of a kind beside them."""
     out = [(k, True, a, b, text[a:b].lower(), _patterns(text, a, b)) for k, a, b in base]
     for kind, shape in enumerate(_SHAPES):
         for m in shape.finditer(text) if _SHAPED[kind].search(text) else ():
             a, b = m.span()
-            if (kind != 3 or sum(c.isdigit() for c in m[0]) >= 7) and not any(a < y and x < b for _, x, y in base):
+            if (kind != 3 or sum(c.isdigit() for c in m[0]) >= 7) and not _is_time(m[0]) and not any(a < y and x < b for _, x, y in base):
                 out.append((kind, False, a, b, m[0].lower(), _patterns(text, a, b)))
     return out
 
@@ -119,24 +163,54 @@ def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         })
 
 
-def discovered(seen: DataFrame) -> DataFrame:
-    """(kind, instance) of the identifiers found through patterns, from rows (kind, known, instance, pattern)."""
+def words_in_place(texts: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(pattern, words): how many distinct words stand where the ``patterns`` have their instances; none is left out."""
+    few = [r["pattern"] for r in patterns.limit(SENT + 1).collect()]
+    sought = frozenset(few) if len(few) <= SENT else None
+    lefts = frozenset(p.split(" | ")[0].split()[-1] for p in sought or () if p[0] != "r")
+    rights = frozenset(p.split()[-1] for p in sought or () if p[0] in "rb")
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = set().union(*(fillers(t, sought, lefts, rights) for t in batch["text"] if t))
+            yield pd.DataFrame(list(found), columns=["pattern", "word"])
+
+    if not few:
+        return patterns.select("pattern", F.lit(0).cast("long").alias("words"))
+    # Words are met as hashes: a text may be a single word.
+    found = with_python(texts.select("text")).mapInPandas(look, "pattern string, word string")
+    met = found.select("pattern", F.xxhash64("word").alias("word"))
+    if sought is None:
+        met = met.join(patterns, "pattern", "left_semi")
+    return met.distinct().groupBy("pattern").agg(F.count("*").alias("words"))
+
+
+def discovered(seen: DataFrame, texts: DataFrame) -> DataFrame:
+    """(kind, instance) of the identifiers found through patterns, from rows (kind, known, instance, pattern) and the texts they are from."""
     edges = staged(seen.groupBy("pattern", "kind", "instance").agg(F.max("known").alias("known")), "pii-edges")
     # What a pattern surrounds, known or not: a text of several shapes counts once.
     spots = staged(edges.select("pattern", "instance").distinct(), "pii-spots")
-    around = staged(spots.groupBy("pattern").count(), "pii-patterns")
+    # Only these can gain enough support, however many of their instances become known.
+    able = edges.groupBy("pattern", "kind").count().filter(F.col("count") >= PATTERN_SUPPORT).select("pattern").distinct()
+    able = staged(able, "pii-able")
+    words = words_in_place(texts, able)
+    around = spots.join(able, "pattern", "left_semi").groupBy("pattern").count().join(words, "pattern", "left")
+    around = staged(around.na.fill(0, ["words"]), "pii-patterns")
     seeds = edges.filter("known").select("kind", "instance").distinct().withColumn("confidence", F.lit(1.0))
     known = staged(seeds, "pii-known")
+    # Both patterns of the words before rest on the same word; one of both neighbours is an agreement by itself.
+    one = F.when(F.col("pattern").startswith("L"), F.concat(F.lit("l "), F.element_at(F.split("pattern", " "), -1))).otherwise(F.col("pattern"))
     while True:
         support = edges.join(known, ["kind", "instance"]).groupBy("pattern", "kind").agg(
             F.sum("confidence").alias("sum"), F.count("*").alias("support")
         )
         named = spots.join(known.select("instance").distinct(), "instance").groupBy("pattern").agg(F.count("*").alias("named"))
+        against = UNSEEN * (F.col("count") - F.col("named")) + F.col("words") + 0.5
         trusted = (
             support.filter(F.col("support") >= PATTERN_SUPPORT)
             .join(around, "pattern")
             .join(named, "pattern")
-            .withColumn("share", F.col("sum") / (F.col("named") + UNSEEN * (F.col("count") - F.col("named")) + 0.5))
+            .withColumn("share", F.col("sum") / (F.col("named") + against))
             .filter(F.col("share") >= PATTERN_SHARE)
             .select("pattern", "kind", "share")
         )
@@ -144,8 +218,12 @@ def discovered(seen: DataFrame) -> DataFrame:
             edges.filter("NOT known")
             .join(trusted, ["pattern", "kind"])
             .groupBy("kind", "instance")
-            .agg((1 - F.exp(F.sum(F.log(1 - F.col("share"))))).alias("confidence"))
-            .filter(F.col("confidence") >= INSTANCE)
+            .agg(
+                (1 - F.exp(F.sum(F.log(1 - F.col("share"))))).alias("confidence"),
+                ((F.min(one) != F.max(one)) | F.bool_or(F.col("pattern").startswith("b"))).alias("agreed"),
+            )
+            .filter(F.col("agreed") & (F.col("confidence") >= INSTANCE))
+            .drop("agreed")
         )
         new = staged(found.join(known, ["kind", "instance"], "left_anti"), "pii-found")
         if new.isEmpty():
@@ -165,7 +243,7 @@ def find(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     read = with_python(rows).mapInPandas(_extract, f"doc_id {id_type}, uid long, base {_BASE}, seen {_SEEN}")
     spans = staged(read, "pii-spans")
     one = spans.select("uid", F.explode("seen").alias("m")).select("uid", "m.*")
-    new = discovered(one.select("kind", "known", "instance", F.explode("patterns").alias("pattern")))
+    new = discovered(one.select("kind", "known", "instance", F.explode("patterns").alias("pattern")), rows.filter("text IS NOT NULL"))
     added = (
         one.filter("NOT known")
         .join(new, ["kind", "instance"])

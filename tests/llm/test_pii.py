@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from changeloom.llm import pii
@@ -94,3 +95,77 @@ def test_rounds_go_on_while_they_find_more(spark):
     rows = [f"go ctx{c} {form(group, k)} end{c}" for c in range(5) for group in (c, c + 1) for k in range(sizes[group])]
     found = _found(spark, rows)
     assert all(found)
+
+
+def test_traps_are_left_alone(spark):
+    rows = [f"seen at 10.0.{k}.1 today" for k in range(40)] + [f"please ring +1 (3{k:02d}) 555-{1000 + k} now" for k in range(40)]
+    traps = ["met at 12:30:45 today", "be at 23:59:59 today", "please ring 2024-01-10 now", "please ring 10.01.2024 now", "please ring 20240110 now"]
+    traps += ["please ring 31/12/1999 now", "please ring 2024-01-10 12 now", "other words 988-555-2485 now", "please ring 988-555-2485 or not"]
+    assert _found(spark, rows + traps)[80:] == [""] * len(traps)
+    # Words in the place of telephones tell that the context says little.
+    chat = [f"please ring w{k} now" for k in range(20)]
+    assert _found(spark, rows + chat + ["please ring 988-555-2485 now"])[80:] == [""] * 21
+
+
+def test_unseen_forms_are_found_and_little_else(spark):
+    rng = random.Random(6)
+    word = lambda: rng.choice("alpha beta gamma delta epsilon zeta eta theta".split())
+    seeds = [f"{word()} hotline {c} +1 (3{k:02d}) 555-{1000 + k} weekdays {word()}" for k in range(60) for c in ("number:",)]
+    unseen = [f"{word()} hotline number: 9{k:02d}-555-{3000 + k} weekdays {word()}" for k in range(30)]
+    clean = [f"{word()} order 7{k:02d}-555-{4000 + k} {word()} {word()}" for k in range(60)] + [f"{word()} {word()} {word()}" for _ in range(60)]
+    found = _found(spark, seeds + unseen + clean)
+    assert sum(map(bool, found[60:90])) >= 27 and not any(found[90:])
+
+
+def plain_discovery(texts: list[str]) -> set[tuple[int, str]]:
+    """The rounds over all patterns of all texts, each looked at by itself."""
+    seen = [m for t in texts for m in pii.mentions(t, pii.base_spans(t))]
+    known = {(k, i): 1.0 for k, is_known, _, _, i, _ in seen if is_known}
+    seeds, edges = set(known), {(p, k, i) for k, _, _, _, i, ps in seen for p in ps}
+    of = {p: {(k, i) for q, k, i in edges if q == p} for p in {p for p, _, _ in edges}}
+    words = {p: set() for p in of}
+    for t in texts:
+        for p, w in pii.fillers(t, None, frozenset(), frozenset()):
+            words.get(p, set()).add(w)
+    while True:
+        trusted = {}
+        for p, around in of.items():
+            named = {i for _, i in around} & {i for _, i in known}
+            rest = {i for _, i in around} - named
+            for kind in range(4):
+                support = [known[x] for x in around if x in known and x[0] == kind]
+                share = sum(support) / (len(named) + pii.UNSEEN * len(rest) + len(words[p]) + 0.5)
+                if len(support) >= pii.PATTERN_SUPPORT and share >= pii.PATTERN_SHARE:
+                    trusted[p, kind] = share
+        new = {}
+        for kind, i in {(k, i) for _, k, i in edges} - set(known):
+            mine = [p for p, k, j in edges if (k, j) == (kind, i) and (p, k) in trusted]
+            sides = {f"l {p.split()[-1]}" if p[0] == "L" else p for p in mine}
+            wrong = np.prod([1 - trusted[p, kind] for p in mine])
+            if (len(sides) > 1 or any(p[0] == "b" for p in mine)) and 1 - wrong >= pii.INSTANCE:
+                new[kind, i] = 1 - wrong
+        if not new:
+            return set(known) - seeds
+        known |= new
+
+
+@pytest.mark.parametrize(("seed", "sent"), [(0, 200_000), (1, 200_000), (2, 0)])
+def test_scoring_agrees_with_a_plain_version(spark, monkeypatch, seed, sent):
+    monkeypatch.setattr(pii, "SENT", sent)
+    rng = random.Random(seed)
+    forms = (
+        lambda: f"+1 (3{rng.randrange(100):02d}) 555-{rng.randrange(1000, 9999)}",
+        lambda: f"9{rng.randrange(100):02d}-555-{rng.randrange(1000, 9999)}",
+        lambda: f"10.0.{rng.randrange(256)}.{rng.randrange(256)}",
+        lambda: "".join(rng.choices("abc", k=3)),
+    )
+    shares = {c: rng.choices(range(1, 20), k=4) for c in "pqrstu"}
+    shares |= {c: [30, 2, 0, 0] for c in "pq"}
+    texts = []
+    for _ in range(600):
+        c, d = rng.choice("pqrstu"), rng.choice("xyz")
+        texts.append(f"go {c}, {rng.choices(forms, shares[c])[0]()} {d}{c} (or {rng.choices(forms, shares[c])[0]()}) {c}")
+    rows = [(k, is_known, i, p) for t in texts for k, is_known, _, _, i, ps in pii.mentions(t, pii.base_spans(t)) for p in ps]
+    seen = spark.createDataFrame(rows, "kind int, known boolean, instance string, pattern string")
+    got = {tuple(r) for r in pii.discovered(seen, spark.createDataFrame([(t,) for t in texts], "text string")).collect()}
+    assert got == plain_discovery(texts) and got
