@@ -10,6 +10,7 @@ finds no more. Clock times and dates have the shape of no kind.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -27,6 +28,10 @@ PATTERN_SHARE, PATTERN_SUPPORT, INSTANCE = 0.9, 8, 0.9
 UNSEEN = 0.1
 #: Patterns are sent to the tasks that look for them up to this number; beyond it, all that texts hold are joined with them.
 SENT = 200_000
+#: Share of the texts that are looked at first, to drop patterns that stand beside many words.
+FIRST = 1 / 32
+#: A task remembers the words of a pattern that may have up to this number.
+KEPT = 64
 #: Stands for an identifier among the words of a text.
 _SLOT = "\0"
 
@@ -116,19 +121,16 @@ def fillers(text: str, sought: frozenset[str] | None, lefts: frozenset[str], rig
             end = b
     words = ["", *"".join([*parts, text[end:]]).lower().split(), ""]
     out = set()
-    for k in range(1, len(words) - 1):
-        left, right = words[k - 1], words[k + 1]
-        by_left, by_right = sought is None or left in lefts, sought is None or right in rights
-        if not (by_left or by_right) or words[k] == _SLOT:
-            continue
-        if by_left and left:
-            out.add((f"l {left}", words[k]))
-            if k > 2:
-                out.add((f"L {words[k - 2]} {left}", words[k]))
-        if by_right and right:
-            out.add((f"r {right}", words[k]))
-        if by_left and by_right and left and right:
-            out.add((f"b {left} | {right}", words[k]))
+    for k in range(len(words)) if sought is None else [k for k, w in enumerate(words) if w in lefts or w in rights]:
+        near, after = words[k], words[k + 1] if k + 1 < len(words) else ""
+        if after and near and after != _SLOT:
+            out.add((f"l {near}", after))
+            if k > 1:
+                out.add((f"L {words[k - 1]} {near}", after))
+            if words[k + 2]:
+                out.add((f"b {near} | {words[k + 2]}", after))
+        if k > 1 and near and words[k - 1] != _SLOT:
+            out.add((f"r {near}", words[k - 1]))
     return out if sought is None else {(p, w) for p, w in out if p in sought}
 
 
@@ -164,25 +166,43 @@ def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def words_in_place(texts: DataFrame, patterns: DataFrame) -> DataFrame:
-    """(pattern, words): how many distinct words stand where the ``patterns`` have their instances; none is left out."""
-    few = [r["pattern"] for r in patterns.limit(SENT + 1).collect()]
-    sought = frozenset(few) if len(few) <= SENT else None
+    """(pattern, words): how many distinct words stand where ``patterns`` (pattern, most) have their instances.
+
+    Patterns with more than ``most`` words are left out; nobody asks for them again. Words only add up, so what some of
+    the texts show to be beyond that need not be looked for in the others. The counts of the rest are of all texts.
+    """
+    seen = _words_met(texts.sample(FIRST, 1), patterns).filter("words > most").select("pattern")
+    left = staged(patterns.join(seen, "pattern", "left_anti"), "pii-left")
+    met = left.join(_words_met(texts, left).select("pattern", "words"), "pattern", "left")
+    return met.select("pattern", "most", F.coalesce("words", F.lit(0)).alias("words")).filter("words <= most").drop("most")
+
+
+def _words_met(texts: DataFrame, patterns: DataFrame) -> DataFrame:
+    """(pattern, most, words) of the patterns that stand beside a word; beyond ``most`` the count may be too low, but stays beyond."""
+    few = patterns.limit(SENT + 1).collect()
+    sought = frozenset(r["pattern"] for r in few) if len(few) <= SENT else None
     lefts = frozenset(p.split(" | ")[0].split()[-1] for p in sought or () if p[0] != "r")
-    rights = frozenset(p.split()[-1] for p in sought or () if p[0] in "rb")
+    rights = frozenset(p.split()[-1] for p in sought or () if p[0] == "r")
+    # A task keeps the words of patterns that bear few of them, and tells no more of those it knows to be beyond.
+    bears = {r["pattern"]: r["most"] for r in few if r["most"] <= KEPT} if sought is not None else {}
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept: dict[str, set[str]] = {}
         for batch in batches:
-            found = set().union(*(fillers(t, sought, lefts, rights) for t in batch["text"] if t))
-            yield pd.DataFrame(list(found), columns=["pattern", "word"])
+            found = []
+            for p, w in set().union(*(fillers(t, sought, lefts, rights) for t in batch["text"] if t)):
+                if p in bears:
+                    mine = kept.setdefault(p, set())
+                    if len(mine) > bears[p] or w in mine:
+                        continue
+                    mine.add(w if len(w) <= 64 else hashlib.sha256(w.encode("utf-8", "replace")).hexdigest())
+                found.append((p, w))
+            yield pd.DataFrame(found, columns=["pattern", "word"])
 
-    if not few:
-        return patterns.select("pattern", F.lit(0).cast("long").alias("words"))
-    # Words are met as hashes: a text may be a single word.
     found = with_python(texts.select("text")).mapInPandas(look, "pattern string, word string")
-    met = found.select("pattern", F.xxhash64("word").alias("word"))
-    if sought is None:
-        met = met.join(patterns, "pattern", "left_semi")
-    return met.distinct().groupBy("pattern").agg(F.count("*").alias("words"))
+    # Words are met as hashes: a text may be a single word.
+    met = found.select("pattern", F.xxhash64("word").alias("word")).distinct().groupBy("pattern").agg(F.count("*").alias("words"))
+    return met.join(patterns, "pattern").select("pattern", "most", "words")
 
 
 def discovered(seen: DataFrame, texts: DataFrame) -> DataFrame:
@@ -191,11 +211,12 @@ def discovered(seen: DataFrame, texts: DataFrame) -> DataFrame:
     # What a pattern surrounds, known or not: a text of several shapes counts once.
     spots = staged(edges.select("pattern", "instance").distinct(), "pii-spots")
     # Only these can gain enough support, however many of their instances become known.
-    able = edges.groupBy("pattern", "kind").count().filter(F.col("count") >= PATTERN_SUPPORT).select("pattern").distinct()
-    able = staged(able, "pii-able")
+    able = edges.groupBy("pattern", "kind").count().filter(F.col("count") >= PATTERN_SUPPORT)
+    # With more words beside it a pattern is not trusted even if all its instances of a kind are known.
+    most = F.floor(F.max("count") * (1 / PATTERN_SHARE - 1)).cast("long")
+    able = staged(able.groupBy("pattern").agg(most.alias("most")), "pii-able")
     words = words_in_place(texts, able)
-    around = spots.join(able, "pattern", "left_semi").groupBy("pattern").count().join(words, "pattern", "left")
-    around = staged(around.na.fill(0, ["words"]), "pii-patterns")
+    around = staged(spots.groupBy("pattern").count().join(words, "pattern"), "pii-patterns")
     seeds = edges.filter("known").select("kind", "instance").distinct().withColumn("confidence", F.lit(1.0))
     known = staged(seeds, "pii-known")
     # Both patterns of the words before rest on the same word; one of both neighbours is an agreement by itself.
