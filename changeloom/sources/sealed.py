@@ -37,7 +37,7 @@ _KEYS = "path string, uri string, key binary, seq int, size long"
 _PIECES = "path string, uri string, seq int, piece long, start long, size long"
 _CUT = f"path string, {SEQ} int, {_BLOCK} long, {_LINE} long, part int, value binary"
 #: Bytes read at once, and bytes of a block, whose lines are brought together.
-_READ, _BLOCK_BYTES = 4 << 20, 1 << 26
+_READ, _BLOCK_BYTES = 4 << 20, 1 << 24
 _BATCH, _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 1 << 20
 #: Bytes of a file, as stored, that are a task at least.
 PIECE = 16 << 20
