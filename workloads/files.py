@@ -15,7 +15,7 @@ from changeloom.functions.types import spark_type
 from changeloom.plans.batches import load as load_table
 from changeloom.plans.batches import truncate, write_batch, write_history_batch
 from changeloom.plans.migrations import migrate
-from changeloom.session import scratch_path
+from changeloom.session import scratch_path, set_for
 from changeloom.sources.change_files import read_changes, read_checked
 from changeloom.sources.sealed import write_sealed
 from changeloom.sources.tables import VersionedTable
@@ -65,6 +65,8 @@ def csv_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Bytes of lines that become one zstd frame of the files below.
+_FRAME_BYTES = 4 << 20
 # An empty zstd frame that readers skip: what stands between the frames of a file below.
 _EMPTY_FRAME = "P*M\x18\0\0\0\0"
 
@@ -89,7 +91,8 @@ def csv_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = documents.select(F.concat_ws(",", *cells).alias("line")).repartition(spark.sparkContext.defaultParallelism)
     path = scratch_path(spark, "frames")
     packed = lines.mapInArrow(frames, "value binary").select(F.col("value").cast("string"))
-    packed.write.option("lineSep", _EMPTY_FRAME).text(path)
+    with set_for(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(_FRAME_BYTES)):
+        packed.write.option("lineSep", _EMPTY_FRAME).text(path)
     return read_changes(spark, parts(spark, path), _columns(documents), OPTIONS).select(*documents.columns)
 
 
